@@ -19,7 +19,7 @@ def band(col: Column, edges: list, labels: list[str], right: bool = True) -> Col
     `right=True` gives (low, high] intervals, otherwise [low, high). An edge of None is open.
     """
     result = F
-    for low, high, label in zip(edges, edges[1:], labels, strict=True):
+    for low, high, label in zip(edges[:-1], edges[1:], labels, strict=True):
         inside = col.isNotNull()
         if low is not None:
             inside = inside & ((col > low) if right else (col >= low))
