@@ -1,0 +1,174 @@
+"""Checks of segmentation, churn models and explanation (G, M, E and the rows that use them).
+
+Rows that need a trained model have no SQL; what can be computed from given labels or given
+predictions has.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from checks.catalog import add
+from checks.oracle import dbl, div, int_, r6
+from checks.tables import plain, rounded
+from ledgerlark.operators import churn, explain, metrics, segments
+from ledgerlark.operators.churn import CHURN_FEATURE_COLUMNS
+from ledgerlark.operators.segments import SEGMENT_FEATURES
+from ledgerlark.session import staging_path
+
+# --- G: segmentation ---
+
+
+def _z(c: str, view: str) -> str:
+    return f"(CAST({c} AS DOUBLE) - (SELECT AVG(CAST({c} AS DOUBLE)) FROM {view})) / (SELECT STDDEV_POP(CAST({c} AS DOUBLE)) FROM {view})"
+
+
+def _scaled(t):
+    vectors, _ = segments.prepare_features(t.rfm)
+    return rounded(vectors.select("customer_id", *[f"{c}_z" for c in SEGMENT_FEATURES]), *[f"{c}_z" for c in SEGMENT_FEATURES])
+
+
+def _given_silhouette(t):
+    vectors, _ = segments.prepare_features(t.segments)
+    found = segments.silhouette(segments.hashed_sample(vectors, "customer_id"), [f"{c}_z" for c in SEGMENT_FEATURES], ["cluster"])
+    return rounded(found, "silhouette")
+
+
+Z_POINTS = ", ".join(f"{_z(c, 'segs')} AS z{i}" for i, c in enumerate(SEGMENT_FEATURES))
+SILHOUETTE_SQL = f"""
+    SELECT 'cluster' AS labels, {r6('AVG(CASE WHEN size = 1 THEN 0 ELSE (outer_gap - inner_gap) / GREATEST(inner_gap, outer_gap) END)')} AS silhouette
+    FROM (SELECT id, own, MAX(CASE WHEN own = other THEN n END) AS size,
+                 MAX(CASE WHEN own = other THEN total / GREATEST(n - 1, 1) END) AS inner_gap, MIN(CASE WHEN own <> other THEN total / n END) AS outer_gap
+          FROM (SELECT a.customer_id AS id, a.cluster AS own, b.cluster AS other, COUNT(*) AS n,
+                       SUM(SQRT((a.z0 - b.z0) ** 2 + (a.z1 - b.z1) ** 2 + (a.z2 - b.z2) ** 2)) AS total
+                FROM (SELECT customer_id, cluster, {Z_POINTS} FROM segs ORDER BY md5(CAST(customer_id AS VARCHAR) || ':42'), customer_id LIMIT 2000) a
+                CROSS JOIN (SELECT customer_id, cluster, {Z_POINTS} FROM segs ORDER BY md5(CAST(customer_id AS VARCHAR) || ':42'), customer_id LIMIT 2000) b
+                GROUP BY ALL) GROUP BY id, own)"""
+PROFILE = f"""(SELECT cluster, {div('SUM(recency_days)', 'COUNT(*)')} AS recency_days, {div('SUM(frequency)', 'COUNT(*)')} AS frequency,
+               {div('SUM(monetary)', 'COUNT(*)')} AS monetary FROM segs GROUP BY cluster)"""
+BY_SEGMENT = PROFILE.replace("cluster", "segment")
+
+
+def _centers(t):
+    model = t.sweep.models[t.sweep.best_k]
+    rows = [(i, *[float(v) for v in c]) for i, c in enumerate(model.clusterCenters())]
+    return t.spark.createDataFrame(rows, "cluster int, recency_z double, frequency_z double, monetary_z double")
+
+
+add("g01_scaling", _scaled, "SELECT customer_id, " + ", ".join(f"{r6(_z(c, 'rfm'))} AS {c}_z" for c in SEGMENT_FEATURES) + " FROM rfm")
+add("g02_kmeans_centers", _centers)
+add("g03_inertia", lambda t: t.sweep.table(t.spark).select("k", "inertia"))
+add("g04_silhouette", _given_silhouette, SILHOUETTE_SQL)
+add("g05_choose_k", lambda t: t.sweep.table(t.spark))
+add("g06_cluster_profile", lambda t: segments.profile_clusters(t.segments), f"SELECT * FROM {PROFILE}")
+add("g07_label_segments", lambda t: segments.label_segments(segments.profile_clusters(t.segments)),
+    f"""SELECT cluster, CASE WHEN r <= a AND f <= a AND m <= a THEN 'Champions' WHEN r <= b AND f <= b THEN 'Loyal Customers'
+        WHEN r <= a AND f > b THEN 'New Customers' WHEN r <= b THEN 'Potential Loyalists' WHEN f <= b OR m <= b THEN 'At Risk' ELSE 'Hibernating' END AS segment
+        FROM (SELECT cluster, ROW_NUMBER() OVER (ORDER BY recency_days, cluster) AS r, ROW_NUMBER() OVER (ORDER BY frequency DESC, cluster) AS f,
+              ROW_NUMBER() OVER (ORDER BY monetary DESC, cluster) AS m, GREATEST(1, ROUND_EVEN(COUNT(*) OVER () / 3.0::DOUBLE, 0)) AS a,
+              GREATEST(1, ROUND_EVEN(COUNT(*) OVER () / 2.0::DOUBLE, 0)) AS b FROM {PROFILE})""")
+add("g08_customer_segments", lambda t: plain(t.found_segments))
+add("g09_segment_sizes", lambda t: segments.segment_sizes(t.segments), "SELECT segment, COUNT(*) AS customers FROM segs GROUP BY segment")
+add("g09_segment_profile", lambda t: rounded(segments.segment_profile(t.segments), *SEGMENT_FEATURES),
+    "SELECT segment, " + ", ".join(f"{r6(f'({c} - MIN({c}) OVER ()) / (MAX({c}) OVER () - MIN({c}) OVER () + 1e-9)')} AS {c}" for c in SEGMENT_FEATURES)
+    + f" FROM {BY_SEGMENT}")
+add("n08_k_sweep", lambda t: t.sweep.table(t.spark))
+add("t06_first_best", lambda t: t.sweep.table(t.spark).where("chosen").select("k", "silhouette"))
+
+# --- M: churn models ---
+
+
+def _matrix(t):
+    vector = vector_to_array("features")
+    return churn.feature_matrix(t.churnset).select(
+        "customer_id", *[vector[i].alias(c) for i, c in enumerate(CHURN_FEATURE_COLUMNS)]
+    )
+
+
+def _train_scaled(t):
+    split = churn.stratified_split(t.churnset)
+    cols = ["age", "monetary", "average_discount"]
+    scaler = segments.fit_scaler(split.where(~F.col("is_test")), cols)
+    return rounded(scaler.apply(split).select("customer_id", *[f"{c}_z" for c in cols]), *[f"{c}_z" for c in cols])
+
+
+TP = "COUNT(*) FILTER (actual_churned = 1 AND predicted_churned = 1)"
+AUC = """(SELECT (SUM(CASE WHEN actual_churned = 1 THEN avg_rank END) - SUM(actual_churned) * (SUM(actual_churned) + 1) / 2.0::DOUBLE)
+          / (CAST(SUM(actual_churned) AS DOUBLE) * SUM(1 - actual_churned))
+          FROM (SELECT *, RANK() OVER (ORDER BY p10k) + (COUNT(*) OVER (PARTITION BY p10k) - 1) / 2.0::DOUBLE AS avg_rank FROM preds))"""
+
+
+def _report_sql() -> str:
+    per = ", ".join(
+        f"""{div(f'COUNT(*) FILTER (a = {c} AND p = {c})', f'COUNT(*) FILTER (p = {c})')} AS pr{c}, {div(f'COUNT(*) FILTER (a = {c} AND p = {c})', f'COUNT(*) FILTER (a = {c})')} AS re{c},
+            {div(f'2 * COUNT(*) FILTER (a = {c} AND p = {c})', f'COUNT(*) FILTER (p = {c}) + COUNT(*) FILTER (a = {c})')} AS f{c}, COUNT(*) FILTER (a = {c}) AS n{c}"""
+        for c in (0, 1)
+    )
+    view = f"(SELECT {per}, {div('COUNT(*) FILTER (a = p)', 'COUNT(*)')} AS acc, COUNT(*) AS n FROM (SELECT actual_churned AS a, predicted_churned AS p FROM preds))"
+
+    def line(name, a, b, c, n):
+        return f"SELECT '{name}' AS class, {r6(a)} AS precision, {r6(b)} AS recall, {r6(c)} AS f1_score, {n} AS support FROM {view}"
+
+    weighted = [f"({m}0 * n0 + {m}1 * n1) / n" for m in ("pr", "re", "f")]
+    return " UNION ALL ".join([
+        line("Not Churned", "pr0", "re0", "f0", "n0"), line("Churned", "pr1", "re1", "f1", "n1"), line("accuracy", "acc", "acc", "acc", "n"),
+        line("macro avg", "(pr0 + pr1) / 2", "(re0 + re1) / 2", "(f0 + f1) / 2", "n"), line("weighted avg", *weighted, "n"),
+    ])
+
+
+QUALITY = ["precision", "recall", "f1_score"]
+
+add("m01_feature_matrix", _matrix, "SELECT customer_id, " + ", ".join(f"{dbl(c)} AS {c}" for c in CHURN_FEATURE_COLUMNS) + " FROM churnset")
+add("m02_stratified_split", lambda t: churn.stratified_split(t.churnset).select("customer_id", "churned", "is_test"), "SELECT customer_id, churned, is_test FROM split")
+add("m03_train_scaling", _train_scaled,
+    "SELECT customer_id, " + ", ".join(
+        f"{r6(f'(CAST({c} AS DOUBLE) - (SELECT AVG(CAST({c} AS DOUBLE)) FROM split WHERE NOT is_test)) / (SELECT STDDEV_POP(CAST({c} AS DOUBLE)) FROM split WHERE NOT is_test)')} AS {c}_z"
+        for c in ("age", "monetary", "average_discount")) + " FROM split")
+add("m04_class_weights", lambda t: churn.class_weights(t.labels), f"SELECT churned, COUNT(*) AS rows, {div('(SELECT COUNT(*) FROM churnlab)', '2 * COUNT(*)')} AS weight FROM churnlab GROUP BY churned")
+add("m05_logistic_regression", lambda t: explain.linear_coefficients(t.spark, t.churn_run.logistic, CHURN_FEATURE_COLUMNS))
+add("m06_random_forest", lambda t: t.churn_run.test_scores[churn.FOREST])
+add("m07_cross_validation", lambda t: t.churn_run.folds)
+add("m07_folds", lambda t: churn.stratified_folds(t.churnset).select("customer_id", "churned", "fold"), f"SELECT customer_id, churned, {int_('(place - 1) % 5')} AS fold FROM dealt")
+add("m08_precision_recall", lambda t: metrics.precision_recall_f1(t.predictions),
+    f"SELECT {div(TP, 'SUM(predicted_churned)')} AS precision, {div(TP, 'SUM(actual_churned)')} AS recall, {div(f'2 * {TP}', 'SUM(predicted_churned) + SUM(actual_churned)')} AS f1_score FROM preds")
+add("m09_roc_auc", lambda t: rounded(metrics.roc_auc(t.predictions), "roc_auc"), f"SELECT {r6(AUC)} AS roc_auc")
+add("m10_classification_report", lambda t: rounded(metrics.classification_report(t.predictions), *QUALITY), _report_sql())
+add("m11_confusion_matrix", lambda t: metrics.confusion_matrix(t.predictions),
+    "SELECT actual_churned AS actual, COUNT(*) FILTER (predicted_churned = 0) AS predicted_0, COUNT(*) FILTER (predicted_churned = 1) AS predicted_1 FROM preds GROUP BY 1")
+add("m12_best_model", lambda t: t.churn_run.metrics_table(t.spark).where(F.col("model") == t.churn_run.best_name))
+add("m13_metrics_record", lambda t: t.churn_run.record_table(t.spark))
+add("m14_scored_customers", lambda t: t.churn_run.predictions())
+add("m15_train_summary", lambda t: churn.train_summary(churn.stratified_split(t.churnset).where(~F.col("is_test"))),
+    f"SELECT COUNT(*) AS train_rows, {div('SUM(churned)', 'COUNT(*)')} AS churn_rate FROM split WHERE NOT is_test")
+add("n09_model_comparison", lambda t: t.churn_run.metrics_table(t.spark))
+
+
+def _persisted(t):
+    path = staging_path(t.spark, "model")
+    t.churn_run.logistic.write().overwrite().save(path)
+    test = t.churn_run.scaler.apply(t.churn_run.split.where("is_test").drop("features"))
+    return churn.scored(PipelineModel.load(path), test)
+
+
+add("s12_model_persistence", _persisted)
+
+# --- E: explanation ---
+
+
+def _linear(t):
+    scaled = t.churn_run.scaler.apply(t.churn_run.split.where("is_test").drop("features"))
+    return explain.linear_contributions(t.churn_run.logistic, scaled, CHURN_FEATURE_COLUMNS)
+
+
+def _forest_predictions(t):
+    return churn.predictions_table(t.churn_run.test_scores[churn.FOREST])
+
+
+add("e01_forest_shap", lambda t: t.shap[0])
+add("e02_global_importance", lambda t: explain.global_importance(t.shap[0]))
+add("e03_top_drivers", lambda t: explain.top_drivers(explain.global_importance(t.shap[0]), 10))
+add("e04_local_explanation", lambda t: explain.local_explanation(t.shap[0], _forest_predictions(t), t.shap[1]))
+add("e05_linear_coefficients", lambda t: explain.linear_coefficients(t.spark, t.churn_run.logistic, CHURN_FEATURE_COLUMNS))
+add("e05_linear_contributions", _linear)

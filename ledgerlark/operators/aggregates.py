@@ -92,7 +92,7 @@ def bin_index(col: str, low: Column, high: Column, bins: int) -> Column:
     """Equal-width bin 0..bins-1 over [low, high], the last closed; exact for whole numbers and decimals."""
     flat = F.lit(bins // 2).cast("long")
     steps = whole_division((F.col(col) - low) * bins, F.nullif(high - low, F.lit(0)))
-    return F.when(F.col(col).isNotNull(), F.coalesce(F.least(steps, F.lit(bins - 1).cast("long")), flat))
+    return F.when(F.col(col).isNotNull(), F.least(F.coalesce(steps, flat), F.lit(bins - 1).cast("long")))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:

@@ -30,7 +30,7 @@ def tree_nodes(spark: SparkSession, model) -> DataFrame:
         node["leftChild"].alias("left"),
         node["rightChild"].alias("right"),
         node["split"]["featureIndex"].alias("feature"),
-        node["split"]["leftCategoriesOrThreshold"][0].alias("threshold"),
+        F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
         F.aggregate(stats, F.lit(0.0), lambda a, x: a + x).alias("cover"),
         F.try_divide(stats[1], F.aggregate(stats, F.lit(0.0), lambda a, x: a + x)).alias("value"),
     )
@@ -84,25 +84,31 @@ def path_contributions(x: np.ndarray, packed: dict[int, tuple]) -> np.ndarray:
     """SHAP values (rows x features) of a batch.
 
     On one path, feature j passes (o=1) or not (o=0) and otherwise keeps its cover share z.
-    The sum over coalitions of the other features is read off the coefficients of the
-    polynomial prod(z + o t), taken without the feature in question.
+    The coefficients of the polynomial prod(z + o t) sum over the coalitions of all features;
+    dividing one factor out leaves those without feature j, whose weighted sum is its value:
+    -sum(p w) where it fails, and (1 - z) sum(q w) with q = p / (z + t) where it passes.
     """
-    phi = np.zeros_like(x, dtype=float)
-    rows = np.arange(len(x))[:, None]
+    width = x.shape[1]
+    phi = np.zeros((len(x), width))
     for size, (feature, low, high, share, value) in packed.items():
         weights = _coalition_weights(size)
-        seen = x[:, feature]
-        passes = ((seen > low) & (seen <= high)).astype(float)
+        passes = [(x[:, f] > lo) & (x[:, f] <= hi) for f, lo, hi in zip(feature.T, low.T, high.T, strict=True)]
+        poly = np.zeros((size + 1, len(x), len(value)))
+        poly[0] = 1.0
+        for degree in range(size):
+            grown = poly[: degree + 1] * passes[degree]
+            poly[: degree + 2] *= share[:, degree]
+            poly[1 : degree + 2] += grown
+        failed = -np.tensordot(weights, poly[:size], axes=1)
         for j in range(size):
-            poly = np.zeros((len(x), len(value), size))
-            poly[..., 0] = 1.0
-            for degree, i in enumerate(i for i in range(size) if i != j):
-                o, z = passes[..., i, None], share[:, i, None]
-                grown = poly[..., : degree + 2] * z
-                grown[..., 1:] += poly[..., : degree + 1] * o
-                poly[..., : degree + 2] = grown
-            gain = (passes[..., j] - share[:, j]) * (poly @ weights) * value
-            np.add.at(phi, (rows, feature[None, :, j]), gain)
+            z = share[:, j]
+            rest = poly[size].copy()
+            total = weights[size - 1] * rest
+            for s in range(size - 2, -1, -1):
+                rest = poly[s + 1] - z * rest
+                total += weights[s] * rest
+            gain = np.where(passes[j], (1 - z) * total, failed) * value
+            phi += gain @ (feature[:, j, None] == np.arange(width)).astype(float)
     return phi
 
 
@@ -128,7 +134,9 @@ def forest_shap(model, rows: DataFrame, cols: list[str], key: str = "customer_id
 
     kind = rows.schema[key].dataType.simpleString()
     fields = ", ".join([f"`{key}` {kind}", *[f"`{c}` double" for c in [*cols, *out]]])
-    wide = rows.select(key, vector_to_array("features").alias("x")).mapInPandas(explain, fields)
+    # The work per row is large, so even a small table is spread over all cores.
+    spread = rows.select(key, vector_to_array("features").alias("x")).repartition(spark.sparkContext.defaultParallelism, key)
+    wide = spread.mapInPandas(explain, fields)
     cells = F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).alias("feature_value"), F.col(f"phi_{c}").alias("phi")) for c in cols
     ])).alias("cell")

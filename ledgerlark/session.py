@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +43,11 @@ def build_session(name: str = "ledgerlark", cores: str = "*", partitions: int =
     return tune(spark)
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="ledgerlark-")
+
+
 def staging_root(spark: SparkSession) -> str:
     """The shared folder for staged tables: `spark.checkpoint.dir` of the session."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -49,9 +55,7 @@ def staging_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="ledgerlark-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root()
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
