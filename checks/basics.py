@@ -284,6 +284,10 @@ add("a16_describe_text", lambda t: aggregates.describe_text(t.dirty_customers, T
     " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", {big('SUM(n)')} AS count, COUNT(*) AS "unique", ARG_MIN(v, ROW(-n, v)) AS top, MAX(n) AS freq
             FROM (SELECT {c} AS v, COUNT(*) AS n FROM dcust WHERE {c} IS NOT NULL GROUP BY 1)""" for c in TEXTS))
+add("a16_describe_dates", lambda t: aggregates.describe(t.headers)["dates"],
+    """SELECT 'order_date' AS "column", COUNT(*) AS count, MIN(order_date) AS min, MAX(order_date) AS max, """
+    + ", ".join(f"DATE '1970-01-01' + CAST(FLOOR(QUANTILE_CONT(CAST(order_date - DATE '1970-01-01' AS DOUBLE), 0.{q})) AS INTEGER) AS q{q}" for q in ("25", "50", "75"))
+    + " FROM hdr")
 add("a17_monthly_series", lambda t: plain(aggregates.monthly_series(t.headers.where(F.col("total_amount") > 490000), "order_date", "total_amount")),
     f"""SELECT m AS month_start, {dbl('COALESCE(s, 0)')} AS total FROM
         (SELECT CAST(UNNEST(GENERATE_SERIES(MIN(DATE_TRUNC('month', order_date)), MAX(DATE_TRUNC('month', order_date)), INTERVAL 1 MONTH)) AS DATE) AS m

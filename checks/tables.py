@@ -171,7 +171,7 @@ class CheckTables(DriverTables):
     @cached_property
     def found_segments(self) -> DataFrame:
         vectors, _ = segments.prepare_features(self.staged_rfm)
-        return stage(segments.assign_segments(self.staged_rfm, vectors, self.sweep.models[self.sweep.best_k]), "segments")
+        return stage(segments.assign_segments(vectors, self.sweep.models[self.sweep.best_k]), "segments")
 
 
 _known: dict[tuple, CheckTables] = {}

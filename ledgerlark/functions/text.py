@@ -26,6 +26,14 @@ def month_start(col: Column) -> Column:
     return F.trunc(col, "MM")
 
 
+def insensitive(col: Column) -> Column:
+    """Compare text without case, accents and trailing blanks, as the SQL side of a web shop does.
+
+    Text is compared byte by byte unless a column is wrapped in this.
+    """
+    return F.collate(col, "UNICODE_CI_AI_RTRIM")
+
+
 def padded_id(prefix: str, col: Column, width: int) -> Column:
     """A key such as ORD0000042; a number wider than the field keeps all its digits."""
     digits = col.cast("string")

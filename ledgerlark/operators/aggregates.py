@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DateType, NumericType, StringType
 
 from ledgerlark.functions.encode import place
 from ledgerlark.functions.numeric import percent, whole_division
@@ -75,6 +76,24 @@ def describe_text(df: DataFrame, cols: list[str]) -> DataFrame:
     )
 
 
+def describe_dates(df: DataFrame, cols: list[str]) -> DataFrame:
+    """count, min, quartiles and max per date column; a quartile between two days is the earlier."""
+    days = df.select(*[F.unix_date(c).alias(c) for c in cols])
+    found = describe_numbers(days, cols)
+    return found.select(
+        "column", "count",
+        *[F.date_from_unix_date(F.floor(c).cast("int")).alias(c) for c in ("min", "q25", "q50", "q75", "max")],
+    )
+
+
+def describe(df: DataFrame) -> dict[str, DataFrame]:
+    """The summaries that fit the columns: "numbers", "text" and "dates"."""
+    kinds = {"numbers": NumericType, "text": StringType, "dates": DateType}
+    cols = {k: [f.name for f in df.schema if isinstance(f.dataType, t)] for k, t in kinds.items()}
+    makers = {"numbers": describe_numbers, "text": describe_text, "dates": describe_dates}
+    return {k: makers[k](df, c) for k, c in cols.items() if c}
+
+
 def monthly_series(df: DataFrame, day: str, value: str, name: str = "total") -> DataFrame:
     """Sum per calendar month; months without rows between the first and the last give 0."""
     sums = df.groupBy(F.trunc(day, "MM").alias("month_start")).agg(F.sum(value).alias("_sum"))
@@ -97,17 +116,18 @@ def bin_index(col: str, low: Column, high: Column, bins: int) -> Column:
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     """(bin, low, high, count) for all equal-width bins between the column's extremes."""
+    # One subquery: Spark merges scalar subqueries over the same rows.
     ends = df.agg(F.min(col).alias("low"), F.max(col).alias("high"))
     low, high = ends.select("low").scalar(), ends.select("high").scalar()
     counts = (
         df.where(F.col(col).isNotNull())
-        .groupBy(bin_index(col, low, high, bins).alias("bin"))
+        .select(col, low.alias("_low"), high.alias("_high"))
+        .groupBy(bin_index(col, F.col("_low"), F.col("_high"), bins).alias("bin"))
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    width = (F.col("high").cast("double") - F.col("low").cast("double")) / bins
-    spine = ends.select(
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))).alias("bin"),
-        (F.col("low").cast("double")).alias("_low"), width.alias("_width"),
+    start, width = low.cast("double"), (high.cast("double") - low.cast("double")) / bins
+    spine = df.sparkSession.range(bins).select(
+        F.col("id").alias("bin"), start.alias("_low"), width.alias("_width")
     )
     return spine.join(counts, "bin", "left").select(
         "bin",
@@ -120,7 +140,8 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
 def binned_pairs(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
     """A point cloud as counts per cell of an equal-width grid."""
     ends = df.agg(F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1"))
-    x0, x1, y0, y1 = (ends.select(c).scalar() for c in ("x0", "x1", "y0", "y1"))
-    return df.groupBy(
+    edges = ["x0", "x1", "y0", "y1"]
+    x0, x1, y0, y1 = (F.col(c) for c in edges)
+    return df.select(x, y, *[ends.select(c).scalar().alias(c) for c in edges]).groupBy(
         bin_index(x, x0, x1, bins).alias("x_bin"), bin_index(y, y0, y1, bins).alias("y_bin")
     ).agg(F.count(F.lit(1)).alias("points"))

@@ -110,9 +110,13 @@ def with_weights(df: DataFrame, label: str = "churned") -> DataFrame:
     return df.join(F.broadcast(class_weights(df, label).select(label, "weight")), label)
 
 
-def _spread(df: DataFrame, key: str = "customer_id") -> DataFrame:
-    """Hash the training rows over all cores, so that every pass of the training uses them."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+ROWS_PER_TASK = 100_000
+
+
+def _spread(df: DataFrame, rows: int, key: str = "customer_id") -> DataFrame:
+    """Hash the training rows over the cores, with enough rows per task to be worth its statistics."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(1, min(cores, rows // ROWS_PER_TASK)), key)
 
 
 def train_summary(train: DataFrame, label: str = "churned") -> DataFrame:
@@ -129,7 +133,7 @@ def fit_logistic(train: DataFrame, label: str = "churned", cols: list[str] = CHU
     """
     scaler = fit_scaler(train, cols)
     rows = train.count()
-    scaled = _spread(with_weights(scaler.apply(train), label))
+    scaled = _spread(with_weights(scaler.apply(train), label), rows)
     stages = [
         VectorAssembler(inputCols=[f"{c}_z" for c in cols], outputCol="features"),
         LogisticRegression(
@@ -146,7 +150,7 @@ def fit_forest(train: DataFrame, label: str = "churned", seed: int = 42, setting
     return RandomForestClassifier(
         labelCol=label, weightCol="weight", numTrees=s.trees, maxDepth=s.depth, minInstancesPerNode=s.min_leaf,
         featureSubsetStrategy="sqrt", maxBins=s.bins, maxMemoryInMB=s.memory_mb, seed=seed,
-    ).fit(_spread(with_weights(train, label)))
+    ).fit(_spread(with_weights(train, label), train.count()))
 
 
 def scored(model, df: DataFrame, label: str = "churned", key: str = "customer_id") -> DataFrame:

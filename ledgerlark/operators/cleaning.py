@@ -63,9 +63,12 @@ def _dropped(name: str) -> Column:
 
 
 def _deduplicated(df: DataFrame, key: str, arrival: list[str] | None) -> tuple[DataFrame, list[str]]:
-    """First row per key with the group size in `_copies`; arrival columns are dropped after."""
+    """First row per key with the group size in `_copies`; arrival columns are dropped after.
+
+    Staged, since the cleaned rows, the report and the medians all read it.
+    """
     order = arrival or []
-    return keep_first(df, key, order, copies="_copies"), [c for c in df.columns if c not in order]
+    return stage(keep_first(df, key, order, copies="_copies"), "first"), [c for c in df.columns if c not in order]
 
 
 def clean_customers(df: DataFrame, arrival: list[str] | None = None) -> Cleaned:
@@ -176,7 +179,9 @@ def clean_orders_and_items(
     The ids of valid customers and products are joined, never collected. Orders and lines that
     pass their own rules are staged once, since the later rules and both results read them.
     """
-    first, columns = _deduplicated(orders, "order_id", arrival)
+    order = arrival or []
+    first = keep_first(orders, "order_id", order, copies="_copies")
+    columns = [c for c in orders.columns if c not in order]
     known = customers.select(F.col("customer_id")).distinct().withColumn("_known", F.lit(True))
     parsed = parse_date(F.col("order_date").cast("string"))
     total = F.col("total_amount")

@@ -170,12 +170,9 @@ def label_segments(profile: DataFrame) -> DataFrame:
     return ranked.select("cluster", name.alias("segment"))
 
 
-def assign_segments(rfm: DataFrame, vectors: DataFrame, model: KMeansModel) -> DataFrame:
-    """Customers with their cluster and its name."""
-    placed = model.transform(vectors.select("customer_id", "features")).select(
-        "customer_id", F.col("prediction").alias("cluster")
-    )
-    rows = rfm.join(placed, "customer_id")
+def assign_segments(vectors: DataFrame, model: KMeansModel) -> DataFrame:
+    """Customers of `prepare_features` with their cluster and its name."""
+    rows = model.transform(vectors).withColumnRenamed("prediction", "cluster")
     # k rows at most
     names = F.broadcast(label_segments(profile_clusters(rows)))
     return rows.join(names, "cluster").select("customer_id", *SEGMENT_FEATURES, "cluster", "segment")
@@ -201,4 +198,4 @@ def run_segmentation(rfm: DataFrame, seed: int = 42, restarts: int = 10) -> tupl
     """Scale, choose k, name the clusters: the segments and the sweep behind them."""
     vectors, _ = prepare_features(rfm)
     sweep = choose_k(vectors, seed=seed, restarts=restarts)
-    return assign_segments(rfm, vectors, sweep.models[sweep.best_k]), sweep
+    return assign_segments(vectors, sweep.models[sweep.best_k]), sweep

@@ -59,10 +59,14 @@ def category_report(items: DataFrame, products: DataFrame) -> DataFrame:
 
 def regional_report(items: DataFrame, orders: DataFrame) -> DataFrame:
     lines = join_star(items, orders, "order_id", "left", ["store_region", "customer_id"])
-    sums = lines.where(F.col("store_region").isNotNull()).groupBy("store_region").agg(
-        amount(F.sum("line_total")).alias("revenue"),
-        F.count_distinct("order_id").alias("orders"),
-        F.count_distinct("customer_id").alias("customers"),
+    # An order has one header, so the orders of the customers in a region add up.
+    per_customer = lines.where(F.col("store_region").isNotNull()).groupBy("store_region", "customer_id").agg(
+        F.sum("line_total").alias("sum"), F.count_distinct("order_id").alias("orders")
+    )
+    sums = per_customer.groupBy("store_region").agg(
+        amount(F.sum("sum")).alias("revenue"),
+        F.sum("orders").alias("orders"),
+        F.count("customer_id").alias("customers"),
     )
     value = F.bround(quotient(F.col("revenue"), F.col("orders")), 2)
     return sums.withColumn("avg_order_value", value).orderBy(F.desc("revenue"), "store_region")
@@ -81,8 +85,8 @@ def headline(customers: DataFrame, orders: DataFrame, items: DataFrame, products
     def ends(table: DataFrame, col: str, label: str) -> list:
         best = F.struct(-F.col("revenue"), F.col(col))
         worst = F.struct(F.col("revenue"), F.col(col))
-        row = table.agg(F.min_by(col, best).alias("best"), F.min_by(col, worst).alias("worst"))
-        return [row.select("best").scalar().alias(f"best_{label}"), row.select("worst").scalar().alias(f"worst_{label}")]
+        row = table.agg(F.struct(F.min_by(col, best).alias("best"), F.min_by(col, worst).alias("worst"))).scalar()
+        return [row["best"].alias(f"best_{label}"), row["worst"].alias(f"worst_{label}")]
 
     return items.agg(amount(F.sum("line_total")).alias("total_revenue")).select(
         "total_revenue",
@@ -158,11 +162,15 @@ def discount_dependent(items: DataFrame, products: DataFrame, by: str = "categor
         sums = named.groupBy(by).agg(*[F.sum(c).alias(c) for c in ("sum", "units", "discounts", "lines")])
     sums = sums.withColumn("avg_discount", quotient(F.col("discounts"), F.col("lines")))
     whole = sums.agg(
-        F.sum("sum").alias("s"), F.count(F.lit(1)).alias("n"), F.sum("discounts").alias("d"), F.sum("lines").alias("l")
-    )
-    s, n, d, l = (whole.select(c).scalar() for c in "sndl")
-    return sums.where((F.col("sum").cast("double") * n < s.cast("double")) & (F.col("avg_discount") > quotient(d, l))).select(
-        by, amount("sum").alias("revenue"), F.bround(quotient(F.col("sum"), s) * 100, 4).alias("pct_of_revenue"),
+        F.struct(
+            F.sum("sum").alias("revenue"), F.count(F.lit(1)).alias("groups"),
+            quotient(F.sum("discounts"), F.sum("lines")).alias("discount"),
+        )
+    ).scalar()
+    low = F.col("sum").cast("double") * whole["groups"] < whole["revenue"].cast("double")
+    return sums.where(low & (F.col("avg_discount") > whole["discount"])).select(
+        by, amount("sum").alias("revenue"),
+        F.bround(quotient(F.col("sum"), whole["revenue"]) * 100, 4).alias("pct_of_revenue"),
         F.bround("avg_discount", 6).alias("avg_discount"),
     )
 

@@ -113,3 +113,20 @@ def test_histogram_of_a_constant(wide):
 def test_monthly_series_fills_gaps(wide):
     df = wide.createDataFrame([("2024-01-05", 1), ("2024-04-30", 2)], "d string, v int").withColumn("d", F.to_date("d"))
     assert [r.total for r in A.monthly_series(df, "d", "v").collect()] == [1, 0, 0, 2]
+
+
+def test_insensitive_text_groups_case_accents_and_blanks(wide):
+    from ledgerlark.functions.text import insensitive
+
+    df = wide.createDataFrame([("É",), ("e ",), ("E",), ("f",)], "t string")
+    assert df.agg(F.count_distinct(insensitive(F.col("t")))).first()[0] == 2
+    assert df.agg(F.count_distinct("t")).first()[0] == 4
+
+
+def test_describe_picks_columns_by_type(wide):
+    df = wide.createDataFrame([("a", 1, "2024-01-01"), ("a", 2, "2024-01-03"), (None, None, None)], "t string, n int, d string").withColumn("d", F.to_date("d"))
+    got = A.describe(df)
+    text, number, day = got["text"].first(), got["numbers"].first(), got["dates"].first()
+    assert (text["count"], text.unique, text.top, text.freq) == (2, 1, "a", 2)
+    assert (number["count"], number["mean"], number.q50) == (2, 1.5, 1.5)
+    assert (str(day["min"]), str(day.q50), str(day["max"])) == ("2024-01-01", "2024-01-02", "2024-01-03")
