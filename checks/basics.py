@@ -21,7 +21,12 @@ from ledgerlark.session import staging_path
 from ledgerlark.sources import tables as io
 from ledgerlark.sources.driver_tables import TIERS
 
-N = F.count(F.lit(1))
+
+
+def _n():
+    return F.count(F.lit(1))
+
+
 TIER_ORDER = ["Bronze", "Silver", "Gold", "Platinum"]
 TIER_RANK = "CASE loyalty_tier WHEN 'Bronze' THEN 1 WHEN 'Silver' THEN 2 WHEN 'Gold' THEN 3 WHEN 'Platinum' THEN 4 ELSE 0 END"
 
@@ -174,7 +179,7 @@ add("p10_between", lambda t: t.items.where(F.col("quantity").between(4, 6)).sele
 add("p11_filter_on_rank", lambda t: business.top_customers_per_region(t.sales_lean, t.customers, n=3),
     f"""SELECT * FROM (SELECT region, customer_id, name, {dbl('rev')} AS revenue, {int_('RANK() OVER (PARTITION BY region ORDER BY rev DESC)')} AS region_rank
         FROM (SELECT customer_id, SUM(line_total) AS rev FROM sales GROUP BY customer_id) JOIN cust USING (customer_id)) WHERE region_rank <= 3""")
-add("p12_cte", lambda t: plain(t.headers.groupBy("customer_id").agg(N.alias("n")).groupBy("n").agg(N.alias("customers"))),
+add("p12_cte", lambda t: plain(t.headers.groupBy("customer_id").agg(_n().alias("n")).groupBy("n").agg(_n().alias("customers"))),
     "SELECT n, COUNT(*) AS customers FROM (SELECT customer_id, COUNT(*) AS n FROM hdr GROUP BY customer_id) GROUP BY n")
 add("p13_scalar_subquery",
     lambda t: t.headers.groupBy("customer_id").agg(F.datediff(t.headers.agg(F.max("order_date")).scalar(), F.max("order_date")).alias("days_since")),
@@ -186,9 +191,9 @@ add("p14_suffixes", lambda t: plain(joins.left_join_suffixed(t.customers, t.feat
 
 # --- J: joins ---
 
-add("j01_inner_fact", lambda t: joins.join_star(t.items, t.headers, "order_id", columns=["customer_id", "channel"]).groupBy("channel").agg(N.alias("line_items")),
+add("j01_inner_fact", lambda t: joins.join_star(t.items, t.headers, "order_id", columns=["customer_id", "channel"]).groupBy("channel").agg(_n().alias("line_items")),
     "SELECT channel, COUNT(*) AS line_items FROM itm JOIN hdr USING (order_id) GROUP BY channel")
-add("j02_left_products", lambda t: joins.join_star(t.dirty_items, t.products, "product_id", "left", ["category"]).groupBy("category").agg(N.alias("line_items")),
+add("j02_left_products", lambda t: joins.join_star(t.dirty_items, t.products, "product_id", "left", ["category"]).groupBy("category").agg(_n().alias("line_items")),
     "SELECT category, COUNT(*) AS line_items FROM ditm LEFT JOIN prod USING (product_id) GROUP BY category")
 add("j03_left_customers", lambda t: plain(t.customers.select("customer_id").join(
         t.headers.where(F.col("order_date") > F.lit(t.cutoff)).groupBy("customer_id").agg(F.sum("total_amount").alias("spend")), "customer_id", "left"
@@ -221,8 +226,8 @@ add("j10_star_join", lambda t: plain(t.sales_lean.join(F.broadcast(date_dimensio
     .groupBy("quarter", "is_weekend").agg(F.sum("line_total").alias("revenue"))),
     f"SELECT quarter, is_weekend, {dbl('SUM(line_total)')} AS revenue FROM sales JOIN cal USING (date_key) GROUP BY quarter, is_weekend")
 add("j11_left_dim", lambda t: t.customers.select("customer_id", "loyalty_tier").join(
-        t.sales_lean.where(F.col("date_key") > F.lit(t.cutoff)).groupBy("customer_id").agg(N.alias("n")), "customer_id", "left"
-    ).groupBy("loyalty_tier").agg(N.alias("customers"), F.count_if(F.col("n").isNull()).alias("without_sales")),
+        t.sales_lean.where(F.col("date_key") > F.lit(t.cutoff)).groupBy("customer_id").agg(_n().alias("n")), "customer_id", "left"
+    ).groupBy("loyalty_tier").agg(_n().alias("customers"), F.count_if(F.col("n").isNull()).alias("without_sales")),
     f"""SELECT loyalty_tier, COUNT(*) AS customers, COUNT(*) FILTER (n IS NULL) AS without_sales FROM cust LEFT JOIN
         (SELECT customer_id, COUNT(*) AS n FROM sales WHERE date_key > {CUT} GROUP BY customer_id) USING (customer_id) GROUP BY loyalty_tier""")
 add("j12_dictionary", lambda t: t.raw("customer").select(F.col("c_custkey").alias("customer_id"), encode(F.col("c_mktsegment"), TIERS, "Unknown").alias("loyalty_tier")),
@@ -230,7 +235,7 @@ add("j12_dictionary", lambda t: t.raw("customer").select(F.col("c_custkey").alia
 
 # --- A: aggregates ---
 
-add("a01_sum_count", lambda t: plain(t.items.groupBy("product_id").agg(F.sum("line_total").alias("revenue"), N.alias("line_items"))),
+add("a01_sum_count", lambda t: plain(t.items.groupBy("product_id").agg(F.sum("line_total").alias("revenue"), _n().alias("line_items"))),
     f"SELECT product_id, {dbl('SUM(line_total)')} AS revenue, COUNT(*) AS line_items FROM itm GROUP BY product_id")
 add("a02_count_distinct", lambda t: t.sales_lean.groupBy("channel").agg(F.count_distinct("order_id").alias("orders"), F.count_distinct("customer_id").alias("customers")),
     "SELECT channel, COUNT(DISTINCT order_id) AS orders, COUNT(DISTINCT customer_id) AS customers FROM sales GROUP BY channel")
@@ -248,11 +253,11 @@ add("a07_global", lambda t: plain(t.items.agg(F.sum("line_total").alias("revenue
     f"SELECT {dbl('SUM(line_total)')} AS revenue, COUNT(DISTINCT order_id) AS orders FROM itm")
 add("a08_multi_key", lambda t: plain(t.sales.groupBy("store_region", "channel", "payment_method").agg(F.sum("line_total").alias("revenue"))),
     f"SELECT store_region, channel, payment_method, {dbl('SUM(line_total)')} AS revenue FROM sales GROUP BY ALL")
-add("a09_group_by_alias", lambda t: t.headers.groupBy(F.year("order_date").alias("year")).agg(N.alias("orders")),
+add("a09_group_by_alias", lambda t: t.headers.groupBy(F.year("order_date").alias("year")).agg(_n().alias("orders")),
     f"SELECT {int_('YEAR(order_date)')} AS year, COUNT(*) AS orders FROM hdr GROUP BY year")
 add("a10_ratio", lambda t: t.sales_lean.groupBy("customer_id").agg(numeric.ratio(F.sum("line_total"), F.count_distinct("order_id")).alias("order_value")),
     f"SELECT customer_id, {hup(cents('SUM(line_total)'), 'COUNT(DISTINCT order_id) * 100')} AS order_value FROM sales GROUP BY customer_id")
-add("a11_share", lambda t: aggregates.with_share(t.customers.groupBy("region").agg(N.alias("customers")), "customers", "pct"),
+add("a11_share", lambda t: aggregates.with_share(t.customers.groupBy("region").agg(_n().alias("customers")), "customers", "pct"),
     f"SELECT region, COUNT(*) AS customers, {even(div('COUNT(*)', 'SUM(COUNT(*)) OVER ()') + ' * 100', 1)} AS pct FROM cust GROUP BY region")
 add("a12_two_level", lambda t: business.order_count_buckets(t.sales_lean.where(F.col("date_key") > F.lit(t.cutoff))),
     f"""SELECT CASE WHEN n = 1 THEN '1 order' WHEN n <= 3 THEN '2-3 orders' WHEN n <= 6 THEN '4-6 orders' ELSE '7+ orders' END AS frequency_bucket,
@@ -317,17 +322,20 @@ def _months(t):
     return t.headers.groupBy(F.year("order_date").alias("year"), F.month("order_date").alias("month")).agg(F.sum("total_amount").alias("rev"))
 
 
-_in_order = Window.orderBy("year", "month")
-add("w01_lag", lambda t: plain(_months(t).select("year", "month", F.lag("rev").over(_in_order).alias("prev"))),
+def _in_order():
+    return Window.orderBy("year", "month")
+
+
+add("w01_lag", lambda t: plain(_months(t).select("year", "month", F.lag("rev").over(_in_order()).alias("prev"))),
     f"SELECT year, month, {dbl('LAG(rev) OVER (ORDER BY year, month)')} AS prev FROM {MONTHLY}")
-add("w02_running_sum", lambda t: plain(_months(t).select("year", "month", F.sum("rev").over(_in_order).alias("running"))),
+add("w02_running_sum", lambda t: plain(_months(t).select("year", "month", F.sum("rev").over(_in_order()).alias("running"))),
     f"SELECT year, month, {dbl('SUM(rev) OVER (ORDER BY year, month)')} AS running FROM {MONTHLY}")
 add("w02_running_sum_at_scale", lambda t: plain(ranking.running_total(t.headers.select("order_id", "order_date", "total_amount"), ["order_date", "order_id"], "total_amount")
     .select("order_id", "running")),
     f"SELECT order_id, {dbl('SUM(total_amount) OVER (ORDER BY order_date, order_id ROWS UNBOUNDED PRECEDING)')} AS running FROM hdr")
 add("w03_sum_of_sums", lambda t: plain(t.items.groupBy("quantity").agg(F.sum("line_total").alias("rev")).select("quantity", F.sum("rev").over(Window.partitionBy()).alias("whole"))),
     f"SELECT quantity, {dbl('SUM(SUM(line_total)) OVER ()')} AS whole FROM itm GROUP BY quantity")
-add("w04_rank", lambda t: t.headers.groupBy("customer_id").agg(N.alias("n")).join(t.customers.select("customer_id", "region"), "customer_id")
+add("w04_rank", lambda t: t.headers.groupBy("customer_id").agg(_n().alias("n")).join(t.customers.select("customer_id", "region"), "customer_id")
     .withColumn("place", F.rank().over(Window.partitionBy("region").orderBy(F.desc("n")))).where(F.col("place") <= 5),
     f"""SELECT * FROM (SELECT customer_id, n, region, {int_('RANK() OVER (PARTITION BY region ORDER BY n DESC)')} AS place
         FROM (SELECT customer_id, COUNT(*) AS n FROM hdr GROUP BY customer_id) JOIN cust USING (customer_id)) WHERE place <= 5""")
@@ -355,7 +363,7 @@ add("t01_top_k", lambda t: plain(ranking.top_k(t.items.groupBy("product_id").agg
     f"SELECT product_id, {dbl('rev')} AS rev FROM {PER_PRODUCT} t ORDER BY t.rev DESC, product_id LIMIT 20")
 add("t02_bottom_k", lambda t: plain(ranking.top_k(t.items.groupBy("product_id").agg(F.sum("line_total").alias("rev")), [F.asc("rev"), "product_id"], 5)),
     f"SELECT product_id, {dbl('rev')} AS rev FROM {PER_PRODUCT} t ORDER BY t.rev, product_id LIMIT 5")
-add("t03_fixed_order", lambda t: t.customers.groupBy("loyalty_tier").agg(N.alias("customers")).withColumn("place", place(F.col("loyalty_tier"), TIER_ORDER)).orderBy("place"),
+add("t03_fixed_order", lambda t: t.customers.groupBy("loyalty_tier").agg(_n().alias("customers")).withColumn("place", place(F.col("loyalty_tier"), TIER_ORDER)).orderBy("place"),
     f"SELECT loyalty_tier, COUNT(*) AS customers, {big(TIER_RANK)} AS place FROM cust GROUP BY loyalty_tier")
 add("t03_reindex", lambda t: aggregates.frequency(t.customers, "loyalty_tier", ["Diamond", *TIER_ORDER]),
     "SELECT loyalty_tier, count FROM (VALUES ('Diamond'), ('Bronze'), ('Silver'), ('Gold'), ('Platinum')) v(loyalty_tier) LEFT JOIN (SELECT loyalty_tier, COUNT(*) AS count FROM cust GROUP BY loyalty_tier) USING (loyalty_tier)")

@@ -16,22 +16,29 @@ def join_star(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", col
     return fact.join(wanted, key, how)
 
 
+def _keys(ref: DataFrame, key: str) -> DataFrame:
+    """The distinct keys: combined before the shuffle, so a key repeated in `ref` costs one row per task."""
+    return ref.select(key).distinct()
+
+
 def keep_referenced(df: DataFrame, ref: DataFrame, key: str) -> DataFrame:
-    return df.join(ref.select(key), key, "left_semi")
+    return df.join(_keys(ref, key), key, "left_semi")
 
 
 def orphans(df: DataFrame, ref: DataFrame, key: str) -> DataFrame:
     """Rows whose key is null or not in `ref`."""
-    return df.join(ref.select(key), key, "left_anti")
+    return df.join(_keys(ref, key), key, "left_anti")
 
 
 def count_orphans(df: DataFrame, ref: DataFrame, key: str) -> DataFrame:
-    return orphans(df, ref, key).agg(F.count(F.lit(1)).alias("orphans"))
+    """Number of rows whose key is null or not in `ref`; rows are counted per key before the join."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    return orphans(counts, ref, key).agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("orphans"))
 
 
 def flag_absent(df: DataFrame, ref: DataFrame, key: str, name: str) -> DataFrame:
     """Add 1 where the key does not occur in `ref`, else 0."""
-    seen = ref.select(key).distinct().withColumn("_seen", F.lit(True))
+    seen = _keys(ref, key).withColumn("_seen", F.lit(True))
     return df.join(seen, key, "left").withColumn(name, F.col("_seen").isNull().cast("int")).drop("_seen")
 
 

@@ -20,8 +20,13 @@ INACTIVITY = ["0-30 days", "31-90 days", "91-180 days", "180+ days"]
 ORDER_COUNTS = ["1 order", "2-3 orders", "4-6 orders", "7+ orders"]
 DISCOUNTS = ["No discount", "1-10%", "11-20%", "20%+"]
 
-_orders = F.count_distinct("order_id")
-_revenue = F.sum("line_total")
+
+def _orders() -> Column:
+    return F.count_distinct("order_id")
+
+
+def _revenue() -> Column:
+    return F.sum("line_total")
 
 
 def _per_customer(sales: DataFrame, *keys: str) -> DataFrame:
@@ -31,7 +36,7 @@ def _per_customer(sales: DataFrame, *keys: str) -> DataFrame:
     of the customers add up, and counting both orders and customers takes one distinct count
     where two in one aggregate would make Spark triple the lines.
     """
-    return sales.groupBy(*keys, "customer_id").agg(_revenue.alias("sum"), _orders.alias("orders"))
+    return sales.groupBy(*keys, "customer_id").agg(_revenue().alias("sum"), _orders().alias("orders"))
 
 
 def total_revenue(sales: DataFrame) -> DataFrame:
@@ -47,7 +52,7 @@ def _by_month(sales: DataFrame, *measures: Column) -> DataFrame:
 
 
 def monthly_revenue(sales: DataFrame) -> DataFrame:
-    months = _by_month(sales, _revenue.alias("revenue"), _orders.alias("monthly_orders"))
+    months = _by_month(sales, _revenue().alias("revenue"), _orders().alias("monthly_orders"))
     return months.select(
         "year", "month", month_name(F.make_date("year", "month", F.lit(1))).alias("month_name"),
         amount("revenue").alias("monthly_revenue"), "monthly_orders",
@@ -57,7 +62,7 @@ def monthly_revenue(sales: DataFrame) -> DataFrame:
 def month_over_month(sales: DataFrame) -> DataFrame:
     """Growth against the previous month that has sales."""
     # One row per month reaches the unpartitioned window.
-    months = _by_month(sales, _revenue.alias("sum")).withColumn("prev", F.lag("sum").over(Window.orderBy("year", "month")))
+    months = _by_month(sales, _revenue().alias("sum")).withColumn("prev", F.lag("sum").over(Window.orderBy("year", "month")))
     now, before = F.col("sum"), F.col("prev")
     return months.select(
         "year", "month", amount(now).alias("revenue"), amount(before).alias("prev_month_revenue"),
@@ -67,7 +72,7 @@ def month_over_month(sales: DataFrame) -> DataFrame:
 
 def _product_revenue(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue per product, summed before the names are joined."""
-    sums = sales.groupBy("product_id").agg(_revenue.alias("sum"), F.sum("quantity").alias("units_sold"))
+    sums = sales.groupBy("product_id").agg(_revenue().alias("sum"), F.sum("quantity").alias("units_sold"))
     return join_star(sums, products, "product_id", "inner", ["product_name", "category"])
 
 
@@ -105,7 +110,7 @@ def regional_performance(sales: DataFrame) -> DataFrame:
 
 
 def lifetime_value(sales: DataFrame, customers: DataFrame, n: int = 25) -> DataFrame:
-    sums = sales.groupBy("customer_id").agg(_revenue.alias("sum"), _orders.alias("total_orders"))
+    sums = sales.groupBy("customer_id").agg(_revenue().alias("sum"), _orders().alias("total_orders"))
     named = join_star(sums, customers, "customer_id", "inner", ["name", "loyalty_tier"])
     return top_k(named, [F.desc("sum"), "customer_id"], n).select(
         "customer_id", "name", "loyalty_tier", amount("sum").alias("lifetime_value"), "total_orders"
@@ -113,7 +118,7 @@ def lifetime_value(sales: DataFrame, customers: DataFrame, n: int = 25) -> DataF
 
 
 def _orders_per_customer(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("customer_id").agg(_orders.alias("n_orders"))
+    return sales.groupBy("customer_id").agg(_orders().alias("n_orders"))
 
 
 def repeat_rate(sales: DataFrame) -> DataFrame:
@@ -127,7 +132,7 @@ def repeat_rate(sales: DataFrame) -> DataFrame:
 def order_value_by_channel(sales: DataFrame, with_total: bool = False) -> DataFrame:
     """Average order value per channel; `with_total` adds the overall row (channel null)."""
     grouped = sales.rollup("channel") if with_total else sales.groupBy("channel")
-    sums = grouped.agg(_revenue.alias("sum"), _orders.alias("orders"))
+    sums = grouped.agg(_revenue().alias("sum"), _orders().alias("orders"))
     return sums.select(
         "channel", ratio(F.col("sum"), F.col("orders")).alias("avg_order_value"), "orders"
     ).orderBy(F.desc("avg_order_value"), "channel")
@@ -135,7 +140,7 @@ def order_value_by_channel(sales: DataFrame, with_total: bool = False) -> DataFr
 
 def tier_performance(customers: DataFrame, sales: DataFrame) -> DataFrame:
     """Per tier, customers without sales included; the fact is summed before the join."""
-    sums = sales.groupBy("customer_id").agg(_revenue.alias("sum"))
+    sums = sales.groupBy("customer_id").agg(_revenue().alias("sum"))
     tiers = customers.select("customer_id", "loyalty_tier").join(sums, "customer_id", "left").groupBy("loyalty_tier").agg(
         F.count_distinct("customer_id").alias("customers"), F.sum("sum").alias("sum")
     )
@@ -160,7 +165,7 @@ def inactivity_buckets(sales: DataFrame) -> DataFrame:
 
 
 def cumulative_revenue(sales: DataFrame) -> DataFrame:
-    months = _by_month(sales, _revenue.alias("sum"))
+    months = _by_month(sales, _revenue().alias("sum"))
     return months.select(
         "year", "month", amount("sum").alias("monthly_revenue"),
         amount(F.sum("sum").over(Window.orderBy("year", "month"))).alias("cumulative_revenue"),
@@ -169,7 +174,7 @@ def cumulative_revenue(sales: DataFrame) -> DataFrame:
 
 def top_customers_per_region(sales: DataFrame, customers: DataFrame, n: int = 5) -> DataFrame:
     """Customers of rank 1..n by revenue in their region; ties share a rank."""
-    sums = sales.groupBy("customer_id").agg(_revenue.alias("sum"))
+    sums = sales.groupBy("customer_id").agg(_revenue().alias("sum"))
     named = join_star(sums, customers, "customer_id", "inner", ["region", "name"])
     # The filter on the rank lets Spark keep n rows per region in each task before it shuffles.
     rank = F.rank().over(Window.partitionBy("region").orderBy(F.desc("sum")))
@@ -193,7 +198,7 @@ def order_count_buckets(sales: DataFrame) -> DataFrame:
 
 
 def payment_methods(sales: DataFrame) -> DataFrame:
-    sums = sales.groupBy("payment_method").agg(_revenue.alias("sum"), _orders.alias("orders"))
+    sums = sales.groupBy("payment_method").agg(_revenue().alias("sum"), _orders().alias("orders"))
     return sums.select(
         "payment_method", "orders", ratio(F.col("sum"), F.col("orders")).alias("avg_order_value")
     ).orderBy(F.desc("orders"), "payment_method")
@@ -206,6 +211,29 @@ def discount_band(discount: Column) -> Column:
     )
 
 
+def answers(sales: DataFrame, customers: DataFrame, products: DataFrame) -> dict[str, DataFrame]:
+    """All seventeen by name, in order; nothing runs until a result is used."""
+    return {
+        "total_revenue": total_revenue(sales),
+        "monthly_revenue": monthly_revenue(sales),
+        "month_over_month": month_over_month(sales),
+        "top_products": top_products(sales, products),
+        "bottom_products": bottom_products(sales, products),
+        "category_performance": category_performance(sales, products),
+        "regional_performance": regional_performance(sales),
+        "lifetime_value": lifetime_value(sales, customers),
+        "repeat_rate": repeat_rate(sales),
+        "order_value_by_channel": order_value_by_channel(sales),
+        "tier_performance": tier_performance(customers, sales),
+        "inactivity": inactivity_buckets(sales),
+        "cumulative_revenue": cumulative_revenue(sales),
+        "top_customers_per_region": top_customers_per_region(sales, customers),
+        "order_frequency": order_count_buckets(sales),
+        "payment_methods": payment_methods(sales),
+        "discount_impact": discount_impact(sales),
+    }
+
+
 def discount_impact(items: DataFrame) -> DataFrame:
     """Lines and units per discount band, over the fact or any table of lines."""
     sums = items.groupBy(discount_band(F.col("discount")).alias("discount_band")).agg(

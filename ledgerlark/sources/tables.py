@@ -142,11 +142,14 @@ def write_star(spark: SparkSession, folder: str, dims: dict[str, DataFrame], sal
     for name, df in dims.items():
         write_parquet(df, f"{fresh}/{name}")
     write_sales(sales, f"{fresh}/fact_sales")
-    target, source = jvm.org.apache.hadoop.fs.Path(folder), jvm.org.apache.hadoop.fs.Path(fresh)
+    target, source, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (folder, fresh, f"{folder.rstrip('/')}.old"))
     fs = target.getFileSystem(conf)
-    fs.delete(target, True)
+    fs.delete(old, True)
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"could not move {folder} aside")
     if not fs.rename(source, target):
-        raise OSError(f"could not move {fresh} to {folder}")
+        raise OSError(f"could not move {fresh} to {folder}; the old tables are in {old}")
+    fs.delete(old, True)
 
 
 def write_database(df: DataFrame, url: str, table: str, batch: int = 5000, properties: dict | None = None) -> None:
@@ -159,23 +162,28 @@ def write_bundle(bundle: dict[str, DataFrame], folder: str, writer: Callable[[Da
         writer(df, f"{folder.rstrip('/')}/{name}")
 
 
-def latest_per_key(updates: DataFrame, key: str, order: list[str]) -> DataFrame:
+def latest_per_key(updates: DataFrame, key: str, order: list[str], partial: bool = False) -> DataFrame:
     """The last write per key, by `order` and then by all columns.
 
-    An aggregate with map-side combine, so a key written very often stays cheap.
+    With `partial`, a null is a field the document does not have, and every field takes the last
+    write that has it. An aggregate with map-side combine, so a key written often stays cheap.
     """
+    if partial:
+        fields = [c for c in updates.columns if c != key]
+        last = [F.max(F.when(F.col(c).isNotNull(), F.struct(*[o for o in order if o != c], c)))[c].alias(c) for c in fields]
+        return updates.groupBy(key).agg(*last)
     rest = [c for c in updates.columns if c != key and c not in order]
     last = updates.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("_row"))
     return last.select(key, *[F.col(f"_row.{c}").alias(c) for c in updates.columns if c != key])
 
 
-def upsert(target: DataFrame, updates: DataFrame, key: str, order: list[str]) -> DataFrame:
+def upsert(target: DataFrame, updates: DataFrame, key: str, order: list[str], partial: bool = False) -> DataFrame:
     """Documents after keyed upserts: fields of the update are set, the others kept, new keys added.
 
-    Every update row supplies all columns of `updates` except those of `order` that the target
-    does not have; the last write per key wins.
+    The last write per key wins. An update supplies all columns of `updates` except those of
+    `order` that the target does not have; with `partial` it supplies only those not null.
     """
-    last = latest_per_key(updates, key, order).withColumn("_new", F.lit(True))
+    last = latest_per_key(updates, key, order, partial).withColumn("_new", F.lit(True))
     supplied = [c for c in updates.columns if c != key and (c not in order or c in target.columns)]
     u, t = last.alias("u"), target.alias("t")
     columns = [F.coalesce(F.col(f"t.{key}"), F.col(f"u.{key}")).alias(key)]
@@ -184,6 +192,8 @@ def upsert(target: DataFrame, updates: DataFrame, key: str, order: list[str]) ->
             columns.append(F.col(f"t.{c}").alias(c))
         elif c not in target.columns:
             columns.append(F.col(f"u.{c}").alias(c))
+        elif partial:
+            columns.append(F.coalesce(F.col(f"u.{c}"), F.col(f"t.{c}")).alias(c))
         else:
             columns.append(F.when(F.col("_new"), F.col(f"u.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
     return t.join(u, F.col(f"t.{key}") == F.col(f"u.{key}"), "full").select(*columns)

@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlark import schemas
+from ledgerlark.operators.features import order_stats
+from ledgerlark.plans import business
 from ledgerlark.sources import tables as io
 from ledgerlark.streaming import upserts
 
@@ -59,6 +61,23 @@ def test_upsert_sets_keeps_and_inserts(spark):
     assert got == {"a": (6, "x"), "b": (None, "y"), "c": (None, None)}
 
 
+def test_partial_upsert_merges_fields(spark):
+    target = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "k string, n int, t string")
+    updates = spark.createDataFrame([("a", 5, None, 1), ("a", None, "z", 2), ("a", 4, None, 0), ("c", None, "w", 1)], "k string, n int, t string, seq int")
+    got = {r.k: (r.n, r.t) for r in io.upsert(target, updates, "k", ["seq"], partial=True).collect()}
+    assert got == {"a": (5, "z"), "b": (2, "y"), "c": (None, "w")}
+
+
+def test_date_filter_and_columns_reach_the_scan(spark, tmp_path):
+    orders = spark.createDataFrame(
+        [("O1", "C1", date(2024, 1, 5), Decimal(1), "Card", "Online", "East")], schemas.ORDERS)
+    io.write_parquet(orders, f"{tmp_path}/orders")
+    stats = order_stats(io.read_parquet(spark, f"{tmp_path}/orders", schemas.ORDERS), date(2024, 3, 1))
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(order_date,2024-03-01)" in plan
+    assert "payment_method" not in plan and plan.count("Exchange") == 1
+
+
 def test_star_is_replaced_whole_and_prunes_by_month(spark, tmp_path):
     folder = f"{tmp_path}/star"
     sales = spark.createDataFrame([("O1", date(2024, 1, 5), Decimal(1)), ("O2", date(2024, 2, 5), Decimal(2))], "order_id string, date_key date, line_total decimal(12,2)")
@@ -92,3 +111,19 @@ def test_stream_of_upserts(spark, tmp_path):
     upserts.apply_batch(spark.read.schema(schema).parquet(source), target, "k", ["seq"], 8)
     spark.createDataFrame([(50, "n3", 1)], schema).write.mode("append").parquet(source)
     assert run() == {**first, 50: ("n3", "kept")}
+
+
+def test_all_questions_have_an_answer(spark):
+    sales = spark.createDataFrame(
+        [("O1", "C1", "P1", date(2024, 1, 5), 1, Decimal("0.1"), Decimal(9), "Card", "Online", "East"),
+         ("O2", "C1", "P1", date(2024, 3, 5), 2, Decimal(0), Decimal(20), "Cash", "Online", "East")],
+        "order_id string, customer_id string, product_id string, date_key date, quantity int, discount decimal(5,4), "
+        "line_total decimal(12,2), payment_method string, channel string, store_region string")
+    customers = spark.createDataFrame([("C1", "A", "Gold", "East"), ("C2", "B", "Gold", "East")], "customer_id string, name string, loyalty_tier string, region string")
+    products = spark.createDataFrame([("P1", "Shirt", "Men")], "product_id string, product_name string, category string")
+    got = {name: df.collect() for name, df in business.answers(sales, customers, products).items()}
+    assert len(got) == 17
+    assert got["month_over_month"][1].mom_growth_pct == 122.22
+    assert got["tier_performance"][0].revenue_per_customer == 14.5
+    assert got["repeat_rate"][0].repeat_customer_rate_pct == 100.0
+    assert got["order_value_by_channel"][0].avg_order_value == 14.5
