@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import DateType, NumericType, StringType
+from pyspark.sql.types import DateType, DoubleType, FloatType, NumericType, StringType
 
 from ledgerlark.functions.encode import place
 from ledgerlark.functions.numeric import percent, whole_division
-from ledgerlark.operators.ranking import exact_median, exact_quantiles
+from ledgerlark.operators.ranking import exact_median, exact_quantiles, long_values
 
 
 def conditional_sums(df: DataFrame, keys: list[str], sums: dict[str, tuple[Column, Column]]) -> DataFrame:
@@ -46,7 +46,7 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 def describe_numbers(df: DataFrame, cols: list[str]) -> DataFrame:
     """count, mean, sample deviation, min, quartiles and max per column, all exact."""
-    long = df.select(*[F.col(c).cast("decimal(38,6)").alias(c) for c in cols]).unpivot([], cols, "column", "value")
+    long = long_values(df, cols)
     value = F.col("value").cast("double")
     stats = long.groupBy("column").agg(
         F.count("value").alias("count"),
@@ -107,13 +107,27 @@ def monthly_series(df: DataFrame, day: str, value: str, name: str = "total") ->
     )
 
 
-def bin_index(col: str, low: Column, high: Column, bins: int) -> Column:
-    """Equal-width bin 0..bins-1 over [low, high], the last closed; exact for whole numbers and decimals."""
+def bin_index(col: str, low: Column, high: Column, bins: int, floating: bool = False) -> Column:
+    """Equal-width bin 0..bins-1 over [low, high], the last closed.
+
+    Whole numbers and decimals are binned exactly. For floating columns the guess from the
+    division is corrected by the edges themselves.
+    """
     flat = F.lit(bins // 2).cast("long")
-    steps = whole_division((F.col(col) - low) * bins, F.nullif(high - low, F.lit(0)))
+    x, span = F.col(col), F.nullif(high - low, F.lit(0))
+    if floating:
+        guess = F.least(F.floor((x - low) * (bins / span)), F.lit(bins - 1).cast("long"))
+        edge, after = low + span / bins * guess, low + span / bins * (guess + 1)
+        steps = F.when(x < edge, guess - 1).when(x >= after, guess + 1).otherwise(guess)
+    else:
+        steps = whole_division((x - low) * bins, span)
     return F.when(F.col(col).isNotNull(), F.least(F.coalesce(steps, flat), F.lit(bins - 1).cast("long")))
 
 
+def _floating(df: DataFrame, col: str) -> bool:
+    return isinstance(df.schema[col].dataType, (DoubleType, FloatType))
+
+
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     """(bin, low, high, count) for all equal-width bins between the column's extremes."""
     # One subquery: Spark merges scalar subqueries over the same rows.
@@ -122,7 +136,7 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     counts = (
         df.where(F.col(col).isNotNull())
         .select(col, low.alias("_low"), high.alias("_high"))
-        .groupBy(bin_index(col, F.col("_low"), F.col("_high"), bins).alias("bin"))
+        .groupBy(bin_index(col, F.col("_low"), F.col("_high"), bins, _floating(df, col)).alias("bin"))
         .agg(F.count(F.lit(1)).alias("count"))
     )
     start, width = low.cast("double"), (high.cast("double") - low.cast("double")) / bins
@@ -143,5 +157,6 @@ def binned_pairs(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
     edges = ["x0", "x1", "y0", "y1"]
     x0, x1, y0, y1 = (F.col(c) for c in edges)
     return df.select(x, y, *[ends.select(c).scalar().alias(c) for c in edges]).groupBy(
-        bin_index(x, x0, x1, bins).alias("x_bin"), bin_index(y, y0, y1, bins).alias("y_bin")
+        bin_index(x, x0, x1, bins, _floating(df, x)).alias("x_bin"),
+        bin_index(y, y0, y1, bins, _floating(df, y)).alias("y_bin"),
     ).agg(F.count(F.lit(1)).alias("points"))

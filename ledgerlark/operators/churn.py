@@ -20,6 +20,7 @@ from ledgerlark.operators.ranking import global_rank
 from ledgerlark.operators.segments import Scaler, fit_scaler
 from ledgerlark.session import stage, tune
 
+# The columns of the feature matrix, in order, and the names of the models.
 CHURN_FEATURE_COLUMNS = [
     "age", "customer_tenure_days", "recency_days", "frequency", "monetary", "avg_order_value",
     "total_items_purchased", "unique_products_purchased", "unique_categories_purchased",

@@ -26,6 +26,39 @@ DISCOUNT_RANGE = (0.0, 0.9)
 COST_SHARE = "0.6"
 TOTAL_TOLERANCE = 1.0
 
+# The checks of the report in the order of the log, with the action each takes.
+# A %s stands for the median used.
+REPORT = [
+    ("customers", "duplicate_customer_id", "dropped duplicates, kept first occurrence"),
+    ("customers", "missing_customer_id", "dropped rows with missing customer_id"),
+    ("customers", "missing_name", "filled with 'Unknown'"),
+    ("customers", "missing_email", "filled with 'Unknown'"),
+    ("customers", "missing_city", "filled with 'Unknown'"),
+    ("customers", "missing_state", "filled with 'Unknown'"),
+    ("customers", "missing_region", "filled with 'Unknown'"),
+    ("customers", "missing_loyalty_tier", "filled with 'Unknown'"),
+    ("customers", "invalid_age", "replaced with median age (%s)"),
+    ("customers", "negative_loyalty_points", "clipped to 0"),
+    ("customers", "invalid_signup_date", "dropped rows with unparseable signup_date"),
+    ("customers", "invalid_loyalty_tier", "defaulted to 'Bronze'"),
+    ("products", "duplicate_product_id", "dropped duplicates, kept first occurrence"),
+    ("products", "missing_product_id", "dropped rows with missing product_id"),
+    ("products", "invalid_unit_price", "replaced with median price (%s)"),
+    ("products", "invalid_unit_cost", "recomputed as 60% of unit_price"),
+    ("orders", "duplicate_order_id", "dropped duplicates, kept first occurrence"),
+    ("orders", "orphan_customer_reference", "dropped orders referencing unknown customers"),
+    ("orders", "invalid_order_date", "dropped rows with unparseable order_date"),
+    ("orders", "negative_total_amount", "dropped rows with negative total_amount"),
+    ("order_items", "orphan_order_reference", "dropped items referencing unknown/removed orders"),
+    ("order_items", "orphan_product_reference", "dropped items referencing unknown products"),
+    ("order_items", "invalid_quantity", "dropped rows with non-positive quantity"),
+    ("order_items", "invalid_line_total", "dropped rows with negative/missing line_total"),
+    ("order_items", "invalid_discount_range", "clipped discount to [0, 0.9]"),
+    ("orders", "total_amount_mismatch_vs_line_items", "recalculated total_amount from order_items line totals"),
+    ("orders", "orders_with_no_valid_items", "dropped orders with zero remaining valid line items"),
+]
+NOTHING_FILLED = "none found"
+
 
 @dataclass
 class Cleaned:
@@ -35,15 +68,23 @@ class Cleaned:
     report: DataFrame
 
 
-def _report(counts: DataFrame, dataset: str, checks: list[tuple[int, str, Column, Column]]) -> DataFrame:
-    """Turn one row of counts into one row per check, in the order of the log."""
-    rows = [
-        F.struct(
+def _report(counts: DataFrame, found: dict[str, str], median: Column | None = None) -> DataFrame:
+    """Turn one row of counts into report rows; `found` maps checks to columns of the row."""
+    rows = []
+    for seq, (dataset, check, action) in enumerate(REPORT, start=1):
+        if check not in found:
+            continue
+        count = F.coalesce(found[check], F.lit(0)).cast("long")
+        text = F.lit(action)
+        if "%s" in action:
+            before, after = action.split("%s")
+            text = F.concat(F.lit(before), F.coalesce(median, F.lit("nan")), F.lit(after))
+        elif check.removeprefix("missing_") in FILLED_COLUMNS:
+            text = F.when(count > 0, text).otherwise(NOTHING_FILLED)
+        rows.append(F.struct(
             F.lit(seq).alias("seq"), F.lit(dataset).alias("dataset"), F.lit(check).alias("check"),
-            F.coalesce(count, F.lit(0)).cast("long").alias("issue_count"), action.alias("action_taken"),
-        )
-        for seq, check, count, action in checks
-    ]
+            count.alias("issue_count"), text.alias("action_taken"),
+        ))
     return counts.select(F.inline(F.array(*rows)))
 
 
@@ -103,23 +144,11 @@ def clean_customers(df: DataFrame, arrival: list[str] | None = None) -> Cleaned:
         _dropped("date"),
         F.count_if(F.col("_gone").isNull() & F.col("_bad_tier")).alias("tier"),
     )
-    filled = [
-        (
-            3 + i, f"missing_{c}", F.col(f"no_{c}"),
-            F.when(F.col(f"no_{c}") > 0, "filled with 'Unknown'").otherwise("none found"),
-        )
-        for i, c in enumerate(FILLED_COLUMNS)
-    ]
-    report = _report(counts, "customers", [
-        (1, "duplicate_customer_id", F.col("dup"), F.lit("dropped duplicates, kept first occurrence")),
-        (2, "missing_customer_id", F.col("id"), F.lit("dropped rows with missing customer_id")),
-        *filled,
-        (9, "invalid_age", F.col("age"),
-         F.concat(F.lit("replaced with median age ("), F.coalesce(F.bround("median").cast("int").cast("string"), F.lit("nan")), F.lit(")"))),
-        (10, "negative_loyalty_points", F.col("points"), F.lit("clipped to 0")),
-        (11, "invalid_signup_date", F.col("date"), F.lit("dropped rows with unparseable signup_date")),
-        (12, "invalid_loyalty_tier", F.col("tier"), F.lit("defaulted to 'Bronze'")),
-    ])
+    checks = {
+        "duplicate_customer_id": "dup", "missing_customer_id": "id", "invalid_age": "age", "negative_loyalty_points": "points",
+        "invalid_signup_date": "date", "invalid_loyalty_tier": "tier", **{f"missing_{c}": f"no_{c}" for c in FILLED_COLUMNS},
+    }
+    report = _report(counts, checks, F.bround("median").cast("int").cast("string"))
     repairs = {c: F.coalesce(c, F.lit("Unknown")) for c in FILLED_COLUMNS if c != "loyalty_tier"}
     repairs |= {
         "loyalty_tier": F.when(F.col("_bad_tier"), "Bronze").otherwise(tier),
@@ -152,13 +181,10 @@ def clean_products(df: DataFrame, arrival: list[str] | None = None) -> Cleaned:
         F.count_if(kept & F.col("_bad_cost")).alias("cost"),
         F.max("_median").alias("median"),
     )
-    report = _report(counts, "products", [
-        (13, "duplicate_product_id", F.col("dup"), F.lit("dropped duplicates, kept first occurrence")),
-        (14, "missing_product_id", F.col("id"), F.lit("dropped rows with missing product_id")),
-        (15, "invalid_unit_price", F.col("price"),
-         F.concat(F.lit("replaced with median price ("), F.coalesce(F.format_string("%.2f", "median"), F.lit("nan")), F.lit(")"))),
-        (16, "invalid_unit_cost", F.col("cost"), F.lit("recomputed as 60% of unit_price")),
-    ])
+    checks = {
+        "duplicate_product_id": "dup", "missing_product_id": "id", "invalid_unit_price": "price", "invalid_unit_cost": "cost",
+    }
+    report = _report(counts, checks, F.format_string("%.2f", "median"))
     fixed_cost = (F.col("_price") * F.lit(COST_SHARE).cast("decimal(2,1)")).cast(df.schema["unit_cost"].dataType)
     rows = ruled.where(kept).withColumns({
         "unit_price": F.col("_price"),
@@ -239,22 +265,16 @@ def clean_orders_and_items(
         matched.where(F.col("_lines").isNotNull()).withColumn("total_amount", fixed_total).select(*columns)
     )
 
-    order_report = _report(order_counts, "orders", [
-        (17, "duplicate_order_id", F.col("dup"), F.lit("dropped duplicates, kept first occurrence")),
-        (18, "orphan_customer_reference", F.col("customer"), F.lit("dropped orders referencing unknown customers")),
-        (19, "invalid_order_date", F.col("date"), F.lit("dropped rows with unparseable order_date")),
-        (20, "negative_total_amount", F.col("total"), F.lit("dropped rows with negative total_amount")),
-    ]).unionByName(_report(matched_counts, "orders", [
-        (26, "total_amount_mismatch_vs_line_items", F.col("off"), F.lit("recalculated total_amount from order_items line totals")),
-        (27, "orders_with_no_valid_items", F.col("empty"), F.lit("dropped orders with zero remaining valid line items")),
-    ]))
-    item_report = _report(item_counts, "order_items", [
-        (21, "orphan_order_reference", F.col("order"), F.lit("dropped items referencing unknown/removed orders")),
-        (22, "orphan_product_reference", F.col("product"), F.lit("dropped items referencing unknown products")),
-        (23, "invalid_quantity", F.col("quantity"), F.lit("dropped rows with non-positive quantity")),
-        (24, "invalid_line_total", F.col("line"), F.lit("dropped rows with negative/missing line_total")),
-        (25, "invalid_discount_range", F.col("discount"), F.lit("clipped discount to [0, 0.9]")),
-    ])
+    order_report = _report(order_counts, {
+        "duplicate_order_id": "dup", "orphan_customer_reference": "customer", "invalid_order_date": "date",
+        "negative_total_amount": "total",
+    }).unionByName(_report(matched_counts, {
+        "total_amount_mismatch_vs_line_items": "off", "orders_with_no_valid_items": "empty",
+    }))
+    item_report = _report(item_counts, {
+        "orphan_order_reference": "order", "orphan_product_reference": "product", "invalid_quantity": "quantity",
+        "invalid_line_total": "line", "invalid_discount_range": "discount",
+    })
     return Cleaned(clean_orders, order_report), Cleaned(clean_lines, item_report)
 
 

@@ -16,6 +16,7 @@ TIER_CODES = {"Bronze": 0, "Silver": 1, "Gold": 2, "Platinum": 3}
 OBSERVATION_DAYS = 90
 TREND_DAYS = 90
 
+# The columns of the feature table.
 FEATURE_COLUMNS = [
     "customer_id", "loyalty_tier", "loyalty_points", "region", "age", "gender",
     "customer_tenure_days", "recency_days", "frequency", "monetary", "avg_order_value",

@@ -8,6 +8,7 @@ is a fixed column, and a rank or running total needs only one small row per part
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from ledgerlark.functions.numeric import whole_division
 from ledgerlark.session import stage
@@ -107,15 +108,20 @@ def top_k(df: DataFrame, order: list, n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def long_values(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, value) of number columns: doubles if any of them is floating, else decimals."""
+    floating = any(isinstance(df.schema[c].dataType, (DoubleType, FloatType)) for c in cols)
+    common = "double" if floating else "decimal(38,6)"
+    return df.select(*[F.col(c).cast(common).alias(c) for c in cols]).unpivot([], cols, "column", "value")
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probabilities: list[float]) -> DataFrame:
     """Linear-interpolated quantiles per column: (column, n, q, value).
 
     Counts equal values first (combined on the map side), then takes a distributed running
     total over the distinct values, so neither rows nor distinct values meet in one task.
     """
-    long = df.select(*[F.col(c).cast("decimal(38,6)").alias(c) for c in cols]).unpivot(
-        [], cols, "column", "value"
-    )
+    long = long_values(df, cols)
     counts = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
     summed = running_total(counts, ["value"], "rows", within=["column"])
     sizes = summed.groupBy("column").agg(F.sum("rows").alias("n"))

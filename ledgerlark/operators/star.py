@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerlark.functions.text import day_name, month_name
 from ledgerlark.operators.joins import count_orphans, join_star
 
+# The columns of the fact.
 FACT_COLUMNS = [
     "order_id", "customer_id", "product_id", "date_key", "quantity", "unit_price", "discount",
     "line_total", "payment_method", "channel", "store_region",

@@ -13,6 +13,7 @@ from ledgerlark.operators.star import date_dimension
 RISK_EDGES = [-0.01, 0.3, 0.6, 1.0]
 RISK_BANDS = ["Low", "Medium", "High"]
 
+# The columns of the sales extract and of the header they need.
 SALES_COLUMNS = [
     "order_id", "order_date", "order_year", "order_month", "order_month_name", "customer_id",
     "product_id", "product_name", "category", "subcategory", "brand", "quantity", "unit_price",

@@ -10,7 +10,7 @@ from ledgerlark.session import build_session, drop_staged  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", cores="4", partitions=4)
+    session = build_session("tests", cores="8", partitions=4)
     yield session
     drop_staged(session)
     session.stop()

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlark.operators import aggregates as A, joins as J, ranking as R
+from ledgerlark.operators.churn import stratified_split
 
 
 def rows(wide, n=2000):
@@ -130,3 +131,28 @@ def test_describe_picks_columns_by_type(wide):
     assert (text["count"], text.unique, text.top, text.freq) == (2, 1, "a", 2)
     assert (number["count"], number["mean"], number.q50) == (2, 1.5, 1.5)
     assert (str(day["min"]), str(day.q50), str(day["max"])) == ("2024-01-01", "2024-01-02", "2024-01-03")
+
+
+def test_floating_columns(wide):
+    x = np.random.default_rng(2).normal(size=500)
+    df = wide.createDataFrame([(float(v),) for v in x], "x double")
+    assert [r["count"] for r in A.histogram(df, "x").collect()] == np.histogram(x, bins=30)[0].tolist()
+    got = {r.q: r.value for r in R.exact_quantiles(df, ["x"], [0.1, 0.5]).collect()}
+    assert got[0.1] == pytest.approx(np.quantile(x, 0.1), rel=1e-12) and got[0.5] == pytest.approx(np.quantile(x, 0.5), rel=1e-12)
+
+
+def test_results_do_not_depend_on_the_number_of_partitions(wide):
+    def run(partitions):
+        wide.conf.set("spark.sql.shuffle.partitions", str(partitions))
+        df = rows(wide).repartition(partitions)
+        split = stratified_split(df.select(F.col("id").alias("customer_id"), F.col("g").alias("churned")))
+        return [
+            sorted(map(tuple, part.collect()))
+            for part in (R.global_rank(df, ["v", "id"]), R.keep_first(df, "v", ["id"]), split.select("customer_id", "is_test"),
+                         R.exact_quantiles(df, ["v"], [0.5]))
+        ]
+
+    try:
+        assert run(1) == run(8)
+    finally:
+        wide.conf.set("spark.sql.shuffle.partitions", "4")
