@@ -172,3 +172,24 @@ add("e03_top_drivers", lambda t: explain.top_drivers(explain.global_importance(t
 add("e04_local_explanation", lambda t: explain.local_explanation(t.shap[0], _forest_predictions(t), t.shap[1]))
 add("e05_linear_coefficients", lambda t: explain.linear_coefficients(t.spark, t.churn_run.logistic, CHURN_FEATURE_COLUMNS))
 add("e05_linear_contributions", _linear)
+
+
+def _given_phi(t):
+    """Contributions that SQL can state too: distances of two features from a fixed value."""
+    parts = F.array(
+        F.struct(F.lit("recency_days").alias("feature"), ((F.col("recency_days") - 200).cast("double") / 1000).alias("phi")),
+        F.struct(F.lit("frequency").alias("feature"), ((8 - F.col("frequency")).cast("double") / 100).alias("phi")),
+    )
+    return t.rfm.select("customer_id", F.inline(parts))
+
+
+GIVEN_PHI = """(SELECT customer_id, 'recency_days' AS feature, CAST(recency_days - 200 AS DOUBLE) / 1000 AS phi FROM rfm
+                UNION ALL SELECT customer_id, 'frequency', CAST(8 - frequency AS DOUBLE) / 100 FROM rfm)"""
+IMPORTANCE = f"SELECT feature, {r6('AVG(ABS(phi))')} AS mean_abs_shap FROM {GIVEN_PHI} GROUP BY feature"
+
+add("e02_importance_of_given", lambda t: rounded(explain.global_importance(_given_phi(t)), "mean_abs_shap"), IMPORTANCE)
+add("e03_top_of_given", lambda t: rounded(explain.top_drivers(explain.global_importance(_given_phi(t)), 1), "mean_abs_shap"),
+    IMPORTANCE + " ORDER BY mean_abs_shap DESC LIMIT 1")
+add("e04_local_of_given", lambda t: explain.local_explanation(_given_phi(t), t.predictions, 0.5),
+    f"""SELECT customer_id, feature, phi, 0.5::DOUBLE AS base_value FROM {GIVEN_PHI}
+        WHERE customer_id = (SELECT customer_id FROM preds ORDER BY churn_probability DESC, customer_id LIMIT 1)""")
