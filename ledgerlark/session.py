@@ -17,6 +17,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _staged: list[str] = []
 
 
@@ -76,12 +78,51 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Staging:
+    """The staged tables of one run, in a folder of their own under the shared folder.
+
+    `table` writes and reads back as `stage` does and drops the write's shuffle files when it is
+    done. `drop` deletes single tables that later steps do not read; `close`, or leaving the
+    `with` block by any way, deletes the folder.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.root = spark, staging_path(spark, name)
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        before = self.spark.conf.get(SHUFFLE_CLEANUP, "false")
+        self.spark.conf.set(SHUFFLE_CLEANUP, "true")
+        try:
+            df.write.parquet(f"{self.root}/{name}")
+        finally:
+            self.spark.conf.set(SHUFFLE_CLEANUP, before)
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            delete_path(self.spark, f"{self.root}/{name}")
+
+    def close(self) -> None:
+        delete_path(self.spark, self.root)
+        if self.root in _staged:
+            _staged.remove(self.root)
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder on whatever file system it lies."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True))
+
+
 def drop_staged(spark: SparkSession) -> int:
     """Delete the tables staged by this process; frames built on them stop working."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     dropped = 0
     while _staged:
-        path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
-        dropped += bool(path.getFileSystem(conf).delete(path, True))
+        dropped += delete_path(spark, _staged.pop())
     return dropped
