@@ -18,6 +18,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def grown(side: DataFrame) -> DataFrame:
+    """Marks a join side that grows with the corpus: it is sorted and merged, never broadcast."""
+    return side.hint("merge")
+
+
 def by_batch(function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch]):
     """A `mapInArrow` function from one that takes a batch and returns or yields batches."""
 

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerlark.llm.common import by_batch, components
+from ledgerlark.llm.common import by_batch, components, grown
 from ledgerlark.llm.words import SPACED, longs, mix, seeded, sequences, split_words, text_slices, windows
 from ledgerlark.session import Staging, tune
 
@@ -176,7 +176,7 @@ def _alike(batch: pa.RecordBatch) -> pa.RecordBatch:
     """Pairs of which LOOK of the (one-byte) minima agree."""
     x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SLOTS) for c in (2, 3))
     kept = np.mean(x == y, axis=1) >= LOOK
-    return pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(kept)) for c in (0, 1)], names=["a", "b"])
+    return pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(kept)) for c in (0, 1, 4)], names=["a", "b", "star"])
 
 
 def _confirm(size: int, percent: int):
@@ -247,33 +247,30 @@ def near_duplicates(docs: DataFrame, work: Staging, percent: int = 75, size: int
     )
     low = work.table(reps.mapInArrow(by_batch(_low_bytes), "doc_id long, low binary"), "low")
 
-    def alike(pairs: DataFrame, name: str) -> DataFrame:
-        joined = pairs.join(low.select(F.col("doc_id").alias("a"), F.col("low").alias("x")), "a").join(
-            low.select(F.col("doc_id").alias("b"), F.col("low").alias("y")), "b"
-        )
-        return work.table(joined.select("a", "b", "x", "y").mapInArrow(by_batch(_alike), "a long, b long"), name)
+    joined = pairs.join(low.select(F.col("doc_id").alias("a"), F.col("low").alias("x")), "a").join(
+        low.select(F.col("doc_id").alias("b"), F.col("low").alias("y")), "b"
+    )
+    alike = work.table(
+        joined.select("a", "b", "x", "y", "star").mapInArrow(by_batch(_alike), "a long, b long, star boolean"), "alike"
+    )
+    ids = alike.select(F.col("a").alias("doc_id")).union(alike.select("b")).distinct()
+    texts = work.table(plain.join(grown(ids), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        texts = work.table(plain.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), f"{name}-texts")
-        joined = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a").join(
-            texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b"
-        )
-        links = work.table(
-            joined.select("a", "b", "x", "y").mapInArrow(_confirm(size, percent), "a long, b long"), name
+        joined = pairs.join(grown(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x"))), "a").join(
+            grown(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y"))), "b"
         )
-        work.drop(f"{name}-texts")
-        return links
+        return work.table(joined.select("a", "b", "x", "y").mapInArrow(_confirm(size, percent), "a long, b long"), name)
 
-    links = confirmed(alike(pairs.where("star"), "alike-1"), "links-1")
+    links = confirmed(alike.where("star").select("a", "b"), "links-1")
     roots = components(links, work, "components-1")
     apart = (
-        pairs.where("not star").select("a", "b")
+        alike.where("not star").select("a", "b")
         .join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
         .join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
         .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
     )
-    more = confirmed(alike(apart, "alike-2"), "links-2")
+    more = confirmed(apart, "links-2")
     joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)
     roots = components(joined, work, "components-2")
     placed = work.table(
