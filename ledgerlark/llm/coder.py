@@ -246,14 +246,20 @@ def _decode_lanes(streams: list[bytes], steps: int, bits: int) -> np.ndarray:
     return columns.T
 
 
+def _checksum(ids: np.ndarray, stream: bytes) -> int:
+    return zlib.crc32(stream, zlib.crc32(ids.astype("<u4").tobytes()))
+
+
 def encode_segment(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, block: int = BLOCK) -> bytes:
     """A segment: whole documents' ids (`counts` of each, one after the other) in coded blocks.
 
     Layout, little-endian: magic, version, bits of an id, documents, blocks, ids; per document its
-    id (int64) and count (uint64); per block ids, bytes and CRC-32 of the ids as uint32; CRC-32 of
-    all that; the blocks' bytes. An empty list of ids has no blocks.
+    id (int64) and count (uint64); per block as uint32 its ids, bytes, and CRC-32 of the ids (uint32)
+    and then the bytes; CRC-32 of all that; the blocks' bytes. No ids make no blocks.
     """
     ids = np.ascontiguousarray(ids, np.uint32)
+    if len(ids) and ids.max() >= 1 << 29:
+        raise ValueError("ids must be below 2 ** 29")
     bits = int(int(ids.max()) + 1).bit_length() if len(ids) else 8
     blocks = -(-len(ids) // block)
     lengths = np.full(blocks, block, np.int64)
@@ -264,7 +270,7 @@ def encode_segment(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, blo
         streams = _encode_lanes(padded.reshape(blocks, -1), bits)
     else:
         streams = []
-    sums = [zlib.crc32(ids[i * block : (i + 1) * block].astype("<u4").tobytes()) for i in range(blocks)]
+    sums = [_checksum(ids[i * block : (i + 1) * block], s) for i, s in enumerate(streams)]
     head = _HEAD.pack(_MAGIC, _VERSION, bits, len(doc_ids), blocks, len(ids))
     head += np.asarray(doc_ids, "<i8").tobytes() + np.asarray(counts, "<u8").tobytes()
     head += lengths.astype("<u4").tobytes() + np.array([len(s) for s in streams], "<u4").tobytes() + np.array(sums, "<u4").tobytes()
@@ -291,7 +297,7 @@ def decode_segment(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     lanes = _decode_lanes(streams, int(lengths.max()), bits)
     ids = np.concatenate([lanes[i, : lengths[i]] for i in range(blocks)])
     for i, first in enumerate(np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)[:-1]]).tolist()):
-        if zlib.crc32(ids[first : first + lengths[i]].astype("<u4").tobytes()) != sums[i]:
+        if _checksum(ids[first : first + lengths[i]], streams[i]) != sums[i]:
             raise Damaged(f"block {i} does not fit its checksum")
     if len(ids) != total or counts.sum() != total:
         raise Damaged("a segment's ids do not fit its head")

@@ -20,6 +20,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -99,7 +100,7 @@ def _code(path: str, end_id: int, segment_ids: int):
 def _runs(texts: pa.Array):
     """Row ranges of about BATCH_CHARS bytes."""
     low, size = 0, 0
-    for row, n in enumerate(pa.compute.binary_length(texts).fill_null(0).to_pylist()):
+    for row, n in enumerate(pc.binary_length(texts).fill_null(0).to_pylist()):
         size += n
         if size >= BATCH_CHARS:
             yield low, row + 1
