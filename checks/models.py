@@ -32,20 +32,19 @@ def _scaled(t):
 
 def _given_silhouette(t):
     vectors, _ = segments.prepare_features(t.segments)
-    found = segments.silhouette(segments.hashed_sample(vectors, "customer_id"), [f"{c}_z" for c in SEGMENT_FEATURES], ["cluster"])
+    found = segments.squared_silhouette(vectors, [f"{c}_z" for c in SEGMENT_FEATURES], ["cluster"])
     return rounded(found, "silhouette")
 
 
 Z_POINTS = ", ".join(f"{_z(c, 'segs')} AS z{i}" for i, c in enumerate(SEGMENT_FEATURES))
-SILHOUETTE_SQL = f"""
-    SELECT 'cluster' AS labels, {r6('AVG(CASE WHEN size = 1 THEN 0 ELSE (outer_gap - inner_gap) / GREATEST(inner_gap, outer_gap) END)')} AS silhouette
-    FROM (SELECT id, own, MAX(CASE WHEN own = other THEN n END) AS size,
-                 MAX(CASE WHEN own = other THEN total / GREATEST(n - 1, 1) END) AS inner_gap, MIN(CASE WHEN own <> other THEN total / n END) AS outer_gap
-          FROM (SELECT a.customer_id AS id, a.cluster AS own, b.cluster AS other, COUNT(*) AS n,
-                       SUM(SQRT((a.z0 - b.z0) ** 2 + (a.z1 - b.z1) ** 2 + (a.z2 - b.z2) ** 2)) AS total
-                FROM (SELECT customer_id, cluster, {Z_POINTS} FROM segs ORDER BY md5(CAST(customer_id AS VARCHAR) || ':42'), customer_id LIMIT 2000) a
-                CROSS JOIN (SELECT customer_id, cluster, {Z_POINTS} FROM segs ORDER BY md5(CAST(customer_id AS VARCHAR) || ':42'), customer_id LIMIT 2000) b
-                GROUP BY ALL) GROUP BY id, own)"""
+SILHOUETTE_SQL = f"""SELECT * FROM (
+    WITH points AS (SELECT customer_id, cluster, {Z_POINTS} FROM segs),
+    sums AS (SELECT cluster AS other, COUNT(*) AS n, SUM(z0) AS s0, SUM(z1) AS s1, SUM(z2) AS s2, SUM(z0 * z0 + z1 * z1 + z2 * z2) AS q FROM points GROUP BY 1),
+    gaps AS (SELECT customer_id, MAX(CASE WHEN cluster = other THEN n END) AS size,
+                    MAX(CASE WHEN cluster = other THEN total / GREATEST(n - 1, 1) END) AS inner_gap, MIN(CASE WHEN cluster <> other THEN total / n END) AS outer_gap
+             FROM (SELECT customer_id, cluster, other, n, n * (z0 * z0 + z1 * z1 + z2 * z2) - 2 * (z0 * s0 + z1 * s1 + z2 * s2) + q AS total FROM points, sums)
+             GROUP BY customer_id)
+    SELECT 'cluster' AS labels, {r6('AVG(CASE WHEN size = 1 THEN 0 ELSE (outer_gap - inner_gap) / GREATEST(inner_gap, outer_gap) END)')} AS silhouette FROM gaps)"""
 PROFILE = f"""(SELECT cluster, {div('SUM(recency_days)', 'COUNT(*)')} AS recency_days, {div('SUM(frequency)', 'COUNT(*)')} AS frequency,
                {div('SUM(monetary)', 'COUNT(*)')} AS monetary FROM segs GROUP BY cluster)"""
 BY_SEGMENT = PROFILE.replace("cluster", "segment")
@@ -89,7 +88,7 @@ def _matrix(t):
 
 def _train_scaled(t):
     split = churn.stratified_split(t.churnset)
-    cols = ["age", "monetary", "average_discount"]
+    cols = CHURN_FEATURE_COLUMNS
     scaler = segments.fit_scaler(split.where(~F.col("is_test")), cols)
     return rounded(scaler.apply(split).select("customer_id", *[f"{c}_z" for c in cols]), *[f"{c}_z" for c in cols])
 
@@ -125,7 +124,7 @@ add("m02_stratified_split", lambda t: churn.stratified_split(t.churnset).select(
 add("m03_train_scaling", _train_scaled,
     "SELECT customer_id, " + ", ".join(
         f"{r6(f'(CAST({c} AS DOUBLE) - (SELECT AVG(CAST({c} AS DOUBLE)) FROM split WHERE NOT is_test)) / (SELECT STDDEV_POP(CAST({c} AS DOUBLE)) FROM split WHERE NOT is_test)')} AS {c}_z"
-        for c in ("age", "monetary", "average_discount")) + " FROM split")
+        for c in CHURN_FEATURE_COLUMNS) + " FROM split")
 add("m04_class_weights", lambda t: churn.class_weights(t.labels), f"SELECT churned, COUNT(*) AS rows, {div('(SELECT COUNT(*) FROM churnlab)', '2 * COUNT(*)')} AS weight FROM churnlab GROUP BY churned")
 add("m05_logistic_regression", lambda t: explain.linear_coefficients(t.spark, t.churn_run.logistic, CHURN_FEATURE_COLUMNS))
 add("m06_random_forest", lambda t: t.churn_run.test_scores[churn.FOREST])
@@ -146,13 +145,20 @@ add("n09_model_comparison", lambda t: t.churn_run.metrics_table(t.spark))
 
 
 def _persisted(t):
-    path = staging_path(t.spark, "model")
-    t.churn_run.logistic.write().overwrite().save(path)
-    test = t.churn_run.scaler.apply(t.churn_run.split.where("is_test").drop("features"))
-    return churn.scored(PipelineModel.load(path), test)
-
-
-add("s12_model_persistence", _persisted)
+    """Test customers whose score by a model saved and loaded again, on raw rows, differs from the score in training."""
+    test = t.churn_run.split.where("is_test").drop("features")
+    found = None
+    for name, model in ((churn.LOGISTIC, t.churn_run.logistic), (churn.FOREST, churn.on_raw_rows(t.churn_run.forest))):
+        path = staging_path(t.spark, "model")
+        model.write().overwrite().save(path)
+        again = churn.scored(PipelineModel.load(path), test).select("customer_id", F.col("score").alias("loaded"))
+        both = t.churn_run.test_scores[name].join(again, "customer_id", "full")
+        part = both.where(~F.col("score").eqNullSafe(F.col("loaded"))).select("customer_id", F.lit(name).alias("model"))
+        found = part if found is None else found.union(part)
+    return found
+
+
+add("s12_model_persistence", _persisted, "SELECT customer_id, '' AS model FROM rfm WHERE false")
 
 # --- E: explanation ---
 

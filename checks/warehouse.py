@@ -8,7 +8,7 @@ from checks.catalog import add
 from checks.oracle import CUT, END, big, cents, dbl, div, hup, int_
 from checks.tables import plain
 from ledgerlark.operators import cleaning, features, star
-from ledgerlark.plans import business
+from ledgerlark.plans import business, measures
 from ledgerlark.sources.driver_tables import REFERENCE_DATE
 
 # --- C: cleaning, on the tables with defects ---
@@ -38,6 +38,16 @@ def _report(t, numbers):
 for name, numbers in CHECKS.items():
     add(name, lambda t, n=numbers: _report(t, n), f"SELECT * FROM quality WHERE seq IN ({', '.join(map(str, numbers))})")
 
+
+
+def _timestamp_headers(t):
+    """The same orders with their dates as timestamps; what is no date is null."""
+    stamped = t.dirty_orders.withColumn("order_date", F.try_to_timestamp(F.concat("order_date", F.lit(" 08:15:00"))))
+    orders, _ = cleaning.clean_orders_and_items(stamped, t.dirty_items, t.cleaned_customers.rows, t.cleaned_products.rows, ["arrival"])
+    return plain(orders.rows)
+
+
+add("c14_timestamp_headers", _timestamp_headers, f"SELECT * REPLACE ({dbl('total_amount')} AS total_amount) FROM cord")
 add("c23_quality_report", lambda t: t.quality, "SELECT * FROM quality")
 add("c23_total_issues", lambda t: cleaning.total_issues(t.quality), f"SELECT {big('SUM(issue_count)')} AS total_issues FROM quality")
 add("c00_clean_customers", lambda t: t.cleaned_customers.rows, "SELECT * FROM ccust")
@@ -109,6 +119,26 @@ def _by_revenue(direction: str) -> str:
 
 add("d01_total_revenue", lambda t: business.total_revenue(t.sales_lean),
     f"SELECT {dbl('SUM(line_total)')} AS total_revenue, COUNT(DISTINCT order_id) AS total_orders, COUNT(DISTINCT customer_id) AS total_customers FROM sales")
+# Some lines of an order under another customer and region, as in a fact of uncleaned tables.
+SPLIT_ORDERS = """(SELECT * REPLACE (CASE WHEN (order_id * 7 + product_id) % 50 = 0 THEN 1 ELSE customer_id END AS customer_id,
+                   CASE WHEN (order_id * 7 + product_id) % 50 = 0 THEN 'ASIA' ELSE store_region END AS store_region) FROM sales)"""
+
+
+def _split_orders(t):
+    moved = (F.col("order_id") * 7 + F.col("product_id")) % 50 == 0
+    return t.sales.withColumns({
+        "customer_id": F.when(moved, F.lit(1).cast("long")).otherwise(F.col("customer_id")),
+        "store_region": F.when(moved, "ASIA").otherwise(F.col("store_region")),
+    })
+
+
+add("d01_split_orders", lambda t: business.total_revenue(_split_orders(t)),
+    f"SELECT {dbl('SUM(line_total)')} AS total_revenue, COUNT(DISTINCT order_id) AS total_orders, COUNT(DISTINCT customer_id) AS total_customers FROM {SPLIT_ORDERS}")
+add("d07_split_orders", lambda t: business.regional_performance(_split_orders(t)),
+    f"""SELECT store_region, {dbl('SUM(line_total)')} AS revenue, COUNT(DISTINCT order_id) AS orders,
+        COUNT(DISTINCT customer_id) AS customers, {aov()} AS avg_order_value FROM {SPLIT_ORDERS} GROUP BY store_region""")
+add("k12_split_orders", lambda t: measures.slicer_cube(_split_orders(t), ["store_region", "channel"]),
+    f"SELECT store_region, channel, {dbl('SUM(line_total)')} AS total_revenue, COUNT(DISTINCT order_id) AS total_orders FROM {SPLIT_ORDERS} GROUP BY CUBE (store_region, channel)")
 add("d02_monthly_revenue", lambda t: business.monthly_revenue(t.sales_lean),
     f"SELECT year, month, MONTHNAME(MAKE_DATE(year, month, 1)) AS month_name, {dbl('rev')} AS monthly_revenue, n AS monthly_orders FROM {MONTHS}")
 add("d03_mom_growth", lambda t: business.month_over_month(t.sales_lean),

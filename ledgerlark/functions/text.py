@@ -6,8 +6,12 @@ from pyspark.sql import Column, functions as F
 
 
 def parse_date(col: Column) -> Column:
-    """ISO date or null; text that is no date never fails the job."""
-    return F.try_to_date(col, "yyyy-MM-dd")
+    """The day of an ISO date, or of an ISO date with a time of day; null for any other text, which never fails the job.
+
+    A date or timestamp cast to text reads back as its day.
+    """
+    timed = F.when(col.rlike(r"^\s*\d{4}-\d{2}-\d{2}[ T]\d"), F.try_to_timestamp(col).cast("date"))
+    return F.coalesce(F.try_to_date(col, "yyyy-MM-dd"), timed)
 
 
 def iso_date(col: Column) -> Column:

@@ -129,7 +129,10 @@ def _floating(df: DataFrame, col: str) -> bool:
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
-    """(bin, low, high, count) for all equal-width bins between the column's extremes."""
+    """(bin, low, high, count) for all equal-width bins between the column's extremes.
+
+    A constant column has bins from half a unit below it to half a unit above.
+    """
     # One subquery: Spark merges scalar subqueries over the same rows.
     ends = df.agg(F.min(col).alias("low"), F.max(col).alias("high"))
     low, high = ends.select("low").scalar(), ends.select("high").scalar()
@@ -139,7 +142,8 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
         .groupBy(bin_index(col, F.col("_low"), F.col("_high"), bins, _floating(df, col)).alias("bin"))
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    start, width = low.cast("double"), (high.cast("double") - low.cast("double")) / bins
+    slack = F.when(low == high, 0.5).otherwise(0.0)
+    start, width = low.cast("double") - slack, (high.cast("double") - low.cast("double") + 2 * slack) / bins
     spine = df.sparkSession.range(bins).select(
         F.col("id").alias("bin"), start.alias("_low"), width.alias("_width")
     )

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -37,6 +37,8 @@ class ForestSettings:
     min_leaf: int = 5
     bins: int = 128
     memory_mb: int = 1024
+    #: Tasks per training pass; raise it with the size of the training table.
+    partitions: int = 16
 
 
 def feature_matrix(df: DataFrame, cols: list[str] = CHURN_FEATURE_COLUMNS) -> DataFrame:
@@ -111,13 +113,13 @@ def with_weights(df: DataFrame, label: str = "churned") -> DataFrame:
     return df.join(F.broadcast(class_weights(df, label).select(label, "weight")), label)
 
 
-ROWS_PER_TASK = 100_000
+def _dealt(df: DataFrame, partitions: int, key: str = "customer_id") -> DataFrame:
+    """The training rows by hash of the key, sorted inside each partition.
 
-
-def _spread(df: DataFrame, rows: int, key: str = "customer_id") -> DataFrame:
-    """Hash the training rows over the cores, with enough rows per task to be worth its statistics."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(max(1, min(cores, rows // ROWS_PER_TASK)), key)
+    The bootstrap draws by partition, so with a fixed number of partitions the same rows give
+    the same model on any cluster.
+    """
+    return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
 def train_summary(train: DataFrame, label: str = "churned") -> DataFrame:
@@ -126,23 +128,43 @@ def train_summary(train: DataFrame, label: str = "churned") -> DataFrame:
     )
 
 
-def fit_logistic(train: DataFrame, label: str = "churned", cols: list[str] = CHURN_FEATURE_COLUMNS) -> tuple[PipelineModel, Scaler]:
+def _as_stage(columns: dict[str, str]) -> SQLTransformer:
+    """A pipeline stage that adds columns given as SQL, so that it is saved with the model."""
+    return SQLTransformer(statement="SELECT *, " + ", ".join(f"{sql} AS `{name}`" for name, sql in columns.items()) + " FROM __THIS__")
+
+
+def _filled(c: str) -> str:
+    return f"coalesce(CAST(`{c}` AS DOUBLE), 0D)"
+
+
+def on_raw_rows(model, cols: list[str] = CHURN_FEATURE_COLUMNS) -> PipelineModel:
+    """A model of `feature_matrix` with the matrix as its first stages: it scores raw customer rows."""
+    return PipelineModel([
+        _as_stage({f"{c}_f": _filled(c) for c in cols}), VectorAssembler(inputCols=[f"{c}_f" for c in cols], outputCol="features"), model,
+    ])
+
+
+def fit_logistic(
+    train: DataFrame, label: str = "churned", cols: list[str] = CHURN_FEATURE_COLUMNS, partitions: int = 16
+) -> tuple[PipelineModel, Scaler]:
     """L2 logistic regression with C = 1 on columns scaled by the training rows.
 
-    Balanced weights add up to the number of rows, so a penalty of 1/rows on the mean loss
+    The scaling is the pipeline's first stage, so the saved model scores raw customer rows (without
+    a column `features`). Balanced weights add up to the number of rows, so a penalty of 1/rows on the mean loss
     is the same objective as a sum of losses with C = 1.
     """
     scaler = fit_scaler(train, cols)
     rows = train.count()
-    scaled = _spread(with_weights(scaler.apply(train), label), rows)
+    scale = {f"{c}_z": f"({_filled(c)} - ({scaler.means[c]!r}D)) / ({scaler.deviations[c] or 1.0!r}D)" for c in cols}
     stages = [
+        _as_stage(scale),
         VectorAssembler(inputCols=[f"{c}_z" for c in cols], outputCol="features"),
         LogisticRegression(
             labelCol=label, weightCol="weight", regParam=1.0 / rows, elasticNetParam=0.0,
             standardization=False, maxIter=1000, tol=1e-6,
         ),
     ]
-    return Pipeline(stages=stages).fit(scaled), scaler
+    return Pipeline(stages=stages).fit(_dealt(with_weights(train, label), partitions)), scaler
 
 
 def fit_forest(train: DataFrame, label: str = "churned", seed: int = 42, settings: ForestSettings | None = None):
@@ -151,7 +173,7 @@ def fit_forest(train: DataFrame, label: str = "churned", seed: int = 42, setting
     return RandomForestClassifier(
         labelCol=label, weightCol="weight", numTrees=s.trees, maxDepth=s.depth, minInstancesPerNode=s.min_leaf,
         featureSubsetStrategy="sqrt", maxBins=s.bins, maxMemoryInMB=s.memory_mb, seed=seed,
-    ).fit(_spread(with_weights(train, label), train.count()))
+    ).fit(_dealt(with_weights(train, label), s.partitions))
 
 
 def scored(model, df: DataFrame, label: str = "churned", key: str = "customer_id") -> DataFrame:
@@ -208,6 +230,10 @@ class ChurnRun:
     def best_name(self) -> str:
         return self.record["best_model"]
 
+    def best_model(self) -> PipelineModel:
+        """The better model, ready to score raw customer rows."""
+        return on_raw_rows(self.forest) if self.best_name == FOREST else self.logistic
+
     def predictions(self) -> DataFrame:
         return predictions_table(self.test_scores[self.best_name])
 
@@ -226,10 +252,11 @@ def train_churn_models(
     spark = tune(dataset.sparkSession)
     split = stage(stratified_split(feature_matrix(dataset), seed=seed), "split")
     train, test = split.where(~F.col("is_test")), split.where("is_test")
-    logistic, scaler = fit_logistic(train.drop("features"))
+    partitions = (settings or ForestSettings()).partitions
+    logistic, scaler = fit_logistic(train.drop("features"), partitions=partitions)
     forest = fit_forest(train, seed=seed, settings=settings)
     scores = {
-        LOGISTIC: stage(scored(logistic, scaler.apply(test.drop("features"))), "logistic"),
+        LOGISTIC: stage(scored(logistic, test.drop("features")), "logistic"),
         FOREST: stage(scored(forest, test), "forest"),
     }
     logistic_record = model_metrics(scores[LOGISTIC], LOGISTIC)

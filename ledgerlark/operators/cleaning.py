@@ -109,13 +109,23 @@ def _deduplicated(df: DataFrame, key: str, arrival: list[str] | None) -> tuple[D
     Staged, since the cleaned rows, the report and the medians all read it.
     """
     order = arrival or []
-    return stage(keep_first(df, key, order, copies="_copies"), "first"), [c for c in df.columns if c not in order]
+    first = stage(keep_first(df, key, order, copies="_copies"), "first")
+    if not order:
+        _refuse_copies(first, key)
+    return first, [c for c in df.columns if c not in order]
+
+
+def _refuse_copies(first: DataFrame, key: str) -> None:
+    """Without an order of arrival "the first occurrence" has no meaning for a key with copies."""
+    if not first.where((F.col("_copies") > 1) & F.col(key).isNotNull()).isEmpty():
+        raise ValueError(f"{key} has copies: name the columns that say which of them arrived first")
 
 
 def clean_customers(df: DataFrame, arrival: list[str] | None = None) -> Cleaned:
     """Customers with unique non-null ids, valid dates and repaired values.
 
-    `arrival` lists the columns that say which of several copies came first.
+    `arrival` lists the columns that say which of several copies came first; it may be left out
+    only where no id has copies.
     """
     first, columns = _deduplicated(df, "customer_id", arrival)
     age = F.col("age")
@@ -223,6 +233,8 @@ def clean_orders_and_items(
         .withColumn("order_date", F.col("_date")).drop("_date", "_known"),
         "orders",
     )
+    if not order:
+        _refuse_copies(ruled, "order_id")
     order_counts = ruled.agg(
         F.sum(F.col("_copies") - 1).alias("dup"), _dropped("customer"), _dropped("date"), _dropped("total")
     )

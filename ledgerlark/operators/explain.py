@@ -80,6 +80,10 @@ def _coalition_weights(size: int) -> np.ndarray:
     return weights
 
 
+#: Leaves taken at a time, so that a batch needs a few MB however large the forest is.
+LEAVES = 1024
+
+
 def path_contributions(x: np.ndarray, packed: dict[int, tuple]) -> np.ndarray:
     """SHAP values (rows x features) of a batch.
 
@@ -90,7 +94,11 @@ def path_contributions(x: np.ndarray, packed: dict[int, tuple]) -> np.ndarray:
     """
     width = x.shape[1]
     phi = np.zeros((len(x), width))
-    for size, (feature, low, high, share, value) in packed.items():
+    blocks = (
+        (size, *[part[first : first + LEAVES] for part in parts])
+        for size, parts in packed.items() for first in range(0, len(parts[0]), LEAVES)
+    )
+    for size, feature, low, high, share, value in blocks:
         weights = _coalition_weights(size)
         passes = [(x[:, f] > lo) & (x[:, f] <= hi) for f, lo, hi in zip(feature.T, low.T, high.T, strict=True)]
         poly = np.zeros((size + 1, len(x), len(value)))

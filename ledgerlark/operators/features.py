@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerlark.functions.encode import encode
 from ledgerlark.functions.numeric import quotient
 from ledgerlark.operators.joins import flag_absent
-from ledgerlark.operators.ranking import global_rank, quantile_score
+from ledgerlark.operators.ranking import common_number, global_rank, quantile_score
 
 # Order of the tiers, length of the label window and of a trend window in days.
 TIER_CODES = {"Bronze": 0, "Silver": 1, "Gold": 2, "Platinum": 3}
@@ -80,35 +80,24 @@ def purchase_dates(orders: DataFrame, as_of: date) -> DataFrame:
 def add_rfm_scores(rfm: DataFrame) -> DataFrame:
     """Quintile scores and the combined text; ties in a measure are ranked by customer_id.
 
-    The three measures are ranked in one range shuffle of (measure, value, customer_id) and
-    brought back to one row per customer by one aggregate.
+    The three measures are ranked in one range shuffle of (measure, value, customer_id); their
+    ranks come back to one row per customer by one aggregate, which is joined to the table.
     """
-    value = F.col("monetary").cast("decimal(38,6)")
-    others = [c for c in rfm.columns if c != "customer_id"]
-    long = rfm.select(
-        "customer_id",
-        F.struct(*others).alias("_row"),
-        F.explode(F.array(
-            F.struct(F.lit("F").alias("measure"), F.col("frequency").cast("decimal(38,6)").alias("value")),
-            F.struct(F.lit("M").alias("measure"), value.alias("value")),
-            F.struct(F.lit("R").alias("measure"), F.col("recency_days").cast("decimal(38,6)").alias("value")),
-        )).alias("_m"),
-    ).select("customer_id", F.col("_m.measure").alias("measure"), F.col("_m.value").alias("value"),
-             F.when(F.col("_m.measure") == "R", F.col("_row")).alias("_row"))
+    measures = {"F": "frequency", "M": "monetary", "R": "recency_days"}
+    common = common_number(rfm, list(measures.values()))
+    long = rfm.select("customer_id", F.explode(F.array(*[
+        F.struct(F.lit(m).alias("measure"), F.col(c).cast(common).alias("value")) for m, c in measures.items()
+    ])).alias("_m")).select("customer_id", "_m.measure", "_m.value")
     ranked = global_rank(long, ["value", "customer_id"], within=["measure"])
-    rows = ranked.select(F.max(F.when(F.col("measure") == "R", F.col("rank"))).alias("n")).scalar()
-    rank, n = F.col("rank"), rows
-    scored = ranked.groupBy("customer_id").agg(
-        F.max("_row").alias("_row"),
-        *[F.max(F.when(F.col("measure") == m, rank)).alias(m) for m in "RFM"],
-    )
-    scored = scored.withColumn("_n", n)
-    result = scored.select(
-        "customer_id",
-        *[F.col(f"_row.{c}").alias(c) for c in others],
-        quantile_score(F.col("R"), F.col("_n"), ascending=False).alias("R_score"),
-        quantile_score(F.col("F"), F.col("_n")).alias("F_score"),
-        quantile_score(F.col("M"), F.col("_n")).alias("M_score"),
+    n = ranked.select(F.max(F.when(F.col("measure") == "R", F.col("rank"))).alias("n")).scalar()
+    ranks = ranked.groupBy("customer_id").agg(
+        *[F.max(F.when(F.col("measure") == m, F.col("rank"))).alias(f"_{m}") for m in measures]
+    ).withColumn("_n", n)
+    result = rfm.join(ranks, "customer_id").select(
+        *rfm.columns,
+        quantile_score(F.col("_R"), F.col("_n"), ascending=False).alias("R_score"),
+        quantile_score(F.col("_F"), F.col("_n")).alias("F_score"),
+        quantile_score(F.col("_M"), F.col("_n")).alias("M_score"),
     )
     return result.withColumn("RFM_score", F.concat(*[F.col(f"{m}_score").cast("string") for m in "RFM"]))
 

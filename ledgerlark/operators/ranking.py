@@ -8,7 +8,7 @@ is a fixed column, and a rank or running total needs only one small row per part
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType
 
 from ledgerlark.functions.numeric import whole_division
 from ledgerlark.session import stage
@@ -33,8 +33,8 @@ def _laid_out(df: DataFrame, order: list, name: str) -> DataFrame:
 def _with_starts(laid: DataFrame, within: list[str], measure: Column) -> DataFrame:
     """Add `_start`, the sum of `measure` over the partitions before, and `_first`.
 
-    The joined side has one row per partition and group that meet, so at most partitions +
-    groups rows: `within` must name a column with few values.
+    The joined side has one row per partition and group that meet: with groups it may grow with
+    the data, so only without them, at one row per partition, is it marked for broadcast.
     """
     pieces = laid.groupBy("_part", *within).agg(measure.alias("_sum"), F.min("_at").alias("_first"))
     earlier = Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -47,7 +47,7 @@ def _with_starts(laid: DataFrame, within: list[str], measure: Column) -> DataFra
     match = F.col("_part") == F.col("_p")
     for c in within:
         match = match & F.col(c).eqNullSafe(F.col(f"_w_{c}"))
-    return laid.join(F.broadcast(starts), match).drop("_p", *[f"_w_{c}" for c in within])
+    return laid.join(starts if within else F.broadcast(starts), match).drop("_p", *[f"_w_{c}" for c in within])
 
 
 def global_rank(df: DataFrame, order: list, within: list[str] | None = None, name: str = "rank") -> DataFrame:
@@ -108,10 +108,28 @@ def top_k(df: DataFrame, order: list, n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+_INTEGER_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+
+
+def common_number(df: DataFrame, cols: list[str]) -> DataType:
+    """One type for number columns: double if any of them is floating, else a decimal of the widest scale.
+
+    A decimal has 38 digits; where whole and decimal digits of different columns do not fit
+    together, the columns must be ranked apart.
+    """
+    kinds = [df.schema[c].dataType for c in cols]
+    if any(isinstance(k, (DoubleType, FloatType)) for k in kinds):
+        return DoubleType()
+    scale = max(k.scale if isinstance(k, DecimalType) else 0 for k in kinds)
+    whole = max(k.precision - k.scale if isinstance(k, DecimalType) else _INTEGER_DIGITS[k.simpleString()] for k in kinds)
+    if whole + scale > 38:
+        raise ValueError(f"{cols} need {whole} digits before and {scale} after the point: rank them apart")
+    return DecimalType(whole + scale, scale)
+
+
 def long_values(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(column, value) of number columns: doubles if any of them is floating, else decimals."""
-    floating = any(isinstance(df.schema[c].dataType, (DoubleType, FloatType)) for c in cols)
-    common = "double" if floating else "decimal(38,6)"
+    """(column, value) of number columns, in their common type; no digit is lost."""
+    common = common_number(df, cols)
     return df.select(*[F.col(c).cast(common).alias(c) for c in cols]).unpivot([], cols, "column", "value")
 
 

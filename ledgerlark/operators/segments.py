@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
-import numpy as np
-import pandas as pd
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
@@ -17,7 +17,7 @@ from ledgerlark.functions.numeric import mean
 from ledgerlark.session import tune
 
 SEGMENT_FEATURES = ["recency_days", "frequency", "monetary"]
-SAMPLE_ROWS = 2000
+MAX_CLUSTERS = 1000
 
 
 @dataclass
@@ -65,39 +65,42 @@ def fit_kmeans(
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
-def hashed_sample(df: DataFrame, key: str, rows: int = SAMPLE_ROWS, seed: int = 42) -> DataFrame:
-    """A repeatable sample of at most `rows` rows: those with the smallest seeded hash of the key."""
-    mixed = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
-    return df.orderBy(mixed, key).limit(rows)
+def squared_silhouette(points: DataFrame, features: list[str], label_cols: list[str]) -> DataFrame:
+    """(labels, silhouette) per label column over all rows, with squared Euclidean distance.
 
-
-def silhouette(sample: DataFrame, features: list[str], label_cols: list[str]) -> DataFrame:
-    """(labels, silhouette) per label column, with Euclidean distance.
-
-    The distances of every point to every other are taken in numpy inside one task, so the
-    input must be a bounded sample such as `hashed_sample` returns.
+    The mean squared distance of a point to a cluster follows from the cluster's size, sum and sum
+    of squares, so one aggregate per label column and one pass over the rows are enough. What
+    reaches the driver is one row per cluster, at most MAX_CLUSTERS. A point alone in its cluster
+    scores 0; a single cluster has no silhouette.
     """
-    bounded = sample.select(*[F.col(c).cast("double").alias(c) for c in features], *label_cols).limit(SAMPLE_ROWS)
-
-    def score(points: pd.DataFrame) -> pd.DataFrame:
-        x = points[features].to_numpy()
-        gaps = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2))
-        found = []
-        for column in label_cols:
-            names, labels = np.unique(points[column].to_numpy(), return_inverse=True)
-            sizes = np.bincount(labels)
-            sums = np.stack([gaps[:, labels == j].sum(axis=1) for j in range(len(names))], axis=1)
-            own = np.arange(len(x)), labels
-            inner = sums[own] / np.maximum(sizes[labels] - 1, 1)
-            others = sums / sizes
-            others[own] = np.inf
-            outer = others.min(axis=1)
-            with np.errstate(invalid="ignore", divide="ignore"):
-                each = np.where(sizes[labels] > 1, (outer - inner) / np.maximum(inner, outer), 0.0)
-            found.append(None if len(names) < 2 else float(np.nan_to_num(each).mean()))
-        return pd.DataFrame({"labels": label_cols, "silhouette": found})
-
-    return bounded.groupBy().applyInPandas(score, "labels string, silhouette double")
+    x = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features]
+    square = reduce(add, [v * v for v in x])
+    scores = []
+    for column in label_cols:
+        found = points.groupBy(column).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(square).alias("q"), *[F.sum(v).alias(f"s{i}") for i, v in enumerate(x)]
+        ).limit(MAX_CLUSTERS + 1).collect()
+        if len(found) > MAX_CLUSTERS:
+            raise ValueError(f"{column} has more than {MAX_CLUSTERS} values")
+        if len(found) < 2:
+            scores.append(F.lit(None).cast("double"))
+            continue
+        label = F.col(column)
+        inner, outer = F.lit(0.0), []
+        alone = F.lit(False)
+        for row in found:
+            dot = reduce(add, [v * row[f"s{i}"] for i, v in enumerate(x)])
+            total = F.greatest(square * float(row["n"]) - 2 * dot + row["q"], F.lit(0.0))
+            own = label.eqNullSafe(F.lit(row[column]))
+            inner = F.when(own, total / max(row["n"] - 1, 1)).otherwise(inner)
+            outer.append(F.when(~own, total / row["n"]))
+            alone = alone | (own & F.lit(row["n"] == 1))
+        near = F.least(*outer)
+        scores.append(F.avg(F.when(alone | (F.greatest(inner, near) == 0), 0.0).otherwise((near - inner) / F.greatest(inner, near))))
+    means = points.agg(*[s.alias(f"s{i}") if s is not None else s for i, s in enumerate(scores)])
+    return means.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("labels"), F.col(f"s{i}").alias("silhouette")) for i, c in enumerate(label_cols)
+    ])))
 
 
 @dataclass
@@ -117,20 +120,20 @@ class Sweep:
 def choose_k(
     vectors: DataFrame, key: str = "customer_id", ks=range(4, 8), eligible=range(4, 8), seed: int = 42, restarts: int = 10
 ) -> Sweep:
-    """Fit every k and choose the highest silhouette among the eligible, the smallest k on ties."""
+    """Fit every k and choose the highest silhouette (of all rows) among the eligible, the smallest k on ties."""
     spark = tune(vectors.sparkSession)
     points = vectors.select(key, "features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         models = {k: fit_kmeans(points, k, seed, restarts) for k in ks}
-        sample = hashed_sample(points, key)
+        placed = points
         for k, model in models.items():
-            sample = model.setPredictionCol(f"k{k}").transform(sample)
+            placed = model.setPredictionCol(f"k{k}").transform(placed)
             model.setPredictionCol("prediction")
         width = len(next(iter(models.values())).clusterCenters()[0])
-        flat = sample.withColumn("_v", vector_to_array("features")).select(
+        flat = placed.withColumn("_v", vector_to_array("features")).select(
             *[F.col("_v")[i].alias(f"x{i}") for i in range(width)], *[f"k{k}" for k in models]
         )
-        found = silhouette(flat, [f"x{i}" for i in range(width)], [f"k{k}" for k in models]).collect()
+        found = squared_silhouette(flat, [f"x{i}" for i in range(width)], [f"k{k}" for k in models]).collect()
     finally:
         points.unpersist()
     scores = {int(r["labels"][1:]): r["silhouette"] for r in found}

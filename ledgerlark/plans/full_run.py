@@ -10,7 +10,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlark.operators import churn, cleaning, explain, features, segments, star
+from ledgerlark.operators import churn, cleaning, explain, features, metrics, segments, star
 from ledgerlark.plans import extracts, reports
 from ledgerlark.session import tune
 from ledgerlark.sources import tables as io
@@ -66,8 +66,12 @@ def run_all(
     run = churn.train_churn_models(dataset, seed=seed, settings=settings)
     predictions = out.save("churn_predictions", run.predictions())
     io.write_json(run.record_table(spark), f"{out.folder}/model_metrics")
-    best = run.forest if run.best_name == churn.FOREST else run.logistic
-    best.write().overwrite().save(f"{out.folder}/best_churn_model")
+    run.best_model().write().overwrite().save(f"{out.folder}/best_churn_model")
+    out.save("model_comparison", run.metrics_table(spark))
+    for name, scores in run.test_scores.items():
+        prefix = name.lower().replace(" ", "_")
+        out.save(f"{prefix}_confusion_matrix", metrics.confusion_matrix(scores))
+        out.save(f"{prefix}_classification_report", metrics.classification_report(scores))
 
     importance = None
     if run.best_name == churn.FOREST:

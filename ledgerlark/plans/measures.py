@@ -91,15 +91,21 @@ def revenue_per_customer(sales, by=None) -> DataFrame:
 def slicer_cube(model: DataFrame, slicers: list[str]) -> DataFrame:
     """Revenue and orders for every combination of slicers, null meaning all.
 
-    The slicers are attributes of the order or its customer (`sales_model` has no others), so an
-    order falls in one cell. Lines are first summed per order and orders per cell; the cube then
-    multiplies only the cells, and counts need no distinct.
+    Lines are first summed per order and cell. Orders that lie in one cell, nearly all, are
+    counted per cell, and the cube multiplies only the cells. An order that lies in several (its
+    headers differ) is expanded itself, so it counts once in every cell of the cube.
     """
-    per_order = model.groupBy("order_id", *slicers).agg(F.sum("line_total").alias("sum"))
-    cells = per_order.groupBy(*slicers).agg(F.sum("sum").alias("sum"), F.count(F.lit(1)).alias("orders"))
-    return cells.cube(*slicers).agg(
-        amount(F.sum("sum")).alias("total_revenue"), F.sum("orders").alias("total_orders")
+    orders = model.groupBy("order_id", *slicers).agg(F.sum("line_total").alias("sum"))
+    spread = orders.groupBy("order_id").agg(F.count(F.lit(1)).alias("_cells")).where("_cells > 1").select("order_id")
+    single = orders.join(spread, "order_id", "left_anti").groupBy(*slicers).agg(F.sum("sum").alias("sum"), F.count(F.lit(1)).alias("orders"))
+    several = orders.join(spread, "order_id", "left_semi")
+    parts = single.cube(*slicers).agg(F.sum("sum").alias("sum"), F.sum("orders").alias("orders"), F.grouping_id().alias("_level")).unionByName(
+        several.cube(*slicers).agg(F.sum("sum").alias("sum"), F.count_distinct("order_id").alias("orders"), F.grouping_id().alias("_level"))
     )
+    # The cube of an empty table still has its overall row, without orders.
+    return parts.groupBy("_level", *slicers).agg(
+        amount(F.sum("sum")).alias("total_revenue"), F.sum("orders").alias("total_orders")
+    ).drop("_level")
 
 
 def revenue_by(sales: DataFrame, col: str) -> DataFrame:

@@ -12,6 +12,7 @@ from ledgerlark.functions.numeric import amount, mean, quotient
 from ledgerlark.operators.aggregates import frequency, with_share
 from ledgerlark.operators.joins import join_star
 from ledgerlark.operators.ranking import top_k
+from ledgerlark.plans.business import per_order
 
 # Thresholds of the report (closed on the left) and of the retention lists.
 HIGH_RISK, MEDIUM_RISK = 0.7, 0.4
@@ -59,14 +60,10 @@ def category_report(items: DataFrame, products: DataFrame) -> DataFrame:
 
 def regional_report(items: DataFrame, orders: DataFrame) -> DataFrame:
     lines = join_star(items, orders, "order_id", "left", ["store_region", "customer_id"])
-    # An order has one header, so the orders of the customers in a region add up.
-    per_customer = lines.where(F.col("store_region").isNotNull()).groupBy("store_region", "customer_id").agg(
-        F.sum("line_total").alias("sum"), F.count_distinct("order_id").alias("orders")
-    )
-    sums = per_customer.groupBy("store_region").agg(
+    sums = per_order(lines.where(F.col("store_region").isNotNull()), "store_region").groupBy("store_region").agg(
         amount(F.sum("sum")).alias("revenue"),
-        F.sum("orders").alias("orders"),
-        F.count("customer_id").alias("customers"),
+        F.count_distinct("order_id").alias("orders"),
+        F.count_distinct("customer_id").alias("customers"),
     )
     value = F.bround(quotient(F.col("revenue"), F.col("orders")), 2)
     return sums.withColumn("avg_order_value", value).orderBy(F.desc("revenue"), "store_region")

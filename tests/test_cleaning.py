@@ -2,6 +2,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ledgerlark import schemas
@@ -38,8 +39,14 @@ def frame(spark, rows, schema):
     return spark.createDataFrame([tuple(r.get(f.name) for f in schema) for r in rows], schema)
 
 
+def arriving(spark, rows, schema):
+    """A table with the order of its rows in `seq`."""
+    wide = StructType([*schema.fields, StructField("seq", IntegerType())])
+    return frame(spark, [{**r, "seq": i} for i, r in enumerate(rows)], wide)
+
+
 def customers(spark, *rows):
-    return C.clean_customers(frame(spark, rows, RAW_CUSTOMERS))
+    return C.clean_customers(arriving(spark, rows, RAW_CUSTOMERS), ["seq"])
 
 
 def counts(cleaned):
@@ -48,8 +55,8 @@ def counts(cleaned):
 
 def orders_and_items(spark, orders, items, known=("C1",), sold=("P1",)):
     return C.clean_orders_and_items(
-        frame(spark, orders, RAW_ORDERS), frame(spark, items, schemas.ORDER_ITEMS),
-        spark.createDataFrame([(k,) for k in known], "customer_id string"), spark.createDataFrame([(p,) for p in sold], "product_id string"))
+        arriving(spark, orders, RAW_ORDERS), frame(spark, items, schemas.ORDER_ITEMS),
+        spark.createDataFrame([(k,) for k in known], "customer_id string"), spark.createDataFrame([(p,) for p in sold], "product_id string"), ["seq"])
 
 
 def test_duplicate_customers_are_removed(spark):
@@ -110,7 +117,7 @@ def test_bad_signup_dates_drop_rows_before_the_tier_rule(spark):
 
 def test_product_prices_and_costs(spark):
     rows = [product("P1", "-5", "20"), product("P2", "100", "50"), product("P3", "1", None), product("P4", "1", "0"), product("P4", "2", "9"), product(None, "1", "2")]
-    got = C.clean_products(frame(spark, rows, schemas.PRODUCTS))
+    got = C.clean_products(arriving(spark, rows, schemas.PRODUCTS), ["seq"])
     found = {r.product_id: (float(r.unit_cost), float(r.unit_price)) for r in got.rows.collect()}
     assert found["P1"] == (12.0, 20.0) and found["P2"] == (30.0, 50.0)
     assert found["P3"] == (1.0, 35.0) and found["P4"] == (1.0, 35.0)
@@ -172,3 +179,32 @@ def test_report_has_27_rows_in_order(spark):
     assert [r.seq for r in rows] == list(range(1, 28)) and sum(r.issue_count for r in rows) == 0
     assert C.total_issues(got.report).first().total_issues == 0
     assert [r.dataset for r in rows].count("order_items") == 5
+
+
+def test_copies_without_an_order_of_arrival_are_refused(spark):
+    with pytest.raises(ValueError, match="customer_id has copies"):
+        C.clean_customers(frame(spark, [customer("C1"), customer("C1", name="z")], RAW_CUSTOMERS))
+    with pytest.raises(ValueError, match="product_id has copies"):
+        C.clean_products(frame(spark, [product("P1", "1", "2")] * 2, schemas.PRODUCTS))
+    known = spark.createDataFrame([("C1",)], "customer_id string"), spark.createDataFrame([("P1",)], "product_id string")
+    with pytest.raises(ValueError, match="order_id has copies"):
+        C.clean_orders_and_items(frame(spark, [order("O1")] * 2, RAW_ORDERS), frame(spark, [item("O1")], schemas.ORDER_ITEMS), *known)
+    assert C.clean_customers(frame(spark, [customer(None), customer(None), customer("C1")], RAW_CUSTOMERS)).rows.count() == 1
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "string"])
+def test_dates_of_every_kind_keep_their_rows(spark, kind):
+    plain = frame(spark, [order("O1"), order("O2", day="2024-02-29"), order("O3", day=None)], RAW_ORDERS)
+    known = spark.createDataFrame([("C1",)], "customer_id string"), spark.createDataFrame([("P1",)], "product_id string")
+    typed = plain.withColumn("order_date", F.col("order_date").cast(kind))
+    o, _ = C.clean_orders_and_items(typed, frame(spark, [item("O1"), item("O2")], schemas.ORDER_ITEMS), *known)
+    assert sorted(r.order_date for r in o.rows.collect()) == [date(2024, 1, 1), date(2024, 2, 29)]
+    assert counts(o)["invalid_order_date"] == 1
+
+
+def test_text_of_dates_and_times(spark):
+    from ledgerlark.functions.text import parse_date
+
+    texts = ["2024-01-05", "2024-01-05 00:00:00", "2024-01-06T10:00:00", "2024-01-06T23:59:59.123456", "soon", "12:30", "2024-02-30", "2024-02-30 10:00:00", "", None]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(parse_date(F.col("t"))).collect()]
+    assert got == [date(2024, 1, 5)] * 2 + [date(2024, 1, 6)] * 2 + [None] * 6

@@ -3,6 +3,7 @@ from decimal import Decimal
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlark.operators import features as L
 
@@ -105,3 +106,20 @@ def test_labels(data, cutoff, days, want):
 
 def test_study_dates():
     assert L.study_dates(date(2026, 7, 1)) == (date(2026, 4, 2), date(2026, 7, 1))
+
+
+def test_an_order_with_two_headers_counts_once(spark):
+    from ledgerlark.plans import business, measures
+
+    rows = [(1, "a", "N", "web", 10), (1, "b", "S", "web", 5), (1, "a", "N", "web", 1), (2, "b", "S", "shop", 7)]
+    sales = spark.createDataFrame(rows, "order_id int, customer_id string, store_region string, channel string, line_total int")
+    sales = sales.withColumn("line_total", F.col("line_total").cast("decimal(12,2)"))
+    total = business.total_revenue(sales).first()
+    assert (total.total_orders, total.total_customers, float(total.total_revenue)) == (2, 2, 23.0)
+    regions = {r.store_region: (r.orders, r.customers) for r in business.regional_performance(sales).collect()}
+    assert regions == {"N": (1, 1), "S": (2, 1)}
+    cube = {(r.store_region, r.channel): (float(r.total_revenue), r.total_orders) for r in measures.slicer_cube(sales, ["store_region", "channel"]).collect()}
+    assert cube == {
+        ("N", "web"): (11.0, 1), ("S", "web"): (5.0, 1), ("S", "shop"): (7.0, 1), ("N", None): (11.0, 1), ("S", None): (12.0, 2),
+        (None, "web"): (16.0, 1), (None, "shop"): (7.0, 1), (None, None): (23.0, 2),
+    }

@@ -38,12 +38,12 @@ def test_scaler_uses_population_deviation_and_zero_for_constants(spark):
 def test_silhouette_by_hand(spark):
     points = [(0.0, 0, 0), (1.0, 0, 0), (5.0, 1, 0), (6.5, 1, 0), (20.0, 2, 0)]
     df = spark.createDataFrame(points, "x double, l int, one int")
-    got = {r.labels: r.silhouette for r in segments.silhouette(df, ["x"], ["l", "one"]).collect()}
+    got = {r.labels: r.silhouette for r in segments.squared_silhouette(df, ["x"], ["l", "one"]).collect()}
     xs, ls = [p[0] for p in points], [p[1] for p in points]
     each = []
     for i, x in enumerate(xs):
         def mean(label, skip):
-            return np.mean([abs(x - y) for j, y in enumerate(xs) if ls[j] == label and j != skip])
+            return np.mean([(x - y) ** 2 for j, y in enumerate(xs) if ls[j] == label and j != skip])
         if ls.count(ls[i]) == 1:
             each.append(0.0)
             continue
@@ -192,3 +192,38 @@ def test_logistic_matches_a_newton_solution(spark):
         beta -= np.linalg.solve(z.T @ (z * (w * p * (1 - p))[:, None]) + ridge, z.T @ (w * (p - y)) + ridge @ beta)
     fitted = [*model.stages[-1].coefficients, model.stages[-1].intercept]
     assert fitted == pytest.approx(beta.tolist(), abs=1e-3)
+
+
+def test_silhouette_reads_all_rows_in_any_order(spark):
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(0, 1, 4000), rng.normal(9, 1, 1000)])
+    rows = [(float(v), int(i >= 4000)) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "x double, l int")
+    got = [segments.squared_silhouette(d, ["x"], ["l"]).first().silhouette for d in (df, df.orderBy(F.desc("l")))]
+    assert got[0] == pytest.approx(got[1]) and got[0] > 0.8
+
+
+def test_the_forest_does_not_depend_on_the_input_partitions(spark):
+    rng = np.random.default_rng(3)
+    rows = spark.createDataFrame([(i, float(a), float(b), int(a + b > 1)) for i, (a, b) in enumerate(rng.random((600, 2)))], "customer_id int, a double, b double, churned int")
+    matrix = churn.feature_matrix(rows, ["a", "b"])
+    settings = churn.ForestSettings(trees=5, depth=4, min_leaf=3, bins=32, partitions=4)
+    scores = [
+        sorted(map(tuple, churn.scored(churn.fit_forest(m, settings=settings), matrix).select("customer_id", "score").collect()))
+        for m in (matrix.coalesce(1), matrix.repartition(8))
+    ]
+    assert scores[0] == scores[1]
+
+
+def test_shap_values_do_not_depend_on_the_block_of_leaves(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    packed = {
+        size: (
+            np.stack([rng.permutation(5)[:size] for _ in range(50)]), rng.random((50, size)) - 0.6, rng.random((50, size)) + 0.3, rng.random((50, size)), rng.random(50),
+        )
+        for size in (1, 3, 4)
+    }
+    x = rng.random((20, 5))
+    whole = explain.path_contributions(x, packed)
+    monkeypatch.setattr(explain, "LEAVES", 7)
+    assert np.abs(explain.path_contributions(x, packed) - whole).max() < 1e-12

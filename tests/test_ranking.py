@@ -109,6 +109,18 @@ def test_histogram_matches_numpy(wide):
 def test_histogram_of_a_constant(wide):
     got = {r.bin: r["count"] for r in A.histogram(wide.range(3).selectExpr("1 AS x"), "x").collect()}
     assert got[15] == 3 and sum(got.values()) == 3
+    want, edges = np.histogram([1, 1, 1], bins=30)
+    rows = A.histogram(wide.range(3).selectExpr("1 AS x"), "x").collect()
+    assert [r["count"] for r in rows] == want.tolist() and [r.low for r in rows] == pytest.approx(edges[:-1].tolist())
+
+
+def test_quantiles_keep_all_digits(wide):
+    df = wide.createDataFrame([(Decimal("0.0000000012"), 3), (Decimal("0.0000000034"), 5)], "x decimal(20,10), y int")
+    assert R.exact_median(df, "x").first()[0] == pytest.approx(2.3e-9, rel=1e-12)
+    got = {r["column"]: r["value"] for r in R.exact_quantiles(df, ["x", "y"], [0.5]).collect()}
+    assert got["x"] == pytest.approx(2.3e-9, rel=1e-12) and got["y"] == 4
+    with pytest.raises(ValueError):
+        R.exact_quantiles(wide.createDataFrame([], "x decimal(38,30), y bigint"), ["x", "y"], [0.5])
 
 
 def test_monthly_series_fills_gaps(wide):
