@@ -21,8 +21,8 @@ BLOCK = 2048
 _SLOTS = 1024
 _TOP, _BOT, _ONE = np.uint64(1 << 48), np.uint64(1 << 40), np.uint64(1)
 _16, _48 = np.uint64(16), np.uint64(48)
-#: Probabilities are shares of 1 << 12; magnitudes keep eight bits more.
-_BITS, _FINE = 12, 8
+#: Probabilities are shares of 1 << 12; magnitudes keep two bits more.
+_BITS, _FINE = 12, 2
 _WHOLE, _12 = 1 << _BITS, np.uint64(_BITS)
 _RATE = 5
 _MAGIC, _VERSION = b"LLTK", 1
@@ -96,53 +96,57 @@ class _Decoder(_Range):
 
 def _targets(classes: int) -> np.ndarray:
     """Where each boundary between magnitudes moves when a magnitude is met; every one keeps a share."""
-    least, whole = 8 << _FINE, _WHOLE << _FINE
+    least, whole = 16 << _FINE, _WHOLE << _FINE  # above 1 << _RATE, so that rounding never closes a share
     at = np.arange(classes + 1)
-    return np.where(at[None, :] > np.arange(classes)[:, None], whole - (classes - at)[None, :] * least, at[None, :] * least).astype(np.int32)
+    return np.where(at[None, :] > np.arange(classes)[:, None], whole - (classes - at)[None, :] * least, at[None, :] * least).astype(np.int16)
 
 
 class _Model:
-    """The state of all blocks. A table entry is an id and, in its low two bits, its confidence."""
+    """The state of all blocks, in flat arrays. A table entry is an id and, in two bits, its confidence."""
 
     def __init__(self, lanes: int, bits: int):
-        self.lanes = np.arange(lanes)
+        n, lane = lanes, np.arange(lanes)
         self.classes = 16 if bits <= 16 else 32
-        self.entries = [np.zeros(lanes * _SLOTS, np.int32) for _ in range(2)]  # order 1, order 2
-        start = _WHOLE // 8
-        # Chance that the order-2 and the order-1 prediction is right: without context, and by the
-        # confidence of order 1 and of order 2.
-        self.chance = [[np.full(lanes, start, np.int32), np.full(lanes * 4, start, np.int32), np.full(lanes * 4, start, np.int32)] for _ in range(2)]
+        # The ids that followed: order 1 of all blocks, then order 2.
+        self.entries = np.zeros(2 * n * _SLOTS, np.int32)
+        self.bases = np.stack([lane * _SLOTS, (n + lane) * _SLOTS])
+        # The chances that the order-2 and the order-1 prediction are right, side by side in one
+        # 64-bit value: without context, by the confidence of order 1, by that of order 2.
+        self.chances = np.full(18 * n, _WHOLE // 8, np.int32).view(np.int64)
+        self.places = np.stack([lane, n + lane * 4, 5 * n + lane * 4])
         self.targets = _targets(self.classes)
         even = (np.arange(self.classes + 1) * ((_WHOLE << _FINE) // self.classes)).astype(np.int32)
-        self.sizes = np.tile(even, (lanes, 1))
+        self.sizes = np.tile(even, (lanes, 1)).astype(self.targets.dtype)
         self.one, self.two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
 
-    def predict(self):
-        base = self.lanes * _SLOTS
-        self.slots = (
-            base + ((self.one * 40503 >> 4) & (_SLOTS - 1)),
-            base + ((self.one * 40503 + self.two * 60493 >> 5) & (_SLOTS - 1)),
-        )
-        self.held = [e[s] for e, s in zip(self.entries, self.slots, strict=True)]
-        self.ids = [h >> 2 for h in self.held]
-        self.sure = [h & 3 for h in self.held]
-        four = self.lanes * 4
-        self.places = (self.lanes, four + self.sure[0], four + self.sure[1])
-        self.seen = [[c[p] for c, p in zip(own, self.places, strict=True)] for own in self.chance]
-        two = np.clip((self.seen[0][0] + self.seen[0][1] + 2 * self.seen[0][2]) >> 2, 16, _WHOLE - 64)
-        one = np.clip((self.seen[1][0] + 2 * self.seen[1][1] + self.seen[1][2]) >> 2, 16, _WHOLE - 64)
+    def predict(self) -> tuple[np.ndarray, np.ndarray]:
+        """The chances that order 2 is right, and that order 1 is if order 2 is not."""
+        mixed = self.one * 40503
+        self.slots = np.stack([mixed >> 4, mixed + self.two * 60493 >> 5])
+        self.slots &= _SLOTS - 1
+        self.slots += self.bases
+        self.held = self.entries[self.slots]
+        self.ids = self.held >> 2
+        self.sure = self.held & 3
+        self.spots = self.places.copy()
+        self.spots[1:] += self.sure
+        self.seen = self.chances[self.spots].view(np.int32).reshape(3, -1, 2)
+        none, first, second = self.seen
+        two = none[:, 0] + first[:, 0] + 2 * second[:, 0] >> 2
+        one = none[:, 1] + 2 * first[:, 1] + second[:, 1] >> 2
+        two = np.minimum(np.maximum(two, 16), _WHOLE - 64)
+        one = np.minimum(np.maximum(one, 16), _WHOLE - 64)
         return two, np.maximum((_WHOLE - two) * one >> _BITS, 8)
 
-    def learn(self, actual: np.ndarray) -> None:
-        for order in (1, 0):
-            right = (self.ids[order] == actual) & (self.sure[order] > 0)
-            aim = right.astype(np.int32) << _BITS
-            for chance, place, seen in zip(self.chance[1 - order], self.places, self.seen[1 - order], strict=True):
-                chance[place] = seen + ((aim - seen) >> _RATE)
-            held = self.held[order]
-            more = held + (self.sure[order] < 3)
-            less = np.where(self.sure[order] > 1, held - 1, actual << 2 | 1)
-            self.entries[order][self.slots[order]] = np.where(right, more, less)
+    def right(self, actual: np.ndarray) -> np.ndarray:
+        """Whether order 1 and order 2 predict the id."""
+        return (self.ids == actual) & (self.sure > 0)
+
+    def learn(self, actual: np.ndarray, right: np.ndarray) -> None:
+        aim = np.ascontiguousarray(right[::-1].T).astype(np.int32) << _BITS
+        self.chances[self.spots] = (self.seen + ((aim - self.seen) >> _RATE)).view(np.int64)[..., 0]
+        other = np.where(self.sure > 1, self.held - 1, (actual << 2 | 1).astype(np.int32))
+        self.entries[self.slots] = np.where(right, self.held + (self.sure < 3), other)
         self.two, self.one = self.one, actual
 
     def grow(self, lanes: np.ndarray, rows: np.ndarray, size: np.ndarray) -> None:
@@ -160,8 +164,9 @@ def _encode_lanes(ids: np.ndarray, bits: int) -> list[bytes]:
     columns = np.ascontiguousarray(ids.T).astype(np.int64)
     for actual in columns:
         two, one = model.predict()
-        by_two = (model.ids[1] == actual) & (model.sure[1] > 0)
-        by_one = ~by_two & (model.ids[0] == actual) & (model.sure[0] > 0)
+        right = model.right(actual)
+        by_two = right[1]
+        by_one = right[0] & ~by_two
         either = two + one
         cum = np.where(by_two, 0, np.where(by_one, two, either)).astype(np.uint64)
         freq = np.where(by_two, two, np.where(by_one, one, _WHOLE - either)).astype(np.uint64)
@@ -188,7 +193,7 @@ def _encode_lanes(ids: np.ndarray, bits: int) -> list[bytes]:
                 coder.low[plain] += step * part
                 coder.span[plain] = step
         coder.settle()
-        model.learn(actual)
+        model.learn(actual, right)
     return coder.finish()
 
 
@@ -219,7 +224,7 @@ def _decode_lanes(streams: list[bytes], steps: int, bits: int) -> np.ndarray:
         freq = np.where(by_two, two, np.where(by_one, one, _WHOLE - either)).astype(np.uint64)
         coder.low += step * cum
         coder.span = step * freq
-        actual = np.where(by_two, model.ids[1], model.ids[0])
+        actual = np.where(by_two, model.ids[1], model.ids[0]).astype(np.int64)
         plain = np.flatnonzero(~(by_two | by_one))
         if len(plain):
             rows = model.sizes[plain]
@@ -242,7 +247,7 @@ def _decode_lanes(streams: list[bytes], steps: int, bits: int) -> np.ndarray:
             actual[plain] = value - 1
         coder.settle()
         columns[t] = actual
-        model.learn(actual)
+        model.learn(actual, model.right(actual))
     return columns.T
 
 

@@ -6,7 +6,7 @@ files are a Parquet table with one row per segment: range, segment, first and la
 the coded bytes, which any reader of a Parquet file can decode without the others.
 
 Tokenizers split text before white space, so the library encodes each distinct piece (white space
-and the word after it) once per task and the pieces' ids are joined; texts with white space other
+and the word after it) only when it is not at hand and the pieces' ids are joined; texts with white space other
 than blanks and line breaks, where that need not hold, are encoded whole.
 
 Null and empty texts are just the end id. Rows of equal doc_id are in order of text; null doc_ids
@@ -15,8 +15,10 @@ are not coded, as the files have no id for them. Other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ from ledgerlark.llm.coder import BLOCK, decode_segment, encode_segment
 from ledgerlark.session import tune
 
 SEGMENT_IDS = 2048 * BLOCK
-CACHED_PIECES = 400_000
+CACHED_PIECES, CACHED_CHARS = 600_000, 12
 BATCH_CHARS = 1 << 20
 END_ID = 0
 
@@ -37,11 +39,9 @@ _OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
 class Encoder:
-    """Text to little-endian uint32 ids, with the ids of pieces met before at hand."""
+    """Text to little-endian uint32 ids, with the ids of the short pieces met before at hand."""
 
     def __init__(self, path: str, pieces: int = CACHED_PIECES):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -51,21 +51,33 @@ class Encoder:
         self.limit = pieces
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if _OTHER_SPACE.search(t) else _PIECE.findall(t) for t in texts]
         if len(self.known) > self.limit:
             self.known.clear()
-        new = sorted({p for pieces in split if pieces for p in pieces} - self.known.keys())
-        for low in range(0, len(new), 10_000):
-            self.known.update(zip(new[low : low + 10_000], self._whole(new[low : low + 10_000]), strict=True))
-        return [self._whole([t])[0] if pieces is None else b"".join(map(self.known.__getitem__, pieces)) for t, pieces in zip(texts, split, strict=True)]
+        new = {p for pieces in split if pieces for p in pieces} - self.known.keys()
+        fresh = {}
+        for chosen, kept in (([p for p in new if len(p) <= CACHED_CHARS], self.known), ([p for p in new if len(p) > CACHED_CHARS], fresh)):
+            for low in range(0, len(chosen), 10_000):
+                kept.update(zip(chosen[low : low + 10_000], self._whole(chosen[low : low + 10_000]), strict=True))
+        known = self.known
+        return [
+            self._whole([t])[0] if pieces is None else b"".join([known.get(p) or fresh[p] for p in pieces])
+            for t, pieces in zip(texts, split, strict=True)
+        ]
+
+
+@cache
+def _encoder(path: str) -> Encoder:
+    """One per worker process, so that later tasks find the pieces of earlier ones."""
+    return Encoder(path)
 
 
 def _code(path: str, end_id: int, segment_ids: int):
     def run(batches):
-        encoder, end = Encoder(path), np.array([end_id], "<u4").tobytes()
+        encoder, end = _encoder(path), np.array([end_id], "<u4").tobytes()
         ids, coded, size, number = [], [], 0, 0
 
         def segment():
