@@ -7,7 +7,7 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from checks.catalog import add
 from checks.oracle import CUT, big, cents, dbl, div, even, hup, int_, r6
-from checks.tables import plain, rounded
+from checks.tables import differences, plain, rounded
 from ledgerlark import schemas
 from ledgerlark.functions import numeric, text
 from ledgerlark.functions.encode import band, encode, member, place
@@ -109,9 +109,9 @@ def _star_load(t):
     folder = staging_path(t.spark, "star")
     dims = {"dim_customer": t.customers, "dim_product": t.products, "dim_date": date_dimension(t.headers)}
     io.write_star(t.spark, folder, dims, t.sales)
-    fact = t.spark.read.parquet(f"{folder}/fact_sales")
-    counts = {n: t.spark.read.parquet(f"{folder}/{n}") for n in dims}
-    return io.row_counts(counts | {"fact_sales": fact}).drop("needs_data")
+    return differences({
+        n: (df, io.read_star(t.spark, folder, n)) for n, df in (dims | {"fact_sales": t.sales}).items()
+    })
 
 
 def _views(t):
@@ -145,8 +145,9 @@ add("s07_metadata_json", _metadata,
 add("s08_csv_sink", lambda t: plain(io.read_csv(t.spark, _written(t, "items-csv", t.items, io.write_csv), ITEMS)),
     f"SELECT * REPLACE ({DOUBLE_ITEM}) FROM itm")
 add("s09_star_load", _star_load,
-    """SELECT 'dim_customer' AS source, COUNT(*) AS rows FROM cust UNION ALL SELECT 'dim_product', COUNT(*) FROM prod
-       UNION ALL SELECT 'dim_date', COUNT(*) FROM cal UNION ALL SELECT 'fact_sales', COUNT(*) FROM sales""")
+    """SELECT *, CAST(0 AS BIGINT) AS differences FROM (
+       SELECT 'dim_customer' AS source, COUNT(*) AS rows FROM cust UNION ALL SELECT 'dim_product', COUNT(*) FROM prod
+       UNION ALL SELECT 'dim_date', COUNT(*) FROM cal UNION ALL SELECT 'fact_sales', COUNT(*) FROM sales)""")
 add("s10_view_scan", _views,
     f"SELECT payment_method, {dbl('SUM(line_total)')} AS revenue, COUNT(*) AS line_items FROM sales GROUP BY payment_method")
 add("s11_row_counts", lambda t: io.row_counts({"customers": t.customers, "products": t.products, "orders": t.headers}),

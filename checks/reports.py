@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.catalog import add
 from checks.oracle import CUT, END, big, dbl, div, even, int_, r6
-from checks.tables import plain, rounded
+from checks.tables import differences, plain, rounded
 from checks.warehouse import PER_CUSTOMER, PRODUCTS
 from ledgerlark.operators.aggregates import binned_pairs
 from ledgerlark.operators.features import build_rfm_features
@@ -79,20 +79,20 @@ add("b12_customer_360", lambda t: plain(extracts.customer_360(t.customers, t.fea
 def _read_back(t, bundle):
     folder = staging_path(t.spark, "bundle")
     io.write_bundle(bundle, folder)
-    return io.row_counts({n: t.spark.read.parquet(f"{folder}/{n}") for n in bundle}).drop("needs_data")
+    return differences({n: (df, t.spark.read.parquet(f"{folder}/{n}")) for n, df in bundle.items()})
 
 
 add("b13_extract_copies", lambda t: _read_back(t, extracts.extract_bundle(
         t.customers, t.products, t.orders, t.items, t.features, t.segments, t.predictions)),
-    " UNION ALL ".join(f"SELECT '{n}' AS source, COUNT(*) AS rows FROM {v}" for n, v in {
+    " UNION ALL ".join(f"SELECT '{n}' AS source, COUNT(*) AS rows, CAST(0 AS BIGINT) AS differences FROM {v}" for n, v in {
         "sales_dashboard": "sales", "customer_dashboard": "cust", "sales_detail": "sales", "customer_360": "cust", "customers": "cust",
         "products": "prod", "orders": "ord", "dim_date": "cal", "customer_segments": "segs", "churn_predictions": "preds"}.items()))
 add("b14_report_bundle", lambda t: _read_back(t, reports.report_bundle(t.customers, t.products, t.orders, t.items, t.segments, t.predictions)),
-    f"""SELECT * FROM (VALUES ('headline', 1::BIGINT), ('churn_summary', 1), ('bottom_products', 5)) v(source, rows)
+    f"""SELECT *, CAST(0 AS BIGINT) AS differences FROM (SELECT * FROM (VALUES ('headline', 1::BIGINT), ('churn_summary', 1), ('bottom_products', 5)) v(source, rows)
         UNION ALL SELECT 'segment_summary', COUNT(DISTINCT segment) FROM segs UNION ALL SELECT 'category_performance', COUNT(DISTINCT category) FROM prod
         UNION ALL SELECT 'regional_performance', COUNT(DISTINCT store_region) FROM sales UNION ALL SELECT 'high_risk', COUNT(*) FROM preds WHERE p10k >= 6000
         UNION ALL SELECT 'retention_targets', COUNT(*) FROM (SELECT *, {div('SUM(monetary) OVER (PARTITION BY segment)', 'COUNT(*) OVER (PARTITION BY segment)')} AS m FROM segs)
-        JOIN preds USING (customer_id) WHERE CAST(monetary AS DOUBLE) > m AND p10k >= 6000""")
+        JOIN preds USING (customer_id) WHERE CAST(monetary AS DOUBLE) > m AND p10k >= 6000)""")
 
 # --- K: measures ---
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DecimalType
@@ -24,6 +24,17 @@ def rounded(df: DataFrame, *cols: str, places: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c).cast("double"), places) for c in cols})
 
 
+def differences(tables: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """(source, rows, differences) of written tables: rows that only the table or only its copy has."""
+    parts = []
+    for name, (own, copy) in tables.items():
+        copy = copy.select(*own.columns)
+        off = own.exceptAll(copy).unionByName(copy.exceptAll(own)).agg(F.count(F.lit(1)).alias("differences"))
+        rows = copy.agg(F.count(F.lit(1)).alias("rows"))
+        parts.append(rows.select(F.lit(name).alias("source"), "rows", off.scalar().alias("differences")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _unless(bad, value):
     return F.when(~bad, value)
 

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -18,7 +16,7 @@ from ledgerlark.functions.numeric import quotient
 from ledgerlark.operators.metrics import model_metrics, roc_auc
 from ledgerlark.operators.ranking import global_rank
 from ledgerlark.operators.segments import Scaler, fit_scaler
-from ledgerlark.session import stage, tune
+from ledgerlark.session import in_threads, stage, tune
 
 # The columns of the feature matrix, in order, and the names of the models.
 CHURN_FEATURE_COLUMNS = [
@@ -204,8 +202,7 @@ def cross_validate(
         return fold, roc_auc(held, "score").first()["roc_auc"]
 
     spark = df.sparkSession
-    with ThreadPoolExecutor(folds) as pool:
-        areas = list(pool.map(inheritable_thread_target(spark)(area), range(folds)))
+    areas = in_threads(spark, area, range(folds), folds)
     return spark.createDataFrame(areas, "fold int, roc_auc double")
 
 
@@ -214,6 +211,22 @@ def best_model(logistic: dict, forest: dict) -> str:
     return FOREST if forest["roc_auc"] >= logistic["roc_auc"] else LOGISTIC
 
 
+def model_record(logistic: dict, forest: dict, areas: list[float]) -> dict:
+    """What is kept of a training run: both models' measures, the better one, and the folds' areas."""
+    return {
+        "best_model": best_model(logistic, forest),
+        "logistic_regression": logistic,
+        "random_forest": forest,
+        "random_forest_cv_roc_auc_mean": round(float(np.mean(areas)), 3),
+        "random_forest_cv_roc_auc_std": round(float(np.std(areas)), 3),
+        "churn_feature_columns": CHURN_FEATURE_COLUMNS,
+    }
+
+
+def comparison_table(spark, record: dict) -> DataFrame:
+    return spark.createDataFrame([record["logistic_regression"], record["random_forest"]], schemas.METRICS)
+
+
 @dataclass
 class ChurnRun:
     """What training leaves behind."""
@@ -238,8 +251,7 @@ class ChurnRun:
         return predictions_table(self.test_scores[self.best_name])
 
     def metrics_table(self, spark) -> DataFrame:
-        rows = [self.record["logistic_regression"], self.record["random_forest"]]
-        return spark.createDataFrame(rows, schemas.METRICS)
+        return comparison_table(spark, self.record)
 
     def record_table(self, spark) -> DataFrame:
         return spark.createDataFrame([self.record], schemas.MODEL_RECORD)
@@ -249,7 +261,7 @@ def train_churn_models(
     dataset: DataFrame, seed: int = 42, settings: ForestSettings | None = None, folds: int = 5
 ) -> ChurnRun:
     """Both classifiers on one split, compared on the same test rows."""
-    spark = tune(dataset.sparkSession)
+    tune(dataset.sparkSession)
     split = stage(stratified_split(feature_matrix(dataset), seed=seed), "split")
     train, test = split.where(~F.col("is_test")), split.where("is_test")
     partitions = (settings or ForestSettings()).partitions
@@ -262,13 +274,5 @@ def train_churn_models(
     logistic_record = model_metrics(scores[LOGISTIC], LOGISTIC)
     forest_record = model_metrics(scores[FOREST], FOREST)
     validated = cross_validate(split.drop("is_test"), folds=folds, seed=seed, settings=settings)
-    areas = [r["roc_auc"] for r in validated.collect()]
-    record = {
-        "best_model": best_model(logistic_record, forest_record),
-        "logistic_regression": logistic_record,
-        "random_forest": forest_record,
-        "random_forest_cv_roc_auc_mean": round(float(np.mean(areas)), 3),
-        "random_forest_cv_roc_auc_std": round(float(np.std(areas)), 3),
-        "churn_feature_columns": CHURN_FEATURE_COLUMNS,
-    }
+    record = model_record(logistic_record, forest_record, [r["roc_auc"] for r in validated.collect()])
     return ChurnRun(split, forest, logistic, scaler, scores, validated, record)

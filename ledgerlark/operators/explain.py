@@ -125,9 +125,15 @@ def forest_shap(model, rows: DataFrame, cols: list[str], key: str = "customer_id
 
     For every row the base value plus its phi add up to the forest's probability.
     """
-    spark = rows.sparkSession
     # Bounded by the forest's settings, not by the data.
-    nodes = tree_nodes(spark, model).toPandas()
+    return shap_of_nodes(tree_nodes(rows.sparkSession, model).toPandas(), rows, cols, key, batch)
+
+
+def shap_of_nodes(
+    nodes: pd.DataFrame, rows: DataFrame, cols: list[str], key: str = "customer_id", batch: int = 64
+) -> tuple[DataFrame, float]:
+    """`forest_shap` for trees given as the table of `tree_nodes`."""
+    spark = rows.sparkSession
     packed, base = leaf_paths(nodes)
     shared = spark.sparkContext.broadcast(packed)
     out = [f"phi_{c}" for c in cols]
@@ -183,9 +189,13 @@ def linear_coefficients(spark: SparkSession, logistic, cols: list[str]) -> DataF
 
 def linear_contributions(logistic, scaled: DataFrame, cols: list[str], key: str = "customer_id") -> DataFrame:
     """(key, feature, phi) of a linear model on scaled columns: weight times distance from the mean."""
-    weights = logistic.stages[-1].coefficients
+    return weighted_distances(dict(zip(cols, logistic.stages[-1].coefficients, strict=True)), scaled, key)
+
+
+def weighted_distances(weights: dict[str, float], scaled: DataFrame, key: str = "customer_id") -> DataFrame:
+    """(key, feature, phi): each weight times its scaled column, whose mean is 0."""
     cells = F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), (F.col(f"{c}_z") * float(w)).alias("phi"))
-        for c, w in zip(cols, weights, strict=True)
+        for c, w in weights.items()
     ])).alias("cell")
     return scaled.select(key, cells).select(key, "cell.*")

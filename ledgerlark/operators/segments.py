@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 from operator import add
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerlark.functions.numeric import mean
-from ledgerlark.session import tune
+from ledgerlark.session import in_threads, tune
 
 SEGMENT_FEATURES = ["recency_days", "frequency", "monetary"]
 MAX_CLUSTERS = 1000
@@ -59,9 +58,7 @@ def fit_kmeans(
     def fit(start: int) -> KMeansModel:
         return KMeans(k=k, seed=seed + start, maxIter=max_iter, tol=1e-4).fit(vectors)
 
-    spark = vectors.sparkSession
-    with ThreadPoolExecutor(parallelism) as pool:
-        models = list(pool.map(inheritable_thread_target(spark)(fit), range(restarts)))
+    models = in_threads(vectors.sparkSession, fit, range(restarts), parallelism)
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
@@ -173,9 +170,31 @@ def label_segments(profile: DataFrame) -> DataFrame:
     return ranked.select("cluster", name.alias("segment"))
 
 
+def nearest_center(df: DataFrame, centers: list[list[float]], cols: list[str]) -> DataFrame:
+    """Add `cluster`, the number of the nearest centre (the first on ties), and `gap`, its squared distance."""
+    gaps = F.array(*[
+        reduce(add, [(F.col(c) - float(x)) * (F.col(c) - float(x)) for c, x in zip(cols, center, strict=True)]) for center in centers
+    ])
+    return df.withColumn("_gaps", gaps).withColumns({
+        "gap": F.array_min("_gaps"), "cluster": (F.array_position("_gaps", F.array_min("_gaps")) - 1).cast("int"),
+    }).drop("_gaps")
+
+
+def inertia(placed: DataFrame) -> DataFrame:
+    """The sum of squared distances of the rows of `nearest_center`."""
+    return placed.agg(F.sum("gap").alias("inertia"))
+
+
+def first_best(sweep: DataFrame) -> DataFrame:
+    """The k of the highest silhouette, the smallest on ties; rows without a silhouette take no part."""
+    known = sweep.where(F.col("silhouette").isNotNull())
+    return known.agg(F.min_by("k", F.struct(-F.col("silhouette"), "k")).alias("k"), F.max("silhouette").alias("silhouette"))
+
+
 def assign_segments(vectors: DataFrame, model: KMeansModel) -> DataFrame:
     """Customers of `prepare_features` with their cluster and its name."""
-    rows = model.transform(vectors).withColumnRenamed("prediction", "cluster")
+    centers = [list(c) for c in model.clusterCenters()]
+    rows = nearest_center(vectors, centers, [f"{c}_z" for c in SEGMENT_FEATURES])
     # k rows at most
     names = F.broadcast(label_segments(profile_clusters(rows)))
     return rows.join(names, "cluster").select("customer_id", *SEGMENT_FEATURES, "cluster", "segment")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlark.operators import churn, cleaning, explain, features, metrics, segments, star
 from ledgerlark.plans import extracts, reports
-from ledgerlark.session import tune
+from ledgerlark.session import staging_scope, tune
 from ledgerlark.sources import tables as io
 
 
@@ -40,7 +40,16 @@ def run_all(
     reference: date, arrival: list[str] | None = None, settings: churn.ForestSettings | None = None, restarts: int = 10,
     seed: int = 42,
 ) -> dict[str, DataFrame]:
-    """Clean, build features and the star, segment, train, explain, report and extract."""
+    """Clean, build features and the star, segment, train, explain, report and extract.
+
+    The tables returned are those written to `folder`; what was staged on the way is deleted.
+    `arrival` names the columns that say which of several copies of an id came first.
+    """
+    with staging_scope(spark):
+        return _run(spark, customers, products, orders, items, folder, reference, arrival, settings, restarts, seed)
+
+
+def _run(spark, customers, products, orders, items, folder, reference, arrival, settings, restarts, seed) -> dict[str, DataFrame]:
     tune(spark)
     out = Outputs(spark, folder)
     cutoff, end = features.study_dates(reference)

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from functools import cache
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on; all of them can be changed on a live session.
@@ -19,6 +24,7 @@ RUNTIME_SETTINGS = {
 
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+_scope: ContextVar[list[str] | None] = ContextVar("staging_scope", default=None)
 _staged: list[str] = []
 
 
@@ -62,10 +68,31 @@ def staging_root(spark: SparkSession) -> str:
 
 def staging_path(spark: SparkSession, name: str) -> str:
     path = f"{staging_root(spark)}/ledgerlark/{name}-{uuid.uuid4().hex}"
-    _staged.append(path)
+    scope = _scope.get()
+    (_staged if scope is None else scope).append(path)
     return path
 
 
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Everything staged inside the block belongs to it and is deleted when it ends, by any way."""
+    own: list[str] = []
+    token = _scope.set(own)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        while own:
+            delete_path(spark, own.pop())
+
+
+def in_threads(spark: SparkSession, function: Callable, items: Iterable, threads: int) -> list:
+    """Results of `function` on each item, with Spark jobs started from several threads of one run."""
+    with ThreadPoolExecutor(threads) as pool:
+        jobs = [pool.submit(copy_context().run, inheritable_thread_target(spark)(function), x) for x in items]
+        return [j.result() for j in jobs]
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as a table in the shared folder and read it back.
 
@@ -110,8 +137,9 @@ class Staging:
 
     def close(self) -> None:
         delete_path(self.spark, self.root)
-        if self.root in _staged:
-            _staged.remove(self.root)
+        for paths in (_staged, _scope.get() or []):
+            if self.root in paths:
+                paths.remove(self.root)
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -131,25 +132,51 @@ def write_sales(sales: DataFrame, path: str) -> None:
     write_parquet(dated.hint("rebalance", "year", "month"), path, ["year", "month"])
 
 
+_CURRENT = "CURRENT"
+
+
 def write_star(spark: SparkSession, folder: str, dims: dict[str, DataFrame], sales: DataFrame) -> None:
-    """Replace dimensions and fact; each table is complete before it takes the place of the old.
+    """Load dimensions and fact as a new version of the star and make it the current one.
 
-    Every table is written beside the old one first, so a failed load leaves the old star whole.
+    A version is a folder of its own. The last step replaces one small file that names it, so
+    readers find the old star whole until they find the new one, on any file system. The version
+    before stays for those who still read it; older ones are deleted.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    fresh = f"{folder.rstrip('/')}.next"
+    root = folder.rstrip("/")
+    before = _current_version(spark, root)
+    version = f"v-{uuid.uuid4().hex}"
     for name, df in dims.items():
-        write_parquet(df, f"{fresh}/{name}")
-    write_sales(sales, f"{fresh}/fact_sales")
-    target, source, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (folder, fresh, f"{folder.rstrip('/')}.old"))
-    fs = target.getFileSystem(conf)
-    fs.delete(old, True)
-    if fs.exists(target) and not fs.rename(target, old):
-        raise OSError(f"could not move {folder} aside")
-    if not fs.rename(source, target):
-        raise OSError(f"could not move {fresh} to {folder}; the old tables are in {old}")
-    fs.delete(old, True)
+        write_parquet(df, f"{root}/{version}/{name}")
+    write_sales(sales, f"{root}/{version}/fact_sales")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{_CURRENT}")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(path, True)
+    try:
+        out.write(bytearray(version.encode()))
+    finally:
+        out.close()
+    for found in fs.listStatus(path.getParent()):
+        if found.isDirectory() and found.getPath().getName() not in (version, before):
+            fs.delete(found.getPath(), True)
+
+
+def _current_version(spark: SparkSession, root: str) -> str | None:
+    if not path_exists(spark, f"{root}/{_CURRENT}"):
+        return None
+    return spark.read.text(f"{root}/{_CURRENT}").first()[0]
+
+
+def star_path(spark: SparkSession, folder: str, table: str) -> str:
+    """Where a table of the current star lies."""
+    root = folder.rstrip("/")
+    version = _current_version(spark, root)
+    if version is None:
+        raise FileNotFoundError(f"no star was loaded to {folder}")
+    return f"{root}/{version}/{table}"
+
+
+def read_star(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    return spark.read.parquet(star_path(spark, folder, table))
 
 
 def write_database(df: DataFrame, url: str, table: str, batch: int = 5000, properties: dict | None = None) -> None:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerlark.session import stage
+from ledgerlark.session import stage, staging_scope
 from ledgerlark.sources.tables import path_exists, upsert
 
 BUCKET = "_bucket"
@@ -30,6 +30,12 @@ def read_target(spark, path: str) -> DataFrame:
 
 
 def apply_batch(updates: DataFrame, path: str, key: str, order: list[str], buckets: int) -> None:
+    """Merge one batch; its staged tables are gone when it ends."""
+    with staging_scope(updates.sparkSession):
+        _apply(updates, path, key, order, buckets)
+
+
+def _apply(updates: DataFrame, path: str, key: str, order: list[str], buckets: int) -> None:
     spark = updates.sparkSession
     updates = stage(updates, "updates")
     if updates.isEmpty():

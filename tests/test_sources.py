@@ -83,7 +83,7 @@ def test_star_is_replaced_whole_and_prunes_by_month(spark, tmp_path):
     sales = spark.createDataFrame([("O1", date(2024, 1, 5), Decimal(1)), ("O2", date(2024, 2, 5), Decimal(2))], "order_id string, date_key date, line_total decimal(12,2)")
     for _ in range(2):
         io.write_star(spark, folder, {"dim_product": spark.createDataFrame([("P1",)], "product_id string")}, sales)
-    back = spark.read.parquet(f"{folder}/fact_sales")
+    back = io.read_star(spark, folder, "fact_sales")
     assert back.count() == 2 and not io.path_exists(spark, f"{folder}.next")
     plan = back.where("year = 2024 AND month = 2")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan
@@ -127,3 +127,33 @@ def test_all_questions_have_an_answer(spark):
     assert got["tier_performance"][0].revenue_per_customer == 14.5
     assert got["repeat_rate"][0].repeat_customer_rate_pct == 100.0
     assert got["order_value_by_channel"][0].avg_order_value == 14.5
+
+
+def test_a_failed_star_load_leaves_the_old_one(spark, tmp_path):
+    folder = f"{tmp_path}/star"
+    sales = spark.createDataFrame([("O1", date(2024, 1, 5), Decimal(1))], "order_id string, date_key date, line_total decimal(12,2)")
+    for n in range(1, 4):
+        io.write_star(spark, folder, {"dim_product": spark.range(n)}, sales)
+    with pytest.raises(Exception, match="raise_error|USER_RAISED"):
+        io.write_star(spark, folder, {"dim_product": spark.range(9).select(F.raise_error(F.lit("broken")))}, sales)
+    assert io.read_star(spark, folder, "dim_product").count() == 3
+    with pytest.raises(FileNotFoundError):
+        io.read_star(spark, f"{tmp_path}/nowhere", "dim_product")
+
+
+def test_staged_tables_of_a_scope_go_also_on_failure(spark):
+    from ledgerlark import session
+
+    paths = []
+    with pytest.raises(KeyError), session.staging_scope(spark):
+        session.stage(spark.range(3), "scoped")
+        session.in_threads(spark, lambda n: session.stage(spark.range(n), "scoped").count(), range(3), 2)
+        paths += session._scope.get()
+        work = session.Staging(spark, "scoped")
+        work.table(spark.range(2), "a")
+        paths.append(work.root)
+        raise KeyError
+    assert len(paths) == 5 and not any(io.path_exists(spark, p) for p in paths)
+    with session.Staging(spark, "scoped") as work:
+        assert work.table(spark.range(2), "a").count() == 2
+    assert not io.path_exists(spark, work.root) and work.root not in session._staged
