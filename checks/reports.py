@@ -223,5 +223,8 @@ def _dependent_sql(by):
 
 add("x05_discount_dependent_products", lambda t: reports.discount_dependent(t.items, t.products, "product_id"), _dependent_sql("product_id"))
 add("x05_discount_dependent_categories", lambda t: reports.discount_dependent(t.items, t.products), _dependent_sql("category"))
+add("x06_loyal_at_half", lambda t: reports.loyal_at_risk(t.segments, t.predictions.withColumn("churn_probability", F.bround(F.least(F.col("churn_probability") + 0.35, F.lit(1.0)), 4))),
+    """SELECT customer_id, segment, LEAST(p10k + 3500, 10000) / 10000.0::DOUBLE AS churn_probability FROM segs JOIN preds USING (customer_id)
+       WHERE segment IN ('Champions', 'Loyal Customers') AND LEAST(p10k + 3500, 10000) > 5000""")
 add("x06_loyal_at_risk", lambda t: reports.loyal_at_risk(t.segments, t.predictions, threshold=0.2),
     "SELECT customer_id, segment, churn_probability FROM segs JOIN preds USING (customer_id) WHERE segment IN ('Champions', 'Loyal Customers') AND p10k > 2000")

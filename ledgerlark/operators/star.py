@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlark.functions.text import day_name, month_name
-from ledgerlark.operators.joins import count_orphans, join_star
+from ledgerlark.operators.joins import join_star, orphans
+from ledgerlark.session import stage
 
 # The columns of the fact.
 FACT_COLUMNS = [
@@ -57,11 +58,20 @@ def constraint_audit(
     def repeated(df: DataFrame, key: str) -> DataFrame:
         return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)))
 
-    checks = []
     keyed = [("dim_customer", customers, "customer_id"), ("dim_product", products, "product_id"), ("dim_date", dates, "date_key")]
-    for table, df, key in keyed:
+    # One pass over the fact counts its rows per combination of keys that each check needs: the
+    # grouping sets share one shuffle, and the checks read the small table written from it.
+    keys = [key for _, _, key in keyed]
+    combined = sales.groupingSets([[F.col(k)] for k in keys], *[F.col(k) for k in keys]).agg(
+        F.count(F.lit(1)).alias("_rows"), F.grouping_id().alias("_set")
+    )
+    counts = stage(combined, "fact-keys")
+    whole = (1 << len(keys)) - 1
+    checks = []
+    for i, (table, df, key) in enumerate(keyed):
         checks.append(row(table, f"primary key {key}", repeated(df, key)))
-        checks.append(row("fact_sales", f"foreign key {key}", count_orphans(sales, df, key)))
+        own = counts.where(F.col("_set") == whole - (1 << (len(keys) - 1 - i))).select(key, "_rows")
+        checks.append(row("fact_sales", f"foreign key {key}", orphans(own, df, key).agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("orphans"))))
     for table, df in [(t, d) for t, d, _ in keyed] + [("fact_sales", sales)]:
         nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]).unpivot([], df.columns, "c", "violations")
         checks.append(

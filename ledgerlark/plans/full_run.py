@@ -76,7 +76,7 @@ def _run(spark, customers, products, orders, items, folder, reference, arrival,
     predictions = out.save("churn_predictions", run.predictions())
     io.write_json(run.record_table(spark), f"{out.folder}/model_metrics")
     run.best_model().write().overwrite().save(f"{out.folder}/best_churn_model")
-    out.save("model_comparison", run.metrics_table(spark))
+    comparison = out.save("model_comparison", run.metrics_table(spark))
     for name, scores in run.test_scores.items():
         prefix = name.lower().replace(" ", "_")
         out.save(f"{prefix}_confusion_matrix", metrics.confusion_matrix(scores))
@@ -91,6 +91,6 @@ def _run(spark, customers, products, orders, items, folder, reference, arrival,
     else:
         out.save("linear_coefficients", explain.linear_coefficients(spark, run.logistic, churn.CHURN_FEATURE_COLUMNS))
 
-    out.save_all(reports.report_bundle(c, p, o, i, segs, predictions, importance), "report")
+    out.save_all(reports.report_bundle(c, p, o, i, segs, predictions, importance, comparison), "report")
     out.save_all(extracts.extract_bundle(c, p, o, i, feats, segs, predictions), "extracts")
     return out.tables

@@ -13,6 +13,7 @@ from ledgerlark.operators.aggregates import frequency, with_share
 from ledgerlark.operators.joins import join_star
 from ledgerlark.operators.ranking import top_k
 from ledgerlark.plans.business import per_order
+from ledgerlark.session import stage
 
 # Thresholds of the report (closed on the left) and of the retention lists.
 HIGH_RISK, MEDIUM_RISK = 0.7, 0.4
@@ -77,8 +78,18 @@ def bottom_products_report(items: DataFrame, products: DataFrame, n: int = 5) ->
     )
 
 
-def headline(customers: DataFrame, orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
-    """One row: totals, and the categories and regions with most and least revenue."""
+def headline(
+    customers: DataFrame, orders: DataFrame, items: DataFrame, products: DataFrame,
+    categories: DataFrame | None = None, regions: DataFrame | None = None,
+) -> DataFrame:
+    """One row: totals, and the categories and regions with most and least revenue.
+
+    The two small reports behind the ends are taken as given or staged, so that each is computed
+    once.
+    """
+    categories = stage(category_report(items, products), "categories") if categories is None else categories
+    regions = stage(regional_report(items, orders), "regions") if regions is None else regions
+
     def ends(table: DataFrame, col: str, label: str) -> list:
         best = F.struct(-F.col("revenue"), F.col(col))
         worst = F.struct(F.col("revenue"), F.col(col))
@@ -89,8 +100,8 @@ def headline(customers: DataFrame, orders: DataFrame, items: DataFrame, products
         "total_revenue",
         customers.agg(F.count(F.lit(1))).scalar().alias("total_customers"),
         orders.agg(F.count_distinct("order_id")).scalar().alias("total_orders"),
-        *ends(category_report(items, products), "category", "category"),
-        *ends(regional_report(items, orders), "store_region", "region"),
+        *ends(categories, "category", "category"),
+        *ends(regions, "store_region", "region"),
     )
 
 
@@ -181,19 +192,26 @@ def loyal_at_risk(segments: DataFrame, predictions: DataFrame, threshold: float
 
 def report_bundle(
     customers: DataFrame, products: DataFrame, orders: DataFrame, items: DataFrame, segments: DataFrame,
-    predictions: DataFrame, importance: DataFrame | None = None,
+    predictions: DataFrame, importance: DataFrame | None = None, comparison: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Every table of the report by name, ready to be written side by side."""
+    """Every table of the report by name, ready to be written side by side.
+
+    `importance` and `comparison` (the measures of both models) come from a training run.
+    """
+    categories = stage(category_report(items, products), "categories")
+    regions = stage(regional_report(items, orders), "regions")
     bundle = {
-        "headline": headline(customers, orders, items, products),
+        "headline": headline(customers, orders, items, products, categories, regions),
         "segment_summary": segment_summary(segments),
         "churn_summary": churn_summary(predictions),
-        "category_performance": category_report(items, products),
-        "regional_performance": regional_report(items, orders),
+        "category_performance": categories.orderBy(F.desc("revenue"), "category"),
+        "regional_performance": regions.orderBy(F.desc("revenue"), "store_region"),
         "bottom_products": bottom_products_report(items, products),
         "high_risk": high_risk_export(predictions),
         "retention_targets": retention_targets(segments, predictions),
     }
     if importance is not None:
         bundle["top_drivers"] = top_k(importance, [F.desc("mean_abs_shap"), "feature"], 5)
+    if comparison is not None:
+        bundle["model_metrics"] = comparison
     return bundle
