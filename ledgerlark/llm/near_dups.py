@@ -7,8 +7,9 @@
 3. Candidates are neighbours with a common prefix of at least SHALLOW minima, and all pairs of a
    region: the shallowest prefix group of at most REGION rows. A larger group descends one minimum
    further; where even full signatures agree, its rows are linked with its smallest doc_id.
-4. Links with a region's smallest document are confirmed first, on full shingle sets; other
-   candidates are confirmed only where they would join two components.
+4. Candidates whose signatures agree in too few places are left out; the texts of all others are
+   gathered once. Links with a region's smallest document are confirmed first, on full shingle
+   sets; other candidates are confirmed only where they would join two components.
 
 Every confirmed link is exact up to 64-bit shingle hashes. A link of similarity 0.75 is missed
 only if it is no candidate in all of the 24 orders and no other chain of links joins its ends.
