@@ -12,21 +12,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ledgerlark.llm.common import documents, grown, table
 from ledgerlark.llm.decontaminate import leaks
 from ledgerlark.llm.languages import UNKNOWN, held_out, identify, learn
-from ledgerlark.llm.mixing import copies, mixing_plan
+from ledgerlark.llm.mixing import copies, mixing_plan, words
 from ledgerlark.llm.near_dups import near_duplicates
 from ledgerlark.llm.sharding import assign_shards
 from ledgerlark.session import Staging
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: Texts whose best cosine is lower look like none of the learned languages.
-LEAST_SCORE = 0.05
+#: Texts of so many words whose best cosine is lower look like none of the learned languages. A
+#: shorter text has too few trigrams for its cosine to say so, and stays.
+LEAST_SCORE, LEAST_WORDS = 0.15, 50
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without letters and texts unlike every language learned from the labelled ones."""
+    """Drops texts without letters and long texts unlike every language learned from the labelled ones."""
     marked = docs.select(*COLUMNS)
     said = identify(marked, learn(marked.where(~held_out())), list(COLUMNS))
-    return said.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
+    unlike = (F.col("score") < LEAST_SCORE) & (words() >= LEAST_WORDS)
+    return said.where((F.col("lang_pred") != UNKNOWN) & ~unlike).select(*COLUMNS)
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
