@@ -3,9 +3,9 @@
 A block is BLOCK ids (the last one fewer) with a model of its own that starts afresh, so blocks
 decode independently; numpy codes the t-th id of all blocks of a segment in one go. Each id is
 predicted by the id that last followed the two ids before it (order 2) and the one before it
-(order 1). The chance that either is right mixes three adaptive estimates: one without context
-(order 0) and those in the context of either prediction's confidence. An id that neither predicts
-is coded by an adaptive order-0 model of its magnitude and its plain lower bits.
+(order 1). The chance that either is right mixes two adaptive estimates, one without context
+(order 0) and one in the context of both predictions' confidence. An id that neither predicts is
+coded by an adaptive order-0 model of its magnitude and its plain lower bits.
 
 All arithmetic is on integers, so encoder and decoder agree on any machine.
 """
@@ -18,13 +18,14 @@ import zlib
 import numpy as np
 
 BLOCK = 2048
-_SLOTS = 1024
+_SLOTS = 512
 _TOP, _BOT, _ONE = np.uint64(1 << 48), np.uint64(1 << 40), np.uint64(1)
 _16, _48 = np.uint64(16), np.uint64(48)
 #: Probabilities are shares of 1 << 12; magnitudes keep two bits more.
 _BITS, _FINE = 12, 2
 _WHOLE, _12 = 1 << _BITS, np.uint64(_BITS)
 _RATE = 5
+_GROWS = 4  # the magnitudes' model learns from every fourth id
 _MAGIC, _VERSION = b"LLTK", 1
 _HEAD = struct.Struct("<4sBBIIQ")
 
@@ -107,13 +108,14 @@ class _Model:
     def __init__(self, lanes: int, bits: int):
         n, lane = lanes, np.arange(lanes)
         self.classes = 16 if bits <= 16 else 32
-        # The ids that followed: order 1 of all blocks, then order 2.
+        # The ids that followed: order 2 of all blocks, then order 1.
         self.entries = np.zeros(2 * n * _SLOTS, np.int32)
         self.bases = np.stack([lane * _SLOTS, (n + lane) * _SLOTS])
-        # The chances that the order-2 and the order-1 prediction are right, side by side in one
-        # 64-bit value: without context, by the confidence of order 1, by that of order 2.
-        self.chances = np.full(18 * n, _WHOLE // 8, np.int32).view(np.int64)
-        self.places = np.stack([lane, n + lane * 4, 5 * n + lane * 4])
+        # The chances that the order-2 and the order-1 prediction are right: without context, and
+        # by the confidence of both (two 32-bit numbers in one 64-bit value).
+        self.plain = np.full((n, 2), _WHOLE // 8, np.int32)
+        self.chances = np.full(32 * n, _WHOLE // 8, np.int32).view(np.int64)
+        self.places = lane * 16
         self.targets = _targets(self.classes)
         even = (np.arange(self.classes + 1) * ((_WHOLE << _FINE) // self.classes)).astype(np.int32)
         self.sizes = np.tile(even, (lanes, 1)).astype(self.targets.dtype)
@@ -122,29 +124,26 @@ class _Model:
     def predict(self) -> tuple[np.ndarray, np.ndarray]:
         """The chances that order 2 is right, and that order 1 is if order 2 is not."""
         mixed = self.one * 40503
-        self.slots = np.stack([mixed >> 4, mixed + self.two * 60493 >> 5])
+        self.slots = np.stack([mixed + self.two * 60493 >> 5, mixed >> 4])
         self.slots &= _SLOTS - 1
         self.slots += self.bases
         self.held = self.entries[self.slots]
         self.ids = self.held >> 2
         self.sure = self.held & 3
-        self.spots = self.places.copy()
-        self.spots[1:] += self.sure
-        self.seen = self.chances[self.spots].view(np.int32).reshape(3, -1, 2)
-        none, first, second = self.seen
-        two = none[:, 0] + first[:, 0] + 2 * second[:, 0] >> 2
-        one = none[:, 1] + 2 * first[:, 1] + second[:, 1] >> 2
-        two = np.minimum(np.maximum(two, 16), _WHOLE - 64)
-        one = np.minimum(np.maximum(one, 16), _WHOLE - 64)
-        return two, np.maximum((_WHOLE - two) * one >> _BITS, 8)
+        self.spots = self.places + (self.sure[0] << 2 | self.sure[1])
+        self.seen = self.chances[self.spots].view(np.int32).reshape(-1, 2)
+        chance = np.minimum(np.maximum(self.plain + 3 * self.seen >> 2, 16), _WHOLE - 64)
+        two = chance[:, 0]
+        return two, np.maximum((_WHOLE - two) * chance[:, 1] >> _BITS, 8)
 
     def right(self, actual: np.ndarray) -> np.ndarray:
-        """Whether order 1 and order 2 predict the id."""
+        """Whether order 2 and order 1 predict the id."""
         return (self.ids == actual) & (self.sure > 0)
 
     def learn(self, actual: np.ndarray, right: np.ndarray) -> None:
-        aim = np.ascontiguousarray(right[::-1].T).astype(np.int32) << _BITS
-        self.chances[self.spots] = (self.seen + ((aim - self.seen) >> _RATE)).view(np.int64)[..., 0]
+        aim = right.T.astype(np.int32, order="C") << _BITS
+        self.plain += (aim - self.plain) >> _RATE
+        self.chances[self.spots] = (self.seen + ((aim - self.seen) >> _RATE)).view(np.int64)[:, 0]
         other = np.where(self.sure > 1, self.held - 1, (actual << 2 | 1).astype(np.int32))
         self.entries[self.slots] = np.where(right, self.held + (self.sure < 3), other)
         self.two, self.one = self.one, actual
@@ -162,11 +161,11 @@ def _encode_lanes(ids: np.ndarray, bits: int) -> list[bytes]:
     lanes, steps = ids.shape
     coder, model = _Encoder(lanes, 4 * steps + 24), _Model(lanes, bits)
     columns = np.ascontiguousarray(ids.T).astype(np.int64)
-    for actual in columns:
+    for t, actual in enumerate(columns):
         two, one = model.predict()
         right = model.right(actual)
-        by_two = right[1]
-        by_one = right[0] & ~by_two
+        by_two = right[0]
+        by_one = right[1] & ~by_two
         either = two + one
         cum = np.where(by_two, 0, np.where(by_one, two, either)).astype(np.uint64)
         freq = np.where(by_two, two, np.where(by_one, one, _WHOLE - either)).astype(np.uint64)
@@ -179,14 +178,13 @@ def _encode_lanes(ids: np.ndarray, bits: int) -> list[bytes]:
             # 0 and 1 have no bits after the first, so 0 is written as 1 and ids are moved by one.
             value = value + 1
             size = _magnitude(value)
-            rows = model.sizes[plain]
-            n = np.arange(len(plain))
-            low = (rows[n, size] >> _FINE).astype(np.uint64)
-            high = (rows[n, size + 1] >> _FINE).astype(np.uint64)
+            low = (model.sizes[plain, size] >> _FINE).astype(np.uint64)
+            high = (model.sizes[plain, size + 1] >> _FINE).astype(np.uint64)
             step = coder.span[plain] >> _12
             coder.low[plain] += step * low
             coder.span[plain] = step * (high - low)
-            model.grow(plain, rows, size)
+            if t % _GROWS == 0:
+                model.grow(plain, model.sizes[plain], size)
             rest = value - (1 << size)
             for part, width in _parts(rest, size, bits, coder):
                 step = coder.span[plain] >> width
@@ -224,7 +222,7 @@ def _decode_lanes(streams: list[bytes], steps: int, bits: int) -> np.ndarray:
         freq = np.where(by_two, two, np.where(by_one, one, _WHOLE - either)).astype(np.uint64)
         coder.low += step * cum
         coder.span = step * freq
-        actual = np.where(by_two, model.ids[1], model.ids[0]).astype(np.int64)
+        actual = np.where(by_two, model.ids[0], model.ids[1]).astype(np.int64)
         plain = np.flatnonzero(~(by_two | by_one))
         if len(plain):
             rows = model.sizes[plain]
@@ -236,7 +234,8 @@ def _decode_lanes(streams: list[bytes], steps: int, bits: int) -> np.ndarray:
             high = (rows[n, size + 1] >> _FINE).astype(np.uint64)
             coder.low[plain] += step * low
             coder.span[plain] = step * (high - low)
-            model.grow(plain, rows, size)
+            if t % _GROWS == 0:
+                model.grow(plain, rows, size)
             value = np.ones(len(plain), np.int64)
             for _, width in _parts(np.zeros_like(size), size, bits, coder):
                 step = np.maximum(coder.span[plain] >> width, _ONE)
