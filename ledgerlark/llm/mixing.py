@@ -11,8 +11,9 @@ number over its quality weight, and the smallest keys are taken as far as their
 words stays within what is left. The last place goes to the one untaken document whose size comes
 nearest to the words still missing, if that brings the source nearer to its target.
 
-The running sum needs no sort of a source: words are summed by ranges of the key, the range in
-which the budget ends is found from those sums, and only that range's documents are ordered.
+The running sum needs no sort of a source: words are summed by RANGES ranges of the key, the range
+in which the budget ends is found from those sums, at most RANGES rows a source, and only that
+range's documents are ordered.
 
 The uniform number is the MD5 of the doc_id, so reruns agree. Null text has no words and is never
 taken. Rows that repeat a doc_id are taken or left together, each counting its words.

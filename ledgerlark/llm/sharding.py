@@ -2,8 +2,8 @@
 
 A bucket holds the rows that agree in its leading bits. Starting from the whole table, only
 buckets above the byte limit split on one more bit, until each fits. Bytes are summed once per
-BITS-bit prefix (an aggregate with map-side combine); the sums of all shorter prefixes follow from
-that, and a row's bucket is the shortest prefix of its hash that fits. No row is moved to decide.
+BITS-bit prefix (an aggregate with map-side combine); the sums of shorter prefixes follow from that,
+and a row's bucket is the shortest prefix of its hash that fits. No row is moved to decide.
 
 Rows whose whole prefix agrees cannot be split by bits. Such buckets, if they are still too large,
 become overflow pages: rows above half the limit have pages of their own, and a running sum of
@@ -18,10 +18,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerlark.llm.common import grown
 from ledgerlark.operators.ranking import running_total
 from ledgerlark.session import Staging, tune
 
-BITS = 24
+BITS, HALF = 24, 12
 SHARD_BYTES = 1 << 20
 
 
@@ -34,6 +35,20 @@ def text_bytes(text: str = "text") -> Column:
     return F.coalesce(F.octet_length(F.col(text).cast("string")), F.lit(0)).cast("long")
 
 
+def _bucket(bits: Column, depth: Column | int) -> Column:
+    """The first prefix of the bucket of `depth` leading bits that holds a prefix."""
+    cut = F.lit(BITS) - (F.lit(depth) if isinstance(depth, int) else depth)
+    return F.call_function("shiftleft", F.call_function("shiftright", bits, cut), cut)
+
+
+def _sums(rows: DataFrame, depths: range) -> DataFrame:
+    """Bytes and rows of every bucket of these depths that holds rows of (prefix, bytes, docs)."""
+    paths = rows.withColumn("depth", F.explode(F.array(*[F.lit(d) for d in depths])))
+    return paths.groupBy("depth", _bucket(F.col("prefix"), F.col("depth")).alias("shard")).agg(
+        F.sum("bytes").alias("shard_bytes"), F.sum("docs").alias("shard_docs")
+    )
+
+
 def directory(docs: DataFrame, work: Staging, limit: int = SHARD_BYTES) -> DataFrame:
     """prefix -> shard, depth (leading bits), shard_bytes, shard_docs, for every prefix that occurs."""
     sums = work.table(
@@ -41,13 +56,24 @@ def directory(docs: DataFrame, work: Staging, limit: int = SHARD_BYTES) -> DataF
         .agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("docs")),
         "sums",
     )
-    paths = sums.withColumn("depth", F.explode(F.sequence(F.lit(0), F.lit(BITS))))
-    low = F.expr(f"shiftleft(shiftright(prefix, {BITS} - depth), {BITS} - depth)")
-    buckets = paths.groupBy("depth", low.alias("shard")).agg(F.sum("bytes").alias("shard_bytes"), F.sum("docs").alias("shard_docs"))
-    fitting = work.table(buckets.where((F.col("shard_bytes") <= limit) | (F.col("depth") == BITS)), "buckets")
-    candidates = paths.select("prefix", "depth", low.alias("shard")).join(fitting, ["depth", "shard"])
-    best = candidates.groupBy("prefix").agg(F.min(F.struct("depth", "shard", "shard_bytes", "shard_docs")).alias("_best"))
-    return best.select("prefix", "_best.shard", "_best.depth", "_best.shard_bytes", "_best.shard_docs")
+    top = sums.groupBy(_bucket(F.col("prefix"), HALF).alias("prefix")).agg(F.sum("bytes").alias("bytes"), F.sum("docs").alias("docs"))
+    shallow = work.table(_sums(top, range(HALF + 1)), "shallow")
+    # Only what is still too large at half the bits is looked at with more of them.
+    large = shallow.where((F.col("depth") == HALF) & (F.col("shard_bytes") > limit)).select(F.col("shard").alias("_top"))
+    deeper = sums.withColumn("_top", _bucket(F.col("prefix"), HALF)).join(large, "_top", "left_semi").drop("_top")
+    buckets = work.table(shallow.union(_sums(deeper, range(HALF + 1, BITS + 1))), "buckets")
+    split = (F.col("shard_bytes") > limit) & (F.col("depth") < BITS)
+    parents = buckets.where(split).select((F.col("depth") + 1).alias("depth"), F.col("shard").alias("_parent"))
+    leaves = buckets.where(~split).withColumn("_parent", F.when(F.col("depth") > 0, _bucket(F.col("shard"), F.col("depth") - 1)))
+    root = leaves.where("depth = 0").drop("_parent")
+    leaves = work.table(leaves.join(parents, ["depth", "_parent"], "left_semi").select(*root.columns).union(root), "leaves")
+    # At most BITS + 1 numbers.
+    depths = sorted(r["depth"] for r in leaves.select("depth").distinct().collect())
+    if not depths:
+        return leaves.select(F.col("shard").alias("prefix"), "shard", "depth", "shard_bytes", "shard_docs")
+    found = sums.select("prefix", F.explode(F.array(*[F.lit(d) for d in depths])).alias("depth"))
+    found = found.withColumn("shard", _bucket(F.col("prefix"), F.col("depth")))
+    return found.join(grown(leaves), ["depth", "shard"]).select("prefix", "shard", "depth", "shard_bytes", "shard_docs")
 
 
 def assign_shards(docs: DataFrame, work: Staging, limit: int = SHARD_BYTES) -> DataFrame:
@@ -59,9 +85,9 @@ def assign_shards(docs: DataFrame, work: Staging, limit: int = SHARD_BYTES) -> D
     own = ("shard", "page", "depth", "bytes", "shard_bytes", "_prefix")
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in own])
     shards = work.table(directory(docs, work, limit), "directory")
-    joined = docs.withColumn("_prefix", prefix()).withColumn("bytes", text_bytes()).join(
-        shards.select(F.col("prefix").alias("_prefix"), "shard", "depth", "shard_bytes"), "_prefix"
-    )
+    # The directory has an entry for every prefix that occurs, so it grows with the table.
+    entries = grown(shards.select(F.col("prefix").alias("_prefix"), "shard", "depth", "shard_bytes"))
+    joined = docs.withColumn("_prefix", prefix()).withColumn("bytes", text_bytes()).join(entries, "_prefix")
     too_large = (F.col("shard_bytes") > limit) & (F.col("depth") == BITS)
     columns = [*docs.columns, "shard", "page", "depth", "bytes", "shard_bytes"]
     plain = joined.where(~too_large).withColumn("page", F.lit(0).cast("long")).select(*columns)
