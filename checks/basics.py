@@ -285,8 +285,8 @@ add("a16_describe_numbers",
     _describe_sql("cust", ["age", "loyalty_points"]))
 add("a16_describe_orders", lambda t: rounded(rounded(aggregates.describe_numbers(t.headers, ["total_amount"]), "mean", "q25", "q50", "q75"), "std", places=4),
     _describe_sql("hdr", ["total_amount"]))
-for _n, _view, _cols in (("items", "itm", ["quantity", "unit_price", "line_total"]), ("products", "prod", ["unit_cost", "unit_price"])):
-    add(f"a16_describe_{_n}", lambda t, n=_n, c=_cols: rounded(rounded(aggregates.describe_numbers(getattr(t, n), c), "mean", "q25", "q50", "q75"), "std", places=4),
+for _table, _view, _cols in (("items", "itm", ["quantity", "unit_price", "line_total"]), ("products", "prod", ["unit_cost", "unit_price"])):
+    add(f"a16_describe_{_table}", lambda t, n=_table, c=_cols: rounded(rounded(aggregates.describe_numbers(getattr(t, n), c), "mean", "q25", "q50", "q75"), "std", places=4),
         _describe_sql(_view, _cols))
 # Five places: the mean of the discounts ends in a 5 at the sixth.
 add("a16_describe_discounts", lambda t: rounded(rounded(aggregates.describe_numbers(t.items, ["discount"]), "mean", "q25", "q50", "q75", places=5), "std", places=4),
