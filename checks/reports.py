@@ -139,7 +139,9 @@ add("k09_average_churn_probability", lambda t: rounded(measures.average_churn_pr
 _sales_measure("k10_revenue_per_customer", measures.revenue_per_customer, f"COALESCE({div('SUM(line_total)', 'COUNT(DISTINCT customer_id)')}, 0)", "revenue_per_customer")
 add("k11_calendar", lambda t: date_dimension(t.sales_lean, "date_key").select("date_key"), "SELECT CAST(UNNEST(GENERATE_SERIES(MIN(date_key), MAX(date_key), INTERVAL 1 DAY)) AS DATE) AS date_key FROM sales")
 
-add("k12_slicer_cube", lambda t: measures.slicer_cube(_model(t), ["year", "month", "region", "loyalty_tier", "segment", "channel"]),
+add("k12_slicer_cube", lambda t: measures.slicer_cube(_model(t), ["year", "region", "loyalty_tier", "channel"]),
+    f"SELECT year, region, loyalty_tier, channel, {dbl('SUM(line_total)')} AS total_revenue, COUNT(DISTINCT order_id) AS total_orders FROM {MODEL} GROUP BY CUBE (year, region, loyalty_tier, channel)")
+add("k12_all_slicers", lambda t: measures.slicer_cube(_model(t), ["year", "month", "region", "loyalty_tier", "segment", "channel"]),
     f"SELECT year, month, region, loyalty_tier, segment, channel, {dbl('SUM(line_total)')} AS total_revenue, COUNT(DISTINCT order_id) AS total_orders FROM {MODEL} GROUP BY CUBE (year, month, region, loyalty_tier, segment, channel)")
 add("k12_sliced", lambda t: measures.total_revenue(measures.sliced(_model(t), {"region": ["ASIA", "EUROPE"], "segment": "Champions", "year": 2000}), ["month"]),
     f"SELECT month, {dbl('SUM(line_total)')} AS total_revenue FROM {MODEL} WHERE region IN ('ASIA', 'EUROPE') AND segment = 'Champions' AND year = 2000 GROUP BY month")
