@@ -6,13 +6,17 @@
    range shuffle on signature and doc_id, so equal signatures spread over tasks too).
 3. Candidates are neighbours with a common prefix of at least SHALLOW minima, and all pairs of a
    region: the shallowest prefix group of at most REGION rows. A larger group descends one minimum
-   further; where even full signatures agree, its rows are linked with its smallest doc_id.
+   further; where still more rows agree at full depth, they are linked with the smallest doc_id.
 4. Candidates whose signatures agree in too few places are left out; the texts of all others are
    gathered once. Links with a region's smallest document are confirmed first, on full shingle
    sets; other candidates are confirmed only where they would join two components.
+5. Groups that are too large at full depth and then hold several components are crowded: a common
+   passage makes their documents alike. All their documents are compared by an exact join on the
+   rarest shingles (`_crowded_pairs`), again only across components.
 
 Every confirmed link is exact up to 64-bit shingle hashes. A link of similarity 0.75 is missed
-only if it is no candidate in all of the 24 orders and no other chain of links joins its ends.
+only if it is no candidate in all of the 24 orders, one of its ends is in no crowded group, and no
+other chain of links joins its ends.
 
 Null, empty and blank texts have an empty set and link with nothing. Repeated rows of one doc_id
 are repeated in the result. Other columns of the input are ignored.
@@ -34,6 +38,8 @@ SLOTS = TREES * DEPTH
 #: A pair goes on to its full sets if this share of minima agrees: five standard errors below 0.75.
 LOOK = 0.55
 ROWS_PER_RANGE = 200_000
+#: Ratio of the least sizes of neighbouring classes of sizes in the exact join.
+SIZE_STEP = 1.02
 
 _XOR = (seeded(SLOTS, 11) >> np.uint64(32)).astype(np.uint32)
 _TIMES = (seeded(SLOTS, 13) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -149,6 +155,7 @@ def _candidates(batches):
             if len(i):
                 a = least[i]
                 pairs.append(np.stack([a, ids[i], np.ones(len(i), np.int64)], 1)[a != ids[i]])
+            crowd = np.flatnonzero(~settled | (number == number[0]) | (number == number[-1]))  # a group may go on beyond the range
     reach = shared.copy()
     for step in range(1, REACH + 1):
         if step > 1:
@@ -171,6 +178,12 @@ def _candidates(batches):
         [pa.array(ids[edge]), pa.nulls(len(edge), pa.int64()), pa.nulls(len(edge), pa.bool_()), pa.array([keys[i].tobytes() for i in edge], pa.binary())],
         names=names,
     )
+    for low in range(0, len(crowd), 10_000):
+        own = crowd[low : low + 10_000]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids[own]), pa.nulls(len(own), pa.int64()), pa.array(np.ones(len(own), bool)), pa.array([keys[i].tobytes() for i in own], pa.binary())],
+            names=names,
+        )
 
 
 def _alike(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -201,6 +214,69 @@ def _low_bytes(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in small], pa.binary())], names=["doc_id", "low"])
 
 
+def _shingle_rows(size: int):
+    def run(batch: pa.RecordBatch):
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        for low, high, data, offsets in text_slices(batch.column(1)):
+            sets = shingle_sets(data, offsets, size)
+            n = np.array([len(s) for s in sets], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(ids[low:high], n)), pa.array(np.repeat(n, n)), longs(np.concatenate(sets))], names=["doc_id", "n", "h"]
+            )
+
+    return by_batch(run)
+
+
+def _crowded_pairs(texts: DataFrame, roots: DataFrame, work: Staging, percent: int, size: int) -> DataFrame:
+    """All pairs (a, b) of `texts` in different components that may have the similarity `percent`.
+
+    Sets of n and m shingles need an overlap of percent * (n + m) / (100 + percent). In an order of
+    all shingles, rarest first, their first common one then leaves that many places in both sets.
+    Documents meet by shingle and by the two classes of sizes, of which each bounds the places from
+    the other's least size. Rows of a shingle's most frequent component do not meet each other.
+    """
+    rows = work.table(texts.mapInArrow(_shingle_rows(size), "doc_id long, n long, h long"), "crowd-rows")
+    often = rows.groupBy("h").agg(F.count(F.lit(1)).alias("often"))
+    order = Window.partitionBy("doc_id").orderBy("often", "h")
+    # A shingle of one document only takes its place in the order and meets nothing.
+    placed = rows.join(often, "h").withColumn("left", F.col("n") - F.row_number().over(order) + 1)
+    placed = placed.where((F.col("often") > 1) & (100 * F.col("left") >= percent * F.col("n")))
+    step = float(np.log(SIZE_STEP))
+
+    def size_class(n):
+        return F.floor(F.log(n.cast("double")) / step + 1e-9)
+
+    low, high = F.ceil(percent * F.col("n") / 100.0 - 1e-6), F.floor(100.0 * F.col("n") / percent + 1e-6)
+    least = F.greatest(F.floor(F.exp((F.col("other") - 1e-6) * step) - 1e-6), low)
+    placed = (
+        placed.withColumn("own", size_class(F.col("n")))
+        .withColumn("other", F.explode(F.sequence(size_class(low), size_class(high))))
+        .where((100 + percent) * F.col("left") >= percent * (F.col("n") + least))
+    )
+    named = placed.join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left")
+    key = ["h", "k1", "k2"]
+    named = work.table(
+        named.select(
+            "h", F.least("own", "other").alias("k1"), F.greatest("own", "other").alias("k2"), "own", "doc_id", "n", "left",
+            F.coalesce("root", "doc_id").alias("root"),
+        ),
+        "crowd-prefixes",
+    )
+    shared = named.groupBy(*key, "root").agg(F.count(F.lit(1)).alias("rows")).groupBy(*key).agg(
+        F.max_by("root", F.struct("rows", "root")).alias("most"), F.count(F.lit(1)).alias("roots")
+    )
+    live = work.table(named.join(shared.where("roots > 1").drop("roots"), key), "crowd-shared")
+    x, y = live.where("root <> most").alias("x"), live.drop("most").alias("y")
+    meet = [F.col(f"x.{k}") == F.col(f"y.{k}") for k in key]
+    meet += [
+        F.col("x.root") != F.col("y.root"),
+        (F.col("x.k1") == F.col("x.k2")) | (F.col("x.own") != F.col("y.own")),
+        (F.col("y.root") == F.col("x.most")) | (F.col("x.doc_id") < F.col("y.doc_id")),
+        (100 + percent) * F.least("x.left", "y.left") >= percent * (F.col("x.n") + F.col("y.n")),
+    ]
+    return x.join(y, meet).select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, work: Staging, percent: int = 75, size: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document (see the module's text).
 
@@ -230,7 +306,7 @@ def near_duplicates(docs: DataFrame, work: Staging, percent: int = 75, size: int
     found = work.table(ordered.mapInArrow(_candidates, "a long, b long, star boolean, key binary"), "found")
     order = Window.partitionBy(F.substring("key", 1, 1)).orderBy("key", "a")
     prefix = 1 + 4 * SHALLOW
-    seams = found.where("key is not null").select("key", "a")
+    seams = found.where("key is not null and star is null").select("key", "a")
     steps = [
         seams.select(
             F.col("a"), F.lead("a", step).over(order).alias("b"),
@@ -257,7 +333,7 @@ def near_duplicates(docs: DataFrame, work: Staging, percent: int = 75, size: int
     ids = alike.select(F.col("a").alias("doc_id")).union(alike.select("b")).distinct()
     texts = work.table(plain.join(grown(ids), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
 
-    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
+    def confirmed(pairs: DataFrame, name: str, texts: DataFrame = texts) -> DataFrame:
         joined = pairs.join(grown(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x"))), "a").join(
             grown(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y"))), "b"
         )
@@ -274,6 +350,16 @@ def near_duplicates(docs: DataFrame, work: Staging, percent: int = 75, size: int
     more = confirmed(apart, "links-2")
     joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)
     roots = components(joined, work, "components-2")
+    crowds = found.where("key is not null and star").select("key", F.col("a").alias("doc_id"))
+    crowds = crowds.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    several = crowds.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key")
+    crowded = work.table(crowds.join(several, "key", "left_semi").select("doc_id").distinct(), "crowded")
+    if not crowded.isEmpty():
+        own = work.table(plain.join(crowded, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "crowded-texts")
+        pairs = work.table(_crowded_pairs(own, roots, work, percent, size), "crowded-pairs")
+        more = confirmed(pairs, "links-3", own)
+        joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)
+        roots = components(joined, work, "components-3")
     placed = work.table(
         classes.join(roots, classes.rep == roots.node, "left")
         .select(*[F.col(k).alias(f"_{k}") for k in keys], F.coalesce("root", "rep").alias("_component")),

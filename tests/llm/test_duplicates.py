@@ -39,6 +39,17 @@ def test_a_large_group_of_near_copies_is_one_component(spark):
     assert near(C.frame(spark, rows).repartition(8)) == {i: (n, c, i == c) for i, (n, c) in want.items()}
 
 
+def test_pairs_in_a_crowd_with_one_long_passage(spark):
+    passage = [f"b{i}" for i in range(144)]
+    tails = [[f"t{i}.{k}" for k in range(30)] for i in range(500)]  # 140 common shingles and 30 own ones: similarity 0.70
+    for i in range(10, 60):
+        tails[430 + i][:7] = tails[i][:7]  # 147 of 193: similarity 0.76
+    rows = [(i, " ".join(passage + tail)) for i, tail in enumerate(tails)]
+    want = {i: (n, c, i == c) for i, (n, c) in C.near_duplicates(rows).items()}
+    assert sum(not kept for _, _, kept in want.values()) == 50
+    assert near(C.frame(spark, rows).repartition(8)) == want
+
+
 def test_repeated_rows_and_empty_tables(spark):
     rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (2, None), (3, "")]
     got = near_duplicates(C.frame(spark, rows), Staging(spark, "t")).orderBy("doc_id").collect()
