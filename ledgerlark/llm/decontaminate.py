@@ -1,8 +1,9 @@
 """Benchmark decontamination on canonical templates.
 
 Words are runs of letters, digits and bytes beyond ASCII (with a point or comma between digits),
-lower-cased. Two canonical forms of every text are compared: the words as they are, and a typed
-one in which numbers, names (capitalised words inside a sentence) and units become placeholders.
+lower-cased. Three canonical forms of every text are compared: the words as they are, a typed one
+in which numbers, names (capitalised words inside a sentence) and units become placeholders, and a
+typed one in which the capitalised words that begin a sentence or line are placeholders too.
 Every run of WIDTH words of a benchmark item is a template window (for shorter items, the item),
 and documents are hash-joined with them. Matches are gathered by diagonal, the distance between
 document and item position. On a diagonal with placeholders the slots must be consistent: an
@@ -15,7 +16,7 @@ matches are shuffled. That list travels to the tasks in slices of at most SLICE_
 larger benchmark is compared in several passes over the documents.
 
 Null and empty texts, and items of fewer than SHORTEST words, match nothing. Typed windows need
-half their words as they are. Repeated rows count once; an empty benchmark finds nothing.
+one word as it is, and on their diagonal half of WIDTH different places that hold words as they are. Repeated rows count once; an empty benchmark finds nothing.
 """
 
 from __future__ import annotations
@@ -53,8 +54,8 @@ def _hash_of(words: list[str]) -> np.ndarray:
 _UNIT_HASHES = _hash_of(UNITS)
 
 
-def canonical(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray, np.ndarray]:
-    """The words of a slice of texts, their hashes in the typed form, and which are placeholders."""
+def canonical(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, list[tuple[np.ndarray, np.ndarray]]]:
+    """The words of a slice of texts; of both typed forms, their hashes and which are placeholders."""
     inside = ALNUM[data]
     digit = _DIGIT[data]
     if len(data) > 2:
@@ -68,41 +69,51 @@ def canonical(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray,
     fresh[1:] = breaks[words.start[1:]] > breaks[words.end[:-1]]
     fresh[words.rows[:-1][words.counts > 0]] = True
     head = data[words.start]
-    name = ~number & ~fresh & (head >= 65) & (head <= 90)
+    capital = ~number & (head >= 65) & (head <= 90)
     at = np.minimum(np.searchsorted(_UNIT_HASHES, words.hash), len(_UNIT_HASHES) - 1)
     unit = ~number & (_UNIT_HASHES[at] == words.hash)
-    typed = words.hash.copy()
-    typed[name], typed[unit], typed[number] = _NAME, _UNIT, _NUMBER
-    return words, typed, number | name | unit
+    forms = []
+    for name in (capital & ~fresh, capital):
+        typed = words.hash.copy()
+        typed[name], typed[unit], typed[number] = _NAME, _UNIT, _NUMBER
+        forms.append((typed, number | name | unit))
+    return words, forms
 
 
 def template_windows(data: np.ndarray, offsets: np.ndarray, width: int):
-    """Windows of both forms: (first word, hash, typed) arrays, with the words and placeholders."""
-    words, typed, slot = canonical(data, offsets)
+    """Windows of all forms: words, first word, hash, and which of its words are placeholders (one bit each)."""
+    words, forms = canonical(data, offsets)
     first, plain = windows(words, width)
-    _, other = windows(words, width, typed)
-    slots = np.concatenate([[0], np.cumsum(slot)])
-    held = slots[first + width] - slots[first]
-    use = (held > 0) & (2 * held <= width)
-    starts = np.concatenate([first, first[use]])
-    hashes = np.concatenate([plain, mix(other[use] ^ np.uint64(0x2545F4914F6CDD1D))])
-    return words, slot, starts, hashes, np.arange(len(starts)) >= len(first)
-
-
-def _slot_lists(words: Words, slot: np.ndarray, starts: np.ndarray, typed: np.ndarray, width: int) -> pa.Array:
+    starts, hashes, masks, before = [first], [plain], [np.zeros(len(first), np.int64)], None
+    for typed, slot in forms:
+        _, other = windows(words, width, typed)
+        mask = np.zeros(len(first), np.int64)
+        for k in range(width):
+            mask |= slot[first + k].astype(np.int64) << k
+        use = (mask > 0) & (mask < (1 << width) - 1)
+        if before is not None:
+            use &= mask != before
+        before = mask
+        starts.append(first[use])
+        hashes.append(mix(other[use] ^ np.uint64(0x2545F4914F6CDD1D)))
+        masks.append(mask[use])
+    return words, np.concatenate(starts), np.concatenate(hashes), np.concatenate(masks)
+
+
+def _slot_lists(words: Words, starts: np.ndarray, masks: np.ndarray, width: int) -> pa.Array:
     """Hashes of the words behind the placeholders of each typed window."""
-    values = [words.hash[s : s + width][slot[s : s + width]].view(np.int64).tolist() if t else [] for s, t in zip(starts.tolist(), typed.tolist(), strict=True)]
+    values = [[int(words.hash[s + k].view(np.int64)) for k in range(width) if m >> k & 1] for s, m in zip(starts.tolist(), masks.tolist(), strict=True)]
     return pa.array(values, pa.list_(pa.int64()))
 
 
-def _rows(ids: np.ndarray, words: Words, slot, starts, hashes, typed, width: int, id_name: str) -> pa.RecordBatch:
+def _rows(ids: np.ndarray, words: Words, starts, hashes, masks, width: int, id_name: str) -> pa.RecordBatch:
     row = np.searchsorted(words.rows, starts, "right") - 1
     return pa.RecordBatch.from_arrays(
         [
             pa.array(ids[row]), pa.array((starts - words.rows[row]).astype(np.int64)), pa.array(np.ascontiguousarray(hashes).view(np.int64)),
-            pa.array(typed), _slot_lists(words, slot, starts, typed, width),
+            pa.array(masks), _slot_lists(words, starts, masks, width),
         ],
-        names=[id_name, "at", "h", "typed", "slots"],
+        names=[id_name, "at", "h", "mask", "slots"],
     )
 
 
@@ -112,11 +123,11 @@ def _of_items(batch: pa.RecordBatch):
     for low, high, data, offsets in text_slices(batch.column(1)):
         counts = canonical(data, offsets)[0].counts
         for width in range(SHORTEST, WIDTH + 1):
-            words, slot, starts, hashes, typed = template_windows(data, offsets, width)
+            words, starts, hashes, masks = template_windows(data, offsets, width)
             row = np.searchsorted(words.rows, starts, "right") - 1
             own = np.minimum(counts, WIDTH)[row] == width
-            starts, hashes, typed, row = starts[own], hashes[own], typed[own], row[own]
-            part = _rows(ids[low:high], words, slot, starts, hashes, typed, width, "item_id")
+            starts, hashes, masks, row = starts[own], hashes[own], masks[own], row[own]
+            part = _rows(ids[low:high], words, starts, hashes, masks, width, "item_id")
             places = pa.array((counts[row] - width + 1).astype(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [*part.columns, pa.array(np.full(len(starts), width, np.int32)), places], names=[*part.schema.names, "width", "places"]
@@ -136,12 +147,12 @@ def _of_documents(wanted):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for low, high, data, offsets in text_slices(batch.column(1)):
                 for width, (sorted_hashes, seen) in tables.items():
-                    words, slot, starts, hashes, typed = template_windows(data, offsets, width)
+                    words, starts, hashes, masks = template_windows(data, offsets, width)
                     maybe = np.flatnonzero(seen[(hashes >> np.uint64(44)).astype(np.int64)])
                     at = np.minimum(np.searchsorted(sorted_hashes, hashes[maybe]), len(sorted_hashes) - 1)
                     hit = maybe[sorted_hashes[at] == hashes[maybe]]
                     if len(hit):
-                        yield _rows(ids[low:high], words, slot, starts[hit], hashes[hit], typed[hit], width, "doc_id")
+                        yield _rows(ids[low:high], words, starts[hit], hashes[hit], masks[hit], width, "doc_id")
 
     return run
 
@@ -151,7 +162,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, work: Staging) -> DataFrame:
     spark = tune(docs.sparkSession)
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).dropna()
     items = work.table(
-        items.mapInArrow(by_batch(_of_items), "item_id long, at long, h long, typed boolean, slots array<long>, width int, places long").distinct(),
+        items.mapInArrow(by_batch(_of_items), "item_id long, at long, h long, mask long, slots array<long>, width int, places long").distinct(),
         "items",
     )
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).dropna()
@@ -162,12 +173,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, work: Staging) -> DataFrame:
         rows = distinct.where(F.pmod(F.xxhash64("h"), F.lit(passes)) == number).toArrow()
         widths, hashes = rows.column("width").to_numpy(), rows.column("h").to_numpy().view(np.uint64)
         wanted = spark.sparkContext.broadcast({int(w): np.sort(hashes[widths == w]) for w in np.unique(widths)})
-        part = plain.mapInArrow(_of_documents(wanted), "doc_id long, at long, h long, typed boolean, slots array<long>")
+        part = plain.mapInArrow(_of_documents(wanted), "doc_id long, at long, h long, mask long, slots array<long>")
         found = part if found is None else found.union(part)
     found = work.table(found, "matches")
     matched = found.join(
-        items.select("item_id", F.col("at").alias("place"), "h", F.col("slots").alias("item_slots"), "places"), "h"
-    ).withColumn("diagonal", F.col("at") - F.col("place"))
+        items.select("item_id", F.col("at").alias("place"), "h", F.col("slots").alias("item_slots"), "places", "width", "mask"), ["h", "mask"]
+    ).withColumns({"diagonal": F.col("at") - F.col("place"), "typed": F.col("mask") > 0})
     matched = work.table(matched, "matched")
     key = ["doc_id", "item_id", "diagonal"]
     slots = (
@@ -175,8 +186,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, work: Staging) -> DataFrame:
         .select(*key, F.col("p.item_slots").alias("x"), F.col("p.slots").alias("y")).groupBy(*key, "x").agg(F.min("y").alias("least"), F.max("y").alias("most"))
     )
     clashes = slots.where("least <> most").select(*key).distinct().withColumn("clash", F.lit(True))
-    told = matched.select(*key, "place", "places", "typed", "at").join(clashes, key, "left")
-    told = told.where(~F.col("typed") | F.col("clash").isNull())
+    asis = matched.select(*key, "place", "mask", F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("k"), "width")
+    asis = asis.where(F.expr("shiftright(mask, k) & 1") == 0).groupBy(*key).agg(
+        (F.count_distinct(F.col("place") + F.col("k")) * 2 < F.least(F.max("width"), F.lit(WIDTH))).alias("thin")
+    )
+    told = matched.select(*key, "place", "places", "width", "typed", "at").join(clashes, key, "left").join(asis, key, "left")
+    told = told.where(~F.col("typed") | (F.col("clash").isNull() & ~F.col("thin")))
     places = told.groupBy("doc_id", "item_id", "place", "places").agg(F.max(~F.col("typed")).alias("plain"), F.min("at").alias("at"))
     shares = places.groupBy("doc_id", "item_id").agg(
         F.count(F.lit(1)).alias("covered"), F.sum(F.col("plain").cast("long")).alias("plain"),

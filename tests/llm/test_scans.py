@@ -116,6 +116,18 @@ def test_leaks_exact_and_reparameterised(spark):
     assert got == {(1, 1): ("exact", 1.0), (2, 1): ("reparameterised", 1.0), (3, 2): ("exact", 1.0), (5, 3): ("exact", 1.0)}
 
 
+def test_names_that_begin_sentences_and_dense_numbers(spark):
+    tom = "Tom has 5 apples. Tom buys 3 more pears. Tom gives 2 plums to Ann. How many fruits does Tom have?"
+    sum_ = "Compute 12 + 7 - 3 * 4 + 15 - 8 + 6 and round it to 2 places"
+    lea = tom.replace("Tom", "Lea").replace("Ann", "Bob").replace("5", "9").replace("3", "4").replace("2", "6")
+    rows = [
+        (1, f"Quiz: {lea}"), (2, "Compute 31 + 5 - 9 * 8 + 44 - 7 + 1 and round it to 3 places"), (3, "Compute " + "1 2 3 4 5 6 7 " * 9),
+        (4, lea.replace("Lea gives", "Max gives")),
+    ]
+    got = found(spark, C.frame(spark, rows), [(1, tom), (2, sum_)])
+    assert {k: v[0] for k, v in got.items()} == {(1, 1): "reparameterised", (2, 2): "reparameterised"}
+
+
 def test_no_documents_or_no_benchmark(spark):
     rows = C.frame(spark, C.corpus(1, 10))
     assert found(spark, rows, []) == {}
