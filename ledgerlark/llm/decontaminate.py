@@ -8,8 +8,10 @@ Every run of WIDTH words of a benchmark item is a template window (for shorter i
 and documents are hash-joined with them. Matches are gathered by diagonal, the distance between
 document and item position. On a diagonal with placeholders the slots must be consistent: an
 item's slot value always stands for the same value in the document. An item leaks if the windows
-on consistent diagonals make up at least LEAK of its windows; it is `exact` if the words as they
-are suffice, else `reparameterised`.
+on consistent diagonals make up at least LEAK of its windows, if the words they cover on diagonals
+at most WIDTH apart make up LEAK of its words, or if on one diagonal they cover RUN words with at
+most one other word between two of them; it is `exact` if the words as they are suffice, else
+`reparameterised`.
 
 The task that reads a document compares its windows with the sorted hashes of the items', so only
 matches are shuffled. That list travels to the tasks in slices of at most SLICE_HASHES (16 MB); a
@@ -23,13 +25,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerlark.llm.common import by_batch
 from ledgerlark.llm.words import ALNUM, Words, mix, split_words, text_slices, windows
 from ledgerlark.session import Staging, tune
 
-WIDTH, SHORTEST, LEAK = 8, 4, 0.5
+WIDTH, SHORTEST, LEAK, RUN = 8, 4, 0.5, 13
 SLICE_HASHES = 2_000_000
 # Unit words.
 UNITS = (
@@ -157,6 +159,26 @@ def _of_documents(wanted):
     return run
 
 
+def _covered_words(told: DataFrame, name: str) -> DataFrame:
+    """doc_id, item_id and whether the words under the windows (place, diagonal, width) are a leak."""
+    pair = ["doc_id", "item_id"]
+    told = told.select(*pair, "diagonal", "place", "width", "words").distinct()
+    along = Window.partitionBy(*pair, "diagonal").orderBy("place")
+    step = F.col("place") - F.lag("place").over(along)
+    runs = told.withColumn("step", step).withColumn("fresh", F.coalesce((F.col("step") > F.col("width") + 1).cast("int"), F.lit(1)))
+    runs = runs.withColumn("run", F.sum("fresh").over(along))
+    new = F.when(F.col("fresh") == 1, F.col("width")).otherwise(F.least("step", "width"))
+    runs = runs.groupBy(*pair, "diagonal", "run").agg(F.sum(new).alias("n")).groupBy(*pair).agg((F.max("n") >= RUN).alias("long"))
+    across = Window.partitionBy(*pair).orderBy("diagonal")
+    diagonals = told.select(*pair, "diagonal").distinct().withColumn("gap", F.col("diagonal") - F.lag("diagonal").over(across))
+    diagonals = diagonals.withColumn("band", F.sum(F.coalesce((F.col("gap") > WIDTH).cast("int"), F.lit(0))).over(across)).drop("gap")
+    words = told.join(diagonals, [*pair, "diagonal"]).withColumn("word", F.explode(F.sequence("place", F.col("place") + F.col("width") - 1)))
+    half = words.groupBy(*pair, "band", "words").agg(F.count_distinct("word").alias("n")).groupBy(*pair).agg(
+        F.max(F.col("n") >= LEAK * F.col("words")).alias("half")
+    )
+    return runs.join(half, pair).select(*pair, (F.col("long") | F.col("half")).alias(name))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, work: Staging) -> DataFrame:
     """doc_id, item_id, kind, coverage (share of the item's windows) and first_word of every leak."""
     spark = tune(docs.sparkSession)
@@ -190,15 +212,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, work: Staging) -> DataFrame:
     asis = asis.where(F.expr("shiftright(mask, k) & 1") == 0).groupBy(*key).agg(
         (F.count_distinct(F.col("place") + F.col("k")) * 2 < F.least(F.max("width"), F.lit(WIDTH))).alias("thin")
     )
-    told = matched.select(*key, "place", "places", "width", "typed", "at").join(clashes, key, "left").join(asis, key, "left")
+    told = matched.select(*key, "place", "places", "width", "typed", "at", (F.col("places") + F.col("width") - 1).alias("words")).join(clashes, key, "left").join(asis, key, "left")
     told = told.where(~F.col("typed") | (F.col("clash").isNull() & ~F.col("thin")))
+    told = work.table(told, "told")
     places = told.groupBy("doc_id", "item_id", "place", "places").agg(F.max(~F.col("typed")).alias("plain"), F.min("at").alias("at"))
     shares = places.groupBy("doc_id", "item_id").agg(
         F.count(F.lit(1)).alias("covered"), F.sum(F.col("plain").cast("long")).alias("plain"),
         F.max("places").alias("places"), F.min("at").alias("first_word"),
     )
-    return shares.where(F.col("covered") >= LEAK * F.col("places")).select(
-        "doc_id", "item_id",
-        F.when(F.col("plain") >= LEAK * F.col("places"), "exact").otherwise("reparameterised").alias("kind"),
+    pair = ["doc_id", "item_id"]
+    shares = shares.join(_covered_words(told, "any_words"), pair).join(_covered_words(told.where("not typed"), "plain_words"), pair, "left")
+    plain = (F.col("plain") >= LEAK * F.col("places")) | F.coalesce("plain_words", F.lit(False))
+    return shares.where((F.col("covered") >= LEAK * F.col("places")) | F.col("any_words")).select(
+        "doc_id", "item_id", F.when(plain, "exact").otherwise("reparameterised").alias("kind"),
         (F.col("covered") / F.col("places")).alias("coverage"), "first_word",
     )

@@ -116,6 +116,17 @@ def test_leaks_exact_and_reparameterised(spark):
     assert got == {(1, 1): ("exact", 1.0), (2, 1): ("reparameterised", 1.0), (3, 2): ("exact", 1.0), (5, 3): ("exact", 1.0)}
 
 
+def test_partial_and_edited_passages(spark):
+    long, short = C.prose(60, 60), C.prose(61, 16)
+    items = [(1, " ".join(long)), (2, " ".join(short))]
+    rows = [
+        (1, " ".join(C.prose(1, 30) + long[10:43])), (2, " ".join(C.prose(2, 9) + short[:8] + ["other"] + short[9:])),
+        (3, " ".join(long[:8] + ["other"] + long[9:17])), (4, " ".join(long[:12])), (5, " ".join(short[:7])),
+        (6, " ".join(long[:8] + C.prose(3, 5) + long[20:28])),
+    ]
+    assert {k: v[0] for k, v in found(spark, C.frame(spark, rows), items).items()} == {(1, 1): "exact", (2, 2): "exact", (3, 1): "exact"}
+
+
 def test_names_that_begin_sentences_and_dense_numbers(spark):
     tom = "Tom has 5 apples. Tom buys 3 more pears. Tom gives 2 plums to Ann. How many fruits does Tom have?"
     sum_ = "Compute 12 + 7 - 3 * 4 + 15 - 8 + 6 and round it to 2 places"
