@@ -13,6 +13,7 @@ from ledgerlark.llm.licenses import scan_licenses
 from ledgerlark.llm.mixing import MIX_SQL, mix
 from ledgerlark.llm.near_dups import near_duplicates
 from ledgerlark.llm.neighbours import nearest
+from ledgerlark.llm.personal import find_personal, personal_digest
 from ledgerlark.llm.sharding import SHARD_SQL, assign_shards
 from ledgerlark.llm.substrings import repeated_passages
 from ledgerlark.llm.token_files import read_tokens, write_tokens
@@ -73,11 +74,15 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(work.table(format_chats(rows.union(hard)).select("conv_id", "formatted", "mask", "identical"), "chats"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_digest(find_personal(documents(spark, sf_dir), ["doc_id"]))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_near_duplicates, op2_shards, op3_nearest, op4_licenses, op5_repeated_passages, op6_language, op7_leaks, op8_token_files,
-        op9_mix, op10_chat,
+        op9_mix, op10_chat, op11_personal_data,
     )
 } | {"pipeline": corpus_pipeline.run}
 
