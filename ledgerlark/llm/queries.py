@@ -15,6 +15,7 @@ from ledgerlark.llm.near_dups import near_duplicates
 from ledgerlark.llm.neighbours import nearest
 from ledgerlark.llm.personal import find_personal, personal_digest
 from ledgerlark.llm.sharding import SHARD_SQL, assign_shards
+from ledgerlark.llm.spelling import spelling_variants
 from ledgerlark.llm.substrings import repeated_passages
 from ledgerlark.llm.token_files import read_tokens, write_tokens
 from ledgerlark.session import Staging
@@ -78,11 +79,15 @@ def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_digest(find_personal(documents(spark, sf_dir), ["doc_id"]))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(documents(spark, sf_dir), Staging(spark, "op13"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_near_duplicates, op2_shards, op3_nearest, op4_licenses, op5_repeated_passages, op6_language, op7_leaks, op8_token_files,
-        op9_mix, op10_chat, op11_personal_data,
+        op9_mix, op10_chat, op11_personal_data, op13_spelling_variants,
     )
 } | {"pipeline": corpus_pipeline.run}
 
