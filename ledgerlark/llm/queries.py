@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
+from ledgerlark.llm.alignment import align_tokenizers
 from ledgerlark.llm.chat import CHAT_SQL, digests, format_chats
 from ledgerlark.llm.common import documents, table
 from ledgerlark.llm.decontaminate import leaks
@@ -79,6 +80,13 @@ def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_digest(find_personal(documents(spark, sf_dir), ["doc_id"]))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return align_tokenizers(documents(spark, sf_dir), Staging(spark, "op12"), *paths)[0]
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(documents(spark, sf_dir), Staging(spark, "op13"))
 
@@ -87,7 +95,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_near_duplicates, op2_shards, op3_nearest, op4_licenses, op5_repeated_passages, op6_language, op7_leaks, op8_token_files,
-        op9_mix, op10_chat, op11_personal_data, op13_spelling_variants,
+        op9_mix, op10_chat, op11_personal_data, op12_alignment, op13_spelling_variants,
     )
 } | {"pipeline": corpus_pipeline.run}
 

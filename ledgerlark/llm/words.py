@@ -101,6 +101,14 @@ def split_words(data: np.ndarray, offsets: np.ndarray, letters: np.ndarray, fold
     return Words(data, start, end, hashes, np.searchsorted(start, offsets))
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the bytes start[i]..end[i] of one slice; equal bytes have equal hashes in every slice."""
+    n = len(data)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTE[data] * _power("up", n), out=sums[1:])
+    return mix((sums[end] - sums[start]) * _power("down", n + 1)[start] + (end - start).astype(np.uint64) * np.uint64(0x632BE59BD9B4E019))
+
+
 def windows(words: Words, width: int, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """First word and hash of every run of `width` words within one text."""
     h = words.hash if hashes is None else hashes
