@@ -34,8 +34,8 @@ from ledgerlark.llm.words import split_words, text_slices
 from ledgerlark.session import Staging, tune
 
 LEAST_CHARS, LEAST_COUNT, TIMES, SPOILED = 6, 5, 5, 199
-LEAF_WORDS = 2000
-SLICE_BYTES = 1 << 23
+LEAF_WORDS = 500
+SLICE_BYTES = 1 << 21
 PREFIX_STEP = 8
 TASK_WORDS = 25_000
 _SHORT = 64
