@@ -26,7 +26,7 @@ def _bound(query):
 
 
 def _load() -> None:
-    from checks import basics, given, models, reports, warehouse  # noqa: F401
+    from checks import basics, given, models, reports, streams, warehouse  # noqa: F401
 
 
 def all_queries() -> dict[str, Callable]:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    ArrayType, DateType, DecimalType, DoubleType, IntegerType, StringType, StructField, StructType,
+    ArrayType, DateType, DecimalType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType,
 )
 
 KEY = StringType()
@@ -47,6 +47,9 @@ MODEL_RECORD = StructType([
     StructField("random_forest_cv_roc_auc_std", DoubleType()),
     StructField("churn_feature_columns", ArrayType(StringType())),
 ])
+EVENTS = _struct(
+    event_id=LongType(), ts=TimestampNTZType(), user_id=LongType(), event_type=StringType(), value=DoubleType(), props=StringType(),
+)
 
 
 def as_text(schema: StructType, *names: str) -> StructType:

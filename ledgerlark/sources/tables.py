@@ -138,41 +138,48 @@ _CURRENT = "CURRENT"
 def write_star(spark: SparkSession, folder: str, dims: dict[str, DataFrame], sales: DataFrame) -> None:
     """Load dimensions and fact as a new version of the star and make it the current one.
 
-    A version is a folder of its own. The last step replaces one small file that names it, so
-    readers find the old star whole until they find the new one, on any file system. The version
-    before stays for those who still read it; older ones are deleted.
+    A version is a folder of its own. The last step renames a small file over `CURRENT`, which
+    names the version and the one before: on file systems that rename atomically, readers find the
+    old star whole until they find the new one. The version before stays for those who still read
+    it; the one before that is deleted, and nothing that another load has not yet named. Of loads
+    that end at the same time the last one counts, and the versions of the others stay behind.
     """
     root = folder.rstrip("/")
-    before = _current_version(spark, root)
     version = f"v-{uuid.uuid4().hex}"
     for name, df in dims.items():
         write_parquet(df, f"{root}/{version}/{name}")
     write_sales(sales, f"{root}/{version}/fact_sales")
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{_CURRENT}")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    out = fs.create(path, True)
+    before = _named_versions(spark, root)
+    jvm = spark.sparkContext._jvm
+    beside, path = (jvm.org.apache.hadoop.fs.Path(f"{root}/{x}") for x in (f".{_CURRENT}-{version}", _CURRENT))
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    fs = path.getFileSystem(configuration)
+    out = fs.create(beside, True)
     try:
-        out.write(bytearray(version.encode()))
+        out.write(bytearray("\n".join([version, *before[:1]]).encode()))
     finally:
         out.close()
-    for found in fs.listStatus(path.getParent()):
-        if found.isDirectory() and found.getPath().getName() not in (version, before):
-            fs.delete(found.getPath(), True)
+    kinds = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    kinds[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), configuration).rename(beside, path, kinds)
+    for old in before[1:]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/{old}"), True)
 
 
-def _current_version(spark: SparkSession, root: str) -> str | None:
+def _named_versions(spark: SparkSession, root: str) -> list[str]:
+    """The current version and the one before, as far as there are any."""
     if not path_exists(spark, f"{root}/{_CURRENT}"):
-        return None
-    return spark.read.text(f"{root}/{_CURRENT}").first()[0]
+        return []
+    return [r[0] for r in spark.read.text(f"{root}/{_CURRENT}", wholetext=True).select(F.explode(F.split("value", "\n"))).collect()]
 
 
 def star_path(spark: SparkSession, folder: str, table: str) -> str:
     """Where a table of the current star lies."""
     root = folder.rstrip("/")
-    version = _current_version(spark, root)
-    if version is None:
+    versions = _named_versions(spark, root)
+    if not versions:
         raise FileNotFoundError(f"no star was loaded to {folder}")
-    return f"{root}/{version}/{table}"
+    return f"{root}/{versions[0]}/{table}"
 
 
 def read_star(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -207,7 +214,7 @@ def latest_per_key(updates: DataFrame, key: str, order: list[str], partial: bool
 def upsert(target: DataFrame, updates: DataFrame, key: str, order: list[str], partial: bool = False) -> DataFrame:
     """Documents after keyed upserts: fields of the update are set, the others kept, new keys added.
 
-    The last write per key wins. An update supplies all columns of `updates` except those of
+    The last write per key wins; documents without a key are one document. An update supplies all columns of `updates` except those of
     `order` that the target does not have; with `partial` it supplies only those not null.
     """
     last = latest_per_key(updates, key, order, partial).withColumn("_new", F.lit(True))
@@ -223,4 +230,4 @@ def upsert(target: DataFrame, updates: DataFrame, key: str, order: list[str], pa
             columns.append(F.coalesce(F.col(f"u.{c}"), F.col(f"t.{c}")).alias(c))
         else:
             columns.append(F.when(F.col("_new"), F.col(f"u.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
-    return t.join(u, F.col(f"t.{key}") == F.col(f"u.{key}"), "full").select(*columns)
+    return t.join(u, F.col(f"t.{key}").eqNullSafe(F.col(f"u.{key}")), "full").select(*columns)
