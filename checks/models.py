@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from checks.catalog import add
 from checks.oracle import dbl, div, int_, r6
 from checks.tables import plain, rounded
-from ledgerlark.operators import churn, explain, metrics, segments
+from ledgerlark.operators import churn, explain, metrics, segments, silhouettes
 from ledgerlark.operators.churn import CHURN_FEATURE_COLUMNS
 from ledgerlark.operators.segments import SEGMENT_FEATURES
-from ledgerlark.session import staging_path
+from ledgerlark.session import Staging, staging_path
 
 # --- G: segmentation ---
 
@@ -47,6 +47,39 @@ SILHOUETTE_SQL = f"""SELECT * FROM (
     SELECT 'cluster' AS labels, {r6('AVG(CASE WHEN size = 1 THEN 0 ELSE (outer_gap - inner_gap) / GREATEST(inner_gap, outer_gap) END)')} AS silhouette FROM gaps)"""
 PROFILE = f"""(SELECT cluster, {div('SUM(recency_days)', 'COUNT(*)')} AS recency_days, {div('SUM(frequency)', 'COUNT(*)')} AS frequency,
                {div('SUM(monetary)', 'COUNT(*)')} AS monetary FROM segs GROUP BY cluster)"""
+LABELLED = f"""(SELECT customer_id, {Z_POINTS}, cluster, CASE WHEN recency_days <= 180 THEN 0 ELSE 1 END AS recent,
+    CASE WHEN frequency > 10 THEN 0 WHEN frequency > 5 THEN 1 ELSE 2 END AS often FROM segs)"""
+
+
+def _euclidean_sql(column: str) -> str:
+    """The formula, row by row against row."""
+    return f"""SELECT '{column}' AS labels, {r6('AVG(CASE WHEN inner_gap IS NULL OR GREATEST(inner_gap, outer_gap) = 0 THEN 0 ELSE (outer_gap - inner_gap) / GREATEST(inner_gap, outer_gap) END)')} AS silhouette FROM (
+        SELECT id, MAX(CASE WHEN own = other THEN total / NULLIF(n - 1, 0) END) AS inner_gap, MIN(CASE WHEN own <> other THEN total / n END) AS outer_gap FROM (
+            SELECT a.customer_id AS id, a.{column} AS own, b.{column} AS other, COUNT(*) AS n,
+                   SUM(SQRT((a.z0 - b.z0) * (a.z0 - b.z0) + (a.z1 - b.z1) * (a.z1 - b.z1) + (a.z2 - b.z2) * (a.z2 - b.z2))) AS total
+            FROM {LABELLED} a, {LABELLED} b GROUP BY 1, 2, 3) GROUP BY id)"""
+
+
+def _labelled(t):
+    r, f = F.col("recency_days"), F.col("frequency")
+    vectors, _ = segments.prepare_features(t.segments)
+    return vectors.withColumns({
+        "recent": F.when(r <= 180, 0).otherwise(1), "often": F.when(f > 10, 0).when(f > 5, 1).otherwise(2),
+    })
+
+
+LABELS = ["cluster", "recent", "often"]
+SCALED = [f"{c}_z" for c in SEGMENT_FEATURES]
+
+
+def _euclidean(t):
+    return rounded(silhouettes.euclidean_silhouette(_labelled(t), SCALED, LABELS, Staging(t.spark, "silhouettes")), "silhouette")
+
+
+def _chosen_labels(t):
+    return rounded(silhouettes.choose_labels(_labelled(t), SCALED, LABELS, Staging(t.spark, "silhouettes")), "silhouette")
+
+
 BY_SEGMENT = PROFILE.replace("cluster", "segment")
 
 
@@ -60,6 +93,8 @@ add("g01_scaling", _scaled, "SELECT customer_id, " + ", ".join(f"{r6(_z(c, 'rfm'
 add("g02_kmeans_centers", _centers)
 add("g03_inertia", lambda t: t.sweep.table(t.spark).select("k", "inertia"))
 add("g04_silhouette", _given_silhouette, SILHOUETTE_SQL)
+add("g04_euclidean_silhouette", _euclidean, " UNION ALL ".join(_euclidean_sql(c) for c in LABELS))
+add("g05_given_labels", _chosen_labels, f"SELECT * FROM ({' UNION ALL '.join(_euclidean_sql(c) for c in LABELS)}) ORDER BY silhouette DESC, labels LIMIT 1")
 add("g05_choose_k", lambda t: t.sweep.table(t.spark))
 add("g06_cluster_profile", lambda t: segments.profile_clusters(t.segments), f"SELECT * FROM {PROFILE}")
 add("g07_label_segments", lambda t: segments.label_segments(segments.profile_clusters(t.segments)),

@@ -13,7 +13,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerlark.functions.numeric import mean
-from ledgerlark.session import in_threads, tune
+from ledgerlark.operators.silhouettes import choice_is_certain, silhouette_bounds
+from ledgerlark.session import Staging, in_threads, tune
 
 SEGMENT_FEATURES = ["recency_days", "frequency", "monetary"]
 MAX_CLUSTERS = 1000
@@ -117,7 +118,11 @@ class Sweep:
 def choose_k(
     vectors: DataFrame, key: str = "customer_id", ks=range(4, 8), eligible=range(4, 8), seed: int = 42, restarts: int = 10
 ) -> Sweep:
-    """Fit every k and choose the highest silhouette (of all rows) among the eligible, the smallest k on ties."""
+    """Fit every k and choose the highest Euclidean silhouette of all rows among the eligible, the smallest k on ties.
+
+    The silhouettes are refined until no other eligible k can be higher; the values of the sweep
+    are exact where there are few different rows, and else within the bounds that settled the choice.
+    """
     spark = tune(vectors.sparkSession)
     points = vectors.select(key, "features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -130,10 +135,14 @@ def choose_k(
         flat = placed.withColumn("_v", vector_to_array("features")).select(
             *[F.col("_v")[i].alias(f"x{i}") for i in range(width)], *[f"k{k}" for k in models]
         )
-        found = squared_silhouette(flat, [f"x{i}" for i in range(width)], [f"k{k}" for k in models]).collect()
+        names = [f"k{k}" for k in models if k in eligible]
+        with Staging(spark, "silhouettes") as work:
+            found = silhouette_bounds(
+                flat, [f"x{i}" for i in range(width)], [f"k{k}" for k in models], work, lambda bounds: choice_is_certain(bounds, names)
+            )
     finally:
         points.unpersist()
-    scores = {int(r["labels"][1:]): r["silhouette"] for r in found}
+    scores = {k: found[f"k{k}"].value for k in models}
     ranked = [k for k in sorted(models) if k in eligible and scores[k] is not None]
     best = max(ranked, key=lambda k: (scores[k], -k))
     return Sweep(models, {k: m.summary.trainingCost for k, m in models.items()}, scores, best)
