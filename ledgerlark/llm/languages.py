@@ -9,6 +9,10 @@ Letters are lower-cased and folded to 63 symbols (a-z apart, others by code poin
 other characters is one blank. Training counts trigrams of all labelled texts, so it has no
 sample and its exact integer sums do not depend on the order of rows.
 
+`evidence` says how many different trigrams speak: (sum of counts) ** 2 / sum of squared counts, so
+that a word repeated a thousand times says no more than once, and a long text without blanks as
+much as one with them. `unlike` uses it to tell texts in no learned language from short ones.
+
 A text that is null or has no letter is `und` with score 0, as is every text when nothing could
 be learned. Rows stay as they are, repeated ones too; other columns are ignored or kept.
 """
@@ -27,6 +31,7 @@ DIMENSIONS = 512
 SYMBOLS = 64
 GRAMS = SYMBOLS**3
 UNKNOWN = "und"
+LEAST_COSINE, HALF_EVIDENCE = 0.15, 10.0
 _CACHED_GRAMS = 40_000
 
 
@@ -151,11 +156,15 @@ def _classify(prototypes: dict[str, list[float]]):
                 at = np.zeros(GRAMS, np.int32)
                 at[known] = np.arange(len(known))
                 bundles = np.zeros((high - low, DIMENSIONS), np.float32)
+                evidence = np.zeros(high - low)
                 for first in range(0, high - low, 256):
                     lo, hi = np.searchsorted(row, [first, min(first + 256, high - low)])
                     n = min(256, high - low - first)
                     counts = np.bincount((row[lo:hi] - first) * len(known) + at[grams[lo:hi]], minlength=n * len(known))
                     if len(known):
+                        table = counts.reshape(n, -1).astype(np.float64)
+                        squares = np.einsum("ij,ij->i", table, table)
+                        evidence[first : first + n] = table.sum(axis=1) ** 2 / np.maximum(squares, 1)
                         bundles[first : first + n] = counts.reshape(n, -1).astype(np.float32) @ memory.of(known)
                 cosines = bundles @ space.T.astype(np.float32) / np.maximum(np.linalg.norm(bundles, axis=1, keepdims=True), 1e-30)
                 said = lettered if names else np.zeros(high - low, bool)
@@ -164,23 +173,32 @@ def _classify(prototypes: dict[str, list[float]]):
                 lang = [names[b] if s else UNKNOWN for b, s in zip(best.tolist(), said.tolist(), strict=True)]
                 part = batch.slice(low, high - low)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[1:], pa.array(lang, pa.string()), pa.array(np.where(said, score, 0.0).astype(np.float64))],
-                    names=[*part.schema.names[1:], "lang_pred", "score"],
+                    [*part.columns[1:], pa.array(lang, pa.string()), pa.array(np.where(said, score, 0.0).astype(np.float64)), pa.array(evidence)],
+                    names=[*part.schema.names[1:], "lang_pred", "score", "evidence"],
                 )
 
     return run
 
 
 def identify(docs: DataFrame, prototypes: dict[str, list[float]], carry: list[str], text: str = "text") -> DataFrame:
-    """The columns `carry`, then lang_pred and score (0 to 1) of each document.
+    """The columns `carry`, then lang_pred, score (0 to 1) and evidence of each document.
 
-    A carried column named lang_pred or score would clash and is refused.
+    A carried column of one of these names would clash and is refused.
     """
-    if {"lang_pred", "score"} & set(carry):
-        raise ValueError("lang_pred and score are the operator's own columns")
+    if {"lang_pred", "score", "evidence"} & set(carry):
+        raise ValueError("lang_pred, score and evidence are the operator's own columns")
     chosen = docs.select(F.col(f"`{text}`").cast("string").alias("_text"), *[F.col(f"`{c}`") for c in carry])
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[1:])
-    return chosen.mapInArrow(_classify(prototypes), f"{fields}, lang_pred string, score double")
+    return chosen.mapInArrow(_classify(prototypes), f"{fields}, lang_pred string, score double, evidence double")
+
+
+def unlike(least: float = LEAST_COSINE, half: float = HALF_EVIDENCE):
+    """Whether a text's cosine is below what its evidence asks for: half of `least` at `half` trigrams.
+
+    Chance gives a cosine of about 1 / sqrt(DIMENSIONS) however long the text is, while that of a
+    text in a learned language grows with its trigrams; so the bound grows with them too.
+    """
+    return F.col("score") < F.lit(least) * F.col("evidence") / (F.col("evidence") + F.lit(half))
 
 
 def held_out(doc_id: str = "doc_id"):

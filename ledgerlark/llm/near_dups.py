@@ -19,7 +19,9 @@ only if it is no candidate in all of the 24 orders, one of its ends is in no cro
 other chain of links joins its ends.
 
 Null, empty and blank texts have an empty set and link with nothing. Repeated rows of one doc_id
-are repeated in the result. Other columns of the input are ignored.
+are repeated in the result. Rows of one doc_id with different texts are one document in several
+versions: each is compared, and what is linked with one of them is linked with all. Rows without
+doc_id have no component. Other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from ledgerlark.session import Staging, tune
 SHINGLE = 5
 TREES, DEPTH, SHALLOW, REGION, REACH = 24, 5, 2, 8, 2
 SLOTS = TREES * DEPTH
+KEYS = ["k1", "k2", "n_shingles"]
 #: A pair goes on to its full sets if this share of minima agrees: five standard errors below 0.75.
 LOOK = 0.55
 ROWS_PER_RANGE = 200_000
@@ -77,7 +80,7 @@ def _signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 def _sign(size: int):
     def run(batch: pa.RecordBatch):
-        ids = batch.column(0)
+        ids, marks = batch.column(0), batch.column(2)
         for low, high, data, offsets in text_slices(batch.column(1)):
             sets = shingle_sets(data, offsets, size)
             n = np.array([len(s) for s in sets], np.int64)
@@ -90,8 +93,11 @@ def _sign(size: int):
                     keys[0, r] = np.sum(mix(sets[r] + np.uint64(1)))
                     keys[1, r] = np.sum(mix(sets[r] ^ np.uint64(0x5851F42D4C957F2D)))
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(low, high - low), pa.array(n), longs(keys[0]), longs(keys[1]), pa.array(signs, pa.binary())],
-                names=["doc_id", "n_shingles", "k1", "k2", "sign"],
+                [
+                    ids.slice(low, high - low), marks.slice(low, high - low), pa.array(n), longs(keys[0]), longs(keys[1]),
+                    pa.array(signs, pa.binary()),
+                ],
+                names=["doc_id", "mark", "n_shingles", "k1", "k2", "sign"],
             )
 
     return by_batch(run)
@@ -283,12 +289,45 @@ def near_duplicates(docs: DataFrame, work: Staging, percent: int = 75, size: int
     Documents are linked if 100 * intersection >= percent * union of their shingle sets; `percent`
     should be 75 or more, which the number of orders is made for. The result reads tables in `work`.
     """
-    spark = tune(docs.sparkSession)
+    tune(docs.sparkSession)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = work.table(
-        plain.mapInArrow(_sign(size), "doc_id long, n_shingles long, k1 long, k2 long, sign binary"), "signed"
+        plain.withColumn("mark", F.xxhash64("text"))
+        .mapInArrow(_sign(size), "doc_id long, mark long, n_shingles long, k1 long, k2 long, sign binary"), "signed"
     )
-    keys = ["k1", "k2", "n_shingles"]
+    sets = signed.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(
+        F.min(F.struct(*KEYS)).alias("least"), F.max(F.struct(*KEYS)).alias("most")
+    )
+    several = work.table(sets.where("least <> most").select("doc_id", F.col("least.k1").alias("_k1"), F.col("least.k2").alias("_k2")), "several")
+    if several.isEmpty():
+        return _linked(plain, signed, work, percent, size)
+    # Versions get ids of their own, above all others, but for one that keeps the document's.
+    own = F.when((F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")), F.col("doc_id")).otherwise(
+        F.lit(1 << 62) + F.pmod(F.xxhash64("doc_id", "k1", "k2"), F.lit(1 << 61))
+    )
+    versions = work.table(
+        signed.where("n_shingles > 0").join(several, "doc_id").select("doc_id", "mark", own.alias("id")).distinct(), "versions"
+    )
+
+    def renamed(rows: DataFrame) -> DataFrame:
+        return rows.join(versions, ["doc_id", "mark"], "left").withColumn("doc_id", F.coalesce("id", "doc_id")).drop("id")
+
+    apart = renamed(plain.withColumn("mark", F.xxhash64("text"))).drop("mark")
+    linked = work.table(_linked(apart, renamed(signed), work, percent, size), "linked")
+    ids = versions.select(F.col("doc_id").alias("a"), F.col("id").alias("b")).distinct()
+    edges = ids.union(linked.join(ids.select(F.col("b").alias("doc_id")), "doc_id", "left_semi").select("component_id", "doc_id"))
+    roots = components(edges, work, "versions-roots")
+    result = linked.join(ids.select(F.col("b").alias("doc_id"), F.col("a").alias("_of")), "doc_id", "left")
+    result = result.withColumn("doc_id", F.coalesce("_of", "doc_id")).join(
+        roots.select(F.col("node").alias("component_id"), "root"), "component_id", "left"
+    )
+    component = F.coalesce("root", "component_id")
+    return result.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+
+
+def _linked(plain: DataFrame, signed: DataFrame, work: Staging, percent: int, size: int) -> DataFrame:
+    """`near_duplicates` where all texts of a doc_id have the same set."""
+    keys = KEYS
     classes = work.table(
         signed.where("n_shingles > 0 and doc_id is not null").groupBy(*keys).agg(F.min("doc_id").alias("rep")), "classes"
     )

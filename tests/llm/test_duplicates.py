@@ -57,6 +57,16 @@ def test_repeated_rows_and_empty_tables(spark):
     assert near(C.frame(spark, [])) == {}
 
 
+def test_an_id_with_several_texts_links_them_all(spark):
+    a, b, c = (C.prose(i, 120) for i in (21, 22, 23))
+    almost = [" ".join([*x[:-1], "other"]) for x in (a, b, c)]
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (2, almost[1]), (3, almost[0]), (4, almost[2]), (9, " ".join(c)), (5, " ".join(a)), (5, None), (7, "alone here")]
+    for parts in (1, 4):
+        got = near_duplicates(C.frame(spark, rows).repartition(parts), Staging(spark, "t")).collect()
+        assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == [
+            (2, 2, True), (3, 2, False), (4, 4, True), *[(5, 2, False)] * 4, (7, 7, True), (9, 4, False)]
+
+
 def test_components_of_long_chains(spark):
     r = random.Random(3)
     edges = [(i, i + 1) for i in range(0, 400)] + [(500, 500 + i) for i in range(1, 200)] + [(900, 901), (901, 900)]
