@@ -13,12 +13,16 @@ at most WIDTH apart make up LEAK of its words, or if on one diagonal they cover
 most one other word between two of them; it is `exact` if the words as they are suffice, else
 `reparameterised`.
 
-The task that reads a document compares its windows with the sorted hashes of the items', so only
-matches are shuffled. That list travels to the tasks in slices of at most SLICE_HASHES (16 MB); a
-larger benchmark is compared in several passes over the documents.
+Documents are read and canonicalised once, whatever the size of the benchmark. The hashes of the
+items' windows become a bitmap of 2 ** BITMAP_BITS bits, built by Spark, that travels to the tasks:
+at most 16 MB, and only as much as has bits set. Windows that meet it, and a share of others that grows
+with the benchmark, are written and then merge-joined with the items by hash. A window shorter than
+WIDTH is its whole item, so each document tells it once; all other matches are told once for each place.
 
-Null and empty texts, and items of fewer than SHORTEST words, match nothing. Typed windows need
-one word as it is, and on their diagonal half of WIDTH different places that hold words as they are. Repeated rows count once; an empty benchmark finds nothing.
+Null, empty and wordless texts and items match nothing. Items of fewer than LEAST_TYPED words match
+as they are only, as a whole. Typed windows need one word as it is, and on their diagonal half of
+WIDTH different places that hold words as they are. Repeated rows count once, rows of one doc_id
+add up, rows without doc_id or item_id are left out; an empty benchmark finds nothing.
 """
 
 from __future__ import annotations
@@ -27,12 +31,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerlark.llm.common import by_batch
+from ledgerlark.llm.common import by_batch, grown
 from ledgerlark.llm.words import ALNUM, Words, mix, split_words, text_slices, windows
 from ledgerlark.session import Staging, tune
 
-WIDTH, SHORTEST, LEAK, RUN = 8, 4, 0.5, 13
-SLICE_HASHES = 2_000_000
+WIDTH, LEAST_TYPED, LEAK, RUN = 8, 4, 0.5, 13
+BITMAP_BITS, _BUCKET_BITS = 27, 15  # Spark's bitmaps hold 2 ** 15 bits each
 # Unit words.
 UNITS = (
     "mm cm m km inch inches foot feet yard yards mile miles mg g kg ounce ounces pound pounds ton tons ml l liter liters litre litres "
@@ -61,7 +65,11 @@ def canonical(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, list[tuple[
     inside = ALNUM[data]
     digit = _DIGIT[data]
     if len(data) > 2:
-        inside[1:-1] |= _POINT[data[1:-1]] & digit[:-2] & digit[2:]
+        between = _POINT[data[1:-1]] & digit[:-2] & digit[2:]
+        # A text's first and last byte stand between no two digits of it.
+        for edge in (offsets[:-1] - 1, offsets[1:] - 2):
+            between[edge[(edge >= 0) & (edge < len(between))]] = False
+        inside[1:-1] |= between
     words = split_words(data, offsets, ALNUM, fold=True, inside=inside)
     digits, breaks = np.zeros(len(data) + 1, np.int64), np.zeros(len(data) + 1, np.int64)
     np.cumsum(digit, out=digits[1:])
@@ -82,12 +90,11 @@ def canonical(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, list[tuple[
     return words, forms
 
 
-def template_windows(data: np.ndarray, offsets: np.ndarray, width: int):
-    """Windows of all forms: words, first word, hash, and which of its words are placeholders (one bit each)."""
-    words, forms = canonical(data, offsets)
+def template_windows(words: Words, forms: list[tuple[np.ndarray, np.ndarray]], width: int):
+    """Windows of all forms: first word, hash, and which of its words are placeholders (one bit each)."""
     first, plain = windows(words, width)
     starts, hashes, masks, before = [first], [plain], [np.zeros(len(first), np.int64)], None
-    for typed, slot in forms:
+    for typed, slot in forms if width >= LEAST_TYPED else []:
         _, other = windows(words, width, typed)
         mask = np.zeros(len(first), np.int64)
         for k in range(width):
@@ -99,13 +106,15 @@ def template_windows(data: np.ndarray, offsets: np.ndarray, width: int):
         starts.append(first[use])
         hashes.append(mix(other[use] ^ np.uint64(0x2545F4914F6CDD1D)))
         masks.append(mask[use])
-    return words, np.concatenate(starts), np.concatenate(hashes), np.concatenate(masks)
+    return np.concatenate(starts), np.concatenate(hashes), np.concatenate(masks)
 
 
 def _slot_lists(words: Words, starts: np.ndarray, masks: np.ndarray, width: int) -> pa.Array:
     """Hashes of the words behind the placeholders of each typed window."""
-    values = [[int(words.hash[s + k].view(np.int64)) for k in range(width) if m >> k & 1] for s, m in zip(starts.tolist(), masks.tolist(), strict=True)]
-    return pa.array(values, pa.list_(pa.int64()))
+    held = (masks[:, None] >> np.arange(width)) & 1 == 1
+    values = words.hash[(starts[:, None] + np.arange(width))[held]]
+    offsets = np.concatenate([[0], np.cumsum(held.sum(axis=1))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(values).view(np.int64)))
 
 
 def _rows(ids: np.ndarray, words: Words, starts, hashes, masks, width: int, id_name: str) -> pa.RecordBatch:
@@ -123,9 +132,10 @@ def _of_items(batch: pa.RecordBatch):
     """Template windows of benchmark items, with their width and how many places the item has."""
     ids = batch.column(0).to_numpy(zero_copy_only=False)
     for low, high, data, offsets in text_slices(batch.column(1)):
-        counts = canonical(data, offsets)[0].counts
-        for width in range(SHORTEST, WIDTH + 1):
-            words, starts, hashes, masks = template_windows(data, offsets, width)
+        words, forms = canonical(data, offsets)
+        counts = words.counts
+        for width in range(1, WIDTH + 1):
+            starts, hashes, masks = template_windows(words, forms, width)
             row = np.searchsorted(words.rows, starts, "right") - 1
             own = np.minimum(counts, WIDTH)[row] == width
             starts, hashes, masks, row = starts[own], hashes[own], masks[own], row[own]
@@ -137,28 +147,52 @@ def _of_items(batch: pa.RecordBatch):
 
 
 def _of_documents(wanted):
-    """Windows of documents whose hash is wanted: a broadcast of width -> sorted hashes."""
+    """Windows of documents that meet the bitmaps of a broadcast: width -> (buckets, their bits)."""
 
     def run(batches):
-        tables = {}
-        for width, hashes in wanted.value.items():
-            seen = np.zeros(1 << 20, bool)
-            seen[(hashes >> np.uint64(44)).astype(np.int64)] = True
-            tables[width] = (hashes, seen)
+        bits = {}
+        for width, (buckets, maps) in wanted.value.items():
+            own = bits[width] = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
+            for bucket, held in zip(buckets, maps, strict=True):
+                own[bucket << (_BUCKET_BITS - 3) :][: len(held)] = np.frombuffer(held, np.uint8)
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for low, high, data, offsets in text_slices(batch.column(1)):
-                for width, (sorted_hashes, seen) in tables.items():
-                    words, starts, hashes, masks = template_windows(data, offsets, width)
-                    maybe = np.flatnonzero(seen[(hashes >> np.uint64(44)).astype(np.int64)])
-                    at = np.minimum(np.searchsorted(sorted_hashes, hashes[maybe]), len(sorted_hashes) - 1)
-                    hit = maybe[sorted_hashes[at] == hashes[maybe]]
+                words, forms = canonical(data, offsets)
+                for width, held in bits.items():
+                    starts, hashes, masks = template_windows(words, forms, width)
+                    place = hashes >> np.uint64(64 - BITMAP_BITS)
+                    hit = np.flatnonzero(held[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
+                    if width < WIDTH and len(hit):
+                        row = np.searchsorted(words.rows, starts[hit], "right") - 1
+                        order = np.lexsort((starts[hit], hashes[hit], row))
+                        fresh = np.ones(len(hit), bool)
+                        fresh[1:] = (row[order][1:] != row[order][:-1]) | (hashes[hit][order][1:] != hashes[hit][order][:-1])
+                        hit = hit[order[fresh | (masks[hit][order] > 0)]]
                     if len(hit):
                         yield _rows(ids[low:high], words, starts[hit], hashes[hit], masks[hit], width, "doc_id")
 
     return run
 
 
+def _bitmaps(items: DataFrame) -> dict[int, tuple[list[int], list[bytes]]]:
+    """width -> (bucket, bitmap) of the items' hashes: at most WIDTH times 2 ** (BITMAP_BITS - 15) rows of 4 KB.
+
+    A hash's bit is its upper BITMAP_BITS bits.
+    """
+    # Spark numbers buckets from 1 and bits of a bucket from 0 for positive values.
+    place = F.shiftrightunsigned("h", 64 - BITMAP_BITS) + 1
+    rows = items.select("width", place.alias("place")).groupBy("width", F.expr("bitmap_bucket_number(place)").alias("bucket")).agg(
+        F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("bits")
+    ).toArrow()
+    out: dict[int, tuple[list[int], list[bytes]]] = {}
+    for width, bucket, bits in zip(*(rows.column(c).to_pylist() for c in ("width", "bucket", "bits")), strict=True):
+        own = out.setdefault(width, ([], []))
+        own[0].append(bucket - 1)
+        own[1].append(bits.rstrip(b"\0"))
+    return out
+
+
 def _covered_words(told: DataFrame, name: str) -> DataFrame:
     """doc_id, item_id and whether the words under the windows (place, diagonal, width) are a leak."""
     pair = ["doc_id", "item_id"]
@@ -188,18 +222,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, work: Staging) -> DataFrame:
         "items",
     )
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).dropna()
-    distinct = items.select("width", "h").distinct()
-    passes = max(1, -(-distinct.count() // SLICE_HASHES))
-    found = None
-    for number in range(passes):
-        rows = distinct.where(F.pmod(F.xxhash64("h"), F.lit(passes)) == number).toArrow()
-        widths, hashes = rows.column("width").to_numpy(), rows.column("h").to_numpy().view(np.uint64)
-        wanted = spark.sparkContext.broadcast({int(w): np.sort(hashes[widths == w]) for w in np.unique(widths)})
-        part = plain.mapInArrow(_of_documents(wanted), "doc_id long, at long, h long, mask long, slots array<long>")
-        found = part if found is None else found.union(part)
-    found = work.table(found, "matches")
+    wanted = spark.sparkContext.broadcast(_bitmaps(items))
+    found = work.table(
+        plain.mapInArrow(_of_documents(wanted), "doc_id long, at long, h long, mask long, slots array<long>"), "matches"
+    )
+    wanted.unpersist()
+    held = items.select("h", "mask").distinct()
+    found = work.table(found.join(grown(held), ["h", "mask"], "left_semi").distinct(), "met")
     matched = found.join(
-        items.select("item_id", F.col("at").alias("place"), "h", F.col("slots").alias("item_slots"), "places", "width", "mask"), ["h", "mask"]
+        grown(items.select("item_id", F.col("at").alias("place"), "h", F.col("slots").alias("item_slots"), "places", "width", "mask")), ["h", "mask"]
     ).withColumns({"diagonal": F.col("at") - F.col("place"), "typed": F.col("mask") > 0})
     matched = work.table(matched, "matched")
     key = ["doc_id", "item_id", "diagonal"]

@@ -1,6 +1,7 @@
 """Licenses, languages, leaks and nearest neighbours against brute force and on awkward input."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -145,9 +146,123 @@ def test_no_documents_or_no_benchmark(spark):
     assert found(spark, C.frame(spark, [])) == {}
 
 
-def test_large_benchmarks_are_compared_in_slices(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate, "SLICE_HASHES", 7)
-    assert found(spark, C.frame(spark, [(1, ITEMS[1][1]), (2, "none of this")])) == {(1, 2): ("exact", 1.0)}
+def leak_words(text):
+    """(word, number, fresh, capital, unit) of each word."""
+    out, end = [], 0
+    for m in re.finditer("(?:[0-9A-Za-z\u0080-\U0010FFFF]|(?<=[0-9])[.,](?=[0-9]))+", text or ""):
+        number = any(c in "0123456789" for c in m.group())
+        word = m.group().translate(C._LOWER)
+        fresh = not out or any(c in text[end : m.start()] for c in "\n!.:?")
+        out.append((word, number, fresh, not number and "A" <= m.group()[0] <= "Z", not number and word in decontaminate.UNITS))
+        end = m.end()
+    return out
+
+
+def leak_windows(words, width):
+    """(first word, window, mask, slots)."""
+    out = []
+    for at in range(len(words) - width + 1):
+        own = words[at : at + width]
+        out.append((at, tuple(w[0] for w in own), 0, ()))
+        masks = []
+        for inner in (True, False) if width >= 4 else ():
+            kinds = ["#" if w[1] else "unit" if w[4] else "name" if w[3] and not (inner and w[2]) else None for w in own]
+            mask = sum((k is not None) << i for i, k in enumerate(kinds))
+            if 0 < mask < (1 << width) - 1 and mask not in masks:
+                out.append((at, ("typed", *[k and ("slot", k) or w[0] for k, w in zip(kinds, own, strict=True)]), mask, tuple(w[0] for k, w in zip(kinds, own, strict=True) if k)))
+            masks.append(mask)
+    return out
+
+
+def covered(told, words):
+    runs, half = 0, False
+    by = C.groups({(d, (p, w)) for d, p, w in told})
+    for places in by.values():
+        n, last = 0, None
+        for place, width in sorted(places):
+            n = width if last is None or place - last > width + 1 else n + min(place - last, width)
+            last, runs = place, max(runs, n)
+    bands, last = [], None
+    for d in sorted(by):
+        if last is None or d - last > 8:
+            bands.append(set())
+        bands[-1] |= {p + k for p, w in by[d] for k in range(w)}
+        last = d
+    half = any(2 * len(b) >= words for b in bands)
+    return runs >= 13 or half
+
+
+def brute_leaks(rows, items):
+    out = {}
+    texts = C.groups({(i, t) for i, t, *_ in rows if i is not None and t})
+    for item, text in items:
+        template = leak_words(text)
+        if item is None or not template:
+            continue
+        width = min(len(template), 8)
+        places = len(template) - width + 1
+        index = C.groups([((w, m), (p, s)) for p, w, m, s in leak_windows(template, width)])
+        for doc, versions in texts.items():
+            by = {}
+            for version in versions:
+                seen = set()
+                for at, w, m, s in leak_windows(leak_words(version), width):
+                    if m == 0 and width < 8 and w in seen:
+                        continue
+                    seen.add(w)
+                    for place, own in index.get((w, m), ()):
+                        by.setdefault(at - place, []).append((place, m, own, s, at))
+            told = []
+            for diagonal, met in by.items():
+                pairs = C.groups({(x, y) for _, _, own, s, _ in met for x, y in zip(own, s, strict=True)})
+                clash = any(len(v) > 1 for v in pairs.values())
+                asis = {p + k for p, m, *_ in met for k in range(width) if not m >> k & 1}
+                sound = not clash and 2 * len(asis) >= min(width, 8)
+                told += [(diagonal, p, m, at) for p, m, _, _, at in met if not m or sound]
+            if not told:
+                continue
+            share, plain = len({p for _, p, *_ in told}), len({p for _, p, m, _ in told if not m})
+            if 2 * share < places and not covered([(d, p, width) for d, p, *_ in told], len(template)):
+                continue
+            exact = 2 * plain >= places or covered([(d, p, width) for d, p, m, _ in told if not m], len(template))
+            out[doc, item] = ("exact" if exact else "reparameterised", round(share / places, 2))
+    return out
+
+
+def test_leaks_equal_brute_force(spark):
+    r = random.Random(9)
+    names, units = ["Tom", "Ann", "Lea", "Max"], ["km", "hours", "Dollars"]
+
+    def sentence():
+        kinds = [lambda: r.choice(names), lambda: str(r.randrange(30)), lambda: r.choice(units), lambda: f"{r.randrange(9)}.{r.randrange(9)}"]
+        return " ".join(r.choice(kinds)() if r.random() < 0.3 else f"v{r.randrange(25)}" for _ in range(r.randrange(1, 14))).capitalize() + r.choice([".", "?", "\n", ","])
+
+    base = [" ".join(sentence() for _ in range(r.randrange(1, 5))) for _ in range(25)]
+    items = [(i, t) for i, t in enumerate(base)] + [(90, "What is two"), (91, "Solve it now"), (92, "yes"), (93, "!!"), (94, None), (3, base[3])]
+
+    def changed(text):
+        out = []
+        for w in text.split(" "):
+            if r.random() < 0.1:
+                continue
+            core = w.strip(".?,\n")
+            w = w.replace(core, r.choice(names)) if core in names and r.random() < 0.5 else w
+            out.append(w.replace(core, str(r.randrange(30))) if core.isdigit() and r.random() < 0.7 else w)
+        return " ".join(out)
+
+    rows = [(i, " ".join([sentence(), changed(r.choice(base)), sentence()] + ([r.choice(base)] if r.random() < 0.2 else []))) for i in range(120)]
+    rows += [(200, "well, what IS two?"), (201, "so solve it, now"), (202, "is two what"), (203, "Yes yes yes no"), rows[0], (0, base[1]), (None, base[2])]
+    rows += [(300 + i, t) for i, t in enumerate(C.awkward_texts())]
+    got, want = found(spark, C.frame(spark, rows).repartition(3), items), brute_leaks(rows, items)
+    assert got == want
+    assert len(want) > 60 and {k for k, _ in want.values()} == {"exact", "reparameterised"}
+    assert {(200, 90), (201, 91), (203, 92)} <= set(want) and (202, 90) not in want
+
+
+def test_other_hashes_on_the_same_bit_do_no_harm(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BITMAP_BITS", 15)
+    rows = [(i, " ".join(C.prose(i, 300))) for i in range(30)] + [(99, ITEMS[1][1])]
+    assert found(spark, C.frame(spark, rows)) == {(99, 2): ("exact", 1.0)}
 
 
 def vectors(spark, rows):
