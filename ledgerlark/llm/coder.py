@@ -2,10 +2,17 @@
 
 A block is BLOCK ids (the last one fewer) with a model of its own that starts afresh, so blocks
 decode independently; numpy codes the t-th id of all blocks of a segment in one go. Each id is
-predicted by the id that last followed the two ids before it (order 2) and the one before it
-(order 1). The chance that either is right mixes two adaptive estimates, one without context
-(order 0) and one in the context of both predictions' confidence. An id that neither predicts is
-coded by an adaptive order-0 model of its magnitude and its plain lower bits.
+predicted in three orders:
+
+* order 2: the id that last followed the two ids before it; order 1: the one that last followed the
+  id before it. The chance that either is right mixes two adaptive estimates, one without context and
+  one in the context of both predictions' confidence.
+* order 0: all ids of the block so far in a list of ranks in which an id that is met moves up to half
+  its rank, so that frequent ids stand in front. Its rank, or that it is new, and then its magnitude,
+  is coded in one adaptive distribution of classes (powers of two) and plain bits within the class.
+
+As in prediction by partial matching, order 0 learns from every id that reaches it and not from
+those that a higher order has predicted: these are in its list already.
 
 All arithmetic is on integers, so encoder and decoder agree on any machine.
 """
@@ -17,16 +24,15 @@ import zlib
 
 import numpy as np
 
-BLOCK = 2048
-_SLOTS = 512
+BLOCK = 4096
+_SLOTS = 1024
 _TOP, _BOT, _ONE = np.uint64(1 << 48), np.uint64(1 << 40), np.uint64(1)
 _16, _48 = np.uint64(16), np.uint64(48)
-#: Probabilities are shares of 1 << 12; magnitudes keep two bits more.
-_BITS, _FINE = 12, 2
-_WHOLE, _12 = 1 << _BITS, np.uint64(_BITS)
-_RATE = 5
-_GROWS = 4  # the magnitudes' model learns from every fourth id
-_MAGIC, _VERSION = b"LLTK", 1
+#: Chances of predictions are shares of 1 << 12, those of classes of 1 << 14, at least _LEAST - 31.
+_BITS, _FINE = 12, 14
+_WHOLE, _12, _14 = 1 << _BITS, np.uint64(_BITS), np.uint64(_FINE)
+_RATE, _LEAST = 5, 36
+_MAGIC, _VERSION = b"LLTK", 2
 _HEAD = struct.Struct("<4sBBIIQ")
 
 
@@ -95,19 +101,11 @@ class _Decoder(_Range):
         self.at[lanes] = np.minimum(self.at[lanes] + 1, self.end[lanes])
 
 
-def _targets(classes: int) -> np.ndarray:
-    """Where each boundary between magnitudes moves when a magnitude is met; every one keeps a share."""
-    least, whole = 16 << _FINE, _WHOLE << _FINE  # above 1 << _RATE, so that rounding never closes a share
-    at = np.arange(classes + 1)
-    return np.where(at[None, :] > np.arange(classes)[:, None], whole - (classes - at)[None, :] * least, at[None, :] * least).astype(np.int16)
-
-
 class _Model:
     """The state of all blocks, in flat arrays. A table entry is an id and, in two bits, its confidence."""
 
-    def __init__(self, lanes: int, bits: int):
+    def __init__(self, lanes: int, steps: int, bits: int):
         n, lane = lanes, np.arange(lanes)
-        self.classes = 16 if bits <= 16 else 32
         # The ids that followed: order 2 of all blocks, then order 1.
         self.entries = np.zeros(2 * n * _SLOTS, np.int32)
         self.bases = np.stack([lane * _SLOTS, (n + lane) * _SLOTS])
@@ -116,9 +114,18 @@ class _Model:
         self.plain = np.full((n, 2), _WHOLE // 8, np.int32)
         self.chances = np.full(32 * n, _WHOLE // 8, np.int32).view(np.int64)
         self.places = lane * 16
-        self.targets = _targets(self.classes)
-        even = (np.arange(self.classes + 1) * ((_WHOLE << _FINE) // self.classes)).astype(np.int32)
-        self.sizes = np.tile(even, (lanes, 1)).astype(self.targets.dtype)
+        # Order 0: ids by rank, how many there are, and where the classes end. A rank of b bits is
+        # class b, a new id whose successor has b bits is class ranks + b - 1.
+        self.rows = lane * steps
+        self.listed, self.met = np.zeros(n * steps, np.int32), np.zeros(n, np.int64)
+        self.ranks = int(steps).bit_length() + 1
+        self.classes = self.ranks + bits
+        edge = np.arange(self.classes + 1)
+        self.ends = np.repeat((edge * ((1 << _FINE) // self.classes))[:, None], n, axis=1).astype(np.int16)
+        self.ends[-1] = 1 << _FINE
+        self.floor = (edge * _LEAST).astype(np.int16)[:, None]
+        self.rise = np.int16((1 << _FINE) - self.classes * _LEAST)
+        self.edges = edge.astype(np.int16)[:, None]
         self.one, self.two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
 
     def predict(self) -> tuple[np.ndarray, np.ndarray]:
@@ -148,19 +155,53 @@ class _Model:
         self.entries[self.slots] = np.where(right, self.held + (self.sure < 3), other)
         self.two, self.one = self.one, actual
 
-    def grow(self, lanes: np.ndarray, rows: np.ndarray, size: np.ndarray) -> None:
-        self.sizes[lanes] = rows + ((self.targets[size] - rows) >> _RATE)
-
-
-def _magnitude(values: np.ndarray) -> np.ndarray:
-    """Bits after the first; 0 for 0 and 1."""
-    return np.frexp(np.maximum(values, 1).astype(np.float64))[1] - 1
+    def grow(self, lanes: np.ndarray, chosen: np.ndarray) -> None:
+        """Moves the ends of the lanes' classes towards the ones chosen."""
+        kind = np.zeros(len(self.met), np.int16)
+        kind[lanes] = chosen
+        used = np.zeros(len(self.met), np.int16)
+        used[lanes] = 1
+        aim = (self.edges > kind) * self.rise
+        aim += self.floor
+        aim -= self.ends
+        aim >>= _RATE
+        aim *= used
+        self.ends += aim
+
+    def place(self, lanes: np.ndarray, rank: np.ndarray, new: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Moves ids to half their rank, new ones from behind the last: (their rank, the other's, the other)."""
+        rank = np.where(new, self.met[lanes], rank)
+        self.met[lanes] += new
+        ahead = rank >> 1
+        row = self.rows[lanes]
+        other = np.where(rank > 0, self.listed[row + ahead], ids)
+        self.listed[row + rank] = other
+        self.listed[row + ahead] = ids
+        return ahead, rank, other
+
+
+def _length(values: np.ndarray) -> np.ndarray:
+    """Bits of whole numbers; 0 for 0."""
+    return np.frexp(values.astype(np.float64))[1].astype(np.int64)
+
+
+def _local(ids: np.ndarray) -> tuple[np.ndarray, int]:
+    """Each block's ids by number among its own different ids, and the largest such count."""
+    out, most = np.empty(ids.shape, np.int32), 0
+    for lane, own in enumerate(ids):
+        known, out[lane] = np.unique(own, return_inverse=True)
+        most = max(most, len(known))
+    return out, most
 
 
 def _encode_lanes(ids: np.ndarray, bits: int) -> list[bytes]:
     lanes, steps = ids.shape
-    coder, model = _Encoder(lanes, 4 * steps + 24), _Model(lanes, bits)
+    coder, model = _Encoder(lanes, 4 * steps + 24), _Model(lanes, steps, bits)
+    local, most = _local(ids)
+    local = np.ascontiguousarray(local.T)
     columns = np.ascontiguousarray(ids.T).astype(np.int64)
+    # Where order 0 lists each id of a block, -1 where it does not yet; the list holds local numbers.
+    rank_of, base = np.full(lanes * most, -1, np.int32), np.arange(lanes) * most
     for t, actual in enumerate(columns):
         two, one = model.predict()
         right = model.right(actual)
@@ -174,18 +215,24 @@ def _encode_lanes(ids: np.ndarray, bits: int) -> list[bytes]:
         coder.span = step * freq
         plain = np.flatnonzero(~(by_two | by_one))
         if len(plain):
-            value = actual[plain]
-            # 0 and 1 have no bits after the first, so 0 is written as 1 and ids are moved by one.
-            value = value + 1
-            size = _magnitude(value)
-            low = (model.sizes[plain, size] >> _FINE).astype(np.uint64)
-            high = (model.sizes[plain, size + 1] >> _FINE).astype(np.uint64)
-            step = coder.span[plain] >> _12
+            own = local[t, plain]
+            spot = base[plain]
+            rank = rank_of[spot + own]
+            new = rank < 0
+            value = np.where(new, actual[plain] + 1, rank)
+            size = _length(value)
+            kind = size + np.where(new, model.ranks - 1, 0)
+            low = model.ends[kind, plain].astype(np.uint64)
+            high = model.ends[kind + 1, plain].astype(np.uint64)
+            step = coder.span[plain] >> _14
             coder.low[plain] += step * low
             coder.span[plain] = step * (high - low)
-            if t % _GROWS == 0:
-                model.grow(plain, model.sizes[plain], size)
-            rest = value - (1 << size)
+            model.grow(plain, kind)
+            ahead, behind, other = model.place(plain, rank, new, own)
+            rank_of[spot + other] = behind
+            rank_of[spot + own] = ahead
+            size = np.maximum(size - 1, 0)
+            rest = np.where(value > 0, value - (1 << size), 0)
             for part, width in _parts(rest, size, bits, coder):
                 step = coder.span[plain] >> width
                 coder.low[plain] += step * part
@@ -199,7 +246,6 @@ def _parts(rest: np.ndarray, size: np.ndarray, bits: int, coder: _Range):
     """The plain bits, the upper ones first and apart where there can be more than 16."""
     if bits > 16:
         coder.settle()
-    if bits > 16:
         low = np.minimum(size, 15)
         yield (rest >> low).astype(np.uint64), (size - low).astype(np.uint64)
         coder.settle()
@@ -210,7 +256,7 @@ def _parts(rest: np.ndarray, size: np.ndarray, bits: int, coder: _Range):
 
 def _decode_lanes(streams: list[bytes], steps: int, bits: int) -> np.ndarray:
     lanes = len(streams)
-    coder, model = _Decoder(streams), _Model(lanes, bits)
+    coder, model = _Decoder(streams), _Model(lanes, steps, bits)
     columns = np.zeros((steps, lanes), np.uint32)
     for t in range(steps):
         two, one = model.predict()
@@ -225,25 +271,29 @@ def _decode_lanes(streams: list[bytes], steps: int, bits: int) -> np.ndarray:
         actual = np.where(by_two, model.ids[0], model.ids[1]).astype(np.int64)
         plain = np.flatnonzero(~(by_two | by_one))
         if len(plain):
-            rows = model.sizes[plain]
-            n = np.arange(len(plain))
-            step = np.maximum(coder.span[plain] >> _12, _ONE)
-            aim = np.minimum((coder.value[plain] - coder.low[plain]) // step, np.uint64(_WHOLE - 1)).astype(np.int32)
-            size = ((rows[:, 1:-1] >> _FINE) <= aim[:, None]).sum(axis=1)
-            low = (rows[n, size] >> _FINE).astype(np.uint64)
-            high = (rows[n, size + 1] >> _FINE).astype(np.uint64)
+            step = np.maximum(coder.span[plain] >> _14, _ONE)
+            aims = np.zeros(lanes, np.int16)
+            aims[plain] = np.minimum((coder.value[plain] - coder.low[plain]) // step, np.uint64((1 << _FINE) - 1)).astype(np.int16)
+            kind = (model.ends[1:-1] <= aims).sum(axis=0, dtype=np.uint8)[plain].astype(np.int64)
+            low = model.ends[kind, plain].astype(np.uint64)
+            high = model.ends[kind + 1, plain].astype(np.uint64)
             coder.low[plain] += step * low
             coder.span[plain] = step * (high - low)
-            if t % _GROWS == 0:
-                model.grow(plain, rows, size)
-            value = np.ones(len(plain), np.int64)
-            for _, width in _parts(np.zeros_like(size), size, bits, coder):
+            model.grow(plain, kind)
+            new = kind >= model.ranks
+            size = kind - np.where(new, model.ranks - 1, 0)
+            value = np.minimum(size, 1)
+            for _, width in _parts(np.zeros_like(size), np.maximum(size - 1, 0), bits, coder):
                 step = np.maximum(coder.span[plain] >> width, _ONE)
                 part = np.minimum((coder.value[plain] - coder.low[plain]) // step, (_ONE << width) - _ONE)
                 coder.low[plain] += step * part
                 coder.span[plain] = step
                 value = value << width.astype(np.int64) | part.astype(np.int64)
-            actual[plain] = value - 1
+            # A damaged block may name ranks that are not there; its checksum will tell.
+            value = np.where(new, value, np.minimum(value, np.maximum(model.met[plain] - 1, 0)))
+            ids = np.where(new, value - 1, model.listed[model.rows[plain] + np.where(new, 0, value)])
+            model.place(plain, value, new & (model.met[plain] < steps), ids)
+            actual[plain] = ids
         coder.settle()
         columns[t] = actual
         model.learn(actual, model.right(actual))

@@ -16,6 +16,11 @@ from ledgerlark.llm.words import span_hashes
 
 SHORT = 48
 
+_byte = np.arange(256)
+_DIGIT = (_byte >= 48) & (_byte <= 57)
+_LETTER = ((_byte >= 65) & (_byte <= 90)) | ((_byte >= 97) & (_byte <= 122))
+_SIGN = (_byte > 32) & (_byte < 127) & ~_DIGIT & ~_LETTER & (_byte != 39)
+
 
 def _shifted(data: np.ndarray, by: int) -> np.ndarray:
     """The byte `by` places earlier, 0 before the first."""
@@ -41,6 +46,24 @@ def blank_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return _between(cut, offsets)
 
 
+def word_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, text) of finer pieces, for tokenizers that split texts by `'s|...| ?\\p{L}+| ?\\p{N}+| ?other+|\\s+`.
+
+    Besides `blank_pieces`' borders, these are borders in all of that pattern's matches: from a letter to
+    an ASCII sign that is none, from an ASCII digit to another ASCII sign, and from a sign to a letter
+    or digit, but not behind an apostrophe or a blank.
+    """
+    before, two = _shifted(data, 1), _shifted(data, 2)
+    latin = (two == 0xC3) & (before >= 0x80) & (before != 0x97) & (before != 0xB7)
+    letter = _LETTER[before] | latin
+    ascii_ = data < 0x80
+    cut = letter & ascii_ & ~_LETTER[data]
+    cut |= _DIGIT[before] & ascii_ & ~_DIGIT[data]
+    cut |= _SIGN[before] & (_LETTER[data] | _DIGIT[data])
+    cut |= (data == 0x20) & after_no_space(data)
+    return _between(cut, offsets)
+
+
 def _between(cut: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not len(cut):
         none = np.zeros(0, np.int64)

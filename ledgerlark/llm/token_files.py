@@ -5,9 +5,10 @@ document with an end id and codes runs of whole documents of about SEGMENT_IDS i
 files are a Parquet table with one row per segment: range, segment, first and last doc_id, ids and
 the coded bytes, which any reader of a Parquet file can decode without the others.
 
-Tokenizers split text before white space, so the library encodes each distinct piece (white space
-and the word after it) only when it is not at hand and the pieces' ids are joined; texts with white space other
-than blanks and line breaks, where that need not hold, are encoded whole.
+The tokenizer splits texts into words before it merges, so the library encodes each distinct piece
+(`pieces.word_pieces`) only when it is not at hand, and the pieces' ids are joined. Words of letters
+go straight to the library's model, all else through its whole encoding; texts that hold the string
+of one of its added tokens are encoded whole.
 
 Null and empty texts are just the end id. Rows of equal doc_id are in order of text; null doc_ids
 are not coded, as the files have no id for them. Other columns are ignored.
@@ -27,46 +28,84 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ledgerlark.llm.coder import BLOCK, decode_segment, encode_segment
+from ledgerlark.llm.pieces import PieceTable, Ragged, gather, word_pieces
+from ledgerlark.llm.words import text_slices
 from ledgerlark.session import tune
 
 SEGMENT_IDS = 2048 * BLOCK
-CACHED_PIECES, CACHED_CHARS = 600_000, 12
-BATCH_CHARS = 1 << 20
+KEPT_PIECES = 1_000_000
+SLICE_BYTES = 1 << 21
 END_ID = 0
 
-_PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-_OTHER_SPACE = re.compile(r"[^\S \n]")
+#: One word for the tokenizer: no more than a blank before letters that all its versions know.
+_WORD = re.compile("[ ]?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+
+def _visible() -> dict[int, str]:
+    """The character that a byte-level vocabulary writes for each byte."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [x for x in range(256) if x not in own]
+    return {x: chr(x) for x in own} | {x: chr(256 + n) for n, x in enumerate(rest)}
 
 
 class Encoder:
-    """Text to little-endian uint32 ids, with the ids of the short pieces met before at hand."""
+    """Texts to ids, with the ids of the pieces met before at hand. For byte-level BPE files."""
 
-    def __init__(self, path: str, pieces: int = CACHED_PIECES):
+    def __init__(self, path: str, pieces: int = KEPT_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-        self.limit = pieces
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if _OTHER_SPACE.search(t) else _PIECE.findall(t) for t in texts]
-        if len(self.known) > self.limit:
-            self.known.clear()
-        new = {p for pieces in split if pieces for p in pieces} - self.known.keys()
-        fresh = {}
-        for chosen, kept in (([p for p in new if len(p) <= CACHED_CHARS], self.known), ([p for p in new if len(p) > CACHED_CHARS], fresh)):
-            for low in range(0, len(chosen), 10_000):
-                kept.update(zip(chosen[low : low + 10_000], self._whole(chosen[low : low + 10_000]), strict=True))
-        known = self.known
-        return [
-            self._whole([t])[0] if pieces is None else b"".join([known.get(p) or fresh[p] for p in pieces])
-            for t, pieces in zip(texts, split, strict=True)
+        self.model, self.visible = self.tokenizer.model, _visible()
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.clear()
+        self.table = PieceTable(self.add, self.clear, pieces)
+
+    def clear(self) -> None:
+        self.ids, self.start, self.size = Ragged(np.uint32), Ragged(np.int64), Ragged(np.int64)
+
+    def whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def add(self, texts: list[bytes]) -> None:
+        plain = [t.decode() for t in texts]
+        words = [_WORD.fullmatch(t) is not None for t in plain]
+        others = iter(self.whole([t for t, word in zip(plain, words, strict=True) if not word]))
+        model, visible = self.model, self.visible
+        ids = [
+            [t.id for t in model.tokenize(raw.decode("latin-1").translate(visible))] if word else next(others)
+            for raw, word in zip(texts, words, strict=True)
         ]
+        size = np.array([len(x) for x in ids], np.int64)
+        first = self.ids.add(np.array([k for own in ids for k in own], np.uint32))
+        self.start.add(first + np.cumsum(size) - size)
+        self.size.add(size)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray, special: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids per text, all ids) with the end id behind each text; `special` texts are encoded whole."""
+        start, end, text = word_pieces(data, offsets)
+        rows = self.table.numbers(data, start, end)
+        n = len(offsets) - 1
+        size = self.size.values[rows]
+        counts = np.bincount(text, weights=size, minlength=n).astype(np.int64) + 1
+        out = np.full(int(counts.sum()), end_id, np.uint32)
+        inner = np.ones(len(out), bool)
+        inner[np.cumsum(counts) - 1] = False
+        out[inner] = gather(self.ids.values, self.start.values[rows], size)
+        if special.any():
+            parts = np.split(out, np.cumsum(counts)[:-1])
+            for k in np.flatnonzero(special).tolist():
+                own = self.whole([data[offsets[k] : offsets[k + 1]].tobytes().decode()])[0]
+                parts[k] = np.array([*own, end_id], np.uint32)
+            counts, out = np.array([len(p) for p in parts], np.int64), np.concatenate(parts)
+        return counts, out
+
+    def holds_added(self, texts: pa.Array) -> np.ndarray:
+        """Which texts hold the string of an added token."""
+        held = np.zeros(len(texts), bool)
+        for token in self.added:
+            held |= pc.fill_null(pc.match_substring(texts, token), False).to_numpy(zero_copy_only=False)
+        return held
 
 
 @cache
@@ -77,50 +116,39 @@ def _encoder(path: str) -> Encoder:
 
 def _code(path: str, end_id: int, segment_ids: int):
     def run(batches):
-        encoder, end = _encoder(path), np.array([end_id], "<u4").tobytes()
-        ids, coded, size, number = [], [], 0, 0
+        encoder, number = _encoder(path), 0
+        docs, counts, ids = np.zeros(0, np.int64), np.zeros(0, np.int64), [np.zeros(0, np.uint32)]
 
-        def segment():
-            nonlocal ids, coded, size, number
-            counts = np.array([len(c) // 4 for c in coded], np.int64)
-            data = encode_segment(np.array(ids, np.int64), counts, np.frombuffer(b"".join(coded), "<u4"))
+        def segment(n: int) -> pa.RecordBatch:
+            """The first n documents as a row."""
+            nonlocal docs, counts, ids, number
+            flat, size = np.concatenate(ids), int(counts[:n].sum())
             row = pa.RecordBatch.from_arrays(
                 [
-                    pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([number], pa.int32()), pa.array([ids[0]], pa.int64()),
-                    pa.array([ids[-1]], pa.int64()), pa.array([int(counts.sum())], pa.int64()), pa.array([data], pa.binary()),
+                    pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([number], pa.int32()), pa.array([docs[0]], pa.int64()),
+                    pa.array([docs[n - 1]], pa.int64()), pa.array([size], pa.int64()),
+                    pa.array([encode_segment(docs[:n], counts[:n], flat[:size])], pa.binary()),
                 ],
                 names=["part", "segment", "first_doc", "last_doc", "n_ids", "data"],
             )
-            ids, coded, size, number = [], [], 0, number + 1
+            docs, counts, ids, number = docs[n:], counts[n:], [flat[size:]], number + 1
             return row
 
         for batch in batches:
-            for low, high in _runs(batch.column(1)):
-                texts = [t or "" for t in batch.column(1).slice(low, high - low).to_pylist()]
-                for doc, own in zip(batch.column(0).slice(low, high - low).to_pylist(), encoder.encode(texts), strict=True):
-                    if ids and size + len(own) // 4 + 1 > segment_ids:
-                        yield segment()
-                    ids.append(doc)
-                    coded.append(own + end)
-                    size += len(own) // 4 + 1
-        if ids:
-            yield segment()
+            special = encoder.holds_added(batch.column(1))
+            for low, high, data, offsets in text_slices(batch.column(1), SLICE_BYTES):
+                own, flat = encoder.encode(data, offsets, special[low:high], end_id)
+                docs = np.concatenate([docs, batch.column(0).slice(low, high - low).to_numpy(zero_copy_only=False)])
+                counts = np.concatenate([counts, own])
+                ids.append(flat)
+                while counts.sum() > segment_ids and len(counts) > 1:
+                    yield segment(max(1, int(np.searchsorted(np.cumsum(counts), segment_ids, "right"))))
+        if len(docs):
+            yield segment(len(docs))
 
     return run
 
 
-def _runs(texts: pa.Array):
-    """Row ranges of about BATCH_CHARS bytes."""
-    low, size = 0, 0
-    for row, n in enumerate(pc.binary_length(texts).fill_null(0).to_pylist()):
-        size += n
-        if size >= BATCH_CHARS:
-            yield low, row + 1
-            low, size = row + 1, 0
-    if low < len(texts):
-        yield low, len(texts)
-
-
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, segment_ids: int = SEGMENT_IDS) -> None:
     """Encode `docs` with the tokenizer file and write the coded files to the folder `path`."""
     tune(docs.sparkSession)

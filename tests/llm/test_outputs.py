@@ -154,6 +154,16 @@ def test_the_coder_gives_back_any_ids(ids, block):
     assert (got == ids).all() and docs.tolist() == [5] and counts.tolist() == [len(ids)]
 
 
+def test_ids_without_order_cost_what_their_frequency_says():
+    r = np.random.default_rng(3)
+    ids = (r.zipf(1.4, 60_000) % 5000).astype(np.uint32)
+    share = np.bincount(ids) / len(ids)
+    entropy = -(share[share > 0] * np.log2(share[share > 0])).sum()
+    data = encode_segment(np.array([1]), np.array([len(ids)]), ids)
+    assert 8 * len(data) / len(ids) < 1.3 * entropy + 1
+    assert (decode_segment(data)[2] == ids).all()
+
+
 def test_the_coder_learns_and_notices_damage():
     ids = np.tile(np.arange(40, dtype=np.uint32) * 1000, 200)
     data = encode_segment(np.array([1, 2]), np.array([3000, 5000]), ids)
@@ -171,19 +181,38 @@ def library(texts):
     from tokenizers import Tokenizer
 
     made = Tokenizer.from_file(TOKENIZER)
-    made.encode_special_tokens = True
     return [[*made.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
 
 
 def test_pieces_encode_as_whole_texts():
-    texts = [t or "" for t in C.awkward_texts()] + HARD + ["  a  b \n\n c \n", "\n", " ", "<|endoftext|> x<|endoftext|>", "tab\tand  two", "don't we'll  I'M", "\x1c a\x1f b", " lead"]
+    import pyarrow as pa
+
+    texts = [t or "" for t in C.awkward_texts()] + HARD + [
+        "  a  b \n\n c \n", "\n", " ", "<|endoftext|> x<|endoftext|>", "a <|endoftext|> b", "<|endoftext|", "tab\tand  two", "don't we'll  I'M 'sx !'s 'S", "\x1c a\x1f b",
+        "a1b2 3c ½x²y 12e ١٢ab", "é.è,ñ!É(ü)×÷ßa", "naïve—“x” 漢字 かな　x",
+        " a  b c  d", "x  \t\r\n  y", "ſtraße ﬁ İ ǅ", "a·b a̧b éb", "'" * 3 + "s ''ll 're're",
+    ]
     encoder = Encoder(TOKENIZER, pieces=10)
+    want = library(texts)
+    assert 50256 in want[texts.index("a <|endoftext|> b")]
     for _ in range(2):
-        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == [x[:-1] for x in library(texts)]
+        data = np.frombuffer("".join(texts).encode(), np.uint8)
+        offsets = np.cumsum([0] + [len(t.encode()) for t in texts])
+        counts, ids = encoder.encode(data, offsets, encoder.holds_added(pa.array(texts)), 0)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="aB 1'.\n\té×s—字 ½̧", max_size=30), min_size=1, max_size=5))
+def test_any_text_encodes_as_whole(texts):
+    encoder = Encoder(TOKENIZER)
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    counts, ids = encoder.encode(data, np.cumsum([0] + [len(t.encode()) for t in texts]), np.zeros(len(texts), bool), 0)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == library(texts)
 
 
 def test_token_files_read_back_what_was_encoded(spark, tmp_path):
-    rows = C.corpus(2, 80)
+    rows = [*C.corpus(2, 80), (2000, "a <|endoftext|> b")]
     df = C.frame(spark, [*rows, (None, "no id")], start=1, n_tokens=2).repartition(6)
     write_tokens(df, f"{tmp_path}/tokens", TOKENIZER, segment_ids=700)
     got = sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in read_tokens(spark, f"{tmp_path}/tokens").collect())
