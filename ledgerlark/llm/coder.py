@@ -24,7 +24,7 @@ import zlib
 
 import numpy as np
 
-BLOCK = 4096
+BLOCK = 2048
 _SLOTS = 1024
 _TOP, _BOT, _ONE = np.uint64(1 << 48), np.uint64(1 << 40), np.uint64(1)
 _16, _48 = np.uint64(16), np.uint64(48)

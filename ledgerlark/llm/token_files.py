@@ -32,7 +32,7 @@ from ledgerlark.llm.pieces import PieceTable, Ragged, gather, word_pieces
 from ledgerlark.llm.words import text_slices
 from ledgerlark.session import tune
 
-SEGMENT_IDS = 2048 * BLOCK
+SEGMENT_IDS = 4096 * BLOCK
 KEPT_PIECES = 1_000_000
 SLICE_BYTES = 1 << 21
 END_ID = 0
