@@ -7,6 +7,9 @@ is a fixed column, and a rank or running total needs only one small row per part
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType
 
@@ -14,6 +17,8 @@ from ledgerlark.functions.numeric import whole_division
 from ledgerlark.session import stage
 
 _POSITION_BITS = 33
+#: Values of a quantile's last bracket, and the sketch behind brackets: its rank error is about half the slack.
+QUANTILE_ROWS, SKETCH_SIZE, SKETCH_SLACK = 1_000_000, 4096, 0.002
 
 
 def _columns(names) -> list[Column]:
@@ -133,35 +138,100 @@ def long_values(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*[F.col(c).cast(common).alias(c) for c in cols]).unpivot([], cols, "column", "value")
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probabilities: list[float]) -> DataFrame:
-    """Linear-interpolated quantiles per column: (column, n, q, value).
-
-    Counts equal values first (combined on the map side), then takes a distributed running
-    total over the distinct values, so neither rows nor distinct values meet in one task.
+@dataclass
+class _Bracket:
+    """Where an order statistic lies: of `n` values `below` are less than `low`, `inside` in low..high."""
+
+    column: str
+    q: float
+    n: int
+    low: float
+    high: float
+    below: int
+    inside: int
+    settled: bool = False
+
+    @property
+    def spot(self) -> float:
+        return (self.n - 1) * self.q
+
+    def holds(self, value: Column) -> Column:
+        return (value >= F.lit(self.low)) & (value <= F.lit(self.high))
+
+
+def _narrowed(wide: DataFrame, brackets: list[_Bracket]) -> None:
+    """Two passes: a sketch of what each bracket holds proposes a narrower one, counts accept or refuse it."""
+    sketches = wide.agg(*[
+        F.kll_sketch_agg_double(F.when(b.holds(F.col(b.column)), F.col(b.column)), F.lit(SKETCH_SIZE)).alias(str(k))
+        for k, b in enumerate(brackets)
+    ])
+    ends = []
+    for k, b in enumerate(brackets):
+        for position, off in ((math.floor(b.spot), -SKETCH_SLACK), (math.ceil(b.spot), SKETCH_SLACK)):
+            rank = min(max((position - b.below + 0.5) / b.inside + off, 0.0), 1.0)
+            ends.append(F.kll_sketch_get_quantile_double(F.col(str(k)), F.lit(rank)))
+    found = sketches.select(F.array(*ends).alias("ends")).first()["ends"]
+    proposed = [(max(b.low, found[2 * k]), min(b.high, found[2 * k + 1])) for k, b in enumerate(brackets)]
+    counts = wide.agg(*[
+        c for k, (b, (low, high)) in enumerate(zip(brackets, proposed, strict=True)) for c in (
+            F.count_if(F.col(b.column) < F.lit(low)).alias(f"b{k}"),
+            F.count_if((F.col(b.column) >= F.lit(low)) & (F.col(b.column) <= F.lit(high))).alias(f"i{k}"),
+        )
+    ]).first()
+    for k, (b, (low, high)) in enumerate(zip(brackets, proposed, strict=True)):
+        below, inside = counts[f"b{k}"], counts[f"i{k}"]
+        b.settled = inside > b.inside / 2
+        if below <= math.floor(b.spot) and math.ceil(b.spot) < below + inside:
+            b.low, b.high, b.below, b.inside = low, high, below, inside
+        else:
+            b.settled = True
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probabilities: list[float], rows: int = QUANTILE_ROWS) -> DataFrame:
+    """Linear-interpolated quantiles per column: (column, n, q, value). Columns without a value have none.
+
+    A KLL sketch brackets every quantile and a count checks the bracket, again and again, each time
+    over about a five-hundredth of the values before, until a bracket holds at most `rows` of them.
+    Only what the last brackets hold is sorted. Passes read the columns alone and shuffle one row
+    per task; what reaches the driver are the brackets. A bracket that cannot be narrowed, as one
+    with one frequent value, is counted value by value and ordered by a range shuffle.
     """
-    long = long_values(df, cols)
-    counts = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
-    summed = running_total(counts, ["value"], "rows", within=["column"])
-    sizes = summed.groupBy("column").agg(F.sum("rows").alias("n"))
-    targets = sizes.select(
-        "column", "n", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("q")
-    ).withColumn("spot", (F.col("n") - 1) * F.col("q"))
-    # Two order statistics around each spot; a distinct value covers the positions
-    # running - rows .. running - 1, so every position is met exactly once.
-    ends = targets.select(
-        F.col("column").alias("_c"), "n", "q", "spot",
-        F.explode(F.array(F.floor("spot"), F.ceil("spot"))).alias("position"),
-    ).distinct()
-    hit = summed.join(
-        F.broadcast(ends),
-        (F.col("column") == F.col("_c"))
-        & (F.col("position") >= F.col("running") - F.col("rows"))
-        & (F.col("position") < F.col("running")),
-    )
-    weight = F.when(F.floor("spot") == F.ceil("spot"), F.lit(1.0)).when(
-        F.col("position") == F.floor("spot"), F.ceil("spot") - F.col("spot")
-    ).otherwise(F.col("spot") - F.floor("spot"))
-    return hit.groupBy("column", "n", "q").agg(F.sum(F.col("value").cast("double") * weight).alias("value"))
+    common = common_number(df, cols)
+    exact = df.select(*[F.col(c).cast(common).alias(c) for c in cols])
+    # Brackets are compared as doubles, which keep the order of the exact values.
+    wide = exact.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    ends = wide.agg(*[
+        f(c).alias(f"{name}{i}") for i, c in enumerate(cols) for name, f in (("n", F.count), ("l", F.min), ("h", F.max))
+    ]).first()
+    brackets = [
+        _Bracket(c, float(q), ends[f"n{i}"], ends[f"l{i}"], ends[f"h{i}"], 0, ends[f"n{i}"])
+        for i, c in enumerate(cols) if ends[f"n{i}"] for q in probabilities
+    ]
+    while wanted := [b for b in brackets if b.inside > rows and b.low < b.high and not b.settled]:
+        _narrowed(wide, wanted)
+    if not brackets:
+        return df.sparkSession.createDataFrame([], "column string, n long, q double, value double")
+    held = [
+        F.when(b.holds(F.col(b.column).cast("double")), F.struct(
+            F.lit(b.column).alias("column"), F.lit(b.n).cast("long").alias("n"), F.lit(b.q).alias("q"), F.lit(b.spot).alias("spot"),
+            F.lit(b.below).cast("long").alias("below"), F.col(b.column).alias("value"),
+        )) for b in brackets
+    ]
+    kept = exact.select(F.explode(F.filter(F.array(*held), lambda x: x.isNotNull())).alias("x")).select("x.*")
+    counts = kept.groupBy("column", "n", "q", "spot", "below", "value").agg(F.count(F.lit(1)).alias("rows"))
+    if all(b.inside <= rows for b in brackets):
+        upto = Window.partitionBy("column", "q").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+        summed = counts.withColumn("running", F.sum("rows").over(upto))
+    else:
+        summed = running_total(counts, ["value"], "rows", within=["column", "q"])
+    # A distinct value covers the positions running - rows .. running - 1.
+    first, last, spot = F.col("below") + F.col("running") - F.col("rows"), F.col("below") + F.col("running"), F.col("spot")
+    low, high = F.floor("spot"), F.ceil("spot")
+    weight = F.when((low >= first) & (low < last), F.when(low == high, 1.0).otherwise(high - spot)).otherwise(0.0) + F.when(
+        (high >= first) & (high < last) & (low < high), spot - low
+    ).otherwise(0.0)
+    met = ((low >= first) & (low < last)) | ((high >= first) & (high < last))
+    return summed.where(met).groupBy("column", "n", "q").agg(F.sum(F.col("value").cast("double") * weight).alias("value"))
 
 
 def exact_median(df: DataFrame, col: str) -> DataFrame:

@@ -48,6 +48,32 @@ def test_exact_quantiles(wide, n):
             assert got[c, q] == pytest.approx(np.quantile(data[c].astype(float), q))
 
 
+@pytest.mark.parametrize("kind", ["even", "ties", "constant", "wide"])
+def test_quantiles_from_narrowed_brackets(wide, kind):
+    """So few values to a bracket that it is narrowed several times."""
+    rng = np.random.default_rng(7)
+    x = {
+        "even": rng.normal(size=60_000), "ties": np.floor(rng.exponential(3, 60_000)), "constant": np.full(5000, 2.5),
+        "wide": np.concatenate([rng.normal(size=30_000) * 1e200, np.zeros(9000), [-np.inf, np.inf]]),
+    }[kind]
+    df = wide.createDataFrame([(float(v), int(i)) for i, v in enumerate(x)], "x double, y long").repartition(7)
+    wanted = [0.0, 0.001, 0.25, 0.5, 0.77, 1.0]
+    got = {(r["column"], r.q): (r.n, r.value) for r in R.exact_quantiles(df, ["x", "y"], wanted, rows=100).collect()}
+    for q in wanted:
+        assert got["y", q] == (len(x), pytest.approx(np.quantile(np.arange(len(x)), q)))
+        spot = (len(x) - 1) * q
+        low, high = np.sort(x)[[int(np.floor(spot)), int(np.ceil(spot))]]
+        want = low if low == high else low + (high - low) * (spot % 1)
+        assert got["x", q][1] == (want if np.isinf(want) else pytest.approx(want, rel=1e-12))
+
+
+def test_quantiles_sort_no_more_than_their_brackets(wide):
+    df = wide.range(300_000).selectExpr("CAST(id * 7919 % 300007 AS DOUBLE) AS x")
+    made = R.exact_quantiles(df, ["x"], [0.5], rows=5000)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and made.first().value == np.median(np.arange(300_000) * 7919 % 300007)
+
+
 def test_median_of_nothing_is_null(wide):
     assert R.exact_median(rows(wide).where("id < 0"), "v").first().median is None
 
