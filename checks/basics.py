@@ -121,6 +121,49 @@ def _views(t):
     )
 
 
+def _torn_lines(t):
+    """Customers as lines, of which some lack fields, some have one more and some have no number as age."""
+    fields = [F.col(f.name).cast("string") for f in CUSTOMERS]
+    torn = [F.lit("old") if f.name == "age" else F.col(f.name).cast("string") for f in CUSTOMERS]
+    kind = F.col("customer_id") % 7
+    return t.customers.select(
+        F.when(kind == 0, F.concat_ws(",", *fields[:3])).when(kind == 1, F.concat_ws(",", *fields, F.lit("more")))
+        .when(kind == 2, F.concat_ws(",", *torn)).otherwise(F.concat_ws(",", *fields)).alias("value")
+    )
+
+
+def _rejects(t):
+    path = _written(t, "torn", _torn_lines(t), lambda df, path: df.write.text(path))
+    rows, lines = io.read_csv_with_rejects(t.spark, path, CUSTOMERS, header=False)
+    return rows.select("customer_id", F.lit(None).cast("string").alias("line")).union(lines.select(F.lit(None).cast("long"), "line"))
+
+
+def _line(*fields: str) -> str:
+    return f"CONCAT_WS(',', {', '.join(f'CAST({f} AS VARCHAR)' for f in fields)})"
+
+
+_NAMES = CUSTOMERS.names
+_TORN = f"""CASE customer_id % 7 WHEN 0 THEN {_line(*_NAMES[:3])} WHEN 1 THEN {_line(*_NAMES, "'more'")}
+            WHEN 2 THEN {_line(*["'old'" if n == 'age' else n for n in _NAMES])} END"""
+
+
+def _other_fields(t):
+    """Orders as documents, every third with a field that the schema does not have."""
+    gift = F.when(F.col("order_id") % 3 == 0, F.struct(F.col("store_region").alias("place"), F.array("order_id", F.col("order_id") % 5).alias("marks")))
+    lines = t.orders.select(F.to_json(F.struct(*t.orders.columns, gift.alias("gift"), F.lit("x").alias("_id"))).alias("value"))
+    docs = io.read_whole_documents(t.spark, _written(t, "whole", lines, lambda df, path: df.write.text(path)), ORDER_DOCUMENTS)
+    value = "variant_get(others['gift'], '{}', '{}')"
+    return docs.selectExpr(
+        "order_id", "channel", "array_join(map_keys(others), ',') AS others",
+        f"{value.format('$.place', 'string')} AS place", f"{value.format('$.marks[1]', 'bigint')} AS mark",
+    )
+
+
+add("s01_rejected_lines", _rejects,
+    f"SELECT CASE WHEN {_TORN} IS NULL THEN customer_id END AS customer_id, {_TORN} AS line FROM cust")
+add("s05_other_fields", _other_fields,
+    """SELECT order_id, channel, CASE WHEN order_id % 3 = 0 THEN 'gift' END AS others, CASE WHEN order_id % 3 = 0 THEN store_region END AS place,
+              CASE WHEN order_id % 3 = 0 THEN order_id % 5 END AS mark FROM ord""")
 add("s01_csv_scan", _scan_csv, "SELECT * FROM cust")
 add("s02_csv_dates", _scan_dates, "SELECT customer_id, TRY_CAST(signup_date AS DATE) AS signup_date FROM dcust")
 add("s03_required_inputs", lambda t: io.row_counts(io.load(t.spark, _given_sources(t))).drop("needs_data"),

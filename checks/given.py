@@ -1,7 +1,7 @@
 """Operators on models, checked from inputs that SQL has too: given centres, weights, trees and predictions.
 
-Rows about the trained models themselves state what must hold for any training: an empty table
-where something would break a rule, or the same verdict for every row.
+Rows about the trained models themselves state what must hold for any training, beside what SQL
+knows of the same rows: how many there are, their spread, or their keys.
 """
 
 from __future__ import annotations
@@ -44,28 +44,45 @@ add("t06_given_scores", lambda t: segments.first_best(segments.profile_clusters(
 
 
 def _moved_centers(t):
-    """Clusters whose centre is not the mean of the customers nearest to it."""
+    """Customers placed, and clusters whose centre is not the mean of the customers nearest to it."""
     vectors, _ = segments.prepare_features(t.staged_rfm)
     centers = [list(c) for c in t.sweep.models[t.sweep.best_k].clusterCenters()]
-    means = segments.nearest_center(vectors, centers, SCALED).groupBy("cluster").agg(*[F.avg(c).alias(c) for c in SCALED])
+    means = segments.nearest_center(vectors, centers, SCALED).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in SCALED])
     off = [F.abs(F.col(c) - F.get(F.array(*[F.lit(float(x[i])) for x in centers]), F.col("cluster"))) > 0.01 for i, c in enumerate(SCALED)]
-    return means.where(off[0] | off[1] | off[2]).select("cluster")
+    return means.agg(F.sum("n").alias("customers"), F.count_if(off[0] | off[1] | off[2]).alias("moved"))
 
 
-add("g02_centers_are_means", _moved_centers, "SELECT CAST(0 AS INTEGER) AS cluster FROM rfm WHERE false")
-add("g05_choice_is_best", lambda t: t.sweep.table(t.spark).where("chosen").join(
-        segments.first_best(t.sweep.table(t.spark).where("k BETWEEN 4 AND 7")).select("k"), "k", "left_anti").select("k"),
-    "SELECT CAST(0 AS INTEGER) AS k FROM rfm WHERE false")
+def _sum_of(column: str, sql: str, name: str) -> str:
+    return f"SELECT COUNT(*) AS customers, {sql} AS {name} FROM {column}"
+
+
+add("g02_centers_are_means", _moved_centers, _sum_of("rfm", "0::BIGINT", "moved"))
+
+
+def _choice(t):
+    """Customers of the sweep, and eligible numbers of clusters that score higher than the chosen one."""
+    sweep = t.sweep.table(t.spark)
+    best = sweep.where("chosen").agg(F.max("silhouette")).scalar()
+    better = sweep.where("k BETWEEN 4 AND 7").agg(F.count_if(F.col("silhouette") > best)).scalar()
+    return t.staged_rfm.agg(F.count(F.lit(1)).alias("customers")).withColumn("better", better)
+
+
+add("g05_choice_is_best", _choice, _sum_of("rfm", "0::BIGINT", "better"))
 
 
 def _rising_inertia(t):
-    """Numbers of clusters that fit worse than one cluster fewer, by more than the search's tolerance."""
+    """The spread of all customers, which is one cluster's inertia, and numbers of clusters that fit worse than one fewer."""
+    vectors, _ = segments.prepare_features(t.staged_rfm)
+    whole = vectors.agg(F.round(sum((F.sum(F.col(c) * F.col(c)) for c in SCALED), F.lit(0.0)), 4).alias("one_cluster"))
     sweep = t.sweep.table(t.spark).select("k", "inertia")
-    fewer = sweep.select((F.col("k") + 1).alias("k"), F.col("inertia").alias("before"))
-    return sweep.join(fewer, "k").where(F.col("inertia") > 1.01 * F.col("before")).select("k")
+    fewer = sweep.select((F.col("k") + 1).alias("k"), F.col("inertia").alias("before")).unionByName(
+        whole.select(F.lit(2).alias("k"), F.col("one_cluster").alias("before")))
+    rising = sweep.join(fewer, "k").agg(F.count(F.lit(1)).alias("compared"), F.count_if(F.col("inertia") > 1.01 * F.col("before")).alias("rising"))
+    return whole.withColumns({c: rising.select(c).scalar() for c in rising.columns})
 
 
-add("n08_inertia_falls", _rising_inertia, "SELECT CAST(0 AS INTEGER) AS k FROM rfm WHERE false")
+add("n08_inertia_falls", _rising_inertia,
+    f"SELECT ROUND(SUM(z0 * z0 + z1 * z1 + z2 * z2), 4) AS one_cluster, 7::BIGINT AS compared, 0::BIGINT AS rising FROM (SELECT {Z_POINTS} FROM segs)")
 
 # --- M and N: two given sets of predictions, and rules for the trained ones ---
 
@@ -109,8 +126,10 @@ add("m14_given_scores", lambda t: churn.predictions_table(t.predictions.withColu
 add("m06_every_test_row_scored", lambda t: t.churn_run.test_scores[churn.FOREST].select(
         "customer_id", "actual_churned", (F.col("score").between(0, 1) & (F.col("predicted_churned") == (F.col("score") > 0.5).cast("int"))).alias("sound")),
     "SELECT customer_id, CAST(churned AS INTEGER) AS actual_churned, TRUE AS sound FROM split WHERE is_test")
-add("m07_every_fold_scored", lambda t: t.churn_run.folds.select("fold", F.col("roc_auc").between(0, 1).alias("sound")),
-    "SELECT CAST(range AS INTEGER) AS fold, TRUE AS sound FROM range(5)")
+add("m07_every_fold_scored", lambda t: t.churn_run.folds.join(
+        churn.stratified_folds(t.churnset).groupBy("fold").agg(F.count(F.lit(1)).alias("rows")), "fold"
+    ).select("fold", "rows", F.col("roc_auc").between(0, 1).alias("sound")),
+    "SELECT CAST((place - 1) % 5 AS INTEGER) AS fold, COUNT(*) AS rows, TRUE AS sound FROM dealt GROUP BY 1")
 
 
 def _gradient(t):
@@ -174,12 +193,12 @@ add("e01_given_trees", _given_forest, f"""
     UNION ALL SELECT customer_id, 'monetary', {r6('(CASE WHEN monetary <= 2000000 THEN 0.7 ELSE 0.2 END - 0.45::DOUBLE) / 2')} FROM worth""".replace("WITH worth AS (", "SELECT * FROM (WITH worth AS (", 1) + ")")
 
 
-def _unbalanced(t):
-    """Test customers whose contributions and the base do not add up to the forest's score."""
+def _balanced(t):
+    """Test customers, and whether their contributions and the base add up to the forest's score."""
     phi, base = t.shap
     total = phi.groupBy("customer_id").agg((F.sum("phi") + base).alias("total"))
-    return t.churn_run.test_scores[churn.FOREST].join(total, "customer_id", "left").where(
-        F.coalesce(F.abs(F.col("score") - F.col("total")) > 1e-9, F.lit(True))).select("customer_id")
+    return t.churn_run.test_scores[churn.FOREST].join(total, "customer_id", "left").select(
+        "customer_id", F.coalesce(F.abs(F.col("score") - F.col("total")) <= 1e-9, F.lit(False)).alias("balanced"))
 
 
-add("e01_contributions_add_up", _unbalanced, "SELECT customer_id FROM rfm WHERE false")
+add("e01_contributions_add_up", _balanced, "SELECT customer_id, TRUE AS balanced FROM split WHERE is_test")

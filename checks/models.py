@@ -6,6 +6,7 @@ predictions has.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from checks.catalog import add
 from checks.oracle import dbl, div, int_, r6
 from checks.tables import plain, rounded
-from ledgerlark.operators import churn, explain, metrics, segments, silhouettes
+from ledgerlark.operators import churn, explain, kmeans, metrics, segments, silhouettes
 from ledgerlark.operators.churn import CHURN_FEATURE_COLUMNS
 from ledgerlark.operators.segments import SEGMENT_FEATURES
 from ledgerlark.session import Staging, staging_path
@@ -91,6 +92,26 @@ def _centers(t):
 
 add("g01_scaling", _scaled, "SELECT customer_id, " + ", ".join(f"{r6(_z(c, 'rfm'))} AS {c}_z" for c in SEGMENT_FEATURES) + " FROM rfm")
 add("g02_kmeans_centers", _centers)
+def _one_step(t):
+    """Where one pass moves the centres of two given models at once."""
+    rows = _labelled(t)
+    means = {c: rows.groupBy(c).agg(*[F.avg(z).alias(z) for z in SCALED]).orderBy(c).collect() for c in ("cluster", "often")}
+    points = rows.select(*SCALED, F.xxhash64("customer_id").alias("h"))
+    found = kmeans.cluster_sums(points, [np.array([[r[z] for z in SCALED] for r in own]) for own in means.values()])
+    moved = [(F.col(f"s{i}") / F.col("n")).alias(f"c{i}") for i in range(len(SCALED))]
+    return rounded(found.select("model", "cluster", "n", "cost", *moved), "cost", *[f"c{i}" for i in range(len(SCALED))])
+
+
+def _one_step_sql(number: int, column: str) -> str:
+    centers = f"""(SELECT CAST(ROW_NUMBER() OVER (ORDER BY {column}) - 1 AS INTEGER) AS i, AVG(z0) AS c0, AVG(z1) AS c1, AVG(z2) AS c2
+                   FROM {LABELLED} GROUP BY {column})"""
+    gap = "(z0 - c0) * (z0 - c0) + (z1 - c1) * (z1 - c1) + (z2 - c2) * (z2 - c2)"
+    near = f"(SELECT customer_id, ARG_MIN(i, ROW({gap}, i)) AS cluster, MIN({gap}) AS gap, MAX(z0) AS z0, MAX(z1) AS z1, MAX(z2) AS z2 FROM {LABELLED} p, {centers} c GROUP BY customer_id)"
+    return f"""SELECT CAST({number} AS INTEGER) AS model, cluster, COUNT(*) AS n, {r6('SUM(gap)')} AS cost, {r6('AVG(z0)')} AS c0, {r6('AVG(z1)')} AS c1, {r6('AVG(z2)')} AS c2
+               FROM {near} GROUP BY cluster"""
+
+
+add("g02_given_step", _one_step, " UNION ALL ".join(_one_step_sql(i, c) for i, c in enumerate(("cluster", "often"))))
 add("g03_inertia", lambda t: t.sweep.table(t.spark).select("k", "inertia"))
 add("g04_silhouette", _given_silhouette, SILHOUETTE_SQL)
 add("g04_euclidean_silhouette", _euclidean, " UNION ALL ".join(_euclidean_sql(c) for c in LABELS))
@@ -180,7 +201,7 @@ add("n09_model_comparison", lambda t: t.churn_run.metrics_table(t.spark))
 
 
 def _persisted(t):
-    """Test customers whose score by a model saved and loaded again, on raw rows, differs from the score in training."""
+    """Test customers, and how many models score them on raw rows, saved and loaded again, as in training."""
     test = t.churn_run.split.where("is_test").drop("features")
     found = None
     for name, model in ((churn.LOGISTIC, t.churn_run.logistic), (churn.FOREST, churn.on_raw_rows(t.churn_run.forest))):
@@ -188,12 +209,12 @@ def _persisted(t):
         model.write().overwrite().save(path)
         again = churn.scored(PipelineModel.load(path), test).select("customer_id", F.col("score").alias("loaded"))
         both = t.churn_run.test_scores[name].join(again, "customer_id", "full")
-        part = both.where(~F.col("score").eqNullSafe(F.col("loaded"))).select("customer_id", F.lit(name).alias("model"))
+        part = both.select("customer_id", F.col("score").eqNullSafe(F.col("loaded")).cast("int").alias("same"))
         found = part if found is None else found.union(part)
-    return found
+    return found.groupBy("customer_id").agg(F.sum("same").alias("same"))
 
 
-add("s12_model_persistence", _persisted, "SELECT customer_id, '' AS model FROM rfm WHERE false")
+add("s12_model_persistence", _persisted, "SELECT customer_id, 2::BIGINT AS same FROM split WHERE is_test")
 
 # --- E: explanation ---
 

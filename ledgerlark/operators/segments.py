@@ -6,15 +6,14 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import add
 
-from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerlark.functions.numeric import mean
+from ledgerlark.operators.kmeans import Model, fit_models
 from ledgerlark.operators.silhouettes import choice_is_certain, silhouette_bounds
-from ledgerlark.session import Staging, in_threads, tune
+from ledgerlark.session import Staging, tune
 
 SEGMENT_FEATURES = ["recency_days", "frequency", "monetary"]
 MAX_CLUSTERS = 1000
@@ -51,16 +50,10 @@ def prepare_features(rfm: DataFrame, cols: list[str] = SEGMENT_FEATURES) -> tupl
     return VectorAssembler(inputCols=[f"{c}_z" for c in cols], outputCol="features").transform(scaled), scaler
 
 
-def fit_kmeans(
-    vectors: DataFrame, k: int, seed: int = 42, restarts: int = 10, max_iter: int = 300, parallelism: int = 4
-) -> KMeansModel:
-    """The model with the lowest inertia of several seeded starts, lowest seed on ties."""
-
-    def fit(start: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + start, maxIter=max_iter, tol=1e-4).fit(vectors)
-
-    models = in_threads(vectors.sparkSession, fit, range(restarts), parallelism)
-    return min(models, key=lambda m: m.summary.trainingCost)
+def fit_kmeans(points: DataFrame, key: str, features: list[str], ks, seed: int = 42, restarts: int = 10, max_iter: int = 300) -> dict[int, Model]:
+    """The model with the lowest inertia of several seeded starts for every k, lowest seed on ties."""
+    fitted = fit_models(points, key, features, [(k, seed + start) for k in ks for start in range(restarts)], max_iter)
+    return {k: min((m for m in fitted if m.k == k), key=lambda m: (m.inertia, m.seed)) for k in sorted({m.k for m in fitted})}
 
 
 def squared_silhouette(points: DataFrame, features: list[str], label_cols: list[str]) -> DataFrame:
@@ -105,7 +98,7 @@ def squared_silhouette(points: DataFrame, features: list[str], label_cols: list[
 class Sweep:
     """Models per k with their inertia and silhouette, and the k chosen."""
 
-    models: dict[int, KMeansModel]
+    models: dict[int, Model]
     inertia: dict[int, float]
     silhouette: dict[int, float]
     best_k: int
@@ -124,28 +117,23 @@ def choose_k(
     are exact where there are few different rows, and else within the bounds that settled the choice.
     """
     spark = tune(vectors.sparkSession)
-    points = vectors.select(key, "features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        models = {k: fit_kmeans(points, k, seed, restarts) for k in ks}
+    width = vectors.select(F.size(vector_to_array("features"))).head(1)
+    features = [f"x{i}" for i in range(width[0][0] if width else 0)]
+    flat = vectors.withColumn("_v", vector_to_array("features")).select(key, *[F.col("_v")[i].alias(f) for i, f in enumerate(features)])
+    with Staging(spark, "sweep") as work:
+        points = work.table(flat, "features")
+        models = fit_kmeans(points, key, features, ks, seed, restarts)
         placed = points
         for k, model in models.items():
-            placed = model.setPredictionCol(f"k{k}").transform(placed)
-            model.setPredictionCol("prediction")
-        width = len(next(iter(models.values())).clusterCenters()[0])
-        flat = placed.withColumn("_v", vector_to_array("features")).select(
-            *[F.col("_v")[i].alias(f"x{i}") for i in range(width)], *[f"k{k}" for k in models]
-        )
+            placed = nearest_center(placed, [list(c) for c in model.clusterCenters()], features).withColumnRenamed("cluster", f"k{k}").drop("gap")
         names = [f"k{k}" for k in models if k in eligible]
-        with Staging(spark, "silhouettes") as work:
-            found = silhouette_bounds(
-                flat, [f"x{i}" for i in range(width)], [f"k{k}" for k in models], work, lambda bounds: choice_is_certain(bounds, names)
-            )
-    finally:
-        points.unpersist()
+        found = silhouette_bounds(
+            placed, features, [f"k{k}" for k in models], work, lambda bounds: choice_is_certain(bounds, names)
+        )
     scores = {k: found[f"k{k}"].value for k in models}
     ranked = [k for k in sorted(models) if k in eligible and scores[k] is not None]
     best = max(ranked, key=lambda k: (scores[k], -k))
-    return Sweep(models, {k: m.summary.trainingCost for k, m in models.items()}, scores, best)
+    return Sweep(models, {k: m.inertia for k, m in models.items()}, scores, best)
 
 
 def profile_clusters(rfm: DataFrame, by: str = "cluster") -> DataFrame:
@@ -200,7 +188,7 @@ def first_best(sweep: DataFrame) -> DataFrame:
     return known.agg(F.min_by("k", F.struct(-F.col("silhouette"), "k")).alias("k"), F.max("silhouette").alias("silhouette"))
 
 
-def assign_segments(vectors: DataFrame, model: KMeansModel) -> DataFrame:
+def assign_segments(vectors: DataFrame, model: Model) -> DataFrame:
     """Customers of `prepare_features` with their cluster and its name."""
     centers = [list(c) for c in model.clusterCenters()]
     rows = nearest_center(vectors, centers, [f"{c}_z" for c in SEGMENT_FEATURES])

@@ -8,10 +8,11 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from ledgerlark import schemas
 from ledgerlark.functions.text import parse_date
+from ledgerlark.session import stage
 
 
 @dataclass
@@ -66,6 +67,23 @@ def read_csv_parsing_dates(spark: SparkSession, path: str, schema: StructType) -
     return raw.withColumns({d: parse_date(F.col(d)) for d in days}).select(*schema.names)
 
 
+REJECTED = "_rejected"
+
+
+def read_csv_with_rejects(spark: SparkSession, path: str, schema: StructType, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(rows that fit the schema, rejected lines as text in `line`).
+
+    A line is rejected if it has fewer or more fields than the schema, or a field that is not of its
+    type. Rows that fit are those `read_csv` gives, and nothing is read as null in silence. The
+    lines are parsed once and staged, since both results read them.
+    """
+    whole = StructType([*schema.fields, StructField(REJECTED, StringType())])
+    rows = spark.read.schema(whole).option("header", header).option(
+        "columnNameOfCorruptRecord", REJECTED).option("mode", "PERMISSIVE").csv(path)
+    rows = stage(rows, "csv")
+    return rows.where(F.col(REJECTED).isNull()).drop(REJECTED), rows.where(F.col(REJECTED).isNotNull()).select(F.col(REJECTED).alias("line"))
+
+
 def read_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
@@ -75,6 +93,23 @@ def read_documents(spark: SparkSession, path: str, schema: StructType = schemas.
     return drop_internal(read_json(spark, path, schema))
 
 
+def read_whole_documents(
+    spark: SparkSession, path: str, schema: StructType = schemas.ORDER_DOCUMENTS, others: str = "others"
+) -> DataFrame:
+    """Nested documents as JSON lines with all their fields but `_id`.
+
+    The fields of `schema` are columns of their own; `others` maps the names of all further ones to
+    VARIANT values of any shape (`variant_get(others['name'], '$.path', 'type')`), null where a
+    document has none. A line that is no JSON object gives nulls.
+    """
+    lines = spark.read.text(path)
+    known = F.array(*[F.lit(n) for n in [*schema.names, "_id"]])
+    fields = F.from_json("value", "map<string, variant>")
+    rest = F.map_filter(fields, lambda name, _: ~F.array_contains(known, name))
+    read = lines.select(F.from_json("value", schema).alias("d"), F.when(F.size(rest) > 0, rest).alias(others))
+    return read.select("d.*", others)
+
+
 def read_with_fallback(spark: SparkSession, paths: list[str], schema: StructType) -> DataFrame | None:
     """JSON from the first path that exists, or None."""
     return next((read_json(spark, p, schema) for p in paths if path_exists(spark, p)), None)

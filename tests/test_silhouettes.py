@@ -80,7 +80,8 @@ def test_the_choice_is_that_of_exact_silhouettes(spark):
     points = {r.customer_id: r for r in vectors.collect()}
     values = {}
     for k, model in sweep.models.items():
-        placed = {r.customer_id: r.prediction for r in model.transform(vectors).collect()}
+        near = segments.nearest_center(vectors, [list(c) for c in model.clusterCenters()], [f"{c}_z" for c in segments.SEGMENT_FEATURES])
+        placed = {r.customer_id: r.cluster for r in near.collect()}
         values[k] = exact([[points[i][f"{c}_z"] for c in segments.SEGMENT_FEATURES] for i in placed], list(placed.values()))
     assert sweep.best_k == max(range(4, 8), key=lambda k: (values[k], -k))
     assert sweep.silhouette == pytest.approx(values, abs=1e-9)

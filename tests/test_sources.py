@@ -31,6 +31,31 @@ def test_documents_flatten_to_headers_and_items(spark, tmp_path):
     assert {(r.order_id, r.product_id, r.quantity) for r in items.collect()} == {("O1", "P1", 1), ("O1", "P2", 2)}
 
 
+def test_documents_keep_fields_of_any_shape(spark, tmp_path):
+    import json
+
+    more = [{**DOCUMENTS[0], "gift": {"to": "Ann", "notes": ["a", 2]}, "rank": 7}, {**DOCUMENTS[1], "rank": "high"}, DOCUMENTS[0]]
+    (tmp_path / "docs.json").write_text("\n".join([*map(json.dumps, more), "no json"]))
+    docs = io.read_whole_documents(spark, str(tmp_path))
+    assert docs.columns == [*schemas.ORDER_DOCUMENTS.names, "others"]
+    rows = docs.selectExpr(
+        "order_id", "size(items) AS n", "array_sort(map_keys(others)) AS names", "try_variant_get(others['gift'], '$.notes[1]', 'int') AS note",
+        "try_variant_get(others['rank'], '$', 'string') AS rank").collect()
+    assert [(r.order_id, r.n, r.names, r.note, r["rank"]) for r in rows] == [
+        ("O1", 2, ["gift", "rank"], 2, "7"), ("O2", 0, ["rank"], None, "high"), ("O1", 2, None, None, None), (None, -1 if rows[3].n == -1 else None, None, None, None)]
+
+
+def test_csv_lines_that_do_not_fit_are_kept_as_text(spark, tmp_path):
+    good = ["O1,C1,2024-02-28,1.5,a,b,c", "O2,,2024-02-28,,a,b,c"]
+    bad = ["O3,C1,2024-02-28", "O4,C1,2024-02-28,2,a,b,c,more,fields", "O5,C1,2024-02-28,dear,a,b,c", "O6,C1,no day,1,a,b,c"]
+    header = "order_id,customer_id,order_date,total_amount,payment_method,channel,store_region"
+    (tmp_path / "a.csv").write_text("\n".join([header, good[0], *bad, good[1]]))
+    rows, rejects = io.read_csv_with_rejects(spark, str(tmp_path), schemas.ORDERS)
+    assert sorted(r.order_id for r in rows.collect()) == ["O1", "O2"] and rows.columns == schemas.ORDERS.names
+    assert sorted(r.line for r in rejects.collect()) == sorted(bad)
+    assert rows.count() == 2 and rejects.count() == 4
+
+
 def test_missing_inputs_are_all_named_before_any_job(spark, tmp_path):
     sources = {
         "customers": io.Source(f"{tmp_path}/c", schemas.CUSTOMERS, "ingest"), "orders": io.Source(f"{tmp_path}/o", schemas.ORDERS, "cleaning"),
