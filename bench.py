@@ -24,7 +24,7 @@ HEADLINE = [
     "b09_customer_extract", "k12_slicer_cube", "s06_upsert",
 ]
 #: Dearer queries, timed too but reported apart from the headline total.
-APART = ["c00_clean_items", "d20_constraint_audit", "b06_headline", "b14_report_bundle", "k12_all_slicers"]
+APART = ["c00_clean_items", "g04_euclidean_silhouette", "x15_daily_events", "d20_constraint_audit", "b06_headline", "b14_report_bundle", "k12_all_slicers"]
 
 
 def main() -> None:

@@ -193,12 +193,12 @@ def _band(rfm):
     return rfm.select("customer_id", F.when(F.col("recency_days") <= 90, "active").otherwise("idle").alias("segment"))
 
 
-def _migration(t):
+def _migration(t, how=reports.segment_migration):
     """Snapshots at the cutoff and at the end of the label window, each of the customers signed up by then."""
     signed = [t.customers.where(F.col("signup_date") <= F.lit(d)) for d in ("2000-05-03", str(t.obs_end))]
     before = _band(build_rfm_features(signed[0], t.headers, t.cutoff))
     after = _band(build_rfm_features(signed[1], t.headers, t.obs_end))
-    return reports.segment_migration(before, after)
+    return how(before, after)
 
 
 def _snapshot(signed: str, as_of: str) -> str:
@@ -206,9 +206,10 @@ def _snapshot(signed: str, as_of: str) -> str:
                 signup_date) <= 90 THEN 'active' ELSE 'idle' END AS s FROM cust c WHERE signup_date <= {signed})"""
 
 
-add("x03_segment_migration", _migration,
-    f"""SELECT a.s AS from_segment, b.s AS to_segment, COUNT(*) AS customers FROM {_snapshot("DATE '2000-05-03'", CUT)} a
-        FULL JOIN {_snapshot(END, END)} b USING (customer_id) GROUP BY 1, 2""")
+MIGRATION = f"""SELECT a.s AS from_segment, b.s AS to_segment, COUNT(*) AS customers FROM {_snapshot("DATE '2000-05-03'", CUT)} a
+        FULL JOIN {_snapshot(END, END)} b USING (customer_id) GROUP BY 1, 2"""
+add("x03_segment_migration", _migration, MIGRATION)
+add("x03_migration_by_ranges", lambda t: _migration(t, reports.segment_migration_by_ranges), MIGRATION)
 add("x04_category_by_region", lambda t: reports.category_by_region(t.sales, t.products),
     f"SELECT category, store_region, {dbl('SUM(line_total)')} AS revenue FROM sales JOIN prod USING (product_id) GROUP BY CUBE (category, store_region)")
 add("x04_category_region_matrix", lambda t: reports.category_region_matrix(t.sales, t.products, REGIONS),

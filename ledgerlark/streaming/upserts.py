@@ -3,6 +3,11 @@
 The target is a parquet table split into a fixed number of hash buckets of the key. A batch
 rewrites only the buckets it touches. Setting the same fields again changes nothing, so a batch
 that is replayed after a failure gives the same table.
+
+The rewrite is Spark's dynamic overwrite of partitions: while a batch is written, a reader may find a
+bucket empty or see some buckets new and others old, and after a failure the table is whole again
+only when the batch was replayed. Read between batches, or keep the table in a format that has
+transactions; this module adds none.
 """
 
 from __future__ import annotations
