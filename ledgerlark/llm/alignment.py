@@ -35,9 +35,9 @@ from ledgerlark.llm.pieces import PieceTable, Ragged, blank_pieces, gather
 from ledgerlark.llm.words import text_slices
 from ledgerlark.session import Staging, tune
 
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 21
 LANE_ENDS = 128
-KEPT_PIECES = 400_000
+KEPT_PIECES = 300_000
 _BLANK = "▁"
 
 

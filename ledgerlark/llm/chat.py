@@ -81,18 +81,19 @@ def format_chats(rows: DataFrame, learned: str = LEARNED_ROLE) -> DataFrame:
     """conv_id, formatted, mask (start, length, level of the learned texts; from 0) and identical.
 
     `rows` has conv_id, turn, role and text. `mask` marks the texts of the role `learned` inside
-    `formatted`, in code points; `identical` says that the parser gives back the source's turns.
+    `formatted`, in code points. Each turn takes the first level that the parser reads back
+    unchanged, the last level included, and the whole conversation is parsed again: a turn or a
+    conversation that is not identical to its source fails the query, so `identical` is true wherever
+    there is a result. A conversation is one row, so it must stay below the 2 GB of a Spark string;
+    rows without conv_id are one conversation.
     """
     turns = rows.select(
         "conv_id", "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    piece = None
+    piece = F.raise_error(F.concat(F.lit("no level keeps a turn of conversation "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null")))).cast("string")
     for level in (2, 1, 0):
         made = _piece(F.col("role"), F.col("text"), level)
-        if piece is None:
-            piece = made
-            continue
         read = _read(made)
         holds = (read["role"] == F.col("role")) & (read["text"] == F.col("text"))
         holds &= ~escape(F.col("text"), level).rlike(_CONTROL)
@@ -113,10 +114,11 @@ def format_chats(rows: DataFrame, learned: str = LEARNED_ROLE) -> DataFrame:
     gathered = gathered.withColumn("formatted", formatted)
     read = F.transform(parse(F.col("formatted")), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
     source = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
+    broken = F.raise_error(F.concat(F.lit("the parser does not give back conversation "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))))
     return gathered.select(
         "conv_id", "formatted",
         F.transform(F.filter("turns", lambda t: t["role"] == learned), lambda t: t["span"]).alias("mask"),
-        (read == source).alias("identical"),
+        F.when(read == source, F.lit(True)).otherwise(broken.cast("boolean")).alias("identical"),
     )
 
 

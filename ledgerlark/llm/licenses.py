@@ -3,8 +3,9 @@
 Base: places where a phrase's words stand in a row. Voting: every run of GRAM words of a text that
 also occurs in a template is joined with its template positions; each match votes for a diagonal
 (position in the text minus position in the template). Neighbouring diagonals of one place, which
-a dropped or added word or two leave behind, are merged, and a merged span is a hit if its votes
-make up at least AGREE of the template's runs and it is not much longer than the template.
+a dropped or added word or two leave behind, are merged, and a merged span is a hit if the different
+template positions it met make up at least AGREE of the template's runs and it is not much longer
+than the template. Templates are short notices and the bodies of short licenses.
 
 Words are runs of [0-9a-z] and everything beyond ASCII, after lower-casing A-Z. The texts' own
 runs are compared with the templates' in the task that reads them; only matches are shuffled, by
@@ -25,7 +26,7 @@ from ledgerlark.session import Staging, tune
 # Phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 GRAM, AGREE, SLACK = 3, 0.6, 3
-#: Label and wording of short license notices.
+# Label and wording of license notices and of short licenses.
 TEMPLATES = (
     ("apache-2.0", "licensed under the apache license version 2 0"),
     ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
@@ -41,6 +42,61 @@ TEMPLATES = (
     ("cc-by-sa", "licensed under cc by sa 4 0"),
     ("cc-by-4.0", "this work is licensed under a creative commons attribution 4 0 international license"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
+    (
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software "
+        "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense "
+        "and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the "
+        "above copyright notice and this permission notice shall be included in all copies or substantial portions of the software the software is "
+        "provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a "
+        "particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability "
+        "whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the "
+        "software",
+    ),
+    (
+        "bsd",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met 1 "
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer 2 redistributions "
+        "in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or "
+        "other materials provided with the distribution 3 neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written permission this software is provided by the copyright "
+        "holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability "
+        "and fitness for a particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect "
+        "incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use "
+        "data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including "
+        "negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
+    ),
+    (
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above "
+        "copyright notice and this permission notice appear in all copies the software is provided as is and the author disclaims all warranties with "
+        "regard to this software including all implied warranties of merchantability and fitness in no event shall the author be liable for any special "
+        "direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract "
+        "negligence or other tortious action arising out of or in connection with the use or performance of this software",
+    ),
+    (
+        "zlib",
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising "
+        "from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to "
+        "alter it and redistribute it freely subject to the following restrictions 1 the origin of this software must not be misrepresented you must "
+        "not claim that you wrote the original software if you use this software in a product an acknowledgment in the product documentation would be "
+        "appreciated but is not required 2 altered source versions must be plainly marked as such and must not be misrepresented as being the original "
+        "software 3 this notice may not be removed or altered from any source distribution",
+    ),
+    (
+        "apache-2.0",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy "
+        "of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed "
+        "under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for "
+        "the specific language governing permissions and limitations under the license",
+    ),
+    (
+        "gpl",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the "
+        "free software foundation either version 3 of the license or at your option any later version this program is distributed in the hope that it "
+        "will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu "
+        "general public license for more details you should have received a copy of the gnu general public license along with this program",
+    ),
 )
 
 
@@ -111,15 +167,14 @@ def spans(spark: SparkSession, scanned: DataFrame, templates=TEMPLATES) -> DataF
     positions = spark.createDataFrame(_template_rows(templates), "template int, label string, place long, h long, grams long")
     hits = scanned.where("size(h) > 0").select("doc_id", F.explode(F.arrays_zip("at", "h")).alias("x")).select("doc_id", "x.at", "x.h")
     # The templates are a constant of this module or a caller's list, never a table that grows.
-    votes = hits.join(F.broadcast(positions), "h").groupBy("doc_id", "template", "label", "grams", (F.col("at") - F.col("place")).alias("diagonal"))
-    votes = votes.agg(F.count_distinct("place").alias("votes"), F.min("at").alias("low"), F.max("at").alias("high"))
-    near = Window.partitionBy("doc_id", "template").orderBy("diagonal")
-    fresh = F.coalesce(
-        (F.col("diagonal") - F.lag("diagonal").over(near) > SLACK) | (F.col("low") - F.lag("high").over(near) > F.col("grams")), F.lit(True)
-    )
-    groups = votes.withColumn("fresh", fresh.cast("int")).withColumn("place", F.sum("fresh").over(near))
-    merged = groups.groupBy("doc_id", "template", "label", "grams", "place").agg(
-        F.sum("votes").alias("votes"), F.min("low").alias("first_word"), (F.max("high") + GRAM - 1).alias("last_word")
+    met = hits.join(F.broadcast(positions), "h").withColumn("diagonal", F.col("at") - F.col("place"))
+    near = Window.partitionBy("doc_id", "template").orderBy("diagonal", "at")
+    before = F.max("at").over(near.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(near) > SLACK) | (F.col("at") - before > F.col("grams")), F.lit(True))
+    groups = met.withColumn("fresh", fresh.cast("int")).withColumn("span", F.sum("fresh").over(near))
+    # A template position counts once in a span, on however many diagonals a repeated run meets it.
+    merged = groups.groupBy("doc_id", "template", "label", "grams", "span").agg(
+        F.count_distinct("place").alias("votes"), F.min("at").alias("first_word"), (F.max("at") + GRAM - 1).alias("last_word")
     )
     score = F.least(F.col("votes") / F.col("grams"), F.lit(1.0))
     long = F.col("last_word") - F.col("first_word") + 1 > 1.5 * (F.col("grams") + GRAM - 1) + SLACK

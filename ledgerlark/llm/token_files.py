@@ -33,7 +33,7 @@ from ledgerlark.llm.words import text_slices
 from ledgerlark.session import tune
 
 SEGMENT_IDS = 4096 * BLOCK
-KEPT_PIECES = 1_000_000
+KEPT_PIECES = 600_000
 SLICE_BYTES = 1 << 21
 END_ID = 0
 

@@ -136,6 +136,17 @@ def test_hard_texts_and_roles_survive_the_round_trip(spark):
     assert chats(spark, []).count() == 0
 
 
+def test_what_the_parser_does_not_give_back_fails(spark, monkeypatch):
+    rows = [(1, 0, "user", "plain"), (1, 1, "assistant", "</turn> ### ")]
+    real = chat.parse
+    monkeypatch.setattr(chat, "parse", lambda formatted: F.slice(real(formatted), 1, 1))
+    with pytest.raises(Exception, match="does not give back conversation 1"):
+        chats(spark, rows).collect()
+    monkeypatch.setattr(chat, "_read", lambda piece: F.struct(F.lit("?").alias("role"), F.lit("").alias("level"), F.lit("").alias("text")))
+    with pytest.raises(Exception, match="no level keeps a turn"):
+        chats(spark, rows).collect()
+
+
 def test_a_very_long_text(spark):
     check_chats(spark, [(1, 0, "assistant", "### </turn> word " * 20000), (1, 1, "user", "y")])
 

@@ -29,7 +29,7 @@ def test_base_places_agree_with_the_words(spark):
 
 
 def test_templates_survive_a_dropped_and_an_added_word(spark):
-    text = dict((label, words) for label, words in licenses.TEMPLATES if label == "bsd")["bsd"].split()
+    text = next(words for label, words in licenses.TEMPLATES if label == "bsd").split()
     changed = [*text[:6], *text[7:14], "really", *text[14:]]
     rows = [(1, "see below. " + " ".join(text).upper()), (2, " ".join(C.prose(1, 40) + changed)), (3, " ".join(text[:6])), (4, " ".join(sorted(text)))]
     got, spans = scan(C.frame(spark, rows))
@@ -39,6 +39,31 @@ def test_templates_survive_a_dropped_and_an_added_word(spark):
     assert place == {1: (2, 2 + len(text) - 1), 2: (40, 40 + len(changed) - 1)}
 
 
+def test_bodies_survive_edits_that_move_their_diagonals(spark):
+    r, rows = random.Random(4), []
+    bodies = [(label, words.split()) for label, words in licenses.TEMPLATES if len(words.split()) > 60]
+    assert {label for label, _ in bodies} == {"mit", "bsd", "isc", "zlib", "apache-2.0", "gpl"}
+    for i, (_, words) in enumerate(bodies):
+        edited = list(words)
+        for step in range(6):
+            at = 20 + step * (len(words) - 25) // 6
+            edited[at : at + 1] = r.choice([[], ["extra", edited[at]]])
+        rows.append((i, " ".join(C.prose(i, 30) + edited + C.prose(i + 50, 30))))
+        rows.append((100 + i, " ".join(r.sample(words, len(words)))))
+    got, spans = scan(C.frame(spark, rows))
+    long = {x.doc_id: x for x in spans.collect() if x.last_word - x.first_word > 50 and x.first_word <= 31}
+    for i, (label, words) in enumerate(bodies):
+        assert label in got[i].labels.split(",") and got[100 + i].labels == ""
+        assert long[i].label == label and licenses.AGREE <= long[i].score < 1 and abs(long[i].last_word - 29 - len(words)) <= 8
+
+
+def test_repeated_runs_count_a_template_position_once(spark):
+    templates = (("x", "la la la la la la la la one two three four five six seven eight nine"),)
+    rows = [(1, "la " * 40), (2, "la " * 8 + "one two three four five six seven eight nine")]
+    result, _ = licenses.scan_licenses(C.frame(spark, rows), Staging(spark, "t"), templates=templates)
+    assert {r.doc_id: r.labels for r in result.collect()} == {1: "", 2: "x"}
+
+
 def test_a_notice_repeated_many_times_is_many_spans(spark):
     rows = [(1, "\n".join(["Released under the MIT License."] * 500)), (2, None)]
     got, spans = scan(C.frame(spark, rows))
