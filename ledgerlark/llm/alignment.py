@@ -37,7 +37,7 @@ from ledgerlark.session import Staging, tune
 
 SLICE_BYTES = 1 << 21
 LANE_ENDS = 128
-KEPT_PIECES = 300_000
+KEPT_PIECES = 500_000
 _BLANK = "▁"
 
 
