@@ -318,8 +318,7 @@ def clustered(seed, n, size=12):
 
 
 def test_factor_one_is_exact_search(spark, monkeypatch):
-    monkeypatch.setattr(neighbours, "SHARD_ROWS", 150)
-    monkeypatch.setattr(neighbours, "QUERY_ROWS", 9)
+    monkeypatch.setattr(neighbours, "SHARD_ROWS", 50)
     rows = clustered(1, 700)
     rows += [(700 + i, rows[i % 3][1]) for i in range(300)]  # a large group of equal vectors
     got, want = nearest(spark, rows, every=50, factor=1.0), brute(rows, 50, 10)
@@ -343,3 +342,35 @@ def test_vectors_that_take_no_part(spark):
     assert {q: [v for v, _ in r] for q, r in got.items()} == {0: [100, 200, 300], 100: [0, 200, 300], 200: [100, 300, 0], 300: [200, 100, 0]}
     assert nearest(spark, []) == {}
     assert nearest(spark, [(1, [1.0]), (2, [1.0])]) == {}
+
+
+def test_regions_out_of_reach_are_not_searched(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHARD_ROWS", 40)
+    r = np.random.default_rng(5)
+    centres = 100.0 * np.eye(8)
+    rows = [(i, (centres[i % 8] + r.normal(size=8)).tolist()) for i in range(1600)]
+    table = neighbours.usable(vectors(spark, rows), "vec_id", "embedding")
+    trees = neighbours._sample(table, 1600, 8)
+    points = np.array([p for _, p in rows])
+    home = np.full(1600, -1)
+    for number, at in neighbours._reached(trees[8], points, None, np.arange(1600)):
+        home[at] = number
+    assert len(set(home.tolist())) >= 16 and (home >= 0).all()
+    visits = sum(len(at) for _, at in neighbours._reached(trees[8], points, (np.full(1600, 5.0), 1.0), np.arange(1600)))
+    assert 1600 <= visits < 1600 * len(set(home.tolist())) / 3
+    got, want = nearest(spark, rows, every=20, factor=1.0), brute(rows, 20, 10)
+    assert {q: [v for v, _ in own] for q, own in got.items()} == {q: [v for v, _ in own] for q, own in want.items()}
+
+
+def test_one_id_with_two_vectors_is_the_smaller_one(spark):
+    rows = [(100, [5.0, 1.0]), (1, [9.0, 9.0]), (1, [5.0, 2.0]), (2, [5.0, 4.0]), (2, [5.0, 4.0])]
+    for order in (rows, rows[::-1]):
+        assert nearest(spark, order) == {100: [(1, 1.0), (2, 3.0)]}
+
+
+def test_lengths_outside_the_sample_have_a_region(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHARD_ROWS", 4)
+    monkeypatch.setattr(neighbours, "SAMPLE_ROWS", 2)
+    rows = [(i, [float(i), 1.0, 1.0][: 1 + i % 3]) for i in range(1, 60)]
+    got = nearest(spark, rows, every=10, k=2, factor=1.0)
+    assert {q: [v for v, _ in own] for q, own in got.items()} == {q: [q - 3, q + 3] for q in (10, 20, 30, 40, 50)}
