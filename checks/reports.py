@@ -9,6 +9,7 @@ from checks.oracle import CUT, END, big, dbl, div, even, int_, r6
 from checks.tables import differences, plain, rounded
 from checks.warehouse import PER_CUSTOMER, PRODUCTS
 from ledgerlark.operators.aggregates import binned_pairs
+from ledgerlark.operators.colocated import with_headers
 from ledgerlark.operators.features import build_rfm_features
 from ledgerlark.operators.star import date_dimension
 from ledgerlark.plans import explore, extracts, measures, reports
@@ -52,12 +53,14 @@ add("b07_first_pass_segments", lambda t: reports.first_pass_segments(t.segments)
     f"SELECT segment, COUNT(*) AS customers, {even(div('COUNT(*)', 'SUM(COUNT(*)) OVER ()') + ' * 100', 1)} AS pct FROM segs GROUP BY segment")
 add("b07_first_pass_risk", lambda t: rounded(reports.first_pass_risk(t.predictions), "avg_churn_probability"),
     f"SELECT COUNT(*) FILTER (p10k >= 7000) AS high_risk_count, {r6(div('SUM(p10k)', 'COUNT(*)') + ' / 10000')} AS avg_churn_probability FROM preds")
-add("b08_sales_extract", lambda t: plain(extracts.sales_extract(t.items, t.orders, t.products)),
-    f"""SELECT order_id, date_key AS order_date, {int_('YEAR(date_key)')} AS order_year, {int_('MONTH(date_key)')} AS order_month,
+EXTRACT = f"""SELECT order_id, date_key AS order_date, {int_('YEAR(date_key)')} AS order_year, {int_('MONTH(date_key)')} AS order_month,
         MONTHNAME(date_key) AS order_month_name, customer_id, s.product_id, product_name, category, subcategory, brand, quantity,
         {dbl('s.unit_price')} AS unit_price, {dbl('discount')} AS discount, {dbl('line_total')} AS line_total,
         {dbl('(s.unit_price - unit_cost) * quantity * (1 - discount)')} AS gross_margin, payment_method, channel, store_region AS region
-        FROM sales s LEFT JOIN prod p ON p.product_id = s.product_id""")
+        FROM sales s LEFT JOIN prod p ON p.product_id = s.product_id"""
+add("b08_sales_extract", lambda t: plain(extracts.sales_extract(t.items, t.orders, t.products)), EXTRACT)
+add("b08_extract_by_buckets", lambda t: plain(
+    extracts.extract_from_lines(with_headers(t.placed, "inner", extracts.HEADER_COLUMNS), t.products)), EXTRACT)
 WIDE = """cust c LEFT JOIN feat f USING (customer_id) LEFT JOIN segs g USING (customer_id) LEFT JOIN preds p USING (customer_id)"""
 PROFILE = "customer_id, c.name, c.email, c.gender, c.age, c.city, c.state, c.region, c.signup_date, c.loyalty_tier, c.loyalty_points"
 BEHAVIOUR = """f.customer_tenure_days, f.recency_days, f.frequency, f.monetary, f.avg_order_value, f.total_items_purchased, f.unique_products_purchased,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DecimalType
 
 from ledgerlark.operators import churn, cleaning, explain, features, segments
+from ledgerlark.operators.colocated import Colocated, colocate
 from ledgerlark.session import stage, tune
 from ledgerlark.sources.driver_tables import CUTOFF, OBSERVATION_END, DriverTables
 
@@ -160,6 +161,11 @@ class CheckTables(DriverTables):
 
     # --- trained models ---
 
+    @cached_property
+    def placed(self) -> Colocated:
+        """Orders and lines laid out together."""
+        return colocate(self.orders, self.items)
+
     @cached_property
     def churn_run(self) -> churn.ChurnRun:
         return churn.train_churn_models(stage(self.churnset, "churnset"))

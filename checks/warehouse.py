@@ -8,6 +8,7 @@ from checks.catalog import add
 from checks.oracle import CUT, END, big, cents, dbl, div, hup, int_
 from checks.tables import plain
 from ledgerlark.operators import cleaning, features, star
+from ledgerlark.operators.colocated import with_headers, with_sums
 from ledgerlark.plans import business, measures
 from ledgerlark.sources.driver_tables import REFERENCE_DATE
 
@@ -189,6 +190,13 @@ add("d18_date_dimension", lambda t: star.date_dimension(t.headers), "SELECT * FR
 add("d19_sales_fact", lambda t: plain(t.sales),
     f"SELECT * REPLACE ({dbl('unit_price')} AS unit_price, {dbl('discount')} AS discount, {dbl('line_total')} AS line_total) FROM sales")
 
+add("d19_fact_by_buckets", lambda t: plain(star.fact_from_lines(with_headers(t.placed, "inner", star.HEADER_CONTEXT))),
+    f"SELECT * REPLACE ({dbl('unit_price')} AS unit_price, {dbl('discount')} AS discount, {dbl('line_total')} AS line_total) FROM sales")
+add("c21_totals_by_buckets", lambda t: plain(
+    with_sums(t.placed, lines=F.count(F.lit(1)), line_sum=F.sum("line_total")).select("order_id", "total_amount", "lines", "line_sum")),
+    f"""SELECT order_id, {dbl('total_amount')} AS total_amount, lines, {dbl('line_sum')} AS line_sum FROM ord
+        LEFT JOIN (SELECT order_id, COUNT(*) AS lines, SUM(line_total) AS line_sum FROM itm GROUP BY order_id) USING (order_id)""")
+
 
 def _audit(t):
     """The audit of the uncleaned tables, which has something to find."""

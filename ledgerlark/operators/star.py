@@ -16,6 +16,8 @@ FACT_COLUMNS = [
     "line_total", "payment_method", "channel", "store_region",
 ]
 
+HEADER_CONTEXT = ["customer_id", "order_date", "payment_method", "channel", "store_region"]
+
 
 def date_dimension(orders: DataFrame, day: str = "order_date") -> DataFrame:
     """One row per calendar day between the first and the last order."""
@@ -36,12 +38,12 @@ def date_dimension(orders: DataFrame, day: str = "order_date") -> DataFrame:
 
 def sales_fact(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Order lines with the context of their header; lines without a header are left out."""
-    context = ["customer_id", "order_date", "payment_method", "channel", "store_region"]
-    return (
-        join_star(items, orders, "order_id", "inner", context)
-        .withColumnRenamed("order_date", "date_key")
-        .select(*FACT_COLUMNS)
-    )
+    return fact_from_lines(join_star(items, orders, "order_id", "inner", HEADER_CONTEXT))
+
+
+def fact_from_lines(lines: DataFrame) -> DataFrame:
+    """The fact from lines that already carry `HEADER_CONTEXT`."""
+    return lines.withColumnRenamed("order_date", "date_key").select(*FACT_COLUMNS)
 
 
 def constraint_audit(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlark.functions.encode import band
 from ledgerlark.functions.text import month_name
+from ledgerlark.operators.colocated import Colocated, with_headers
 from ledgerlark.operators.joins import join_star, left_join_suffixed
 from ledgerlark.operators.star import date_dimension
 
@@ -28,7 +29,11 @@ def risk_band(probability: Column) -> Column:
 
 def sales_extract(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """One row per order line with date parts and margin; unknown products keep their lines."""
-    lines = join_star(items, orders, "order_id", "inner", HEADER_COLUMNS)
+    return extract_from_lines(join_star(items, orders, "order_id", "inner", HEADER_COLUMNS), products)
+
+
+def extract_from_lines(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """The sales extract from lines that already carry `HEADER_COLUMNS`."""
     named = join_star(
         lines, products, "product_id", "left", ["product_name", "category", "subcategory", "brand", "unit_cost"]
     )
@@ -46,7 +51,11 @@ def sales_extract(items: DataFrame, orders: DataFrame, products: DataFrame) -> D
 
 def sales_detail(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """Order lines with header and product columns; lines without either are left out."""
-    lines = join_star(items, orders, "order_id", "inner", HEADER_COLUMNS)
+    return detail_from_lines(join_star(items, orders, "order_id", "inner", HEADER_COLUMNS), products)
+
+
+def detail_from_lines(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """The sales detail from lines that already carry `HEADER_COLUMNS`."""
     return join_star(lines, products, "product_id", "inner", ["product_name", "category", "subcategory", "brand"])
 
 
@@ -79,13 +88,20 @@ def customer_360(
 
 def extract_bundle(
     customers: DataFrame, products: DataFrame, orders: DataFrame, items: DataFrame, features: DataFrame,
-    segments: DataFrame | None = None, predictions: DataFrame | None = None,
+    segments: DataFrame | None = None, predictions: DataFrame | None = None, placed: Colocated | None = None,
 ) -> dict[str, DataFrame]:
-    """Every extract by name; segments and predictions only where they exist."""
+    """Every extract by name; segments and predictions only where they exist.
+
+    With orders and lines laid out together in `placed`, their joins need no shuffle.
+    """
+    if placed is None:
+        lines = join_star(items, orders, "order_id", "inner", HEADER_COLUMNS)
+    else:
+        lines = with_headers(placed, "inner", HEADER_COLUMNS)
     bundle = {
-        "sales_dashboard": sales_extract(items, orders, products),
+        "sales_dashboard": extract_from_lines(lines, products),
         "customer_dashboard": customer_extract(customers, features, segments, predictions),
-        "sales_detail": sales_detail(items, orders, products),
+        "sales_detail": detail_from_lines(lines, products),
         "customer_360": customer_360(customers, features, segments, predictions),
         "customers": customers,
         "products": products,

@@ -11,6 +11,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlark.operators import churn, cleaning, explain, features, metrics, segments, star
+from ledgerlark.operators.colocated import colocate, with_headers
 from ledgerlark.plans import extracts, reports
 from ledgerlark.session import staging_scope, tune
 from ledgerlark.sources import tables as io
@@ -65,8 +66,10 @@ def _run(spark, customers, products, orders, items, folder, reference, arrival,
     feats = out.save("customer_features", features.build_customer_features(c, o, i, p, cutoff))
     dataset = out.save("churn_dataset", features.churn_dataset(feats, features.build_churn_labels(o, c, cutoff, end)))
 
+    placed = colocate(o, i)
     dates = star.date_dimension(o)
-    io.write_star(spark, f"{out.folder}/star", {"dim_customer": c, "dim_product": p, "dim_date": dates}, star.sales_fact(i, o))
+    fact = star.fact_from_lines(with_headers(placed, "inner", star.HEADER_CONTEXT))
+    io.write_star(spark, f"{out.folder}/star", {"dim_customer": c, "dim_product": p, "dim_date": dates}, fact)
 
     segs, sweep = segments.run_segmentation(rfm, seed=seed, restarts=restarts)
     segs = out.save("customer_segments", segs)
@@ -92,5 +95,5 @@ def _run(spark, customers, products, orders, items, folder, reference, arrival,
         out.save("linear_coefficients", explain.linear_coefficients(spark, run.logistic, churn.CHURN_FEATURE_COLUMNS))
 
     out.save_all(reports.report_bundle(c, p, o, i, segs, predictions, importance, comparison), "report")
-    out.save_all(extracts.extract_bundle(c, p, o, i, feats, segs, predictions), "extracts")
+    out.save_all(extracts.extract_bundle(c, p, o, i, feats, segs, predictions, placed), "extracts")
     return out.tables
