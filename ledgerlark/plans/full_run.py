@@ -94,6 +94,6 @@ def _run(spark, customers, products, orders, items, folder, reference, arrival,
     else:
         out.save("linear_coefficients", explain.linear_coefficients(spark, run.logistic, churn.CHURN_FEATURE_COLUMNS))
 
-    out.save_all(reports.report_bundle(c, p, o, i, segs, predictions, importance, comparison), "report")
+    out.save_all(reports.report_bundle(c, p, o, i, segs, predictions, importance, comparison, placed), "report")
     out.save_all(extracts.extract_bundle(c, p, o, i, feats, segs, predictions, placed), "extracts")
     return out.tables

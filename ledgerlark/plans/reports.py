@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerlark.functions.numeric import amount, mean, quotient
 from ledgerlark.operators.aggregates import frequency, with_share
+from ledgerlark.operators.colocated import Colocated, with_headers
 from ledgerlark.operators.joins import join_star
 from ledgerlark.operators.ranking import top_k
 from ledgerlark.plans.business import per_order
@@ -20,6 +21,9 @@ HIGH_RISK, MEDIUM_RISK = 0.7, 0.4
 EXPORT_RISK = 0.6
 LOYAL_RISK = 0.5
 
+# The header columns that the regional report needs.
+REGION_COLUMNS = ["store_region", "customer_id"]
+
 
 def segment_summary(segments: DataFrame) -> DataFrame:
     sums = segments.groupBy("segment").agg(
@@ -50,7 +54,11 @@ def _lines_per_product(items: DataFrame) -> DataFrame:
 
 def category_report(items: DataFrame, products: DataFrame) -> DataFrame:
     """Lines are summed per product before the join; products without category are left out."""
-    named = join_star(_lines_per_product(items), products, "product_id", "left", ["category"])
+    return _categories(_lines_per_product(items), products)
+
+
+def _categories(per_product: DataFrame, products: DataFrame) -> DataFrame:
+    named = join_star(per_product, products, "product_id", "left", ["category"])
     sums = named.where(F.col("category").isNotNull()).groupBy("category").agg(
         amount(F.sum("sum")).alias("revenue"),
         F.sum("units").alias("units_sold"),
@@ -60,7 +68,10 @@ def category_report(items: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def regional_report(items: DataFrame, orders: DataFrame) -> DataFrame:
-    lines = join_star(items, orders, "order_id", "left", ["store_region", "customer_id"])
+    return _regions(join_star(items, orders, "order_id", "left", REGION_COLUMNS))
+
+
+def _regions(lines: DataFrame) -> DataFrame:
     sums = per_order(lines.where(F.col("store_region").isNotNull()), "store_region").groupBy("store_region").agg(
         amount(F.sum("sum")).alias("revenue"),
         F.count_distinct("order_id").alias("orders"),
@@ -71,7 +82,11 @@ def regional_report(items: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def bottom_products_report(items: DataFrame, products: DataFrame, n: int = 5) -> DataFrame:
-    named = join_star(_lines_per_product(items), products, "product_id", "inner", ["product_name", "category"])
+    return _bottom_products(_lines_per_product(items), products, n)
+
+
+def _bottom_products(per_product: DataFrame, products: DataFrame, n: int = 5) -> DataFrame:
+    named = join_star(per_product, products, "product_id", "inner", ["product_name", "category"])
     return top_k(named, [F.asc("sum"), "product_id"], n).select(
         "product_id", "product_name", "category", amount("sum").alias("revenue"),
         quotient(F.col("discounts"), F.col("lines")).alias("avg_discount"),
@@ -80,14 +95,15 @@ def bottom_products_report(items: DataFrame, products: DataFrame, n: int = 5) ->
 
 def headline(
     customers: DataFrame, orders: DataFrame, items: DataFrame, products: DataFrame,
-    categories: DataFrame | None = None, regions: DataFrame | None = None,
+    categories: DataFrame | None = None, regions: DataFrame | None = None, per_product: DataFrame | None = None,
 ) -> DataFrame:
     """One row: totals, and the categories and regions with most and least revenue.
 
-    The two small reports behind the ends are taken as given or staged, so that each is computed
-    once.
+    The two small reports behind the ends, and the sums per product from which the total and the
+    categories come, are taken as given or staged, so that each is computed once.
     """
-    categories = stage(category_report(items, products), "categories") if categories is None else categories
+    per_product = stage(_lines_per_product(items), "products-sold") if per_product is None else per_product
+    categories = stage(_categories(per_product, products), "categories") if categories is None else categories
     regions = stage(regional_report(items, orders), "regions") if regions is None else regions
 
     def ends(table: DataFrame, col: str, label: str) -> list:
@@ -96,7 +112,7 @@ def headline(
         row = table.agg(F.struct(F.min_by(col, best).alias("best"), F.min_by(col, worst).alias("worst"))).scalar()
         return [row["best"].alias(f"best_{label}"), row["worst"].alias(f"worst_{label}")]
 
-    return items.agg(amount(F.sum("line_total")).alias("total_revenue")).select(
+    return per_product.agg(amount(F.sum("sum")).alias("total_revenue")).select(
         "total_revenue",
         customers.agg(F.count(F.lit(1))).scalar().alias("total_customers"),
         orders.agg(F.count_distinct("order_id")).scalar().alias("total_orders"),
@@ -230,20 +246,27 @@ def loyal_at_risk(segments: DataFrame, predictions: DataFrame, threshold: float
 def report_bundle(
     customers: DataFrame, products: DataFrame, orders: DataFrame, items: DataFrame, segments: DataFrame,
     predictions: DataFrame, importance: DataFrame | None = None, comparison: DataFrame | None = None,
+    placed: Colocated | None = None,
 ) -> dict[str, DataFrame]:
     """Every table of the report by name, ready to be written side by side.
 
-    `importance` and `comparison` (the measures of both models) come from a training run.
+    `importance` and `comparison` (the measures of both models) come from a training run. Lines are
+    read twice: for their sums per product, and with their orders, which need no shuffle where both
+    are laid out together in `placed`.
     """
-    categories = stage(category_report(items, products), "categories")
-    regions = stage(regional_report(items, orders), "regions")
+    per_product = stage(_lines_per_product(items), "products-sold")
+    categories = stage(_categories(per_product, products), "categories")
+    if placed is None:
+        regions = stage(regional_report(items, orders), "regions")
+    else:
+        regions = stage(_regions(with_headers(placed, "left", REGION_COLUMNS)), "regions")
     bundle = {
-        "headline": headline(customers, orders, items, products, categories, regions),
+        "headline": headline(customers, orders, items, products, categories, regions, per_product),
         "segment_summary": segment_summary(segments),
         "churn_summary": churn_summary(predictions),
         "category_performance": categories.orderBy(F.desc("revenue"), "category"),
         "regional_performance": regions.orderBy(F.desc("revenue"), "store_region"),
-        "bottom_products": bottom_products_report(items, products),
+        "bottom_products": _bottom_products(per_product, products),
         "high_risk": high_risk_export(predictions),
         "retention_targets": retention_targets(segments, predictions),
     }
