@@ -1,20 +1,22 @@
-"""An adaptive context-mixing range coder for token ids, over many blocks at a time.
+"""An adaptive context-mixing range coder for token ids, over many lanes at a time.
 
-A block is BLOCK ids (the last one fewer) with a model of its own that starts afresh, so blocks
-decode independently; numpy codes the t-th id of all blocks of a segment in one go. Each id is
-predicted in three orders:
+A block is up to BLOCK ids with a model of its own that starts afresh, so blocks decode
+independently. It is cut into lanes, runs of about STEPS ids that are range-coded apart; numpy codes
+the t-th id of all lanes in one go. The lanes share the block's model: it predicts the t-th ids from
+all ids before them in their lanes and then learns from all of the t-th ids. Each id is predicted in
+three orders:
 
 * order 2: the id that last followed the two ids before it; order 1: the one that last followed the
   id before it. The chance that either is right mixes two adaptive estimates, one without context and
   one in the context of both predictions' confidence.
-* order 0: all ids of the block so far in a list of ranks in which an id that is met moves up to half
-  its rank, so that frequent ids stand in front. Its rank, or that it is new, and then its magnitude,
-  is coded in one adaptive distribution of classes (powers of two) and plain bits within the class.
+* order 0: how often each of the block's different ids has occurred so far.
 
 As in prediction by partial matching, order 0 learns from every id that reaches it and not from
-those that a higher order has predicted: these are in its list already.
+those that a higher order has predicted.
 
-All arithmetic is on integers, so encoder and decoder agree on any machine.
+Ranges are whole numbers below 2 ** 48 held as 64-bit floats, which numpy computes on many at a time.
+Sums, products and shifts of them are exact, and a quotient is too far from the next whole number to be
+rounded up to it, so encoder and decoder agree on any machine.
 """
 
 from __future__ import annotations
@@ -24,335 +26,278 @@ import zlib
 
 import numpy as np
 
-BLOCK = 2048
-_SLOTS = 1024
-_TOP, _BOT, _ONE = np.uint64(1 << 48), np.uint64(1 << 40), np.uint64(1)
-_16, _48 = np.uint64(16), np.uint64(48)
-#: Chances of predictions are shares of 1 << 12, those of classes of 1 << 14, at least _LEAST - 31.
-_BITS, _FINE = 12, 14
-_WHOLE, _12, _14 = 1 << _BITS, np.uint64(_BITS), np.uint64(_FINE)
-_RATE, _LEAST = 5, 36
-_MAGIC, _VERSION = b"LLTK", 2
-_HEAD = struct.Struct("<4sBBIIQ")
+BLOCK = 1 << 22
+STEPS = 512
+_WORD, _LEAST, _MOST = float(1 << 16), float(1 << 32), float(1 << 48)
+#: Chances of predictions are shares of 1 << 12.
+_BITS = 12
+_WHOLE = 1 << _BITS
+_SHARE = 1.0 / _WHOLE
+#: Order 2 has this many slots at most; counts take effect after this many steps.
+_SLOTS, _EACH = 1 << 17, 16
+_MAGIC, _VERSION = b"LLTK", 3
+_HEAD = struct.Struct("<4sBIIQ")
+_BLOCK = struct.Struct("<IIIIII")
 
 
 class Damaged(ValueError):
     """A block or segment whose checksum does not fit its content."""
 
 
-class _Range:
-    """The interval of every block; `narrow` takes a share of it, `settle` moves out what is fixed."""
+class _Encoder:
+    """The interval of every lane: its lower end, its size, and the 16-bit words moved out, with carries not yet added."""
 
-    def __init__(self, lanes: int):
-        self.low, self.span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-
-    def settle(self) -> None:
-        low, span = self.low, self.span
-        while True:
-            fixed = (low ^ (low + span)) < _TOP
-            ready = np.flatnonzero(fixed | (span < _BOT))
-            if not len(ready):
-                return
-            cut = ready[~fixed[ready]]
-            if len(cut):
-                span[cut] = (np.uint64(0) - low[cut]) & (_BOT - _ONE)
-            self._move(ready)
-            low[ready] <<= _16
-            span[ready] <<= _16
-
-
-class _Encoder(_Range):
     def __init__(self, lanes: int, room: int):
-        super().__init__(lanes)
+        self.low, self.span = np.zeros(lanes), np.full(lanes, _MOST - 1)
         self.room = room
-        self.out, self.at = np.zeros(lanes * room, np.uint16), np.arange(lanes) * room
-
-    def _move(self, lanes: np.ndarray) -> None:
-        self.out[self.at[lanes]] = (self.low[lanes] >> _48).astype(np.uint16)
-        self.at[lanes] += 1
-
-    def finish(self) -> list[bytes]:
-        lanes = np.arange(len(self.low))
-        for _ in range(4):
-            self._move(lanes)
-            self.low <<= _16
-        starts = lanes * self.room
-        return [self.out[a:b].astype("<u2").tobytes() for a, b in zip(starts.tolist(), self.at.tolist(), strict=True)]
-
-
-class _Decoder(_Range):
-    def __init__(self, streams: list[bytes]):
-        super().__init__(len(streams))
-        sizes = [len(s) // 2 for s in streams]
-        width = max(sizes) + 8  # a sound block never reads beyond its words; a damaged one reads zeros
-        words = np.zeros((len(streams), width), np.uint64)
-        for i, s in enumerate(streams):
-            words[i, : sizes[i]] = np.frombuffer(s, "<u2")
-        self.words = words.reshape(-1)
-        self.at = np.arange(len(streams)) * width
-        self.end = self.at + width - 1
-        self.value = np.zeros(len(streams), np.uint64)
-        for _ in range(4):
-            self.value = (self.value << _16) | self.words[self.at]
+        self.out, self.at = np.zeros(lanes * room, np.uint32), np.arange(lanes) * room
+
+    def settle(self) -> None:
+        """Moves out the upper words of small intervals."""
+        ready = np.flatnonzero(self.span < _LEAST)
+        while len(ready):
+            low, at = self.low[ready], self.at[ready]
+            word = np.floor(low / _LEAST)
+            self.out[at] = word
+            self.at[ready] = at + 1
+            self.low[ready] = (low - word * _LEAST) * _WORD
+            span = self.span[ready] * _WORD
+            self.span[ready] = span
+            ready = ready[span < _LEAST]
+
+    def finish(self) -> tuple[np.ndarray, np.ndarray]:
+        """(words of each lane, all words): one more word names a number of the interval, zeros follow."""
+        self.out[self.at] = np.ceil(self.low / _LEAST)
+        sizes = self.at + 1 - np.arange(len(self.at)) * self.room
+        rows = self.out.reshape(-1, self.room)[:, : int(sizes.max())]
+        out = rows[np.arange(rows.shape[1]) < sizes[:, None]]
+        while (carried := np.flatnonzero(out > 0xFFFF)).size:
+            out[carried] &= 0xFFFF
+            out[carried - 1] += 1
+        return sizes, out.astype("<u2")
+
+
+class _Decoder:
+    """The size of every lane's interval, and how far in it the coded number lies."""
+
+    def __init__(self, sizes: np.ndarray, words: np.ndarray):
+        lanes = len(sizes)
+        # A lane reads two words beyond its own, which are zeros.
+        ends = np.cumsum(sizes + 2)
+        self.words = np.zeros(int(ends[-1]))
+        inner = np.ones(len(self.words), bool)
+        inner[ends - 1] = inner[ends - 2] = False
+        self.words[inner] = words
+        self.at = ends - sizes - 2
+        self.span, self.value = np.full(lanes, _MOST - 1), np.zeros(lanes)
+        for _ in range(3):
+            self.value = self.value * _WORD + self.words[self.at]
             self.at += 1
 
-    def _move(self, lanes: np.ndarray) -> None:
-        self.value[lanes] = (self.value[lanes] << _16) | self.words[self.at[lanes]]
-        self.at[lanes] = np.minimum(self.at[lanes] + 1, self.end[lanes])
+    def settle(self) -> None:
+        ready = np.flatnonzero(self.span < _LEAST)
+        while len(ready):
+            at = self.at[ready]
+            self.value[ready] = self.value[ready] * _WORD + self.words.take(at)
+            self.at[ready] = at + 1
+            span = self.span[ready] * _WORD
+            self.span[ready] = span
+            ready = ready[span < _LEAST]
 
 
 class _Model:
-    """The state of all blocks, in flat arrays. A table entry is an id and, in two bits, its confidence."""
-
-    def __init__(self, lanes: int, steps: int, bits: int):
-        n, lane = lanes, np.arange(lanes)
-        # The ids that followed: order 2 of all blocks, then order 1.
-        self.entries = np.zeros(2 * n * _SLOTS, np.int32)
-        self.bases = np.stack([lane * _SLOTS, (n + lane) * _SLOTS])
-        # The chances that the order-2 and the order-1 prediction are right: without context, and
-        # by the confidence of both (two 32-bit numbers in one 64-bit value).
-        self.plain = np.full((n, 2), _WHOLE // 8, np.int32)
-        self.chances = np.full(32 * n, _WHOLE // 8, np.int32).view(np.int64)
-        self.places = lane * 16
-        # Order 0: ids by rank, how many there are, and where the classes end. A rank of b bits is
-        # class b, a new id whose successor has b bits is class ranks + b - 1.
-        self.rows = lane * steps
-        self.listed, self.met = np.zeros(n * steps, np.int32), np.zeros(n, np.int64)
-        self.ranks = int(steps).bit_length() + 1
-        self.classes = self.ranks + bits
-        edge = np.arange(self.classes + 1)
-        self.ends = np.repeat((edge * ((1 << _FINE) // self.classes))[:, None], n, axis=1).astype(np.int16)
-        self.ends[-1] = 1 << _FINE
-        self.floor = (edge * _LEAST).astype(np.int16)[:, None]
-        self.rise = np.int16((1 << _FINE) - self.classes * _LEAST)
-        self.edges = edge.astype(np.int16)[:, None]
-        self.one, self.two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-
-    def predict(self) -> tuple[np.ndarray, np.ndarray]:
-        """The chances that order 2 is right, and that order 1 is if order 2 is not."""
-        mixed = self.one * 40503
-        self.slots = np.stack([mixed + self.two * 60493 >> 5, mixed >> 4])
-        self.slots &= _SLOTS - 1
-        self.slots += self.bases
-        self.held = self.entries[self.slots]
-        self.ids = self.held >> 2
-        self.sure = self.held & 3
-        self.spots = self.places + (self.sure[0] << 2 | self.sure[1])
-        self.seen = self.chances[self.spots].view(np.int32).reshape(-1, 2)
-        chance = np.minimum(np.maximum(self.plain + 3 * self.seen >> 2, 16), _WHOLE - 64)
-        two = chance[:, 0]
-        return two, np.maximum((_WHOLE - two) * chance[:, 1] >> _BITS, 8)
-
-    def right(self, actual: np.ndarray) -> np.ndarray:
+    """What the lanes of a block share. A table entry is an id's number and, in two bits, its confidence.
+
+    Where lanes meet in a slot, the last one's entry stays, as numpy says for repeated indices. Entries
+    change after every step; counts after the steps 1, 2, 4, 8, 16 and then every _EACH.
+    """
+
+    def __init__(self, lanes: int, steps: int, kinds: int):
+        self.kinds = kinds
+        slots = 1 << min(_SLOTS.bit_length() - 1, max(8, int(lanes * steps).bit_length()))
+        self.mask = slots - 1
+        self.second, self.first = np.full(slots, -4), np.full(kinds + 1, -4)
+        # How often each order was right, by the confidence of both.
+        self.met = np.zeros((16, 4))
+        self.met[:, :3] = 0.25, 0.25, 1.5
+        # Order 0: how often each id occurred, as shares of 1 << fine; one more row is no id, with all shares.
+        self.fine = max(16, kinds.bit_length() + 1)
+        self.part = 1.0 / (1 << self.fine)
+        self.counts = np.zeros(kinds + 1, np.int64)
+        self.cum, self.freq = np.zeros(kinds + 1), np.full(kinds + 1, float(1 << self.fine))
+        self.keys, self.plain = np.zeros((_EACH, lanes), np.int64), np.zeros((_EACH, lanes), np.int64)
+        self.pending, self.step, self.due = 0, 0, 1
+        self.one, self.two = np.full(lanes, kinds), np.full(lanes, kinds)
+        self._chances()
+        self._shares()
+
+    def _chances(self) -> None:
+        """The parts of a range for order 2, order 1 and order 0, by four times the confidence of both and the order."""
+        met, every = self.met, self.met.sum(axis=0)
+        share = np.floor(_WHOLE * (every[:2] / every.sum() + 3 * met[:, :2] / met.sum(axis=1, keepdims=True)) / 4)
+        share = np.clip(share, 8, _WHOLE // 2 - 32)
+        lower, upper = share[:, 0], share.sum(axis=1)
+        none, whole = np.zeros(16), np.full(16, float(_WHOLE))
+        self.begin = np.stack([none, lower, upper, whole], axis=1).reshape(-1)
+        self.width = np.stack([lower, upper - lower, whole - upper, none], axis=1).reshape(-1)
+
+    def _shares(self) -> None:
+        kinds, whole = self.kinds, 1 << self.fine
+        counts = self.counts[:-1]
+        freq = 1 + counts * (whole - kinds) // max(1, int(counts.sum()))
+        freq[int(np.argmax(freq))] += whole - int(freq.sum())
+        self.freq[:-1] = freq
+        self.cum[:-1] = np.cumsum(freq) - freq
+        self.whose = np.repeat(np.arange(kinds), freq)
+
+    def predict(self) -> np.ndarray:
+        """Four times the confidence of both predictions."""
+        self.slots = (self.one * 0x9E3779B1 + self.two * 0x85EBCA6B >> 9) & self.mask
+        self.by_two, self.by_one = self.second.take(self.slots), self.first.take(self.one)
+        self.sure_two, self.sure_one = self.by_two & 3, self.by_one & 3
+        return (self.sure_two << 2 | self.sure_one) << 2
+
+    def right(self, actual: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether order 2 and order 1 predict the id."""
-        return (self.ids == actual) & (self.sure > 0)
-
-    def learn(self, actual: np.ndarray, right: np.ndarray) -> None:
-        aim = right.T.astype(np.int32, order="C") << _BITS
-        self.plain += (aim - self.plain) >> _RATE
-        self.chances[self.spots] = (self.seen + ((aim - self.seen) >> _RATE)).view(np.int64)[:, 0]
-        other = np.where(self.sure > 1, self.held - 1, (actual << 2 | 1).astype(np.int32))
-        self.entries[self.slots] = np.where(right, self.held + (self.sure < 3), other)
+        return self.by_two >> 2 == actual, self.by_one >> 2 == actual
+
+    def learn(self, actual: np.ndarray, right: tuple[np.ndarray, np.ndarray], key: np.ndarray, plain: np.ndarray) -> None:
+        """key: four times the confidence and the order that was right; plain: what order 0 coded, else no id."""
+        fresh = (actual << 2) + 1
+        for table, slots, held, sure, same in (
+            (self.second, self.slots, self.by_two, self.sure_two, right[0]), (self.first, self.one, self.by_one, self.sure_one, right[1])
+        ):
+            table[slots] = np.where(same | (sure < 2), fresh + np.minimum(sure, 2) * same, held - 1)
         self.two, self.one = self.one, actual
-
-    def grow(self, lanes: np.ndarray, chosen: np.ndarray) -> None:
-        """Moves the ends of the lanes' classes towards the ones chosen."""
-        kind = np.zeros(len(self.met), np.int16)
-        kind[lanes] = chosen
-        used = np.zeros(len(self.met), np.int16)
-        used[lanes] = 1
-        aim = (self.edges > kind) * self.rise
-        aim += self.floor
-        aim -= self.ends
-        aim >>= _RATE
-        aim *= used
-        self.ends += aim
-
-    def place(self, lanes: np.ndarray, rank: np.ndarray, new: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Moves ids to half their rank, new ones from behind the last: (their rank, the other's, the other)."""
-        rank = np.where(new, self.met[lanes], rank)
-        self.met[lanes] += new
-        ahead = rank >> 1
-        row = self.rows[lanes]
-        other = np.where(rank > 0, self.listed[row + ahead], ids)
-        self.listed[row + rank] = other
-        self.listed[row + ahead] = ids
-        return ahead, rank, other
-
-
-def _length(values: np.ndarray) -> np.ndarray:
-    """Bits of whole numbers; 0 for 0."""
-    return np.frexp(values.astype(np.float64))[1].astype(np.int64)
-
-
-def _local(ids: np.ndarray) -> tuple[np.ndarray, int]:
-    """Each block's ids by number among its own different ids, and the largest such count."""
-    out, most = np.empty(ids.shape, np.int32), 0
-    for lane, own in enumerate(ids):
-        known, out[lane] = np.unique(own, return_inverse=True)
-        most = max(most, len(known))
-    return out, most
-
-
-def _encode_lanes(ids: np.ndarray, bits: int) -> list[bytes]:
-    lanes, steps = ids.shape
-    coder, model = _Encoder(lanes, 4 * steps + 24), _Model(lanes, steps, bits)
-    local, most = _local(ids)
-    local = np.ascontiguousarray(local.T)
-    columns = np.ascontiguousarray(ids.T).astype(np.int64)
-    # Where order 0 lists each id of a block, -1 where it does not yet; the list holds local numbers.
-    rank_of, base = np.full(lanes * most, -1, np.int32), np.arange(lanes) * most
-    for t, actual in enumerate(columns):
-        two, one = model.predict()
-        right = model.right(actual)
-        by_two = right[0]
-        by_one = right[1] & ~by_two
-        either = two + one
-        cum = np.where(by_two, 0, np.where(by_one, two, either)).astype(np.uint64)
-        freq = np.where(by_two, two, np.where(by_one, one, _WHOLE - either)).astype(np.uint64)
-        step = coder.span >> _12
-        coder.low += step * cum
-        coder.span = step * freq
-        plain = np.flatnonzero(~(by_two | by_one))
-        if len(plain):
-            own = local[t, plain]
-            spot = base[plain]
-            rank = rank_of[spot + own]
-            new = rank < 0
-            value = np.where(new, actual[plain] + 1, rank)
-            size = _length(value)
-            kind = size + np.where(new, model.ranks - 1, 0)
-            low = model.ends[kind, plain].astype(np.uint64)
-            high = model.ends[kind + 1, plain].astype(np.uint64)
-            step = coder.span[plain] >> _14
-            coder.low[plain] += step * low
-            coder.span[plain] = step * (high - low)
-            model.grow(plain, kind)
-            ahead, behind, other = model.place(plain, rank, new, own)
-            rank_of[spot + other] = behind
-            rank_of[spot + own] = ahead
-            size = np.maximum(size - 1, 0)
-            rest = np.where(value > 0, value - (1 << size), 0)
-            for part, width in _parts(rest, size, bits, coder):
-                step = coder.span[plain] >> width
-                coder.low[plain] += step * part
-                coder.span[plain] = step
+        self.keys[self.pending], self.plain[self.pending] = key, plain
+        self.pending += 1
+        self.step += 1
+        if self.step == self.due:
+            self.met += np.bincount(self.keys[: self.pending].ravel(), minlength=64).reshape(16, 4)
+            self.counts += np.bincount(self.plain[: self.pending].ravel(), minlength=self.kinds + 1)
+            self.pending, self.due = 0, self.step + min(_EACH, self.step)
+            self._chances()
+            self._shares()
+
+
+def _encode_lanes(numbers: np.ndarray, kinds: int) -> tuple[np.ndarray, np.ndarray]:
+    lanes, steps = numbers.shape
+    model = _Model(lanes, steps, kinds)
+    coder = _Encoder(lanes, (steps * (2 * _BITS + model.fine) >> 4) + 8)
+    for column in np.ascontiguousarray(numbers.T):
+        actual = column.astype(np.int64)
+        sure = model.predict()
+        right = two, one = model.right(actual)
+        guessed = two | one
+        key = sure + (2 - guessed.view(np.int8) - two.view(np.int8))
+        step = np.floor(coder.span * _SHARE)
+        coder.low += step * model.begin.take(key)
+        step *= model.width.take(key)
+        plain = np.where(guessed, kinds, actual)
+        coder.span = np.floor(step * model.part)
+        coder.low += coder.span * model.cum.take(plain)
+        coder.span *= model.freq.take(plain)
         coder.settle()
-        model.learn(actual, right)
+        model.learn(actual, right, key, plain)
     return coder.finish()
 
 
-def _parts(rest: np.ndarray, size: np.ndarray, bits: int, coder: _Range):
-    """The plain bits, the upper ones first and apart where there can be more than 16."""
-    if bits > 16:
-        coder.settle()
-        low = np.minimum(size, 15)
-        yield (rest >> low).astype(np.uint64), (size - low).astype(np.uint64)
-        coder.settle()
-        yield (rest & ((1 << low) - 1)).astype(np.uint64), low.astype(np.uint64)
-    else:
-        yield rest.astype(np.uint64), size.astype(np.uint64)
-
-
-def _decode_lanes(streams: list[bytes], steps: int, bits: int) -> np.ndarray:
-    lanes = len(streams)
-    coder, model = _Decoder(streams), _Model(lanes, steps, bits)
-    columns = np.zeros((steps, lanes), np.uint32)
+def _decode_lanes(sizes: np.ndarray, words: np.ndarray, steps: int, kinds: int) -> np.ndarray:
+    lanes = len(sizes)
+    coder, model = _Decoder(sizes, words), _Model(lanes, steps, kinds)
+    columns = np.zeros((steps, lanes), np.int32)
+    top = (1 << model.fine) - 1
     for t in range(steps):
-        two, one = model.predict()
-        either = two + one
-        step = np.maximum(coder.span >> _12, _ONE)
-        aim = np.minimum((coder.value - coder.low) // step, np.uint64(_WHOLE - 1)).astype(np.int64)
-        by_two, by_one = aim < two, (aim >= two) & (aim < either)
-        cum = np.where(by_two, 0, np.where(by_one, two, either)).astype(np.uint64)
-        freq = np.where(by_two, two, np.where(by_one, one, _WHOLE - either)).astype(np.uint64)
-        coder.low += step * cum
-        coder.span = step * freq
-        actual = np.where(by_two, model.ids[0], model.ids[1]).astype(np.int64)
-        plain = np.flatnonzero(~(by_two | by_one))
-        if len(plain):
-            step = np.maximum(coder.span[plain] >> _14, _ONE)
-            aims = np.zeros(lanes, np.int16)
-            aims[plain] = np.minimum((coder.value[plain] - coder.low[plain]) // step, np.uint64((1 << _FINE) - 1)).astype(np.int16)
-            kind = (model.ends[1:-1] <= aims).sum(axis=0, dtype=np.uint8)[plain].astype(np.int64)
-            low = model.ends[kind, plain].astype(np.uint64)
-            high = model.ends[kind + 1, plain].astype(np.uint64)
-            coder.low[plain] += step * low
-            coder.span[plain] = step * (high - low)
-            model.grow(plain, kind)
-            new = kind >= model.ranks
-            size = kind - np.where(new, model.ranks - 1, 0)
-            value = np.minimum(size, 1)
-            for _, width in _parts(np.zeros_like(size), np.maximum(size - 1, 0), bits, coder):
-                step = np.maximum(coder.span[plain] >> width, _ONE)
-                part = np.minimum((coder.value[plain] - coder.low[plain]) // step, (_ONE << width) - _ONE)
-                coder.low[plain] += step * part
-                coder.span[plain] = step
-                value = value << width.astype(np.int64) | part.astype(np.int64)
-            # A damaged block may name ranks that are not there; its checksum will tell.
-            value = np.where(new, value, np.minimum(value, np.maximum(model.met[plain] - 1, 0)))
-            ids = np.where(new, value - 1, model.listed[model.rows[plain] + np.where(new, 0, value)])
-            model.place(plain, value, new & (model.met[plain] < steps), ids)
-            actual[plain] = ids
+        sure = model.predict()
+        step = np.floor(coder.span * _SHARE)
+        beyond = coder.value >= step * model.width.take(sure)
+        rest = coder.value >= step * model.begin.take(sure + 2)
+        key = sure + (beyond.view(np.int8) + rest.view(np.int8))
+        coder.value -= step * model.begin.take(key)
+        step *= model.width.take(key)
+        step = np.floor(step * model.part)
+        own = model.whose.take(np.minimum((coder.value / step).astype(np.int64), top))
+        plain = np.where(rest, own, kinds)
+        coder.value -= step * model.cum.take(plain)
+        coder.span = step * model.freq.take(plain)
+        actual = np.where(rest, own, np.where(beyond, model.by_one, model.by_two) >> 2)
         coder.settle()
         columns[t] = actual
-        model.learn(actual, model.right(actual))
+        model.learn(actual, model.right(actual), key, plain)
     return columns.T
 
 
-def _checksum(ids: np.ndarray, stream: bytes) -> int:
-    return zlib.crc32(stream, zlib.crc32(ids.astype("<u4").tobytes()))
+def _numbered(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the different ids in order, each id's number among them)."""
+    if int(ids.max()) >= 1 << 22:
+        known, numbers = np.unique(ids, return_inverse=True)
+        return known, numbers.astype(np.int32)
+    there = np.zeros(int(ids.max()) + 1, bool)
+    there[ids] = True
+    return np.flatnonzero(there).astype(np.uint32), (np.cumsum(there) - 1).astype(np.int32)[ids]
+
+
+def _encode_block(ids: np.ndarray) -> tuple[bytes, bytes]:
+    """(what its head says of a block, its bytes)."""
+    known, numbers = _numbered(ids)
+    lanes = -(-len(ids) // STEPS)
+    steps = -(-len(ids) // lanes)
+    padded = np.zeros(lanes * steps, np.int32)
+    padded[: len(ids)] = numbers
+    sizes, words = _encode_lanes(padded.reshape(lanes, steps), len(known))
+    table = zlib.compress(np.diff(known, prepend=np.uint32(0)).astype("<u4").tobytes() + sizes.astype("<u4").tobytes(), 1)
+    data = table + words.tobytes()
+    return _BLOCK.pack(len(ids), len(known), len(table), len(data), zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(data)), data
+
+
+def _decode_block(data: bytes, n: int, kinds: int, table: int) -> np.ndarray:
+    lanes = -(-n // STEPS)
+    steps = -(-n // lanes)
+    numbers = np.frombuffer(zlib.decompress(data[:table]), "<u4")
+    known = np.cumsum(numbers[:kinds], dtype=np.uint32)
+    decoded = _decode_lanes(numbers[kinds:].astype(np.int64), np.frombuffer(data, "<u2", offset=table), steps, kinds)
+    return known[decoded.reshape(-1)[:n]]
 
 
 def encode_segment(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, block: int = BLOCK) -> bytes:
     """A segment: whole documents' ids (`counts` of each, one after the other) in coded blocks.
 
-    Layout, little-endian: magic, version, bits of an id, documents, blocks, ids; per document its
-    id (int64) and count (uint64); per block as uint32 its ids, bytes, and CRC-32 of the ids (uint32)
-    and then the bytes; CRC-32 of all that; the blocks' bytes. No ids make no blocks.
+    Layout, little-endian: magic, version, documents, blocks, ids; per document its id (int64) and
+    count (uint64); per block as uint32 its ids, its different ids, bytes of its table, all its bytes,
+    and CRC-32 of the ids (uint32) and of the bytes; CRC-32 of all that; the blocks' bytes. These are a
+    zlib table of the steps between the different ids and of the lanes' numbers of words, and the words.
+    No ids make no blocks.
     """
     ids = np.ascontiguousarray(ids, np.uint32)
     if len(ids) and ids.max() >= 1 << 29:
         raise ValueError("ids must be below 2 ** 29")
-    bits = int(int(ids.max()) + 1).bit_length() if len(ids) else 8
-    blocks = -(-len(ids) // block)
-    lengths = np.full(blocks, block, np.int64)
-    if blocks:
-        lengths[-1] = len(ids) - block * (blocks - 1)
-        padded = np.zeros(blocks * int(lengths.max()), np.uint32)  # zeros after the last block's ids
-        padded[: len(ids)] = ids
-        streams = _encode_lanes(padded.reshape(blocks, -1), bits)
-    else:
-        streams = []
-    sums = [_checksum(ids[i * block : (i + 1) * block], s) for i, s in enumerate(streams)]
-    head = _HEAD.pack(_MAGIC, _VERSION, bits, len(doc_ids), blocks, len(ids))
-    head += np.asarray(doc_ids, "<i8").tobytes() + np.asarray(counts, "<u8").tobytes()
-    head += lengths.astype("<u4").tobytes() + np.array([len(s) for s in streams], "<u4").tobytes() + np.array(sums, "<u4").tobytes()
-    return head + struct.pack("<I", zlib.crc32(head)) + b"".join(streams)
+    block = min(block, BLOCK)
+    made = [_encode_block(ids[low : low + block]) for low in range(0, len(ids), block)]
+    head = _HEAD.pack(_MAGIC, _VERSION, len(doc_ids), len(made), len(ids))
+    head += np.asarray(doc_ids, "<i8").tobytes() + np.asarray(counts, "<u8").tobytes() + b"".join(says for says, _ in made)
+    return head + struct.pack("<I", zlib.crc32(head)) + b"".join(data for _, data in made)
 
 
 def decode_segment(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(doc_ids, counts, ids) of a segment; raises Damaged if a checksum does not fit."""
     if len(data) < _HEAD.size + 4:
         raise Damaged("a segment is shorter than its head")
-    magic, version, bits, docs, blocks, total = _HEAD.unpack_from(data)
-    end = _HEAD.size + 16 * docs + 12 * blocks
+    magic, version, docs, blocks, total = _HEAD.unpack_from(data)
+    end = _HEAD.size + 16 * docs + _BLOCK.size * blocks
     if magic != _MAGIC or version != _VERSION or len(data) < end + 4 or zlib.crc32(data[:end]) != struct.unpack_from("<I", data, end)[0]:
         raise Damaged("a segment's head does not fit its checksum")
-    at = _HEAD.size
-    doc_ids = np.frombuffer(data, "<i8", docs, at)
-    counts = np.frombuffer(data, "<u8", docs, at + 8 * docs).astype(np.int64)
-    at += 16 * docs
-    lengths, sizes, sums = (np.frombuffer(data, "<u4", blocks, at + 4 * blocks * i) for i in range(3))
-    bounds = end + 4 + np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-    streams = [data[bounds[i] : bounds[i + 1]] for i in range(blocks)]
-    if not blocks:
-        return doc_ids, counts, np.zeros(0, np.uint32)
-    lanes = _decode_lanes(streams, int(lengths.max()), bits)
-    ids = np.concatenate([lanes[i, : lengths[i]] for i in range(blocks)])
-    for i, first in enumerate(np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)[:-1]]).tolist()):
-        if _checksum(ids[first : first + lengths[i]], streams[i]) != sums[i]:
+    doc_ids = np.frombuffer(data, "<i8", docs, _HEAD.size)
+    counts = np.frombuffer(data, "<u8", docs, _HEAD.size + 8 * docs).astype(np.int64)
+    at, parts = end + 4, [np.zeros(0, np.uint32)]
+    for i, (n, kinds, table, size, sum_ids, sum_data) in enumerate(_BLOCK.iter_unpack(data[_HEAD.size + 16 * docs : end])):
+        coded = data[at : at + size]
+        at += size
+        if zlib.crc32(coded) != sum_data:
             raise Damaged(f"block {i} does not fit its checksum")
+        parts.append(_decode_block(coded, n, kinds, table))
+        if zlib.crc32(parts[-1].astype("<u4").tobytes()) != sum_ids:
+            raise Damaged(f"the ids of block {i} do not fit their checksum")
+    ids = np.concatenate(parts)
     if len(ids) != total or counts.sum() != total:
         raise Damaged("a segment's ids do not fit its head")
     return doc_ids, counts, ids

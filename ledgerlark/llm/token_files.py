@@ -6,9 +6,10 @@ files are a Parquet table with one row per segment: range, segment, first and la
 the coded bytes, which any reader of a Parquet file can decode without the others.
 
 The tokenizer splits texts into words before it merges, so the library encodes each distinct piece
-(`pieces.word_pieces`) only when it is not at hand, and the pieces' ids are joined. Words of letters
-go straight to the library's model, all else through its whole encoding; texts that hold the string
-of one of its added tokens are encoded whole.
+(`pieces.word_pieces`) only when it is not at hand, and the pieces' ids are joined. New words of letters
+are written behind each other, with a blank or a line break before each, and encoded in one call; the
+bytes that ids stand for tell where each word's begin. All else is encoded piece by piece; texts that
+hold the string of one of the tokenizer's added tokens are encoded whole.
 
 Null and empty texts are just the end id. Rows of equal doc_id are in order of text; null doc_ids
 are not coded, as the files have no id for them. Other columns are ignored.
@@ -32,8 +33,8 @@ from ledgerlark.llm.pieces import PieceTable, Ragged, gather, word_pieces
 from ledgerlark.llm.words import text_slices
 from ledgerlark.session import tune
 
-SEGMENT_IDS = 4096 * BLOCK
-KEPT_PIECES = 600_000
+SEGMENT_IDS = BLOCK
+KEPT_PIECES = 1_000_000
 SLICE_BYTES = 1 << 21
 END_ID = 0
 
@@ -41,13 +42,6 @@ END_ID = 0
 _WORD = re.compile("[ ]?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 
-def _visible() -> dict[int, str]:
-    """The character that a byte-level vocabulary writes for each byte."""
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [x for x in range(256) if x not in own]
-    return {x: chr(x) for x in own} | {x: chr(256 + n) for n, x in enumerate(rest)}
-
-
 class Encoder:
     """Texts to ids, with the ids of the pieces met before at hand. For byte-level BPE files."""
 
@@ -56,7 +50,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model, self.visible = self.tokenizer.model, _visible()
+        vocabulary = self.tokenizer.get_vocab()
+        # A byte-level vocabulary writes one character for each byte.
+        self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.width[list(vocabulary.values())] = [len(t) for t in vocabulary]
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.clear()
         self.table = PieceTable(self.add, self.clear, pieces)
@@ -67,18 +64,33 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def apart(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, where each text's begin, how many they are)."""
+        own = self.whole(texts)
+        size = np.array([len(x) for x in own], np.int64)
+        return np.array([k for x in own for k in x], np.uint32), np.cumsum(size) - size, size
+
+    def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same of words, encoded as one text in which each ends before the next one's blank or a line break."""
+        bare = np.array([t[0] != " " for t in texts])
+        size = np.array([len(t.encode()) for t in texts])
+        end = np.cumsum(size + bare)
+        ids = np.array(self.whole(["".join([t if t[0] == " " else "\n" + t for t in texts])])[0], np.uint32)
+        after = np.cumsum(self.width[ids])
+        first, last = np.searchsorted(after, end - size, "right"), np.searchsorted(after, end, "right")
+        if (after[last - 1] != end).any() or (bare & (after[first - 1] != end - size)).any():
+            return self.apart(texts)
+        return ids, first, last - first
+
     def add(self, texts: list[bytes]) -> None:
         plain = [t.decode() for t in texts]
-        words = [_WORD.fullmatch(t) is not None for t in plain]
-        others = iter(self.whole([t for t, word in zip(plain, words, strict=True) if not word]))
-        model, visible = self.model, self.visible
-        ids = [
-            [t.id for t in model.tokenize(raw.decode("latin-1").translate(visible))] if word else next(others)
-            for raw, word in zip(texts, words, strict=True)
-        ]
-        size = np.array([len(x) for x in ids], np.int64)
-        first = self.ids.add(np.array([k for own in ids for k in own], np.uint32))
-        self.start.add(first + np.cumsum(size) - size)
+        word = np.array([_WORD.fullmatch(t) is not None for t in plain])
+        start, size = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+        for chosen, made in ((np.flatnonzero(word), self.words), (np.flatnonzero(~word), self.apart)):
+            if len(chosen):
+                ids, first, size[chosen] = made([plain[k] for k in chosen.tolist()])
+                start[chosen] = self.ids.add(ids) + first
+        self.start.add(start)
         self.size.add(size)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, special: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

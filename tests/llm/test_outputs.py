@@ -1,6 +1,7 @@
 """Sharding, mixing, chat formatting, token files and the pipeline."""
 
 import hashlib
+import random
 import zlib
 from collections import defaultdict
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus as C
 import corpus_pipeline
-from ledgerlark.llm import chat, languages, mixing, sharding
+from ledgerlark.llm import chat, coder, languages, mixing, pieces, sharding
 from ledgerlark.llm.coder import Damaged, decode_segment, encode_segment
 from ledgerlark.llm.token_files import Encoder, read_tokens, write_tokens
 from ledgerlark.session import Staging
@@ -175,6 +176,26 @@ def test_ids_without_order_cost_what_their_frequency_says():
     assert (decode_segment(data)[2] == ids).all()
 
 
+def test_order_0_counts_the_ids_of_all_lanes():
+    r = np.random.default_rng(4)
+    ids = (r.zipf(1.3, 120_000) % 3000).astype(np.uint32)
+    share = np.bincount(ids) / len(ids)
+    entropy = -(share[share > 0] * np.log2(share[share > 0])).sum()
+    data = encode_segment(np.array([1]), np.array([len(ids)]), ids)
+    assert 8 * len(data) / len(ids) < 1.1 * entropy + 0.3
+    assert (decode_segment(data)[2] == ids).all()
+
+
+def test_many_lanes_and_many_different_ids(monkeypatch):
+    r = np.random.default_rng(6)
+    wide = np.concatenate([r.permutation(70_000), r.integers(0, 70_000, 9_000)]).astype(np.uint32)
+    assert (decode_segment(encode_segment(np.array([1]), np.array([len(wide)]), wide))[2] == wide).all()
+    monkeypatch.setattr(coder, "STEPS", 3)
+    for n in (1, 2, 3, 4, 50, 1000):
+        ids = r.integers(0, 9, n).astype(np.uint32) * 1000
+        assert (decode_segment(encode_segment(np.array([1]), np.array([n]), ids, 77))[2] == ids).all()
+
+
 def test_the_coder_learns_and_notices_damage():
     ids = np.tile(np.arange(40, dtype=np.uint32) * 1000, 200)
     data = encode_segment(np.array([1, 2]), np.array([3000, 5000]), ids)
@@ -213,6 +234,29 @@ def test_pieces_encode_as_whole_texts():
         assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
 
 
+def test_pieces_are_told_apart_by_their_bytes(monkeypatch):
+    monkeypatch.setattr(pieces, "mix", np.zeros_like)  # all pieces of over seven bytes meet in one slot
+    r, rows = random.Random(5), []
+    table = pieces.PieceTable(rows.extend, rows.clear, 400)
+    for _ in range(30):
+        texts = [bytes(r.choices(b"\0ab", k=r.choice([1, 2, 6, 7, 8, 9, 16, 22, 23, 24, 48, 49]))) for _ in range(100)]
+        end = np.cumsum([len(t) for t in texts])
+        got = table.numbers(np.frombuffer(b"".join(texts), np.uint8), end - [len(t) for t in texts], end)
+        assert [rows[k] for k in got.tolist()] == texts
+        kept = [t for t in rows if len(t) <= 48]
+        assert len(set(kept)) == len(kept)
+
+
+def test_new_words_are_encoded_in_one_call(monkeypatch):
+    encoder, calls = Encoder(TOKENIZER), []
+    whole = encoder.whole
+    monkeypatch.setattr(encoder, "whole", lambda texts: calls.append(len(texts)) or whole(texts))
+    r = random.Random(7)
+    text = " ".join("".join(r.choices("abcdeéñ", k=6)) for _ in range(3000))
+    counts, ids = encoder.encode(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]), np.zeros(1, bool), 0)
+    assert calls == [1] and [ids.tolist()] == library([text])
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(alphabet="aB 1'.\n\té×s—字 ½̧", max_size=30), min_size=1, max_size=5))
 def test_any_text_encodes_as_whole(texts):
