@@ -60,6 +60,16 @@ def test_passes_are_those_of_the_slowest_model(spark, monkeypatch):
     assert len(calls) == 2 + max(m.moves for m in models) and calls[1] == 16 and calls == sorted(calls, reverse=True)
 
 
+def test_packed_points_give_the_same_sums(spark):
+    x = cloud(4, 300)
+    points = frame(spark, x).selectExpr("a", "b", "c", "xxhash64(id) AS h")
+    models = [x[:2], x[5:9]]
+    own = {(r["model"], r["cluster"]): r.asDict() for r in kmeans.cluster_sums(points, models).collect()}
+    packed = kmeans._packed(points)
+    got = kmeans.cluster_sums(packed, models)
+    assert len(got) == len(own) == 6 and all(r == pytest.approx(own[r["model"], r["cluster"]]) for r in got)
+
+
 def test_few_points_nulls_and_none(spark):
     df = spark.createDataFrame([(1, 1.0, None, 0.0), (2, 1.0, 0.0, 0.0), (3, 5.0, 1.0, None)] * 3, "id long, a double, b double, c double")
     (model,) = kmeans.fit_models(df, "id", ["a", "b", "c"], [(4, 1)])
