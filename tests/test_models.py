@@ -1,5 +1,5 @@
 from itertools import combinations
-from math import factorial
+from math import comb, factorial
 
 import numpy as np
 import pandas as pd
@@ -227,3 +227,34 @@ def test_shap_values_do_not_depend_on_the_block_of_leaves(spark, monkeypatch):
     whole = explain.path_contributions(x, packed)
     monkeypatch.setattr(explain, "LEAVES", 7)
     assert np.abs(explain.path_contributions(x, packed) - whole).max() < 1e-12
+
+
+def test_tabled_contributions_are_shapley_values_of_every_set():
+    """Against all coalitions of the features of a path."""
+    rng = np.random.default_rng(6)
+    share, value = rng.random((3, 4)), rng.random(3)
+    tables = explain.contribution_tables(share, value)
+
+    def worth(leaf, met, known):
+        return value[leaf] * np.prod([(met >> i & 1) if known >> i & 1 else share[leaf, i] for i in range(4)])
+
+    for leaf in range(3):
+        for met in range(16):
+            for j in range(4):
+                want = 0.0
+                for known in (s for s in range(16) if not s >> j & 1):
+                    weight = 1 / (4 * comb(3, known.bit_count()))
+                    want += weight * (worth(leaf, met, known | 1 << j) - worth(leaf, met, known))
+                assert tables[j, leaf, met] == pytest.approx(want, abs=1e-12)
+
+
+def test_tabled_and_row_by_row_contributions_agree(monkeypatch):
+    rng = np.random.default_rng(7)
+    packed = {
+        size: (np.stack([rng.permutation(12)[:size] for _ in range(9)]), rng.random((9, size)) - 0.6, rng.random((9, size)) + 0.3, rng.random((9, size)), rng.random(9))
+        for size in (1, 5, 9, 12)
+    }
+    x = rng.random((150, 12))
+    tabled = explain.path_contributions(x, packed)
+    monkeypatch.setattr(explain, "TABLED", 0)
+    assert np.abs(explain.path_contributions(x, packed) - tabled).max() < 1e-12
